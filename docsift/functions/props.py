@@ -7,13 +7,16 @@ from pyspark.sql import functions as F
 
 from docsift.functions.text import tokens
 
-# Nesting levels that are taken apart. Each one is a step of the expression, so it is a constant;
-# whatever lies deeper is kept whole, as JSON text under its path.
+# Nesting levels that are taken apart. The expression is written out to this depth; whatever lies deeper
+# is kept whole, as JSON text under its path.
 MAX_DEPTH = 8
 
 
-def _descend(e: Column) -> Column:
-    """Replace an object or array node by its children and leave a scalar as it is."""
+NUMBERS = ("BIGINT", "DOUBLE", "FLOAT")
+
+
+def _children(e: Column) -> Column:
+    """The nodes below an object or array; null below a scalar."""
     head = F.when(F.trim(e["k"]) == "", F.lit("")).otherwise(F.concat(e["k"], F.lit("-")))
     members = F.map_entries(F.try_variant_get(e["x"], "$", "map<string,variant>"))
     items = F.try_variant_get(e["x"], "$", "array<variant>")
@@ -23,21 +26,27 @@ def _descend(e: Column) -> Column:
         F.transform(items, lambda c, i: F.struct(
             F.concat(e["k"], F.lit("-"), i.cast("string")).alias("k"), c.alias("x"),
             F.lit(False).alias("o"))),
-        F.array(F.struct(e["k"].alias("k"), e["x"].alias("x"), e["o"].alias("o"))),
     )
 
 
-def _pair(e: Column, analysed: bool) -> Column:
-    kind = F.schema_of_variant(e["x"])
-    number = kind.rlike("^(BIGINT|DECIMAL|DOUBLE|FLOAT)")
-    text = F.when(~number, F.when(F.is_variant_null(e["x"]), F.lit("null"))
-                  .when(kind.rlike("^(OBJECT|ARRAY)"), F.to_json(e["x"]))
-                  .otherwise(F.try_variant_get(e["x"], "$", "string")))
-    fields = [e["k"].alias("k"), text.alias("v"),
-              F.when(number, F.try_variant_get(e["x"], "$", "double")).alias("vn")]
-    if analysed:
-        fields += [tokens(e["k"]).alias("kt"), tokens(text).alias("vt")]
-    return F.struct(*fields)
+def _leaves(e: Column, depth: int) -> Column:
+    """The scalars at or below a node. A scalar is left alone at its own level, so the work is one
+    visit per node, however many levels the expression allows for."""
+    own = F.array(F.struct(e["k"].alias("k"), e["x"].alias("x"), e["o"].alias("o")))
+    if depth == 0:
+        return own
+    below = F.flatten(F.transform(_children(e), lambda c: _leaves(c, depth - 1)))
+    return F.coalesce(below, own)
+
+
+def _pair(e: Column, kind: Column) -> Column:
+    number = kind.isin(*NUMBERS) | kind.startswith("DECIMAL")
+    text = (F.when(number, F.lit(None))
+            .when(kind == "VOID", F.lit("null"))
+            .when(kind.startswith("OBJECT") | kind.startswith("ARRAY"), F.to_json(e["x"]))
+            .otherwise(F.try_variant_get(e["x"], "$", "string")))
+    return F.struct(e["k"].alias("k"), text.alias("v"),
+                    F.when(number, F.try_variant_get(e["x"], "$", "double")).alias("vn"))
 
 
 def flatten_properties(json: Column, max_depth: int = MAX_DEPTH, analysed: bool = True) -> Column:
@@ -49,14 +58,19 @@ def flatten_properties(json: Column, max_depth: int = MAX_DEPTH, analysed: bool
     JSON object gives an empty array. The work stays inside the row: no explode, no shuffle.
     """
     root = F.try_variant_get(json, "$", "map<string,variant>")
-    level = F.transform(F.map_entries(root), lambda c: F.struct(
+    nodes = F.transform(F.map_entries(root), lambda c: F.struct(
         c["key"].alias("k"), c["value"].alias("x"), F.lit(True).alias("o")))
-    for _ in range(max_depth - 1):
-        level = F.flatten(F.transform(level, _descend))
+    leaves = F.flatten(F.transform(nodes, lambda e: _leaves(e, max_depth - 1)))
+    kinds = F.transform(leaves, lambda e: F.struct(
+        e.alias("e"), F.schema_of_variant(e["x"]).alias("kind")))
     # at the deepest level an empty container may still stand where the rules leave nothing
-    kept = F.filter(level, lambda e: (e["o"] | ~F.is_variant_null(e["x"]))
-                    & ~F.schema_of_variant(e["x"]).isin("OBJECT<>", "ARRAY<VOID>"))
-    pairs = F.transform(kept, lambda e: _pair(e, analysed))
+    kept = F.filter(kinds, lambda n: (n["e"]["o"] | (n["kind"] != "VOID"))
+                    & ~n["kind"].isin("OBJECT<>", "ARRAY<VOID>"))
+    pairs = F.transform(kept, lambda n: _pair(n["e"], n["kind"]))
+    if analysed:
+        pairs = F.transform(pairs, lambda p: F.struct(
+            p["k"].alias("k"), p["v"].alias("v"), p["vn"].alias("vn"),
+            tokens(p["k"]).alias("kt"), tokens(p["v"]).alias("vt")))
     return F.coalesce(pairs, F.array().cast(
         "array<struct<k:string,v:string,vn:double"
         + (",kt:array<string>,vt:array<string>>>" if analysed else ">>")))

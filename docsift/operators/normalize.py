@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from docsift.functions.dates import FORMATS, parse_date
 from docsift.functions.geo import parse_latlng
 from docsift.functions.props import MAX_DEPTH, flatten_properties, properties_json
+from docsift.plans.once import with_once
 from docsift.schema import DATE_FIELDS, DOCID, IGNORED_FIELDS, PROPS, PROPS_JSON
 
 
@@ -33,19 +34,20 @@ def normalize(rows: DataFrame, max_depth: int = MAX_DEPTH, analysed: bool = True
             out[name] = F.col(name).cast("timestamp")
     if isinstance(kinds.get("latlng"), T.StringType):
         out["latlng"] = parse_latlng(F.col("latlng"))
+    variant = None
     if isinstance(kinds.get(PROPS), T.StringType):
-        out[PROPS_JSON] = F.col(PROPS)
-        out[PROPS] = flatten_properties(properties_json(F.col(PROPS)), max_depth, analysed)
+        out[PROPS_JSON], variant = F.col(PROPS), properties_json(F.col(PROPS))
     elif isinstance(kinds.get(PROPS), (T.StructType, T.MapType)):
-        json = F.to_json(F.col(PROPS), {"ignoreNullFields": "false"})
-        out[PROPS_JSON] = json
-        out[PROPS] = flatten_properties(properties_json(json), max_depth, analysed)
+        out[PROPS_JSON] = F.to_json(F.col(PROPS), {"ignoreNullFields": "false"})
+        variant = properties_json(out[PROPS_JSON])
     elif isinstance(kinds.get(PROPS), T.VariantType):
-        out[PROPS_JSON] = F.to_json(F.col(PROPS))
-        out[PROPS] = flatten_properties(F.col(PROPS), max_depth, analysed)
+        out[PROPS_JSON], variant = F.to_json(F.col(PROPS)), F.col(PROPS)
     if "appid" in kinds and "id" in kinds:
         out[DOCID] = docid()
-    return rows.drop(*IGNORED_FIELDS).withColumns(out)
+    docs = rows.drop(*IGNORED_FIELDS).withColumns(out)
+    if variant is None:
+        return docs
+    return with_once(docs, PROPS, flatten_properties(variant, max_depth, analysed))
 
 
 def property_rows(rows: DataFrame, json: str, keys: Sequence[str],

@@ -17,9 +17,11 @@ from pyspark.sql import types as T
 from docsift.functions import keys
 from docsift.functions.text import count_of, let, term_counts, tokens
 from docsift.operators.find import nothing, scope
+from docsift.plans.once import with_once
 from docsift.plans.predicates import Fields, Query, condition
 from docsift.plans.skew import salted_join
 from docsift.schema import DEFAULT_MAPPING, PROPS, FieldMapping
+from docsift.session import materialize
 
 # Fixed values of the ranking function.
 K1 = 1.2
@@ -85,10 +87,11 @@ def _term_stats(units: DataFrame, wanted: Column, unit: str = "words") -> DataFr
 
 def _weighted(stats: DataFrame, query: Column) -> DataFrame:
     """The one-row statistics with the query's terms and weights in place of the counts."""
-    terms = F.transform(term_counts(tokens(query)), lambda q: F.struct(
+    terms = F.transform(term_counts(F.col("asked")), lambda q: F.struct(
         q["term"].alias("term"),
         (q["tf"] * _idf(F.col("n"), F.element_at(F.col("df"), q["term"]))).alias("w")))
-    return stats.select("avg", F.filter(terms, lambda q: q["w"].isNotNull()).alias("terms"))
+    return (stats.withColumn("asked", tokens(query))
+            .select("avg", F.filter(terms, lambda q: q["w"].isNotNull()).alias("terms")))
 
 
 def _score(words: Column, stats: Column, boost: float = 1.0) -> Column:
@@ -142,7 +145,9 @@ def search(docs: DataFrame, clauses: Sequence[Clause], type: str | None = None,
     total = parts[0]
     for part in parts[1:]:
         total = total + part
-    return (hits.withColumns({**words, **stats}).withColumn("score", total)
+    for col, value in words.items():
+        hits = with_once(hits, col, value)
+    return (with_once(hits.withColumns(stats), "score", total)
             .filter(F.col("score") > 0).drop(*words, *stats))
 
 
@@ -169,8 +174,8 @@ def search_nested(docs: DataFrame, path: str, field: str, query: str | Column,
     stats = _subquery(_weighted(_term_stats(units, tokens(wanted)), wanted))
     scores = F.filter(F.transform(F.col("_words"), lambda w: F.when(
         F.size(w) > 0, _score(w, F.col("_q"))).otherwise(0.0)), lambda s: s > 0)
-    return (scope(docs, type=type).withColumn("_words", elements).withColumn("_q", stats)
-            .withColumn("_scores", scores)
+    rows = with_once(scope(docs, type=type), "_words", elements).withColumn("_q", stats)
+    return (with_once(rows, "_scores", scores)
             .filter(F.size("_scores") > 0)
             .withColumn("score", _sum(F.col("_scores")) / F.size("_scores"))
             .drop("_words", "_scores", "_q"))
@@ -181,13 +186,13 @@ def search_nested(docs: DataFrame, path: str, field: str, query: str | Column,
 def _selected(stats: DataFrame, like: Column) -> DataFrame:
     """One row: mean length, the selected terms with their weights, and how many must occur."""
     n, df = F.col("n"), F.col("df")
-    known = F.filter(term_counts(tokens(like)), lambda t: F.element_at(df, t["term"]).isNotNull())
+    known = F.filter(term_counts(F.col("like")), lambda t: F.element_at(df, t["term"]).isNotNull())
     ranked = F.array_sort(F.transform(known, lambda t: F.struct(
         (-_pick_weight(t["tf"], n, F.element_at(df, t["term"]))).alias("r"),
         t["term"].alias("term"),
         _idf(n, F.element_at(df, t["term"])).alias("w"))))
     picked = F.slice(ranked, 1, MAX_TERMS)
-    return (stats.select("avg", picked.alias("terms"))
+    return (stats.withColumn("like", tokens(like)).select("avg", picked.alias("terms"))
             .withColumn("need", _required(F.size("terms"))))
 
 
@@ -222,7 +227,7 @@ def find_similar(docs: DataFrame, type: str | None, filter_key: str | None,
         *[F.coalesce(_words(docs, n, mapping), F.array().cast("array<string>")) for n in names]))
     stats = _term_stats(docs.select(words.alias("words")), tokens(given))
     chosen = F.col("_q")
-    return (hits.withColumn("_words", words).withColumn("_q", _subquery(_selected(stats, given)))
+    return (with_once(hits, "_words", words).withColumn("_q", _subquery(_selected(stats, given)))
             .filter((F.size(chosen["terms"]) > 0)
                     & (_present(F.col("_words"), chosen["terms"]) >= chosen["need"]))
             .withColumn("score", _score(F.col("_words"), chosen)).drop("_words", "_q"))
@@ -251,8 +256,8 @@ def _similar_pairs(docs: DataFrame, hits: DataFrame, names: Sequence[str],
         found = F.filter(F.transform(pairs, score), lambda s: s.isNotNull())
         total = total + let(found, lambda s: F.when(F.size(s) > 0, _sum(s) / F.size(s))
                             .otherwise(0.0))
-    return (hits.withColumn("_q", stats).filter(F.size(chosen["terms"]) > 0)
-            .withColumn("score", total).filter(F.col("score") > 0).drop("_q"))
+    rows = hits.withColumn("_q", stats).filter(F.size(chosen["terms"]) > 0)
+    return with_once(rows, "score", total).filter(F.col("score") > 0).drop("_q")
 
 
 # ---------------------------------------------------------------- tables of queries
@@ -263,14 +268,15 @@ def term_index(docs: DataFrame, id: str, text: str,
 
     A narrow map of the documents; store it once and use it for any number of batches.
     """
-    words = docs.select(F.col(id).alias("doc_id"), _words(docs, text, mapping).alias("words"))
+    words = with_once(docs.select(F.col(id).alias("doc_id"), F.col(text)), "words",
+                      _words(docs, text, mapping))
     return (words.filter(F.size("words") > 0)
             .select("doc_id", F.size("words").alias("length"),
                     term_counts(F.col("words")).alias("terms")))
 
 
-def _postings(index: DataFrame) -> DataFrame:
-    return index.select("doc_id", F.explode("terms.term").alias("term"))
+def _postings(index: DataFrame, *more: str) -> DataFrame:
+    return index.select("doc_id", *more, F.inline("terms"))
 
 
 def _query_terms(index: DataFrame, queries: DataFrame, id: str, text: str) -> DataFrame:
@@ -279,34 +285,37 @@ def _query_terms(index: DataFrame, queries: DataFrame, id: str, text: str) -> Da
     Document frequencies are counted before the join, with partial sums, so that a word
     found in every document arrives as a single row.
     """
-    asked = (queries.select(F.col(id).alias("query_id"),
-                            F.inline(term_counts(tokens(F.col(text))))))
+    asked = queries.select(F.col(id).alias("query_id"),
+                           F.inline(term_counts(tokens(F.col(text)))))
     df = _postings(index).groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     n = index.agg(F.count(F.lit(1)).alias("n")).scalar()
     return asked.join(df, "term").withColumn("n", n)
 
 
 def _pairs(wanted: DataFrame, index: DataFrame, hot_rows: int) -> DataFrame:
-    """Distinct `(query_id, doc_id)` that share one of the exploded `wanted` terms."""
-    met = salted_join(_postings(index), wanted, ["term"], "doc_id", "query_id", hot_rows)
-    return met.select("query_id", "doc_id").distinct()
+    """Distinct `(query_id, doc_id)` that share one of the `wanted` terms `(query_id, term, df)`."""
+    wanted = materialize(wanted, "wanted")
+    known = wanted.groupBy("term").agg(F.first("df").alias("_rows"))
+    met = salted_join(_postings(index).select("doc_id", "term"), wanted.select("query_id", "term"),
+                      ["term"], "doc_id", "query_id", hot_rows, left_counts=known)
+    return materialize(met.select("query_id", "doc_id").distinct(), "pairs")
 
 
 def _scored(pairs: DataFrame, asked: DataFrame, index: DataFrame) -> DataFrame:
-    """`pairs` with the number of matching terms and the score, computed inside the row.
+    """`pairs` with the number of matching terms and the score over all `asked` terms.
 
-    The short query side is attached first; the term arrays of the documents then move once.
+    Only the postings of documents that are in a pair take part; they meet the asked terms on
+    (document, term), which spreads a document wanted by many queries over its terms.
     """
     avg = index.agg(F.avg("length").alias("avg")).scalar()
-    rows = pairs.join(asked, "query_id").join(index, "doc_id")
-    weights = F.map_from_entries(F.transform("asked", lambda q: F.struct(q["term"], q["w"])))
-    found = F.filter("terms", lambda t: F.array_contains(F.col("asked.term"), t["term"]))
-    rows = rows.withColumn("found", found).withColumn("weights", weights).withColumn("avg", avg)
-    score = _sum(F.transform("found", lambda t: F.element_at(F.col("weights"), t["term"]) * _tf_part(
-        t["tf"].cast("double"), F.col("length").cast("double"), F.col("avg"))))
-    return rows.select("query_id", "doc_id", F.size("found").alias("matched"),
-                       *[c for c in asked.columns if c not in ("query_id", "asked")],
-                       score.alias("score"))
+    met = index.join(pairs.select("doc_id").distinct(), "doc_id", "left_semi")
+    wanted = pairs.join(asked, "query_id").select("query_id", "doc_id", F.inline("asked"))
+    found = (wanted.select("query_id", "doc_id", "term", "w")
+             .join(_postings(met, "length"), ["doc_id", "term"]).withColumn("avg", avg))
+    part = F.col("w") * _tf_part(F.col("tf").cast("double"), F.col("length").cast("double"),
+                                 F.col("avg"))
+    return found.groupBy("query_id", "doc_id").agg(
+        F.count(F.lit(1)).alias("matched"), F.sum(part).alias("score"))
 
 
 def _top(scored: DataFrame, k: int) -> DataFrame:
@@ -328,17 +337,17 @@ def find_similar_batch(index: DataFrame, queries: DataFrame, id: str, text: str,
     n, df = F.col("n"), F.col("df")
     terms = _query_terms(index, queries, id, text).withColumn("r", -_pick_weight(F.col("tf"), n, df))
     # a query's own words, so the group is no larger than the text it came from
-    asked = (terms.groupBy("query_id")
-             .agg(F.slice(F.array_sort(F.collect_list(F.struct("r", "term", "df", _idf(n, df).alias("w")))),
-                          1, MAX_TERMS).alias("asked"))
-             .withColumn("need", _required(F.size("asked"))))
+    picked = F.slice(F.array_sort(F.collect_list(
+        F.struct("r", "term", "df", _idf(n, df).alias("w")))), 1, MAX_TERMS)
+    asked = materialize(terms.groupBy("query_id").agg(picked.alias("asked"))
+                        .withColumn("need", _required(F.size("asked"))), "asked")
     rarest = F.slice(F.array_sort(F.transform("asked", lambda t: F.struct(t["df"], t["term"]))),
                      F.lit(1), F.size("asked") - F.col("need") + 1)
-    wanted = asked.select("query_id", F.explode(rarest).alias("t")).select("query_id", "t.term")
-    pairs = _pairs(wanted, index, hot_rows)
+    pairs = _pairs(asked.select("query_id", F.inline(rarest)), index, hot_rows)
     if exclude_same_id:
         pairs = pairs.filter(F.col("query_id") != F.col("doc_id"))
-    scored = _scored(pairs, asked, index).filter(F.col("matched") >= F.col("need"))
+    scored = (_scored(pairs, asked, index).join(asked.select("query_id", "need"), "query_id")
+              .filter(F.col("matched") >= F.col("need")))
     return _top(scored, k).select("query_id", "doc_id", "score", "rank")
 
 
@@ -354,8 +363,8 @@ def bm25_batch(index: DataFrame, queries: DataFrame, id: str, text: str, k: int
     """
     n, df = F.col("n"), F.col("df")
     terms = _query_terms(index, queries, id, text)
-    asked = (terms.groupBy("query_id").agg(F.array_sort(F.collect_list(F.struct(
-        "df", "term", (F.col("tf") * _idf(n, df)).alias("w")))).alias("asked")))
+    asked = materialize(terms.groupBy("query_id").agg(F.array_sort(F.collect_list(F.struct(
+        "df", "term", (F.col("tf") * _idf(n, df)).alias("w")))).alias("asked")), "asked")
 
     def running(values: Column, i: Column) -> Column:
         """Sum of the first i values."""
@@ -363,15 +372,14 @@ def bm25_batch(index: DataFrame, queries: DataFrame, id: str, text: str, k: int
 
     frequencies = F.transform("asked", lambda t: t["df"].cast("double"))
     first = F.filter("asked", lambda t, i: running(frequencies, i) < 4 * k)
-    seeds = asked.select("query_id", F.explode(first).alias("t")).select("query_id", "t.term")
-    floor = (_top(_scored(_pairs(seeds, index, hot_rows), asked, index), k)
+    seeds = _pairs(asked.select("query_id", F.inline(first)).drop("w"), index, hot_rows)
+    floor = (_top(_scored(seeds, asked, index), k)
              .groupBy("query_id").agg(F.count(F.lit(1)).alias("found"), F.min("score").alias("low"))
              .select("query_id", F.when(F.col("found") >= k, F.col("low") - 1e-5).alias("low")))
-    bounded = asked.join(floor, "query_id", "left").withColumn(
-        "light", F.array_sort(F.transform("asked", lambda t: F.struct(t["w"], t["term"]))))
+    bounded = asked.join(floor, "query_id", "left").withColumn("light", F.array_sort(
+        F.transform("asked", lambda t: F.struct(t["w"], t["term"], t["df"]))))
     weights = F.transform("light", lambda t: t["w"])
     heavy = F.filter("light", lambda t, i: F.coalesce(
         running(weights, i + 1) >= F.col("low"), F.lit(True)))
-    wanted = bounded.select("query_id", F.explode(heavy).alias("t")).select("query_id", "t.term")
-    scored = _scored(_pairs(wanted, index, hot_rows), asked, index)
-    return _top(scored, k).select("query_id", "doc_id", "score", "rank")
+    pairs = _pairs(bounded.select("query_id", F.inline(heavy)).drop("w"), index, hot_rows)
+    return _top(_scored(pairs, asked, index), k).select("query_id", "doc_id", "score", "rank")

@@ -11,30 +11,36 @@ from pyspark.sql import functions as F
 HOT_SHARE = 1000
 
 
-def hot_keys(rows: DataFrame, keys: Sequence[str], hot_rows: int, parts: str) -> DataFrame:
+def key_counts(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+
+
+def hot_keys(counts: DataFrame, keys: Sequence[str], hot_rows: int, parts: str) -> DataFrame:
     """The keys that are worth splitting, with the number of parts for each.
 
-    Counted with partial sums before the shuffle. A hot key has more than `total / HOT_SHARE` rows,
-    so this table has fewer than HOT_SHARE rows however large the input is, and may be broadcast.
+    A hot key has more than `total / HOT_SHARE` rows, so this table has fewer than HOT_SHARE rows
+    however large the input is, and may be broadcast.
     """
-    counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    total = rows.agg(F.count(F.lit(1)).alias("n")).scalar()
+    total = counts.agg(F.sum("_rows").alias("n")).scalar()
     part = F.greatest(F.lit(float(hot_rows)), total / F.lit(float(HOT_SHARE)))
     return (counts.filter(F.col("_rows") > part)
             .select(*keys, F.ceil(F.col("_rows") / part).cast("int").alias(parts)))
 
 
 def salted_join(left: DataFrame, right: DataFrame, keys: Sequence[str], left_id: str,
-                right_id: str, hot_rows: int = 1_000_000) -> DataFrame:
+                right_id: str, hot_rows: int = 1_000_000,
+                left_counts: DataFrame | None = None) -> DataFrame:
     """Inner join on equal keys, the hot keys of either side cut into parts.
 
     A row under a hot key of its own side goes to the part that the hash of its id names, and is
     repeated once for each part of the other side. Every pair still meets exactly once, and no task gets
-    a whole hot key.
+    a whole hot key. The keys are counted with partial sums before any shuffle; `left_counts` (the keys
+    and `_rows`) saves that pass where the counts are known.
     """
     keys = list(keys)
-    cuts = [F.broadcast(hot_keys(left, keys, hot_rows, "_lp")),
-            F.broadcast(hot_keys(right, keys, hot_rows, "_rp"))]
+    counts = key_counts(left, keys) if left_counts is None else left_counts
+    cuts = [F.broadcast(hot_keys(counts, keys, hot_rows, "_lp")),
+            F.broadcast(hot_keys(key_counts(right, keys), keys, hot_rows, "_rp"))]
 
     def place(rows: DataFrame, row_id: str, own: str, other: str) -> DataFrame:
         for cut in cuts:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # What every job here relies on; cluster size and memory stay the caller's business.
 SETTINGS = {
@@ -48,3 +48,12 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder."""
     return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def materialize(df: DataFrame, label: str = "step") -> DataFrame:
+    """Write a table to the shared folder and read it back: later steps start from files that outlive
+    any executor, and Spark knows their true size when it chooses a join."""
+    spark = df.sparkSession
+    path = scratch_path(spark, label)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
