@@ -38,7 +38,7 @@ def term_counts(toks: Column) -> Column:
             (F.coalesce(F.get(st, j + 1)["at"], F.size(s)) - e["at"]).cast("int").alias("tf"),
         )))
 
-    return let(F.array_sort(toks), cut)
+    return let(F.sort_array(toks), cut)
 
 
 def count_of(toks: Column, term: Column) -> Column:

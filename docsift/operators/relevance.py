@@ -187,7 +187,7 @@ def _selected(stats: DataFrame, like: Column) -> DataFrame:
     """One row: mean length, the selected terms with their weights, and how many must occur."""
     n, df = F.col("n"), F.col("df")
     known = F.filter(term_counts(F.col("like")), lambda t: F.element_at(df, t["term"]).isNotNull())
-    ranked = F.array_sort(F.transform(known, lambda t: F.struct(
+    ranked = F.sort_array(F.transform(known, lambda t: F.struct(
         (-_pick_weight(t["tf"], n, F.element_at(df, t["term"]))).alias("r"),
         t["term"].alias("term"),
         _idf(n, F.element_at(df, t["term"])).alias("w"))))
@@ -292,13 +292,21 @@ def _query_terms(index: DataFrame, queries: DataFrame, id: str, text: str) -> Da
     return asked.join(df, "term").withColumn("n", n)
 
 
-def _pairs(wanted: DataFrame, index: DataFrame, hot_rows: int) -> DataFrame:
-    """Distinct `(query_id, doc_id)` that share one of the `wanted` terms `(query_id, term, df)`."""
+def _met(wanted: DataFrame, index: DataFrame, hot_rows: int) -> DataFrame:
+    """`(query_id, doc_id)` that share one of the `wanted` terms `(query_id, term, df, w)`, with `part`:
+    the score of those terms alone."""
     wanted = materialize(wanted, "wanted")
     known = wanted.groupBy("term").agg(F.first("df").alias("_rows"))
-    met = salted_join(_postings(index).select("doc_id", "term"), wanted.select("query_id", "term"),
-                      ["term"], "doc_id", "query_id", hot_rows, left_counts=known)
-    return materialize(met.select("query_id", "doc_id").distinct(), "pairs")
+    avg = index.agg(F.avg("length").alias("avg")).scalar()
+    met = salted_join(_postings(index, "length"), wanted.select("query_id", "term", "w"), ["term"],
+                      "doc_id", "query_id", hot_rows, left_counts=known).withColumn("avg", avg)
+    return met.groupBy("query_id", "doc_id").agg(F.sum(_part()).alias("part"))
+
+
+def _part() -> Column:
+    """Score of one matching term, from the columns of a posting and of the query."""
+    return F.col("w") * _tf_part(F.col("tf").cast("double"), F.col("length").cast("double"),
+                                 F.col("avg"))
 
 
 def _scored(pairs: DataFrame, asked: DataFrame, index: DataFrame) -> DataFrame:
@@ -312,10 +320,8 @@ def _scored(pairs: DataFrame, asked: DataFrame, index: DataFrame) -> DataFrame:
     wanted = pairs.join(asked, "query_id").select("query_id", "doc_id", F.inline("asked"))
     found = (wanted.select("query_id", "doc_id", "term", "w")
              .join(_postings(met, "length"), ["doc_id", "term"]).withColumn("avg", avg))
-    part = F.col("w") * _tf_part(F.col("tf").cast("double"), F.col("length").cast("double"),
-                                 F.col("avg"))
     return found.groupBy("query_id", "doc_id").agg(
-        F.count(F.lit(1)).alias("matched"), F.sum(part).alias("score"))
+        F.count(F.lit(1)).alias("matched"), F.sum(_part()).alias("score"))
 
 
 def _top(scored: DataFrame, k: int) -> DataFrame:
@@ -337,15 +343,16 @@ def find_similar_batch(index: DataFrame, queries: DataFrame, id: str, text: str,
     n, df = F.col("n"), F.col("df")
     terms = _query_terms(index, queries, id, text).withColumn("r", -_pick_weight(F.col("tf"), n, df))
     # a query's own words, so the group is no larger than the text it came from
-    picked = F.slice(F.array_sort(F.collect_list(
+    picked = F.slice(F.sort_array(F.collect_list(
         F.struct("r", "term", "df", _idf(n, df).alias("w")))), 1, MAX_TERMS)
     asked = materialize(terms.groupBy("query_id").agg(picked.alias("asked"))
                         .withColumn("need", _required(F.size("asked"))), "asked")
-    rarest = F.slice(F.array_sort(F.transform("asked", lambda t: F.struct(t["df"], t["term"]))),
-                     F.lit(1), F.size("asked") - F.col("need") + 1)
-    pairs = _pairs(asked.select("query_id", F.inline(rarest)), index, hot_rows)
+    rarest = F.slice(F.sort_array(F.transform("asked", lambda t: F.struct(
+        t["df"], t["term"], t["w"]))), F.lit(1), F.size("asked") - F.col("need") + 1)
+    pairs = _met(asked.select("query_id", F.inline(rarest)), index, hot_rows).drop("part")
     if exclude_same_id:
         pairs = pairs.filter(F.col("query_id") != F.col("doc_id"))
+    pairs = materialize(pairs, "pairs")
     scored = (_scored(pairs, asked, index).join(asked.select("query_id", "need"), "query_id")
               .filter(F.col("matched") >= F.col("need")))
     return _top(scored, k).select("query_id", "doc_id", "score", "rank")
@@ -356,14 +363,15 @@ def bm25_batch(index: DataFrame, queries: DataFrame, id: str, text: str, k: int
     """For each row of `queries` the k best documents: `query_id, doc_id, score, rank`.
 
     A document counts if it has any word of the query, but few of them can reach the top. First the
-    rarest words of each query, enough to meet a few times k documents, are scored: the k-th score is
-    a floor that the answer cannot fall below. A term adds less than its weight, so documents that
-    have only the lightest terms, whose weights together stay below the floor, cannot be in the
-    answer. The second join therefore uses only the other terms, and its result is exact.
+    documents met by the rarest words of each query, a few times k of them, are scored: their k-th
+    score is a floor that the answer cannot fall below. A term adds less than its weight, so documents
+    that have only the lightest terms, whose weights together stay below half the floor, cannot be in
+    the answer: the second join leaves those terms out. Of what it meets, only documents whose partial
+    score could still reach the floor are scored in full. The result is exact.
     """
     n, df = F.col("n"), F.col("df")
     terms = _query_terms(index, queries, id, text)
-    asked = materialize(terms.groupBy("query_id").agg(F.array_sort(F.collect_list(F.struct(
+    asked = materialize(terms.groupBy("query_id").agg(F.sort_array(F.collect_list(F.struct(
         "df", "term", (F.col("tf") * _idf(n, df)).alias("w")))).alias("asked")), "asked")
 
     def running(values: Column, i: Column) -> Column:
@@ -372,14 +380,24 @@ def bm25_batch(index: DataFrame, queries: DataFrame, id: str, text: str, k: int
 
     frequencies = F.transform("asked", lambda t: t["df"].cast("double"))
     first = F.filter("asked", lambda t, i: running(frequencies, i) < 4 * k)
-    seeds = _pairs(asked.select("query_id", F.inline(first)).drop("w"), index, hot_rows)
+    seeds = materialize(_met(asked.select("query_id", F.inline(first)), index, hot_rows)
+                        .drop("part"), "seeds")
     floor = (_top(_scored(seeds, asked, index), k)
              .groupBy("query_id").agg(F.count(F.lit(1)).alias("found"), F.min("score").alias("low"))
              .select("query_id", F.when(F.col("found") >= k, F.col("low") - 1e-5).alias("low")))
-    bounded = asked.join(floor, "query_id", "left").withColumn("light", F.array_sort(
-        F.transform("asked", lambda t: F.struct(t["w"], t["term"], t["df"]))))
-    weights = F.transform("light", lambda t: t["w"])
-    heavy = F.filter("light", lambda t, i: F.coalesce(
-        running(weights, i + 1) >= F.col("low"), F.lit(True)))
-    pairs = _pairs(bounded.select("query_id", F.inline(heavy)).drop("w"), index, hot_rows)
+    by_weight = F.sort_array(F.transform("asked", lambda t: F.struct(t["w"], t["term"], t["df"])))
+    weights = F.transform("by_weight", lambda t: t["w"])
+    # leaving out no more than half the floor makes the test on partial scores a sharp one
+    heavy = F.filter("by_weight", lambda t, i: F.coalesce(
+        running(weights, i + 1) >= F.col("low") / 2, F.lit(True)))
+    bounds = materialize(
+        asked.join(floor, "query_id", "left").withColumn("by_weight", by_weight)
+        .select("query_id", "low", heavy.alias("heavy"))
+        .join(asked.select("query_id", _sum(F.transform("asked", lambda t: t["w"])).alias("all")),
+              "query_id")
+        .withColumn("rest", F.col("all") - _sum(F.transform("heavy", lambda t: t["w"]))), "bounds")
+    met = _met(bounds.select("query_id", F.inline("heavy")), index, hot_rows)
+    able = (met.join(bounds.select("query_id", "low", "rest"), "query_id")
+            .filter(F.col("low").isNull() | (F.col("part") + F.col("rest") >= F.col("low"))))
+    pairs = materialize(able.select("query_id", "doc_id"), "pairs")
     return _top(_scored(pairs, asked, index), k).select("query_id", "doc_id", "score", "rank")
