@@ -16,17 +16,19 @@ from docsift.functions.dates import FORMATS, parse_date
 from docsift.functions.props import properties_json
 from docsift.plans.predicates import any_of, condition, terms_query
 from docsift.schema import DATE_FIELDS, DEFAULT_MAPPING, PROPS, FieldMapping
+from docsift.session import materialize
 
 KEYS = ("appid", "id")
 PUT, DELETE = "put", "delete"
 
-# A batch of at most this many keys is broadcast, so that the table it changes is not shuffled.
-BROADCAST_KEYS = 500_000
+# A reduced batch of at most this many bytes is broadcast, so that the table it changes is not shuffled.
+BROADCAST_BYTES = 64 * 1024 * 1024
 
 
-def fits_broadcast(keys: DataFrame, limit: int = BROADCAST_KEYS) -> bool:
-    """Count the keys, reading no more than one above the limit."""
-    return keys.limit(limit + 1).count() <= limit
+def fits_broadcast(rows: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
+    """Add up the size of the rows, as text, and compare it with the limit."""
+    size = rows.agg(F.sum(F.octet_length(F.to_json(F.struct(*rows.columns)))).alias("bytes")).first()
+    return (size["bytes"] or 0) <= limit
 
 
 # ---------------------------------------------------------------- merging structs field by field
@@ -112,15 +114,15 @@ def upsert(snapshot: DataFrame, batch: DataFrame, mode: str = "merge",
            whole: Sequence[str] = ("latlng",), small: bool | None = None) -> DataFrame:
     """The snapshot (one row per key) after a batch of newer rows.
 
-    The batch is first reduced to one row per key. If its keys are few enough they are broadcast:
-    the snapshot is then read in place, and only new keys are added behind it. Otherwise both sides
-    meet in one full outer join on keys that are unique on either side. `small` skips the
-    count when the caller knows the answer.
+    The batch is first reduced to one row per key and written to the shared folder. If those rows are
+    small in total they are broadcast: the snapshot is then read in place, and only new keys
+    are added behind it. Otherwise both sides meet in one full outer join on keys that are unique on
+    either side. `small` skips the measuring when the caller knows the answer.
     """
     if op is None:
         op, batch = "_op", batch.withColumn("_op", F.lit(PUT))
     keys = list(keys)
-    change = resolve_ops(batch, mode, keys, seq, op, whole, keep_tombstones=True)
+    change = materialize(resolve_ops(batch, mode, keys, seq, op, whole, keep_tombstones=True), "batch")
     names = [c for c in snapshot.columns if c not in keys]
     missing = [c for c in names if c not in change.columns]
     change = change.withColumns({c: F.lit(None).cast(snapshot.schema[c].dataType) for c in missing})
@@ -141,7 +143,7 @@ def upsert(snapshot: DataFrame, batch: DataFrame, mode: str = "merge",
     stays = new.isNull() | new["_alive"]
 
     if small is None:
-        small = fits_broadcast(batch.select(*keys))
+        small = fits_broadcast(change)
     if not small:
         return (old.join(packed, keys, "full_outer").filter(stays).select(*keys, *merged)
                 .select(*snapshot.columns))

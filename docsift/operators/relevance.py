@@ -205,9 +205,9 @@ def find_similar(docs: DataFrame, type: str | None, filter_key: str | None,
                  mapping: FieldMapping = DEFAULT_MAPPING) -> DataFrame:
     """Documents that have at least 70 % of the telling words of `like`, scored by them.
 
-    Without fields all text columns are searched. Several plain fields are treated as one text. For
-    properties the words must meet in one pair whose key shares a word with the field name. `like` may
-    be a one-value subquery.
+    Without fields all text columns are searched. Each plain field selects its own words, and the share
+    is taken over all of them. For properties the words must meet in one pair whose key shares a word
+    with the field name. `like` may be a one-value subquery.
     """
     if like is None or (isinstance(like, str) and not like.strip()):
         return nothing(docs).withColumn("score", F.lit(0.0))
@@ -223,14 +223,18 @@ def find_similar(docs: DataFrame, type: str | None, filter_key: str | None,
         return _similar_pairs(docs, hits, [n for n in names if schema.is_pair(n)], given)
     if not names:
         return nothing(docs).withColumn("score", F.lit(0.0))
-    words = _words(docs, names[0], mapping) if len(names) == 1 else F.flatten(F.array(
-        *[F.coalesce(_words(docs, n, mapping), F.array().cast("array<string>")) for n in names]))
-    stats = _term_stats(docs.select(words.alias("words")), tokens(given))
-    chosen = F.col("_q")
-    return (with_once(hits, "_words", words).withColumn("_q", _subquery(_selected(stats, given)))
-            .filter((F.size(chosen["terms"]) > 0)
-                    & (_present(F.col("_words"), chosen["terms"]) >= chosen["need"]))
-            .withColumn("score", _score(F.col("_words"), chosen)).drop("_words", "_q"))
+    total, present, count = F.lit(0.0), F.lit(0), F.lit(0)
+    for i, name in enumerate(names):
+        words = _words(docs, name, mapping)
+        stats = _term_stats(docs.select(words.alias("words")), tokens(given))
+        hits = (with_once(hits, f"_w{i}", F.coalesce(words, F.array().cast("array<string>")))
+                .withColumn(f"_q{i}", _subquery(_selected(stats, given))))
+        own, chosen = F.col(f"_w{i}"), F.col(f"_q{i}")
+        present, count = present + _present(own, chosen["terms"]), count + F.size(chosen["terms"])
+        total = total + F.when(F.size(own) > 0, _score(own, chosen)).otherwise(0.0)
+    used = [f"_{kind}{i}" for kind in "wq" for i in range(len(names))]
+    return (hits.filter((count > 0) & (present >= _required(count)))
+            .withColumn("score", total).drop(*used))
 
 
 def _similar_pairs(docs: DataFrame, hits: DataFrame, names: Sequence[str],
@@ -279,7 +283,8 @@ def _postings(index: DataFrame, *more: str) -> DataFrame:
     return index.select("doc_id", *more, F.inline("terms"))
 
 
-def _query_terms(index: DataFrame, queries: DataFrame, id: str, text: str) -> DataFrame:
+def _query_terms(index: DataFrame, queries: DataFrame, id: str, text: str,
+                 hot_rows: int) -> DataFrame:
     """`(query_id, term, tf, df, n)` for the words of the queries that occur in the index.
 
     Document frequencies are counted before the join, with partial sums, so that a word
@@ -289,7 +294,8 @@ def _query_terms(index: DataFrame, queries: DataFrame, id: str, text: str) -> Da
                            F.inline(term_counts(tokens(F.col(text)))))
     df = _postings(index).groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     n = index.agg(F.count(F.lit(1)).alias("n")).scalar()
-    return asked.join(df, "term").withColumn("n", n)
+    met = salted_join(asked, df, ["term"], "query_id", "term", hot_rows, right_unique=True)
+    return met.withColumn("n", n)
 
 
 def _met(wanted: DataFrame, index: DataFrame, hot_rows: int) -> DataFrame:
@@ -309,7 +315,7 @@ def _part() -> Column:
                                  F.col("avg"))
 
 
-def _scored(pairs: DataFrame, asked: DataFrame, index: DataFrame) -> DataFrame:
+def _scored(pairs: DataFrame, asked: DataFrame, index: DataFrame, hot_rows: int) -> DataFrame:
     """`pairs` with the number of matching terms and the score over all `asked` terms.
 
     Only the postings of documents that are in a pair take part; they meet the asked terms on
@@ -317,7 +323,8 @@ def _scored(pairs: DataFrame, asked: DataFrame, index: DataFrame) -> DataFrame:
     """
     avg = index.agg(F.avg("length").alias("avg")).scalar()
     met = index.join(pairs.select("doc_id").distinct(), "doc_id", "left_semi")
-    wanted = pairs.join(asked, "query_id").select("query_id", "doc_id", F.inline("asked"))
+    wanted = (salted_join(pairs, asked, ["query_id"], "doc_id", "query_id", hot_rows, right_unique=True)
+              .select("query_id", "doc_id", F.inline("asked")))
     found = (wanted.select("query_id", "doc_id", "term", "w")
              .join(_postings(met, "length"), ["doc_id", "term"]).withColumn("avg", avg))
     return found.groupBy("query_id", "doc_id").agg(
@@ -341,7 +348,7 @@ def find_similar_batch(index: DataFrame, queries: DataFrame, id: str, text: str,
     out. The pairs found are then checked against all selected terms.
     """
     n, df = F.col("n"), F.col("df")
-    terms = _query_terms(index, queries, id, text).withColumn("r", -_pick_weight(F.col("tf"), n, df))
+    terms = _query_terms(index, queries, id, text, hot_rows).withColumn("r", -_pick_weight(F.col("tf"), n, df))
     # a query's own words, so the group is no larger than the text it came from
     picked = F.slice(F.sort_array(F.collect_list(
         F.struct("r", "term", "df", _idf(n, df).alias("w")))), 1, MAX_TERMS)
@@ -353,7 +360,7 @@ def find_similar_batch(index: DataFrame, queries: DataFrame, id: str, text: str,
     if exclude_same_id:
         pairs = pairs.filter(F.col("query_id") != F.col("doc_id"))
     pairs = materialize(pairs, "pairs")
-    scored = (_scored(pairs, asked, index).join(asked.select("query_id", "need"), "query_id")
+    scored = (_scored(pairs, asked, index, hot_rows).join(asked.select("query_id", "need"), "query_id")
               .filter(F.col("matched") >= F.col("need")))
     return _top(scored, k).select("query_id", "doc_id", "score", "rank")
 
@@ -370,7 +377,7 @@ def bm25_batch(index: DataFrame, queries: DataFrame, id: str, text: str, k: int
     score could still reach the floor are scored in full. The result is exact.
     """
     n, df = F.col("n"), F.col("df")
-    terms = _query_terms(index, queries, id, text)
+    terms = _query_terms(index, queries, id, text, hot_rows)
     asked = materialize(terms.groupBy("query_id").agg(F.sort_array(F.collect_list(F.struct(
         "df", "term", (F.col("tf") * _idf(n, df)).alias("w")))).alias("asked")), "asked")
 
@@ -382,7 +389,7 @@ def bm25_batch(index: DataFrame, queries: DataFrame, id: str, text: str, k: int
     first = F.filter("asked", lambda t, i: running(frequencies, i) < 4 * k)
     seeds = materialize(_met(asked.select("query_id", F.inline(first)), index, hot_rows)
                         .drop("part"), "seeds")
-    floor = (_top(_scored(seeds, asked, index), k)
+    floor = (_top(_scored(seeds, asked, index, hot_rows), k)
              .groupBy("query_id").agg(F.count(F.lit(1)).alias("found"), F.min("score").alias("low"))
              .select("query_id", F.when(F.col("found") >= k, F.col("low") - 1e-5).alias("low")))
     by_weight = F.sort_array(F.transform("asked", lambda t: F.struct(t["w"], t["term"], t["df"])))
@@ -400,4 +407,4 @@ def bm25_batch(index: DataFrame, queries: DataFrame, id: str, text: str, k: int
     able = (met.join(bounds.select("query_id", "low", "rest"), "query_id")
             .filter(F.col("low").isNull() | (F.col("part") + F.col("rest") >= F.col("low"))))
     pairs = materialize(able.select("query_id", "doc_id"), "pairs")
-    return _top(_scored(pairs, asked, index), k).select("query_id", "doc_id", "score", "rank")
+    return _top(_scored(pairs, asked, index, hot_rows), k).select("query_id", "doc_id", "score", "rank")

@@ -52,12 +52,26 @@ class Fields:
     def pairs(self) -> Column:
         return self.column(PROPS)
 
+    def is_variant(self, name: str) -> bool:
+        """A path into a variant column, such as `properties.owner.age` on properties left as they are."""
+        first, _, rest = name.partition(".")
+        return (bool(rest) and first in self.schema.fieldNames()
+                and isinstance(self.schema[first].dataType, T.VariantType))
+
+    def variant(self, name: str, kind: str) -> Column:
+        first, _, rest = name.partition(".")
+        return F.try_variant_get(self.column(first), f"$.{rest}", kind)
+
     def column(self, name: str) -> Column:
+        if self.is_variant(name):
+            return self.variant(name, "string")
         first, *rest = name.split(".")
         col = F.col(f"`{first}`") if self.root is None else self.root[first]
         return reduce(lambda c, part: c[part], rest, col)
 
     def type_of(self, name: str) -> T.DataType:
+        if self.is_variant(name):
+            return T.StringType()
         kind: T.DataType = self.schema
         for part in name.split("."):
             if not isinstance(kind, T.StructType) or part not in kind.fieldNames():
@@ -212,6 +226,8 @@ class Term(Query):
         if fields.is_pair(self.field):
             value = str(self.value)
             return any_pair(fields, self.field, None if value == "*" else pair_equals(value))
+        if fields.is_variant(self.field) and keys.is_digits(str(self.value)):
+            return fields.variant(self.field, "double") == F.lit(float(self.value))
         literal = fields.literal(self.field, self.value)
         if isinstance(fields.type_of(self.field), T.ArrayType) and not fields.is_text(self.field):
             return F.array_contains(fields.column(self.field), literal)
@@ -276,6 +292,10 @@ class Range(Query):
             ends = [None if b is None else F.lit(b) for b in bounds]
             return any_pair(fields, self.field,
                             lambda p, typed: F.exists(_value_words(p, typed), self._test(*ends)))
+        if fields.is_variant(self.field) and any(
+                b is not None and keys.is_digits(str(b)) for b in (low, high)):
+            ends = [None if b is None else F.lit(float(b)) for b in (low, high)]
+            return self._test(*ends)(fields.variant(self.field, "double"))
         ends = [None if b is None else fields.literal(self.field, b) for b in (low, high)]
         return fields.each(self.field, self._test(*ends))
 

@@ -29,22 +29,25 @@ def hot_keys(counts: DataFrame, keys: Sequence[str], hot_rows: int, parts: str)
 
 def salted_join(left: DataFrame, right: DataFrame, keys: Sequence[str], left_id: str,
                 right_id: str, hot_rows: int = 1_000_000,
-                left_counts: DataFrame | None = None) -> DataFrame:
+                left_counts: DataFrame | None = None, right_unique: bool = False) -> DataFrame:
     """Inner join on equal keys, the hot keys of either side cut into parts.
 
     A row under a hot key of its own side goes to the part that the hash of its id names, and is
     repeated once for each part of the other side. Every pair still meets exactly once, and no task gets
     a whole hot key. The keys are counted with partial sums before any shuffle; `left_counts` (the keys
-    and `_rows`) saves that pass where the counts are known.
+    and `_rows`) saves that pass where the counts are known, and so does `right_unique`.
     """
     keys = list(keys)
     counts = key_counts(left, keys) if left_counts is None else left_counts
-    cuts = [F.broadcast(hot_keys(counts, keys, hot_rows, "_lp")),
-            F.broadcast(hot_keys(key_counts(right, keys), keys, hot_rows, "_rp"))]
+    cuts = [F.broadcast(hot_keys(counts, keys, hot_rows, "_lp"))]
+    if not right_unique:
+        cuts.append(F.broadcast(hot_keys(key_counts(right, keys), keys, hot_rows, "_rp")))
 
     def place(rows: DataFrame, row_id: str, own: str, other: str) -> DataFrame:
         for cut in cuts:
             rows = rows.join(cut, keys, "left")
+        if right_unique:
+            rows = rows.withColumn("_rp", F.lit(1))
         mine = F.pmod(F.xxhash64(row_id), F.coalesce(F.col(own), F.lit(1))).cast("int")
         theirs = F.explode(F.sequence(F.lit(0), F.coalesce(F.col(other), F.lit(1)) - 1))
         return rows.withColumn(own, mine).withColumn(other, theirs)
