@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from docsift.operators.nearby import find_nearby, nearby_addresses, nearby_batch
 from workload.common import query, table
 
-LAT, LON, RADIUS = 10.0, 175.0, 2500
+LAT, LON, RADIUS = 50.0, 179.0, 2500
 BATCH_RADIUS = 300
 
 

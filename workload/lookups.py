@@ -133,10 +133,10 @@ def query_free_text(spark, sf):
 
 
 @query("query_free_text_documents", f"""SELECT doc_id AS id, lang FROM documents
- WHERE list_has_any({words('text')}, {words("'unser Vertrag ORDER'")}) OR lang = 'x' OR source = 'x'""")
+ WHERE list_has_any({words('text')}, {words("'License anou ORDER'")}) OR lang = 'x' OR source = 'x'""")
 def query_free_text_documents(spark, sf):
     docs = table(spark, sf, "documents", spread=True).withColumnRenamed("doc_id", "id")
-    return find.find_query(docs, None, "unser Vertrag ORDER", MAPPING.plus("lang", "source")).select(
+    return find.find_query(docs, None, "License anou ORDER", MAPPING.plus("lang", "source")).select(
         "id", "lang")
 
 
