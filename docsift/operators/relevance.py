@@ -283,52 +283,59 @@ def _postings(index: DataFrame, *more: str) -> DataFrame:
     return index.select("doc_id", *more, F.inline("terms"))
 
 
-def _query_terms(index: DataFrame, queries: DataFrame, id: str, text: str,
-                 hot_rows: int) -> DataFrame:
-    """`(query_id, term, tf, df, n)` for the words of the queries that occur in the index.
-
-    Document frequencies are counted before the join, with partial sums, so that a word
-    found in every document arrives as a single row.
-    """
-    asked = queries.select(F.col(id).alias("query_id"),
-                           F.inline(term_counts(tokens(F.col(text)))))
-    df = _postings(index).groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    n = index.agg(F.count(F.lit(1)).alias("n")).scalar()
-    met = salted_join(asked, df, ["term"], "query_id", "term", hot_rows, right_unique=True)
-    return met.withColumn("n", n)
-
-
-def _met(wanted: DataFrame, index: DataFrame, hot_rows: int) -> DataFrame:
-    """`(query_id, doc_id)` that share one of the `wanted` terms `(query_id, term, df, w)`, with `part`:
-    the score of those terms alone."""
-    wanted = materialize(wanted, "wanted")
-    known = wanted.groupBy("term").agg(F.first("df").alias("_rows"))
-    avg = index.agg(F.avg("length").alias("avg")).scalar()
-    met = salted_join(_postings(index, "length"), wanted.select("query_id", "term", "w"), ["term"],
-                      "doc_id", "query_id", hot_rows, left_counts=known).withColumn("avg", avg)
-    return met.groupBy("query_id", "doc_id").agg(F.sum(_part()).alias("part"))
-
-
-def _part() -> Column:
-    """Score of one matching term, from the columns of a posting and of the query."""
-    return F.col("w") * _tf_part(F.col("tf").cast("double"), F.col("length").cast("double"),
-                                 F.col("avg"))
-
-
-def _scored(pairs: DataFrame, asked: DataFrame, index: DataFrame, hot_rows: int) -> DataFrame:
-    """`pairs` with the number of matching terms and the score over all `asked` terms.
-
-    Only the postings of documents that are in a pair take part; they meet the asked terms on
-    (document, term), which spreads a document wanted by many queries over its terms.
-    """
-    avg = index.agg(F.avg("length").alias("avg")).scalar()
-    met = index.join(pairs.select("doc_id").distinct(), "doc_id", "left_semi")
-    wanted = (salted_join(pairs, asked, ["query_id"], "doc_id", "query_id", hot_rows, right_unique=True)
-              .select("query_id", "doc_id", F.inline("asked")))
-    found = (wanted.select("query_id", "doc_id", "term", "w")
-             .join(_postings(met, "length"), ["doc_id", "term"]).withColumn("avg", avg))
-    return found.groupBy("query_id", "doc_id").agg(
-        F.count(F.lit(1)).alias("matched"), F.sum(_part()).alias("score"))
+@dataclass(frozen=True)
+class _Batch:
+    """A term index with its two global numbers, and the size from which a key is split."""
+
+    index: DataFrame
+    n: int
+    avg: float
+    hot_rows: int
+
+    @staticmethod
+    def of(index: DataFrame, hot_rows: int) -> "_Batch":
+        row = index.agg(F.count(F.lit(1)).alias("n"), F.avg("length").alias("avg")).first()
+        return _Batch(index, row["n"], row["avg"] or 1.0, hot_rows)
+
+    def query_terms(self, queries: DataFrame, id: str, text: str) -> DataFrame:
+        """`(query_id, term, tf, df)` for the words of the queries that occur in the index.
+
+        Document frequencies are counted before the join, with partial sums, so that a word
+        found in every document arrives as a single row.
+        """
+        asked = queries.select(F.col(id).alias("query_id"),
+                               F.inline(term_counts(tokens(F.col(text)))))
+        df = _postings(self.index).groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+        return salted_join(asked, df, ["term"], "query_id", "term", self.hot_rows, right_unique=True)
+
+    def part(self) -> Column:
+        """Score of one matching term, from the columns of a posting and of the query."""
+        return F.col("w") * _tf_part(F.col("tf").cast("double"), F.col("length").cast("double"),
+                                     F.lit(self.avg))
+
+    def met(self, wanted: DataFrame, *carry: str) -> DataFrame:
+        """`(query_id, doc_id)` that share one of the `wanted` terms `(query_id, term, df, w)`, with
+        `part`, the score of those terms alone, and the `carry` columns of the query."""
+        counts = wanted.groupBy("term").agg(F.first("df").alias("_left"),
+                                            F.count(F.lit(1)).alias("_right"))
+        met = salted_join(_postings(self.index, "length"), wanted.drop("df"), ["term"],
+                          "doc_id", "query_id", self.hot_rows, counts)
+        return met.groupBy("query_id", "doc_id", *carry).agg(F.sum(self.part()).alias("part"))
+
+    def scored(self, pairs: DataFrame, asked: DataFrame) -> DataFrame:
+        """`pairs` with the number of matching terms and the score over all `asked` terms.
+
+        Only the postings of documents that are in a pair take part; they meet the asked terms on
+        (document, term), which spreads a document wanted by many queries over its terms.
+        """
+        met = self.index.join(pairs.select("doc_id").distinct(), "doc_id", "left_semi")
+        wanted = (salted_join(pairs, asked, ["query_id"], "doc_id", "query_id", self.hot_rows,
+                              right_unique=True)
+                  .select("query_id", "doc_id", F.inline("asked")))
+        found = (wanted.select("query_id", "doc_id", "term", "w")
+                 .join(_postings(met, "length"), ["doc_id", "term"]))
+        return found.groupBy("query_id", "doc_id").agg(
+            F.count(F.lit(1)).alias("matched"), F.sum(self.part()).alias("score"))
 
 
 def _top(scored: DataFrame, k: int) -> DataFrame:
@@ -347,8 +354,9 @@ def find_similar_batch(index: DataFrame, queries: DataFrame, id: str, text: str,
     of them. The join uses the n - need + 1 rarest; it finds every answer and leaves the common words
     out. The pairs found are then checked against all selected terms.
     """
-    n, df = F.col("n"), F.col("df")
-    terms = _query_terms(index, queries, id, text, hot_rows).withColumn("r", -_pick_weight(F.col("tf"), n, df))
+    batch = _Batch.of(index, hot_rows)
+    n, df = F.lit(batch.n), F.col("df")
+    terms = batch.query_terms(queries, id, text).withColumn("r", -_pick_weight(F.col("tf"), n, df))
     # a query's own words, so the group is no larger than the text it came from
     picked = F.slice(F.sort_array(F.collect_list(
         F.struct("r", "term", "df", _idf(n, df).alias("w")))), 1, MAX_TERMS)
@@ -356,11 +364,11 @@ def find_similar_batch(index: DataFrame, queries: DataFrame, id: str, text: str,
                         .withColumn("need", _required(F.size("asked"))), "asked")
     rarest = F.slice(F.sort_array(F.transform("asked", lambda t: F.struct(
         t["df"], t["term"], t["w"]))), F.lit(1), F.size("asked") - F.col("need") + 1)
-    pairs = _met(asked.select("query_id", F.inline(rarest)), index, hot_rows).drop("part")
+    pairs = batch.met(asked.select("query_id", F.inline(rarest))).drop("part")
     if exclude_same_id:
         pairs = pairs.filter(F.col("query_id") != F.col("doc_id"))
     pairs = materialize(pairs, "pairs")
-    scored = (_scored(pairs, asked, index, hot_rows).join(asked.select("query_id", "need"), "query_id")
+    scored = (batch.scored(pairs, asked).join(asked.select("query_id", "need"), "query_id")
               .filter(F.col("matched") >= F.col("need")))
     return _top(scored, k).select("query_id", "doc_id", "score", "rank")
 
@@ -376,10 +384,11 @@ def bm25_batch(index: DataFrame, queries: DataFrame, id: str, text: str, k: int
     the answer: the second join leaves those terms out. Of what it meets, only documents whose partial
     score could still reach the floor are scored in full. The result is exact.
     """
-    n, df = F.col("n"), F.col("df")
-    terms = _query_terms(index, queries, id, text, hot_rows)
+    batch = _Batch.of(index, hot_rows)
+    terms = batch.query_terms(queries, id, text)
     asked = materialize(terms.groupBy("query_id").agg(F.sort_array(F.collect_list(F.struct(
-        "df", "term", (F.col("tf") * _idf(n, df)).alias("w")))).alias("asked")), "asked")
+        "df", "term", (F.col("tf") * _idf(F.lit(batch.n), F.col("df"))).alias("w")))).alias("asked"))
+        .withColumn("all", _sum(F.transform("asked", lambda t: t["w"]))), "asked")
 
     def running(values: Column, i: Column) -> Column:
         """Sum of the first i values."""
@@ -387,9 +396,8 @@ def bm25_batch(index: DataFrame, queries: DataFrame, id: str, text: str, k: int
 
     frequencies = F.transform("asked", lambda t: t["df"].cast("double"))
     first = F.filter("asked", lambda t, i: running(frequencies, i) < 4 * k)
-    seeds = materialize(_met(asked.select("query_id", F.inline(first)), index, hot_rows)
-                        .drop("part"), "seeds")
-    floor = (_top(_scored(seeds, asked, index, hot_rows), k)
+    seeds = materialize(batch.met(asked.select("query_id", F.inline(first))).drop("part"), "seeds")
+    floor = (_top(batch.scored(seeds, asked), k)
              .groupBy("query_id").agg(F.count(F.lit(1)).alias("found"), F.min("score").alias("low"))
              .select("query_id", F.when(F.col("found") >= k, F.col("low") - 1e-5).alias("low")))
     by_weight = F.sort_array(F.transform("asked", lambda t: F.struct(t["w"], t["term"], t["df"])))
@@ -399,12 +407,9 @@ def bm25_batch(index: DataFrame, queries: DataFrame, id: str, text: str, k: int
         running(weights, i + 1) >= F.col("low") / 2, F.lit(True)))
     bounds = materialize(
         asked.join(floor, "query_id", "left").withColumn("by_weight", by_weight)
-        .select("query_id", "low", heavy.alias("heavy"))
-        .join(asked.select("query_id", _sum(F.transform("asked", lambda t: t["w"])).alias("all")),
-              "query_id")
+        .select("query_id", "low", "all", heavy.alias("heavy"))
         .withColumn("rest", F.col("all") - _sum(F.transform("heavy", lambda t: t["w"]))), "bounds")
-    met = _met(bounds.select("query_id", F.inline("heavy")), index, hot_rows)
-    able = (met.join(bounds.select("query_id", "low", "rest"), "query_id")
-            .filter(F.col("low").isNull() | (F.col("part") + F.col("rest") >= F.col("low"))))
+    met = batch.met(bounds.select("query_id", "low", "rest", F.inline("heavy")), "low", "rest")
+    able = met.filter(F.col("low").isNull() | (F.col("part") + F.col("rest") >= F.col("low")))
     pairs = materialize(able.select("query_id", "doc_id"), "pairs")
-    return _top(_scored(pairs, asked, index, hot_rows), k).select("query_id", "doc_id", "score", "rank")
+    return _top(batch.scored(pairs, asked), k).select("query_id", "doc_id", "score", "rank")

@@ -4,54 +4,65 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # A key is hot when it has more than 1/HOT_SHARE of all rows, so there are fewer hot keys than this.
 HOT_SHARE = 1000
 
 
-def key_counts(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+def key_counts(left: DataFrame, right: DataFrame | None, keys: Sequence[str]) -> DataFrame:
+    """Rows per key on both sides, `_left` and `_right`, summed up before the shuffle."""
+    rows = left.select(*keys, F.lit(1).alias("_left"), F.lit(0).alias("_right"))
+    if right is not None:
+        rows = rows.unionByName(right.select(*keys, F.lit(0).alias("_left"), F.lit(1).alias("_right")))
+    return rows.groupBy(*keys).agg(F.sum("_left").alias("_left"), F.sum("_right").alias("_right"))
 
 
-def hot_keys(counts: DataFrame, keys: Sequence[str], hot_rows: int, parts: str) -> DataFrame:
-    """The keys that are worth splitting, with the number of parts for each.
+def hot_keys(counts: DataFrame, keys: Sequence[str], hot_rows: int) -> DataFrame | None:
+    """The keys that are worth splitting, with the number of parts on either side; None if there
+    are none.
 
-    A hot key has more than `total / HOT_SHARE` rows, so this table has fewer than HOT_SHARE rows
-    however large the input is, and may be broadcast.
+    A hot key has more than `hot_rows` rows and more than `total / HOT_SHARE` of its side, so the table
+    has fewer than 2 * HOT_SHARE rows however large the input is, and may be broadcast.
     """
-    total = counts.agg(F.sum("_rows").alias("n")).scalar()
-    part = F.greatest(F.lit(float(hot_rows)), total / F.lit(float(HOT_SHARE)))
-    return (counts.filter(F.col("_rows") > part)
-            .select(*keys, F.ceil(F.col("_rows") / part).cast("int").alias(parts)))
+    row = counts.agg(*[f(c).alias(f"{f.__name__}{c}") for c in ("_left", "_right")
+                       for f in (F.max, F.sum)]).first()
+    size = {c: max(hot_rows, (row[f"sum{c}"] or 0) / HOT_SHARE) for c in ("_left", "_right")}
+    if all((row[f"max{c}"] or 0) <= size[c] for c in size):
+        return None
+
+    def parts(rows: str) -> Column:
+        return F.greatest(F.lit(1), F.ceil(F.col(rows) / size[rows]).cast("int"))
+
+    hot = counts.select(*keys, parts("_left").alias("_lp"), parts("_right").alias("_rp")).filter(
+        (F.col("_lp") > 1) | (F.col("_rp") > 1))
+    return counts.sparkSession.createDataFrame(hot.collect(), hot.schema)
 
 
 def salted_join(left: DataFrame, right: DataFrame, keys: Sequence[str], left_id: str,
-                right_id: str, hot_rows: int = 1_000_000,
-                left_counts: DataFrame | None = None, right_unique: bool = False) -> DataFrame:
+                right_id: str, hot_rows: int = 1_000_000, counts: DataFrame | None = None,
+                right_unique: bool = False) -> DataFrame:
     """Inner join on equal keys, the hot keys of either side cut into parts.
 
-    A row under a hot key of its own side goes to the part that the hash of its id names, and is
-    repeated once for each part of the other side. Every pair still meets exactly once, and no task gets
-    a whole hot key. The keys are counted with partial sums before any shuffle; `left_counts` (the keys
-    and `_rows`) saves that pass where the counts are known, and so does `right_unique`.
+    The keys are counted first, unless `counts` (see `key_counts`) is given. Without a hot key this is a
+    plain join. Otherwise a row under a hot key of its own side goes to the part that the hash of its id
+    names, and is repeated once for each part of the other side: every pair still meets exactly once,
+    and no task gets a whole hot key.
     """
     keys = list(keys)
-    counts = key_counts(left, keys) if left_counts is None else left_counts
-    cuts = [F.broadcast(hot_keys(counts, keys, hot_rows, "_lp"))]
-    if not right_unique:
-        cuts.append(F.broadcast(hot_keys(key_counts(right, keys), keys, hot_rows, "_rp")))
-
-    def place(rows: DataFrame, row_id: str, own: str, other: str) -> DataFrame:
-        for cut in cuts:
-            rows = rows.join(cut, keys, "left")
-        if right_unique:
-            rows = rows.withColumn("_rp", F.lit(1))
-        mine = F.pmod(F.xxhash64(row_id), F.coalesce(F.col(own), F.lit(1))).cast("int")
-        theirs = F.explode(F.sequence(F.lit(0), F.coalesce(F.col(other), F.lit(1)) - 1))
-        return rows.withColumn(own, mine).withColumn(other, theirs)
+    if counts is None:
+        counts = key_counts(left, None if right_unique else right, keys)
+    hot = hot_keys(counts, keys, hot_rows)
+    if hot is None:
+        return left.join(right, keys)
+    cut = F.broadcast(hot)
+
+    def place(side: DataFrame, row_id: str, own: str, other: str) -> DataFrame:
+        parts = {p: F.coalesce(F.col(p), F.lit(1)) for p in (own, other)}
+        return (side.join(cut, keys, "left")
+                .withColumn(own, F.pmod(F.xxhash64(row_id), parts[own]).cast("int"))
+                .withColumn(other, F.explode(F.sequence(F.lit(0), parts[other] - 1))))
 
     return (place(left, left_id, "_lp", "_rp")
-            .join(place(right, right_id, "_rp", "_lp"), [*keys, "_lp", "_rp"])
-            .drop("_lp", "_rp"))
+            .join(place(right, right_id, "_rp", "_lp"), [*keys, "_lp", "_rp"]).drop("_lp", "_rp"))

@@ -61,8 +61,9 @@ class VersionedTable:
         """Make a version current by appending one row to the log."""
         before = self.publications().orderBy(F.desc("seq"), F.desc("version")).first()
         seq = 1 if before is None else before["seq"] + 1
-        (self.spark.createDataFrame([(seq, version)], LOG_SCHEMA).coalesce(1)
-         .write.mode("append").json(f"{self.root}/_published"))
+        row = self.spark.range(1, numPartitions=1).select(
+            F.lit(seq).cast("bigint").alias("seq"), F.lit(version).alias("version"))
+        row.write.mode("append").json(f"{self.root}/_published")
         if drop_previous and before is not None and before["version"] != version:
             self.drop(before["version"])
 

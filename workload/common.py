@@ -59,8 +59,8 @@ def orders(spark: SparkSession, sf: str) -> DataFrame:
         F.col("o_orderdate").alias("timestamp"))
 
 
-def events(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "events").select(
+def events(spark: SparkSession, sf: str, spread: bool = False) -> DataFrame:
+    return table(spark, sf, "events", spread).select(
         F.concat(F.lit("u"), (F.col("user_id") % 8).cast("string")).alias("appid"),
         F.col("event_id").alias("id"), F.col("event_type").alias("type"),
         F.col("user_id").alias("creatorid"), F.col("ts").alias("timestamp"), "value",

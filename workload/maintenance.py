@@ -108,7 +108,7 @@ def drop_tenant(spark, sf):
 @query("rebuild_index", "SELECT count(*) AS reindexed FROM events")
 def rebuild(spark, sf):
     index = VersionedTable(spark, scratch_path(spark, "index"), ("appid",))
-    return rebuild_index(events(spark, sf), index)
+    return rebuild_index(events(spark, sf, spread=True), index)
 
 
 @query("rebuild_and_search", f"""SELECT id, type, value FROM ({EVENTS_SQL})
@@ -116,7 +116,7 @@ def rebuild(spark, sf):
 def rebuild_and_search(spark, sf):
     """Build, publish, change the current version, and search what is published then."""
     index = VersionedTable(spark, scratch_path(spark, "index"), ("appid",))
-    rebuild_index(events(spark, sf), index)
+    rebuild_index(events(spark, sf, spread=True), index)
     index.replace_with(lambda docs: maintain.drop_tenant(docs, "u3"))
     docs = find.scope(index.read(), "u5")
     return find.find_terms(docs, None, {"properties.k >=": 50}).select("id", "type", "value")

@@ -16,7 +16,7 @@ DAY = "%Y-%m-%d %H:%M:%S"
 @query("flatten_properties", """SELECT event_id AS id, 'k' AS k, CAST(NULL AS VARCHAR) AS v,
  CAST(json_extract(props, '$.k') AS DOUBLE) AS vn FROM events""")
 def flatten_properties(spark, sf):
-    rows = table(spark, sf, "events").withColumnRenamed("event_id", "id")
+    rows = table(spark, sf, "events", spread=True).withColumnRenamed("event_id", "id")
     return property_rows(rows, "props", ["id"])
 
 
@@ -54,7 +54,7 @@ def normalize_documents(spark, sf):
             .when(F.col("event_id") % 5 == 2, F.date_format(ts, "yyyy-MM-dd"))
             .when(F.col("event_id") % 5 == 3, F.date_format(ts, "yyyy/MM/dd"))
             .otherwise(F.date_format(ts, "yyyyMMdd")))
-    rows = table(spark, sf, "events").select(
+    rows = table(spark, sf, "events", spread=True).select(
         F.col("event_id").alias("id"), F.lit("a").alias("appid"), text.alias("timestamp"),
         F.col("props").alias("properties"), F.col("props").alias("settings"))
     docs = normalize(rows)
@@ -107,7 +107,7 @@ def nested_range(spark, sf):
 @query("nested_exists", """SELECT event_id AS id FROM events
  WHERE json_extract(props, '$.k') IS NOT NULL""")
 def nested_exists(spark, sf):
-    rows = table(spark, sf, "events").select(
+    rows = table(spark, sf, "events", spread=True).select(
         F.col("event_id").alias("id"), F.lit("a").alias("appid"), F.col("props").alias("properties"))
     return find.find_query(normalize(rows), None, Q.exists("properties.k")).select("id")
 
