@@ -44,7 +44,8 @@ def _in_keys(docs: DataFrame, field: str, wanted: DataFrame) -> DataFrame:
     The keys are made unique first, so one key repeated in many rows weighs no more than any other;
     Spark broadcasts them when they are small and shuffles both sides when they are not.
     """
-    unique = wanted.select(F.col(wanted.columns[0]).alias("_wanted")).dropna().distinct()
+    unique = (wanted.select(F.col(wanted.columns[0]).alias("_wanted"))
+              .filter(F.col("_wanted").isNotNull()).distinct())
     return docs.join(unique, docs[field] == unique["_wanted"], "left_semi")
 
 

@@ -21,14 +21,18 @@ def hydrate(hits: DataFrame, db: DataFrame, keys: Sequence[str] = KEYS,
         return hits
     keys = list(keys)
     shared = [c for c in db.columns if c not in keys]
-    record = db.select(*keys, F.struct(*shared).alias("_record"))
-    own = [c for c in hits.columns if c not in keys]
-    found, columns = F.col("_record").isNotNull(), []
-    for name in own:
-        columns.append(F.when(found, F.col("_record")[name]).otherwise(F.col(name)).alias(name)
-                       if name in shared else F.col(name))
-    columns += [F.col("_record")[c].alias(c) for c in shared if c not in own]
-    return hits.join(record, keys, "left").select(*keys, *columns)
+    # one column per field, so that fields nobody asks for are not read from the records
+    record = db.select(*keys, F.lit(True).alias("_found"),
+                       *[F.col(f"`{c}`").alias(f"_db_{c}") for c in shared])
+    columns = []
+    for name in hits.columns:
+        if name in keys or name not in shared:
+            columns.append(F.col(f"`{name}`"))
+        else:
+            columns.append(F.when(F.col("_found"), F.col(f"`_db_{name}`"))
+                           .otherwise(F.col(f"`{name}`")).alias(name))
+    columns += [F.col(f"`_db_{c}`").alias(c) for c in shared if c not in hits.columns]
+    return hits.join(record, keys, "left").select(*columns)
 
 
 def orphans(hits: DataFrame, db: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:

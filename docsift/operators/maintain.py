@@ -159,7 +159,8 @@ def upsert(snapshot: DataFrame, batch: DataFrame, mode: str = "merge",
 
 def unindex(docs: DataFrame, gone: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
     """Remove the listed keys; null and unknown keys are harmless."""
-    return docs.join(gone.select(*keys).dropna().distinct(), list(keys), "left_anti")
+    # a null key equals no key, so it needs no treatment of its own
+    return docs.join(gone.select(*keys).distinct(), list(keys), "left_anti")
 
 
 def unindex_terms(docs: DataFrame, terms: Mapping[str, Any] | None, match_all: bool = True,

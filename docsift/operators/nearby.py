@@ -37,7 +37,8 @@ def find_nearby(docs: DataFrame, type: str | None, query: Query | str | None, ra
         return near
     if query is None or (isinstance(query, str) and not query.strip()):
         query = "*"
-    parents = near.select(F.col("parentid").alias("_parent")).dropna().distinct()
+    parents = (near.filter(F.col("parentid").isNotNull())
+               .select(F.col("parentid").alias("_parent")).distinct())
     wanted = find_query(docs, type, query, mapping)
     return wanted.join(parents, wanted["id"] == parents["_parent"], "left_semi")
 

@@ -69,28 +69,36 @@ def _term_stats(units: DataFrame, wanted: Column, unit: str = "words") -> DataFr
     from each wanted term to the number of units that have it.
 
     Each unit sends an empty mark for itself and one row per wanted term it has; a task
-    reduces those to at most one row per wanted term before anything is shuffled.
+    reduces those to at most one row per wanted term before anything is shuffled. Units without words
+    are left out when counting, since a filter on them would analyse the text a second time.
     """
-    marks = units.filter(F.size(unit) > 0).select(
+    marks = units.select(
         F.size(unit).alias("length"),
         F.explode(F.array_union(F.array(F.lit("")), F.array_intersect(wanted, F.col(unit))))
         .alias("term"))
-    counts = marks.groupBy("term").agg(F.count(F.lit(1)).alias("units"),
+    counts = marks.groupBy("term").agg(F.count_if(F.col("length") > 0).alias("units"),
                                        F.sum("length").alias("length"))
     own = F.col("term") == ""
     return counts.agg(
         F.coalesce(F.max(F.when(own, F.col("units"))), F.lit(0)).alias("n"),
-        F.max(F.when(own, F.col("length") / F.col("units"))).alias("avg"),
+        F.max(F.when(own & (F.col("units") > 0), F.col("length") / F.col("units"))).alias("avg"),
         F.map_from_entries(F.collect_list(
             F.when(~own, F.struct("term", "units")))).alias("df"))
 
 
-def _weighted(stats: DataFrame, query: Column) -> DataFrame:
+def _asked(docs: DataFrame, text: str | Column) -> Column:
+    """Words of a query: a constant, or a one-value subquery that is analysed once and not per row."""
+    if isinstance(text, str):
+        return tokens(F.lit(text))
+    return docs.sparkSession.range(1).select(tokens(text)).scalar()
+
+
+def _weighted(stats: DataFrame, asked: Column) -> DataFrame:
     """The one-row statistics with the query's terms and weights in place of the counts."""
     terms = F.transform(term_counts(F.col("asked")), lambda q: F.struct(
         q["term"].alias("term"),
         (q["tf"] * _idf(F.col("n"), F.element_at(F.col("df"), q["term"]))).alias("w")))
-    return (stats.withColumn("asked", tokens(query))
+    return (stats.withColumn("asked", asked)
             .select("avg", F.filter(terms, lambda q: q["w"].isNotNull()).alias("terms")))
 
 
@@ -118,9 +126,6 @@ class Clause:
     text: str | Column
     boost: float = 1.0
 
-    def query(self) -> Column:
-        return F.lit(self.text) if isinstance(self.text, str) else self.text
-
 
 def search(docs: DataFrame, clauses: Sequence[Clause], type: str | None = None,
            where: Query | None = None, mapping: FieldMapping = DEFAULT_MAPPING) -> DataFrame:
@@ -135,8 +140,8 @@ def search(docs: DataFrame, clauses: Sequence[Clause], type: str | None = None,
     for i, clause in enumerate(clauses):
         col = column_of[clause.field]
         units = docs.select(words[col].alias("words"))
-        stats[f"_q{i}"] = _subquery(
-            _weighted(_term_stats(units, tokens(clause.query())), clause.query()))
+        asked = _asked(docs, clause.text)
+        stats[f"_q{i}"] = _subquery(_weighted(_term_stats(units, asked), asked))
         parts.append(F.when(F.size(col) > 0, _score(F.col(col), F.col(f"_q{i}"), clause.boost))
                      .otherwise(0.0))
     hits = scope(docs, type=type)
@@ -168,10 +173,10 @@ def search_nested(docs: DataFrame, path: str, field: str, query: str | Column,
         value = Fields(inner, mapping, o).column(field)
         return value if typed else tokens(value)
 
-    wanted = F.lit(query) if isinstance(query, str) else query
+    asked = _asked(docs, query)
     elements = F.transform(F.col(path), words_of)
     units = docs.select(F.explode(elements).alias("words"))
-    stats = _subquery(_weighted(_term_stats(units, tokens(wanted)), wanted))
+    stats = _subquery(_weighted(_term_stats(units, asked), asked))
     scores = F.filter(F.transform(F.col("_words"), lambda w: F.when(
         F.size(w) > 0, _score(w, F.col("_q"))).otherwise(0.0)), lambda s: s > 0)
     rows = with_once(scope(docs, type=type), "_words", elements).withColumn("_q", stats)
@@ -192,7 +197,7 @@ def _selected(stats: DataFrame, like: Column) -> DataFrame:
         t["term"].alias("term"),
         _idf(n, F.element_at(df, t["term"])).alias("w"))))
     picked = F.slice(ranked, 1, MAX_TERMS)
-    return (stats.withColumn("like", tokens(like)).select("avg", picked.alias("terms"))
+    return (stats.withColumn("like", like).select("avg", picked.alias("terms"))
             .withColumn("need", _required(F.size("terms"))))
 
 
@@ -211,7 +216,7 @@ def find_similar(docs: DataFrame, type: str | None, filter_key: str | None,
     """
     if like is None or (isinstance(like, str) and not like.strip()):
         return nothing(docs).withColumn("score", F.lit(0.0))
-    given = F.lit(like) if isinstance(like, str) else like
+    given = _asked(docs, like)
     schema = Fields(docs.schema, mapping)
     names = list(fields or [f.name for f in docs.schema.fields
                             if isinstance(f.dataType, T.StringType) and schema.is_text(f.name)
@@ -226,7 +231,7 @@ def find_similar(docs: DataFrame, type: str | None, filter_key: str | None,
     total, present, count = F.lit(0.0), F.lit(0), F.lit(0)
     for i, name in enumerate(names):
         words = _words(docs, name, mapping)
-        stats = _term_stats(docs.select(words.alias("words")), tokens(given))
+        stats = _term_stats(docs.select(words.alias("words")), given)
         hits = (with_once(hits, f"_w{i}", F.coalesce(words, F.array().cast("array<string>")))
                 .withColumn(f"_q{i}", _subquery(_selected(stats, given))))
         own, chosen = F.col(f"_w{i}"), F.col(f"_q{i}")
@@ -245,7 +250,7 @@ def _similar_pairs(docs: DataFrame, hits: DataFrame, names: Sequence[str],
         return p["vt"] if typed else tokens(p["v"])
 
     units = docs.select(F.explode(PROPS).alias("p")).select(value_words(F.col("p")).alias("words"))
-    stats = _subquery(_selected(_term_stats(units, tokens(given)), given))
+    stats = _subquery(_selected(_term_stats(units, given), given))
     chosen = F.col("_q")
 
     def score(p: Column) -> Column:
