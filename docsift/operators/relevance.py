@@ -327,20 +327,24 @@ class _Batch:
                           "doc_id", "query_id", self.hot_rows, counts)
         return met.groupBy("query_id", "doc_id", *carry).agg(F.sum(self.part()).alias("part"))
 
-    def scored(self, pairs: DataFrame, asked: DataFrame) -> DataFrame:
-        """`pairs` with the number of matching terms and the score over all `asked` terms.
+    def matches(self, pairs: DataFrame, asked: DataFrame) -> DataFrame:
+        """`(query_id, doc_id, part)` for each of the `asked` terms that a pair has in common.
 
         Only the postings of documents that are in a pair take part; they meet the asked terms on
         (document, term), which spreads a document wanted by many queries over its terms.
         """
         met = self.index.join(pairs.select("doc_id").distinct(), "doc_id", "left_semi")
-        wanted = (salted_join(pairs, asked, ["query_id"], "doc_id", "query_id", self.hot_rows,
-                              right_unique=True)
+        wanted = (salted_join(pairs.select("query_id", "doc_id"), asked.select("query_id", "asked"),
+                              ["query_id"], "doc_id", "query_id", self.hot_rows, right_unique=True)
                   .select("query_id", "doc_id", F.inline("asked")))
-        found = (wanted.select("query_id", "doc_id", "term", "w")
-                 .join(_postings(met, "length"), ["doc_id", "term"]))
-        return found.groupBy("query_id", "doc_id").agg(
-            F.count(F.lit(1)).alias("matched"), F.sum(self.part()).alias("score"))
+        return (wanted.select("query_id", "doc_id", "term", "w")
+                .join(_postings(met, "length"), ["doc_id", "term"])
+                .select("query_id", "doc_id", self.part().alias("part")))
+
+    def scored(self, pairs: DataFrame, asked: DataFrame) -> DataFrame:
+        """`pairs` with the number of matching terms and the score over all `asked` terms."""
+        return self.matches(pairs, asked).groupBy("query_id", "doc_id").agg(
+            F.count(F.lit(1)).alias("matched"), F.sum("part").alias("score"))
 
 
 def _top(scored: DataFrame, k: int) -> DataFrame:
@@ -387,13 +391,13 @@ def bm25_batch(index: DataFrame, queries: DataFrame, id: str, text: str, k: int
     score is a floor that the answer cannot fall below. A term adds less than its weight, so documents
     that have only the lightest terms, whose weights together stay below half the floor, cannot be in
     the answer: the second join leaves those terms out. Of what it meets, only documents whose partial
-    score could still reach the floor are scored in full. The result is exact.
+    score could still reach the floor are looked at for the light terms too. The result is exact.
     """
     batch = _Batch.of(index, hot_rows)
     terms = batch.query_terms(queries, id, text)
-    asked = materialize(terms.groupBy("query_id").agg(F.sort_array(F.collect_list(F.struct(
-        "df", "term", (F.col("tf") * _idf(F.lit(batch.n), F.col("df"))).alias("w")))).alias("asked"))
-        .withColumn("all", _sum(F.transform("asked", lambda t: t["w"]))), "asked")
+    weight = F.col("tf") * _idf(F.lit(batch.n), F.col("df"))
+    asked = materialize(terms.groupBy("query_id").agg(F.sort_array(F.collect_list(
+        F.struct("df", "term", weight.alias("w")))).alias("asked")), "asked")
 
     def running(values: Column, i: Column) -> Column:
         """Sum of the first i values."""
@@ -408,13 +412,17 @@ def bm25_batch(index: DataFrame, queries: DataFrame, id: str, text: str, k: int
     by_weight = F.sort_array(F.transform("asked", lambda t: F.struct(t["w"], t["term"], t["df"])))
     weights = F.transform("by_weight", lambda t: t["w"])
     # leaving out no more than half the floor makes the test on partial scores a sharp one
-    heavy = F.filter("by_weight", lambda t, i: F.coalesce(
-        running(weights, i + 1) >= F.col("low") / 2, F.lit(True)))
+    light = F.filter("by_weight", lambda t, i: F.coalesce(
+        running(weights, i + 1) < F.col("low") / 2, F.lit(False)))
     bounds = materialize(
         asked.join(floor, "query_id", "left").withColumn("by_weight", by_weight)
-        .select("query_id", "low", "all", heavy.alias("heavy"))
-        .withColumn("rest", F.col("all") - _sum(F.transform("heavy", lambda t: t["w"]))), "bounds")
+        .select("query_id", "low", "by_weight", light.alias("asked"))
+        .withColumn("heavy", F.slice("by_weight", F.size("asked") + 1,
+                                     F.size("by_weight"))).drop("by_weight")
+        .withColumn("rest", _sum(F.transform("asked", lambda t: t["w"]))), "bounds")
     met = batch.met(bounds.select("query_id", "low", "rest", F.inline("heavy")), "low", "rest")
     able = met.filter(F.col("low").isNull() | (F.col("part") + F.col("rest") >= F.col("low")))
-    pairs = materialize(able.select("query_id", "doc_id"), "pairs")
-    return _top(batch.scored(pairs, asked), k).select("query_id", "doc_id", "score", "rank")
+    pairs = materialize(able.select("query_id", "doc_id", "part"), "pairs")
+    scored = (pairs.unionByName(batch.matches(pairs, bounds))
+              .groupBy("query_id", "doc_id").agg(F.sum("part").alias("score")))
+    return _top(scored, k).select("query_id", "doc_id", "score", "rank")
