@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from docsift.operators.maintain import KEYS, unindex
 from docsift.operators.normalize import normalize
 from docsift.sources.versions import VersionedTable
 
@@ -16,9 +17,18 @@ def rebuild_index(db: DataFrame, index: VersionedTable, destination: str | None
                   prepare: Callable[[DataFrame], DataFrame] = normalize) -> DataFrame:
     """Normalise all records, write them as a new version, publish it.
 
-    One read-map-write job; its partitions are the batches. Returns one row: `reindexed`, counted
-    from the file footers of what was written.
+    One read-map-write job; its partitions are the batches. `destination` names the version. If it
+    exists already, its documents stay beside the new ones unless they have the same key; versions
+    never change, so the result is a version of its own. Returns one row: `reindexed`.
     """
-    version = index.write(prepare(db), destination)
+    docs = prepare(db)
+    if destination is not None and index.exists(destination):
+        keys = [c for c in KEYS if c in docs.columns]
+        kept = unindex(index.read(destination), docs, keys)
+        reindexed = docs.agg(F.count(F.lit(1)).alias("reindexed"))
+        version = index.write(docs.unionByName(kept, allowMissingColumns=True))
+        index.publish(version, drop_previous)
+        return reindexed
+    version = index.write(docs, destination)
     index.publish(version, drop_previous)
     return index.read(version).agg(F.count(F.lit(1)).alias("reindexed"))

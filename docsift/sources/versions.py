@@ -47,9 +47,12 @@ class VersionedTable:
         hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
         return hadoop_path.getFileSystem(self.spark._jsc.hadoopConfiguration()), hadoop_path
 
+    def exists(self, version: str) -> bool:
+        fs, path = self._hadoop(self.path(version))
+        return fs.exists(path)
+
     def publications(self) -> DataFrame:
-        fs, log = self._hadoop(f"{self.root}/_published")
-        if not fs.exists(log):
+        if not self.exists("_published"):
             return self.spark.createDataFrame([], LOG_SCHEMA)
         return self.spark.read.schema(LOG_SCHEMA).json(f"{self.root}/_published/")
 

@@ -186,6 +186,17 @@ def test_rebuild(spark):
     assert table.read().first()["properties"][0]["k"] == "x"
 
 
+def test_rebuild_into_an_existing_version(spark):
+    table = VersionedTable(spark, scratch_path(spark, "t"), ("appid",))
+    columns = "id string, appid string, name string"
+    rebuild_index(spark.createDataFrame([("1", "a", "old"), ("2", "a", "kept")], columns), table, "v1")
+    db = spark.createDataFrame([("1", "a", "new"), ("3", "a", "added")], columns)
+    assert rebuild_index(db, table, "v1").first()["reindexed"] == 2
+    assert {r["id"]: r["name"] for r in table.read().collect()} == {
+        "1": "new", "2": "kept", "3": "added"}
+    assert ids(table.read("v1")) == ["1", "2"]
+
+
 def test_reading(spark):
     path = scratch_path(spark, "json")
     spark.createDataFrame([("1", "x")], "id string, name string").write.json(path)
