@@ -5,7 +5,8 @@ import os
 import pytest
 from compare import connect, difference
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from workload import ORACLE, QUERIES
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no test data")
@@ -17,13 +18,13 @@ def con():
 
 
 def test_names():
-    assert set(oracle_sql()) == set(queries())
+    assert set(ORACLE) == set(QUERIES)
 
 
 def test_entry(spark):
     assert entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, con, name):
-    assert difference(queries()[name](spark, SF), con, oracle_sql()[name]) is None
+    assert difference(QUERIES[name](spark, SF), con, ORACLE[name]) is None
