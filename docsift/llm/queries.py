@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docsift.llm import packing
+from docsift.llm import langid, packing
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -33,3 +33,8 @@ def vocabulary() -> str:
 @query("op2_packing")
 def op2(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack(documents(spark, sf), vocabulary())
+
+
+@query("op9_language_id")
+def op9(spark: SparkSession, sf: str) -> DataFrame:
+    return langid.identify(documents(spark, sf))
