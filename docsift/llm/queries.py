@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from docsift.llm import langid, packing
+from docsift.llm import langid, linetemplates, packing
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -38,3 +39,10 @@ def op2(spark: SparkSession, sf: str) -> DataFrame:
 @query("op9_language_id")
 def op9(spark: SparkSession, sf: str) -> DataFrame:
     return langid.identify(documents(spark, sf))
+
+
+@query("op5_line_dedup", "SELECT doc_id, n_lines, n_dropped, sha256(kept) AS kept_sha256 FROM ("
+       + linetemplates.kept_sql() + ")")
+def op5(spark: SparkSession, sf: str) -> DataFrame:
+    kept = linetemplates.drop_recurring(documents(spark, sf), counts=True)
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
