@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docsift.llm import langid, linetemplates, packing
+from docsift.llm import jaccard, langid, linetemplates, packing
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -46,3 +46,8 @@ def op9(spark: SparkSession, sf: str) -> DataFrame:
 def op5(spark: SparkSession, sf: str) -> DataFrame:
     kept = linetemplates.drop_recurring(documents(spark, sf), counts=True)
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+@query("op10_ngram_jaccard")
+def op10(spark: SparkSession, sf: str) -> DataFrame:
+    return jaccard.join(documents(spark, sf)).select("doc_id", "n_shingles", "component_id")
