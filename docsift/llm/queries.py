@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docsift.llm import jaccard, langid, linetemplates, packing
+from docsift.llm import decontaminate, jaccard, langid, linetemplates, packing
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -51,3 +51,8 @@ def op5(spark: SparkSession, sf: str) -> DataFrame:
 @query("op10_ngram_jaccard")
 def op10(spark: SparkSession, sf: str) -> DataFrame:
     return jaccard.join(documents(spark, sf)).select("doc_id", "n_shingles", "component_id")
+
+
+@query("op3_decontamination")
+def op3(spark: SparkSession, sf: str) -> DataFrame:
+    return decontaminate.leaks(documents(spark, sf), spark.read.parquet(f"{sf}/benchmark.parquet"))
