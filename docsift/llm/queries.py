@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docsift.llm import chat, decontaminate, jaccard, langid, linetemplates, packing
+from docsift.llm import chat, decontaminate, fingerprint, jaccard, langid, linetemplates, packing
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -62,3 +62,8 @@ def op3(spark: SparkSession, sf: str) -> DataFrame:
 def op7(spark: SparkSession, sf: str) -> DataFrame:
     turns = chat.with_probe(spark.read.parquet(f"{sf}/conversations.parquet"))
     return chat.digests(chat.format_chats(turns, vocabulary()), vocabulary())
+
+
+@query("op4_fingerprints")
+def op4(spark: SparkSession, sf: str) -> DataFrame:
+    return fingerprint.fingerprints(documents(spark, sf))
