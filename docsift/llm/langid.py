@@ -169,6 +169,29 @@ class Model:
             out[lost] = lower
         return out
 
+    def judge(self, texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
+        """Of each text: language, score, nats per character, whether it is rejected."""
+        codes, starts, ends = _symbols(texts)
+        entropy = np.zeros((len(texts), max(1, len(self.langs))))
+        empty = [not self.langs or not t or not any(map(str.isalpha, t)) for t in texts]
+        full = np.flatnonzero(ends > starts)
+        if self.langs and len(full):
+            inside = np.ones(len(codes), bool)
+            inside[(codes & np.uint64(0xFFFF)) == 0] = False
+            sums = np.add.reduceat(self.log_probabilities(codes[inside]),
+                                   (np.cumsum(inside) - 1)[starts[full]], axis=0, dtype=np.float64)
+            entropy[full] = -sums / (ends - starts)[full, None]
+        best = entropy.argmin(1)
+        low = entropy[np.arange(len(texts)), best]
+        length = np.maximum(ends - starts, 1)
+        odds = np.exp(np.maximum(-(entropy - low[:, None]) * np.minimum(length, EVIDENCE)[:, None], -60)).sum(1)
+        if self.langs:
+            hard = low > self.mean[best] + self.deviation[best] * (SLACK + LIMIT / np.sqrt(length))
+        else:
+            hard = np.ones(len(texts), bool)
+        return ([UNKNOWN if e else self.langs[b] for e, b in zip(empty, best.tolist())],
+                np.where(empty, 0.0, 1 / odds), np.where(empty, np.nan, low), hard | np.array(empty, bool))
+
 
 def fit(grams: DataFrame, model_size: int = MODEL_SIZE) -> Model:
     """Kneser-Ney from the counts of the highest order; lower orders count distinct left neighbours.
@@ -234,35 +257,24 @@ def predict(docs: DataFrame, model: Model, carried: str = "doc_id long") -> Data
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
         for batch in chunks(batches):
-            texts = batch.column("text").to_pylist()
-            codes, starts, ends = _symbols(texts)
-            entropy = np.zeros((len(texts), max(1, len(own.langs))))
-            empty = [not own.langs or not t or not any(map(str.isalpha, t)) for t in texts]
-            full = np.flatnonzero(ends > starts)
-            if own.langs and len(full):
-                inside = np.ones(len(codes), bool)
-                inside[(codes & np.uint64(0xFFFF)) == 0] = False
-                sums = np.add.reduceat(own.log_probabilities(codes[inside]),
-                                       (np.cumsum(inside) - 1)[starts[full]], axis=0, dtype=np.float64)
-                entropy[full] = -sums / (ends - starts)[full, None]
-            best = entropy.argmin(1)
-            low = entropy[np.arange(len(texts)), best]
-            length = np.maximum(ends - starts, 1)
-            odds = np.exp(np.maximum(-(entropy - low[:, None]) * np.minimum(length, EVIDENCE)[:, None], -60)).sum(1)
-            if own.langs:
-                hard = low > own.mean[best] + own.deviation[best] * (SLACK + LIMIT / np.sqrt(length))
-            else:
-                hard = np.ones(len(texts), bool)
+            best, score, entropy, rejected = own.judge(batch.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in names),
-                 pa.array([UNKNOWN if e else own.langs[b] for e, b in zip(empty, best.tolist())], pa.string()),
-                 pa.array(np.where(empty, 0.0, 1 / odds)), pa.array(np.where(empty, np.nan, low)),
-                 pa.array(hard | np.array(empty, bool))],
-                [*names, "lang_pred", "score", "entropy", "rejected"])
+                [*(batch.column(c) for c in names), pa.array(best, pa.string()), pa.array(score), pa.array(entropy),
+                 pa.array(rejected)], [*names, "lang_pred", "score", "entropy", "rejected"])
 
     return docs.mapInArrow(score, f"{carried}, lang_pred string, score double, entropy double, rejected boolean")
 
 
+def _kept(docs: DataFrame, model: Model, text_col: str) -> DataFrame:
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in chunks(batches, text_col):
+            yield batch.filter(pa.array(~shared.value.judge(batch.column(text_col).to_pylist())[3]))
+
+    return docs.mapInArrow(keep, docs.schema)
+
+
 def held_out(doc_id: str) -> F.Column:
     """crc32 of the id as text leaves 2 by 4; a null id is never learned from."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 4 == 2, F.lit(True))
@@ -283,3 +295,15 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
     training = rows.filter(~F.col("held_out") & F.col("lang").isNotNull() & F.col("text").isNotNull())
     model = fit(count_grams(training.select("text", "lang")))
     return predict(rows.select("doc_id", "held_out", "text"), model, "doc_id long, held_out boolean")
+
+
+def drop_rejected(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                  lang_col: str = "lang") -> DataFrame:
+    """The rows of `docs`, with all columns, that `identify` doesn't reject. Row by row, without a shuffle; with
+    no training text nothing can be judged, and only texts without letters go."""
+    rows = pick(docs, doc_id=id_col, text=text_col, lang=lang_col)
+    training = rows.filter(~held_out("doc_id") & F.col("lang").isNotNull() & F.col("text").isNotNull())
+    model = fit(count_grams(training.select("text", "lang")))
+    if not model.langs:
+        return docs.filter(F.col(f"`{text_col}`").rlike(r"\p{L}"))
+    return _kept(docs, model, text_col)

@@ -24,6 +24,12 @@ PIECES = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long
           "offset long, sequence_length long")
 
 
+def default_vocabulary() -> str:
+    """The byte-level BPE of 50,257 ids among the installed public vocabularies."""
+    import public_tokenizers
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
 class Encoder:
     """Byte-level BPE ids of whole texts, as little-endian unsigned 32-bit bytes.
 

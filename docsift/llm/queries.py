@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docsift.llm import chat, decontaminate, fingerprint, jaccard, langid, linetemplates, packing
+from docsift.llm import chat, decontaminate, fingerprint, jaccard, langid, linetemplates, packing, toxicity
+from docsift.llm.packing import default_vocabulary
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -26,14 +27,9 @@ def documents(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/documents.parquet")
 
 
-def vocabulary() -> str:
-    import public_tokenizers
-    return public_tokenizers.path("byte_bpe_50k.json")
-
-
 @query("op2_packing")
 def op2(spark: SparkSession, sf: str) -> DataFrame:
-    return packing.pack(documents(spark, sf), vocabulary())
+    return packing.pack(documents(spark, sf), default_vocabulary())
 
 
 @query("op9_language_id")
@@ -61,9 +57,14 @@ def op3(spark: SparkSession, sf: str) -> DataFrame:
 @query("op7_chat_formatting")
 def op7(spark: SparkSession, sf: str) -> DataFrame:
     turns = chat.with_probe(spark.read.parquet(f"{sf}/conversations.parquet"))
-    return chat.digests(chat.format_chats(turns, vocabulary()), vocabulary())
+    return chat.digests(chat.format_chats(turns, default_vocabulary()), default_vocabulary())
 
 
 @query("op4_fingerprints")
 def op4(spark: SparkSession, sf: str) -> DataFrame:
     return fingerprint.fingerprints(documents(spark, sf))
+
+
+@query("op6_toxicity")
+def op6(spark: SparkSession, sf: str) -> DataFrame:
+    return toxicity.score(documents(spark, sf), spark.read.parquet(f"{sf}/labels.parquet"))
