@@ -141,7 +141,7 @@ def _postings(docs: DataFrame, common: np.ndarray, x: int, words: int, share: in
     return docs.mapInArrow(post, "h long, node long, n int")
 
 
-def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows (h, node, n) in order: those of keys with at least two nodes, and the first node of each as
     its hub. Goes through lists of any length without holding them."""
     last = None  # the row before, its hub, and whether it was passed on
@@ -246,7 +246,7 @@ def join(docs: DataFrame, words: int = WORDS, share: int = SHARE, id_col: str =
     own = rows.filter(F.col("id").isNotNull())
     postings = _postings(own.select("text"), common, x, words, share)
     matched = materialize(postings.repartition("h").sortWithinPartitions("h", "node").mapInArrow(
-        _runs, "h long, node long, n int, hub long"), "matched")
+        runs, "h long, node long, n int, hub long"), "matched")
 
     def wanted(pairs):
         nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docsift.llm import chat, decontaminate, fingerprint, jaccard, langid, linetemplates, packing, toxicity
+from docsift.llm import chat, decontaminate, fingerprint, jaccard, langid, linetemplates, packing, suffixdedup, toxicity
 from docsift.llm.packing import default_vocabulary
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -68,3 +68,9 @@ def op4(spark: SparkSession, sf: str) -> DataFrame:
 @query("op6_toxicity")
 def op6(spark: SparkSession, sf: str) -> DataFrame:
     return toxicity.score(documents(spark, sf), spark.read.parquet(f"{sf}/labels.parquet"))
+
+
+@query("op1_suffix_dedup")
+def op1(spark: SparkSession, sf: str) -> DataFrame:
+    docs = documents(spark, sf)
+    return suffixdedup.digests(docs, suffixdedup.find_repeats(docs))

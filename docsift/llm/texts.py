@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 
 from docsift.session import materialize
 
-__all__ = ["CHUNK", "WORDS", "chunks", "hash_words", "materialize", "mix", "pick", "shingle_hashes",
-           "shingle_sets", "text_bytes"]
+__all__ = ["CHUNK", "WORDS", "chunks", "hash_words", "materialize", "mix", "pick", "rolling",
+           "shingle_hashes", "shingle_sets", "text_bytes"]
 
 # Bytes of text that a task works on at a time. A longer text is one chunk of its own.
 CHUNK = 1 << 20
@@ -105,6 +105,14 @@ def hash_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     return hashes, starts, ends, np.searchsorted(starts, offsets)
 
 
+def rolling(data: np.ndarray, size: int) -> np.ndarray:
+    """A 64-bit number for the `size` bytes at each place."""
+    powers, inverse = _power_tables(len(data) + 1)
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers[:-1], out=sums[1:])
+    return (sums[size:] - sums[:-size]) * inverse[:len(data) - size + 1]
+
+
 def _combine(hashes: np.ndarray, n: int) -> np.ndarray:
     """Hash of each run of n words."""
     size = len(hashes) - n + 1
