@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docsift.llm import chat, decontaminate, fingerprint, jaccard, langid, linetemplates, packing, suffixdedup, toxicity
+from docsift.llm import chat, decontaminate, fingerprint, jaccard, langid, linetemplates, packing, suffixdedup, toxicity, windows
 from docsift.llm.packing import default_vocabulary
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -74,3 +74,8 @@ def op6(spark: SparkSession, sf: str) -> DataFrame:
 def op1(spark: SparkSession, sf: str) -> DataFrame:
     docs = documents(spark, sf)
     return suffixdedup.digests(docs, suffixdedup.find_repeats(docs))
+
+
+@query("op8_substring_dedup")
+def op8(spark: SparkSession, sf: str) -> DataFrame:
+    return windows.near_passages(documents(spark, sf))
