@@ -267,3 +267,17 @@ def join(docs: DataFrame, words: int = WORDS, share: int = SHARE, id_col: str =
     return found.join(least, "comp", "left").select(
         F.col("id").alias("doc_id"), "n_shingles", "node", F.when(F.col("id").isNull(), None).otherwise(
             F.when(F.col("n_shingles") == 0, F.col("id")).otherwise(F.col("least"))).alias("component_id"))
+
+
+def drop_near_copies(docs: DataFrame, words: int = WORDS, share: int = SHARE, id_col: str = "doc_id",
+                     text_col: str = "text") -> DataFrame:
+    """The rows of `docs`, with all columns, that have the smallest id of their component (see `join`). Texts
+    without words, and rows with a null id, stay. Of rows with the same id, one of each text may stay."""
+    found = materialize(join(docs, words, share, id_col, text_col), "components")
+    keep = found.filter("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct()
+    ident = F.col(f"`{id_col}`")
+    kept = docs.join(keep, ident == F.col("_kept"), "left_semi")
+    total, different = found.filter("doc_id is not null").agg(F.count("*"), F.count_distinct("doc_id")).first()
+    if total > different:
+        kept = kept.dropDuplicates([id_col, text_col])
+    return kept.unionByName(docs.filter(ident.isNull()))
