@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from docsift.llm import chat, decontaminate, fingerprint, jaccard, langid, linetemplates, packing, suffixdedup, toxicity, windows
 from docsift.llm.packing import default_vocabulary
 
@@ -65,6 +66,11 @@ def op4(spark: SparkSession, sf: str) -> DataFrame:
     return fingerprint.fingerprints(documents(spark, sf))
 
 
+@query("pipeline", corpus_pipeline.ORACLE_SQL)
+def pipeline(spark: SparkSession, sf: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf)
+
+
 @query("op6_toxicity")
 def op6(spark: SparkSession, sf: str) -> DataFrame:
     return toxicity.score(documents(spark, sf), spark.read.parquet(f"{sf}/labels.parquet"))
