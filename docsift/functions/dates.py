@@ -30,6 +30,10 @@ def _one(text: Column, fmt: str) -> Column:
 
 
 def parse_date(text: Column, formats: Sequence[str] = FORMATS) -> Column:
-    """The first format that fits; null when none does."""
+    """The first format that fits; null when none does.
+
+    A number of milliseconds has up to 18 digits and one of seconds lies below 10^11; anything beyond is no
+    date, and `check_batch` rejects the row.
+    """
     trimmed = F.trim(text)
     return F.coalesce(*[_one(trimmed, fmt) for fmt in formats])

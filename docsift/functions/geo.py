@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -28,18 +29,18 @@ def box_degrees(lat: float, radius_km: float) -> tuple[float, float]:
 
 
 def in_box(lat: Column, lon: Column, at_lat: float, at_lon: float, radius_km: float) -> Column:
-    """Plain range tests on the two columns, which reach the Parquet scan."""
+    """Plain range tests on the two columns, which reach the Parquet scan. Longitudes may be given in
+    -180..180 or in 0..360."""
+    at_lon = (at_lon + 180) % 360 - 180
     half_lat, half_lon = box_degrees(at_lat, radius_km)
     slack = 1e-9
     cond = lat.between(at_lat - half_lat - slack, at_lat + half_lat + slack)
     if half_lon >= 180:
         return cond
     west, east = at_lon - half_lon - slack, at_lon + half_lon + slack
-    if west < -180:
-        return cond & ((lon >= west + 360) | (lon <= east))
-    if east > 180:
-        return cond & ((lon >= west) | (lon <= east - 360))
-    return cond & lon.between(west, east)
+    turns = [lon.between(west + turn, east + turn) for turn in (-360, 0, 360)
+             if west + turn <= 360 and east + turn >= -180]
+    return cond & reduce(lambda a, b: a | b, turns)
 
 
 def parse_latlng(text: Column) -> Column:

@@ -4,14 +4,15 @@ from __future__ import annotations
 
 import re
 
-PREFIX = "properties."
+_NESTED = re.compile(r"(?:.*\W)?properties[.:](.+)", re.S)
 
 
 def nested_key(field: str) -> str:
     """`properties.a[2].b` -> `a-2-b`; other names are left alone."""
-    if not field.startswith(PREFIX):
+    found = _NESTED.fullmatch(field)
+    if not found:
         return field
-    return re.sub(r"\[(\d+)\]", r"-\1", field[len(PREFIX):]).replace(".", "-")
+    return re.sub(r"\[(\d+)\]", r"-\1", found[1]).replace(".", "-")
 
 
 def is_digits(text: str) -> bool:
@@ -19,7 +20,8 @@ def is_digits(text: str) -> bool:
 
 
 def is_nested(field: str) -> bool:
-    return field.startswith(PREFIX)
+    """Names a dynamic property: `properties.x`, `properties:x` or `a.properties.x`."""
+    return _NESTED.fullmatch(field) is not None
 
 
 def split_operator(key: str) -> tuple[str, str | None]:

@@ -2,16 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docsift.functions.text import tokens
 
-# Nesting levels that are taken apart. The expression is written out to this depth; whatever lies deeper
-# is kept whole, as JSON text under its path.
-MAX_DEPTH = 8
-
-
 NUMBERS = ("BIGINT", "DOUBLE", "FLOAT")
 
 
@@ -46,21 +41,42 @@ def _pair(e: Column, kind: Column) -> Column:
             .when(kind.startswith("OBJECT") | kind.startswith("ARRAY"), F.to_json(e["x"]))
             .otherwise(F.try_variant_get(e["x"], "$", "string")))
     return F.struct(e["k"].alias("k"), text.alias("v"),
-                    F.when(number, F.try_variant_get(e["x"], "$", "double")).alias("vn"))
+                    F.when(number, F.try_variant_get(e["x"], "$", "double")).alias("vn"),
+                  F.when(kind == "BIGINT", F.try_variant_get(e["x"], "$", "bigint")).alias("vl"))
 
 
-def flatten_properties(json: Column, max_depth: int = MAX_DEPTH, analysed: bool = True) -> Column:
-    """JSON object text (or variant) -> array<struct<k, v, vn[, kt, vt]>>.
+# Levels that one expression takes apart; deeper properties take several of them, one behind the other.
+STEP = 8
 
-    Path segments and array indexes are joined by `-`. Numbers go to `vn` as doubles (integers above
-    2^53 lose precision), everything else to `v` as text. A null member becomes the text
-    "null"; a null array item is dropped, as are empty objects and arrays. Text that is not a
-    JSON object gives an empty array. The work stays inside the row: no explode, no shuffle.
-    """
+
+def nesting(json: Column) -> Column:
+    """How deep the objects and arrays of a JSON text lie within each other."""
+    brackets = F.regexp_replace(F.regexp_replace(json, r'"(?:[^"\\\\]|\\\\.)*"', ""), r"[^\[\]{}]", "")
+    depth = F.aggregate(
+        F.split(brackets, ""), F.struct(F.lit(0).alias("now"), F.lit(0).alias("most")),
+        lambda a, c: F.struct(
+            (a["now"] + F.when(c.isin("{", "["), 1).when(c.isin("}", "]"), -1).otherwise(0)).alias("now"),
+            F.greatest(a["most"], a["now"] + F.when(c.isin("{", "["), 1).otherwise(0)).alias("most")),
+        lambda a: a["most"])
+    return F.coalesce(depth, F.lit(0))
+
+
+def depth_of(rows: DataFrame, json: Column) -> int:
+    """The deepest nesting in a table, in one pass that reads this column only."""
+    return max(1, rows.agg(F.max(nesting(json)).alias("depth")).first()["depth"] or 1)
+
+
+def _members(json: Column) -> Column:
     root = F.try_variant_get(json, "$", "map<string,variant>")
-    nodes = F.transform(F.map_entries(root), lambda c: F.struct(
+    return F.transform(F.map_entries(root), lambda c: F.struct(
         c["key"].alias("k"), c["value"].alias("x"), F.lit(True).alias("o")))
-    leaves = F.flatten(F.transform(nodes, lambda e: _leaves(e, max_depth - 1)))
+
+
+def _down(nodes: Column, levels: int) -> Column:
+    return F.flatten(F.transform(nodes, lambda e: _leaves(e, levels)))
+
+
+def _pairs(leaves: Column, analysed: bool) -> Column:
     kinds = F.transform(leaves, lambda e: F.struct(
         e.alias("e"), F.schema_of_variant(e["x"]).alias("kind")))
     # at the deepest level an empty container may still stand where the rules leave nothing
@@ -70,10 +86,29 @@ def flatten_properties(json: Column, max_depth: int = MAX_DEPTH, analysed: bool
     if analysed:
         pairs = F.transform(pairs, lambda p: F.struct(
             p["k"].alias("k"), p["v"].alias("v"), p["vn"].alias("vn"),
-            tokens(p["k"]).alias("kt"), tokens(p["v"]).alias("vt")))
+            tokens(p["k"]).alias("kt"), tokens(p["v"]).alias("vt"), p["vl"].alias("vl")))
+    else:
+        pairs = F.transform(pairs, lambda p: F.struct(p["k"].alias("k"), p["v"].alias("v"), p["vn"].alias("vn")))
     return F.coalesce(pairs, F.array().cast(
         "array<struct<k:string,v:string,vn:double"
-        + (",kt:array<string>,vt:array<string>>>" if analysed else ">>")))
+        + (",kt:array<string>,vt:array<string>,vl:bigint>>" if analysed else ">>")))
+
+
+def with_flattened(rows: DataFrame, name: str, json: Column, depth: int, analysed: bool = True) -> DataFrame:
+    """Add a column array<struct<k, v, vn[, kt, vt, vl]>> of the properties in a JSON object (a variant).
+
+    Path segments and array indexes are joined by `-`. Numbers go to `vn` as doubles, everything
+    else to `v` as text. Analysed pairs also hold the words of key and value, and integers exactly in `vl`. A null
+    member becomes the text "null"; a null array item is dropped, as are empty objects and arrays. What is not a
+    JSON object gives an empty array. The work stays inside the row: no explode, no shuffle.
+
+    `depth` is the deepest nesting (see `depth_of`); whatever lies deeper is kept whole, as JSON text under its
+    path. One expression takes a few levels apart, and deeper ones are columns built on it.
+    """
+    out = rows.withColumn("_nodes", _members(json))
+    for done in range(0, max(depth - 1, 1), STEP):
+        out = out.withColumn("_nodes", _down(F.col("_nodes"), min(STEP, depth - 1 - done)))
+    return out.withColumn(name, _pairs(F.col("_nodes"), analysed)).drop("_nodes")
 
 
 def properties_json(text: Column) -> Column:

@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 from typing import Any
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from docsift.functions.text import tokens
+from docsift.plans.once import with_once
 from docsift.plans.predicates import (Bool, Match, MatchAll, Nested, Prefix, Query, Term, Text, Wildcard,
                                       any_of, any_pair, condition, Fields, pair_equals,
-                                      terms_query)
-from docsift.schema import DEFAULT_MAPPING, FieldMapping
+                                      pair_key, terms_query)
+from docsift.schema import DEFAULT_MAPPING, PROPS, FieldMapping
 
 
 def _blank(value: str | None) -> bool:
@@ -31,7 +34,15 @@ def scope(docs: DataFrame, appid: str | None = None, type: str | None = None) ->
 
 def matching(docs: DataFrame, query: Query, type: str | None = None,
              mapping: FieldMapping = DEFAULT_MAPPING) -> DataFrame:
-    return scope(docs, type=type).filter(condition(docs, query, mapping))
+    rows = scope(docs, type=type)
+    if Fields(docs.schema, mapping).has_pairs():
+        # a condition may look at the pairs many times; they are read, or flattened, once
+        rows = with_once(rows, PROPS, F.col(PROPS))
+    return rows.filter(condition(rows, query, mapping)).select(*docs.columns)
+
+
+# what only the grammar of query strings gives a meaning
+_SYNTAX = re.compile(r"""[:*?"()\[\]{}~^\\]|&&|\|\||(?:^|\s)[+\-!]\S|\b(?:AND|OR|NOT)\b""")
 
 
 def find_by_id(docs: DataFrame, id: str | None) -> DataFrame:
@@ -49,6 +60,32 @@ def _in_keys(docs: DataFrame, field: str, wanted: DataFrame) -> DataFrame:
     return docs.join(unique, docs[field] == unique["_wanted"], "left_semi")
 
 
+def _pairs_in_keys(docs: DataFrame, field: str, wanted: DataFrame) -> DataFrame:
+    """Rows with a pair that has the key and one of a table of terms as its value: digits are looked up among
+    the numbers, anything else among the words, all of which must occur.
+
+    The pairs of the key are put into rows and meet the terms on the number or on the term's first word; only the
+    keys of the matching documents come back to the documents.
+    """
+    typed = "kt" in docs.schema[PROPS].dataType.elementType.fieldNames()
+    rows = docs.withColumn("_row", F.xxhash64("appid", "id") if "appid" in docs.columns else F.xxhash64("id"))
+    pairs = (rows.select("id", "_row", F.explode(F.filter(PROPS, lambda p: pair_key(p, field, typed))).alias("p"))
+             .select("id", "_row", F.col("p.vn").alias("vn"),
+                     F.coalesce(F.col("p.vt") if typed else tokens(F.col("p.v")),
+                                F.array().cast("array<string>")).alias("vt")))
+    term = F.col(wanted.columns[0]).cast("string")
+    terms = wanted.select(term.alias("term")).filter(F.col("term").isNotNull()).distinct()
+    digits = F.col("term").rlike("^[0-9]+$")
+    numbers = terms.filter(digits).select(F.col("term").cast("double").alias("vn")).distinct()
+    words = terms.filter(~digits).select(tokens(F.col("term")).alias("words")).filter(F.size("words") > 0).select(
+        "words", F.get("words", 0).alias("word"))
+    by_number = pairs.join(numbers, "vn", "left_semi").select("id", "_row")
+    by_word = (pairs.select("id", "_row", "vt", F.explode(F.array_distinct("vt")).alias("word")).join(words, "word")
+               .filter(F.size(F.array_except("words", "vt")) == 0).select("id", "_row"))
+    found = by_number.unionByName(by_word).distinct()
+    return rows.join(found, ["id", "_row"], "left_semi").select(*docs.columns)
+
+
 def find_by_ids(docs: DataFrame, ids: Sequence[str | None] | DataFrame | None) -> DataFrame:
     if isinstance(ids, DataFrame):
         return _in_keys(docs, "id", ids)
@@ -64,15 +101,13 @@ def find_term_in_list(docs: DataFrame, type: str | None, field: str | None,
         return nothing(docs)
     scoped, fields = scope(docs, type=type), Fields(docs.schema, mapping)
     if isinstance(terms, DataFrame):
-        if fields.is_pair(field):
-            raise ValueError("a table of terms needs a plain column")
-        return _in_keys(scoped, field, terms)
+        return _pairs_in_keys(scoped, field, terms) if fields.is_pair(field) else _in_keys(scoped, field, terms)
     wanted = [t for t in terms if t is not None]
     if not wanted:
         return nothing(docs)
     if fields.is_pair(field):
         tests = [pair_equals(str(t)) for t in wanted]
-        return scoped.filter(any_pair(fields, field, lambda p, typed: any_of(
+        return with_once(scoped, PROPS, F.col(PROPS)).select(*docs.columns).filter(any_pair(fields, field, lambda p, typed: any_of(
             [F.coalesce(t(p, typed), F.lit(False)) for t in tests])))
     literals = [fields.literal(field, t) for t in wanted]
     return scoped.filter(fields.each(field, lambda u: u.isin(*literals)))
@@ -114,10 +149,15 @@ def find_terms(docs: DataFrame, type: str | None, terms: Mapping[str, Any] | Non
 
 def find_query(docs: DataFrame, type: str | None, query: Query | str | None,
                mapping: FieldMapping = DEFAULT_MAPPING) -> DataFrame:
-    """A predicate tree, or a plain text that may occur in any field; `*` means everything."""
+    """A predicate tree, or a plain text that may occur in any field; `*` means everything.
+
+    A text that holds operators of a query string raises: it would be searched for as words otherwise.
+    """
     if query is None or (isinstance(query, str) and _blank(query)):
         return nothing(docs)
     if isinstance(query, str):
+        if query.strip() != "*" and _SYNTAX.search(query):
+            raise ValueError(f"{query!r} holds operators of a query string; build a tree with Q instead")
         query = MatchAll() if query.strip() == "*" else Text(query.strip())
     return matching(docs, query, type, mapping)
 

@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docsift.operators.maintain import KEYS, unindex
+from docsift.operators.maintain import KEYS
+from docsift.session import materialize
 
 
 def hydrate(hits: DataFrame, db: DataFrame, keys: Sequence[str] = KEYS,
@@ -32,16 +33,27 @@ def hydrate(hits: DataFrame, db: DataFrame, keys: Sequence[str] = KEYS,
             columns.append(F.when(F.col("_found"), F.col(f"`_db_{name}`"))
                            .otherwise(F.col(f"`{name}`")).alias(name))
     columns += [F.col(f"`_db_{c}`").alias(c) for c in shared if c not in hits.columns]
-    return hits.join(record, keys, "left").select(*columns)
+    # the few records that are hit are picked out first; only they are joined
+    return hits.join(record.join(_keys(hits, keys), keys, "left_semi"), keys, "left").select(*columns)
+
+
+def _keys(hits: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The distinct keys of the hits, stored, so that Spark knows their size when it chooses the join."""
+    return materialize(hits.select(*keys).distinct(), "keys")
 
 
 def orphans(hits: DataFrame, db: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
     """Stored documents that the index still has and the system of record has not."""
     if "stored" in hits.columns:
         hits = hits.filter(F.col("stored"))
-    return hits.join(db.select(*keys), list(keys), "left_anti")
+    keys = list(keys)
+    return hits.join(db.select(*keys).join(_keys(hits, keys), keys, "left_semi"), keys, "left_anti")
 
 
 def clean_orphans(docs: DataFrame, db: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
-    """The index without its orphans."""
-    return unindex(docs, orphans(docs, db, keys), keys)
+    """The index without its orphans: one join, and documents that aren't stored stay."""
+    known = db.select(*keys).distinct().withColumn("_known", F.lit(True))
+    stays = F.col("_known").isNotNull()
+    if "stored" in docs.columns:
+        stays = stays | ~F.coalesce("stored", F.lit(False))
+    return docs.join(known, list(keys), "left").filter(stays).select(*docs.columns)

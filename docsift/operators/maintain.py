@@ -16,21 +16,15 @@ from docsift.functions.dates import FORMATS, parse_date
 from docsift.functions.props import properties_json
 from docsift.plans.predicates import any_of, condition, terms_query
 from docsift.schema import DATE_FIELDS, DEFAULT_MAPPING, PROPS, FieldMapping
-from docsift.session import materialize
+from docsift.session import materialize, stored_bytes
 
 KEYS = ("appid", "id")
 PUT, DELETE = "put", "delete"
 
-# A reduced batch of at most this many bytes is broadcast, so that the table it changes is not shuffled.
+# A reduced batch whose files have at most this many bytes is broadcast, so that the table it changes is not shuffled.
 BROADCAST_BYTES = 64 * 1024 * 1024
 
 
-def fits_broadcast(rows: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
-    """Add up the size of the rows, as text, and compare it with the limit."""
-    size = rows.agg(F.sum(F.octet_length(F.to_json(F.struct(*rows.columns)))).alias("bytes")).first()
-    return (size["bytes"] or 0) <= limit
-
-
 # ---------------------------------------------------------------- merging structs field by field
 
 def _leaf_paths(schema: T.StructType, whole: frozenset[str], prefix: tuple = ()) -> list[tuple]:
@@ -111,18 +105,19 @@ def resolve_ops(ops: DataFrame, mode: str = "replace", keys: Sequence[str] = KEY
 
 def upsert(snapshot: DataFrame, batch: DataFrame, mode: str = "merge",
            keys: Sequence[str] = KEYS, seq: str = "seq", op: str | None = None,
-           whole: Sequence[str] = ("latlng",), small: bool | None = None) -> DataFrame:
+           whole: Sequence[str] = ("latlng",), broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """The snapshot (one row per key) after a batch of newer rows.
 
-    The batch is first reduced to one row per key and written to the shared folder. If those rows are
-    small in total they are broadcast: the snapshot is then read in place, and only new keys
-    are added behind it. Otherwise both sides meet in one full outer join on keys that are unique on
-    either side. `small` skips the measuring when the caller knows the answer.
+    The batch is first reduced to one row per key and written to the shared folder. If those files are
+    small they are broadcast: the snapshot is then read in place, and only new keys are added behind it.
+    Otherwise both sides meet in one full outer join on keys that are unique on either side. A smaller
+    `broadcast_bytes` asks for the join earlier; nothing larger than `BROADCAST_BYTES` is broadcast.
     """
     if op is None:
         op, batch = "_op", batch.withColumn("_op", F.lit(PUT))
     keys = list(keys)
     change = materialize(resolve_ops(batch, mode, keys, seq, op, whole, keep_tombstones=True), "batch")
+    small = stored_bytes(change) <= min(broadcast_bytes, BROADCAST_BYTES)
     names = [c for c in snapshot.columns if c not in keys]
     missing = [c for c in names if c not in change.columns]
     change = change.withColumns({c: F.lit(None).cast(snapshot.schema[c].dataType) for c in missing})
@@ -142,8 +137,6 @@ def upsert(snapshot: DataFrame, batch: DataFrame, mode: str = "merge",
         merged = _assemble(schema, atomic, leaf)
     stays = new.isNull() | new["_alive"]
 
-    if small is None:
-        small = fits_broadcast(change)
     if not small:
         return (old.join(packed, keys, "full_outer").filter(stays).select(*keys, *merged)
                 .select(*snapshot.columns))
@@ -193,8 +186,9 @@ def check_batch(batch: DataFrame, formats: Sequence[str] = FORMATS) -> DataFrame
         reason = reason.when(F.col("appid").isNull() | (F.trim("appid") == ""),
                              F.lit("missing appid"))
     for name in DATE_FIELDS:
-        if isinstance(kinds.get(name), T.StringType):
-            reason = reason.when(F.col(name).isNotNull() & parse_date(F.col(name), formats).isNull(),
+        if isinstance(kinds.get(name), (T.StringType, T.IntegralType)):
+            text = F.col(name).cast("string")
+            reason = reason.when(text.isNotNull() & parse_date(text, formats).isNull(),
                                  F.lit(f"bad date in {name}"))
     if isinstance(kinds.get(PROPS), T.StringType):
         reason = reason.when(F.col(PROPS).isNotNull() & properties_json(F.col(PROPS)).isNull(),

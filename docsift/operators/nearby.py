@@ -62,7 +62,7 @@ def nearby_batch(points: DataFrame, places: DataFrame, radius_km: float,
                  hot_rows: int = 1_000_000) -> DataFrame:
     """All pairs of a point and a place within the radius, with their distance.
 
-    Both tables have `lat` and `lon`. A place lies in one grid cell; a point asks for the few cells its
+    Both tables have `lat` and `lon`, the latter in -180..180 or 0..360. A place lies in one grid cell; a point asks for the few cells its
     circle touches, so the join is an equality on cells. Crowded cells are salted.
     """
     height = _band_height(radius_km)
@@ -76,7 +76,7 @@ def nearby_batch(points: DataFrame, places: DataFrame, radius_km: float,
                             F.col("lon").alias("place_lon"))
               .dropna().withColumn("band", band_of(F.col("place_lat")))
               .withColumn("cell", F.least(
-                  F.floor((F.col("place_lon") + 180.0) / (F.lit(360.0) / cells)), cells - 1)))
+                  F.floor(F.pmod(F.col("place_lon") + 180.0, F.lit(360.0)) / (F.lit(360.0) / cells)), cells - 1)))
 
     slack = 1e-9
     half = math.degrees(angle) + slack

@@ -10,8 +10,7 @@ from pyspark.sql import types as T
 
 from docsift.functions.dates import FORMATS, parse_date
 from docsift.functions.geo import parse_latlng
-from docsift.functions.props import MAX_DEPTH, flatten_properties, properties_json
-from docsift.plans.once import with_once
+from docsift.functions.props import depth_of, properties_json, with_flattened
 from docsift.schema import DATE_FIELDS, DOCID, IGNORED_FIELDS, PROPS, PROPS_JSON
 
 
@@ -20,10 +19,13 @@ def docid() -> Column:
     return F.xxhash64(F.col("appid"), F.col("id"))
 
 
-def normalize(rows: DataFrame, max_depth: int = MAX_DEPTH, analysed: bool = True,
+def normalize(rows: DataFrame, depth: int | None = None, analysed: bool = True,
               formats: Sequence[str] = FORMATS) -> DataFrame:
     """One narrow pass: dates and coordinates parsed, JSON properties flattened, the ignored fields
     dropped and `_docid` added. The JSON as it came is kept in `_properties`.
+
+    Without a `depth` the nesting of the properties is measured first, so nothing is too deep. A stream can't be
+    measured; it must name one.
     """
     kinds = {f.name: f.dataType for f in rows.schema.fields}
     out = {}
@@ -44,17 +46,22 @@ def normalize(rows: DataFrame, max_depth: int = MAX_DEPTH, analysed: bool = True
         out[PROPS_JSON], variant = F.to_json(F.col(PROPS)), F.col(PROPS)
     if "appid" in kinds and "id" in kinds:
         out[DOCID] = docid()
+    if variant is not None:
+        out["_variant"] = variant
     docs = rows.drop(*IGNORED_FIELDS).withColumns(out)
     if variant is None:
         return docs
-    return with_once(docs, PROPS, flatten_properties(variant, max_depth, analysed))
+    if depth is None:
+        depth = depth_of(rows, out[PROPS_JSON])
+    return with_flattened(docs, PROPS, F.col("_variant"), depth, analysed).drop("_variant")
 
 
 def property_rows(rows: DataFrame, json: str, keys: Sequence[str],
-                  max_depth: int = MAX_DEPTH) -> DataFrame:
+                  depth: int | None = None) -> DataFrame:
     """One row per flattened property: the key columns with `k`, `v` and `vn`."""
-    pairs = flatten_properties(properties_json(F.col(json)), max_depth, analysed=False)
-    return rows.select(*keys, F.inline(pairs))
+    depth = depth_of(rows, F.col(json)) if depth is None else depth
+    pairs = with_flattened(rows, "_pairs", properties_json(F.col(json)), depth, analysed=False)
+    return pairs.select(*keys, F.inline("_pairs"))
 
 
 def restore(docs: DataFrame, schema: T.StructType | str | None = None) -> DataFrame:

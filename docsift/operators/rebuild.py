@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from docsift.operators.maintain import KEYS, unindex
 from docsift.operators.normalize import normalize
+from docsift.session import materialize
 from docsift.sources.versions import VersionedTable
 
 
@@ -25,10 +26,11 @@ def rebuild_index(db: DataFrame, index: VersionedTable, destination: str | None
     if destination is not None and index.exists(destination):
         keys = [c for c in KEYS if c in docs.columns]
         kept = unindex(index.read(destination), docs, keys)
-        reindexed = docs.agg(F.count(F.lit(1)).alias("reindexed"))
-        version = index.write(docs.unionByName(kept, allowMissingColumns=True))
+        fresh = docs.withColumn("_fresh", F.lit(True)).unionByName(kept, allowMissingColumns=True)
+        staged = materialize(fresh, "rebuild")
+        version = index.write(staged.drop("_fresh"))
         index.publish(version, drop_previous)
-        return reindexed
+        return staged.agg(F.count("_fresh").alias("reindexed"))
     version = index.write(docs, destination)
     index.publish(version, drop_previous)
     return index.read(version).agg(F.count(F.lit(1)).alias("reindexed"))

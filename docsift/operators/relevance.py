@@ -26,10 +26,10 @@ from docsift.session import materialize
 # Fixed values of the ranking function.
 K1 = 1.2
 B = 0.75
-# Fixed values of the similarity query: share of the selected terms that must occur, and how many
-# terms of the given text are selected at most.
+# Fixed value of the similarity query: share of the selected terms that must occur.
 MATCH_PERCENT = 70
-MAX_TERMS = 25
+# Up to this k Spark keeps the best k of each task before a shuffle by itself.
+GROUP_LIMIT = 1000
 
 
 # ---------------------------------------------------------------- formulas
@@ -188,7 +188,11 @@ def search_nested(docs: DataFrame, path: str, field: str, query: str | Column,
 
 # ---------------------------------------------------------------- similarity to one text
 
-def _selected(stats: DataFrame, like: Column) -> DataFrame:
+def _first(ranked: Column, max_terms: int | None) -> Column:
+    return ranked if max_terms is None else F.slice(ranked, 1, max_terms)
+
+
+def _selected(stats: DataFrame, like: Column, max_terms: int | None) -> DataFrame:
     """One row: mean length, the selected terms with their weights, and how many must occur."""
     n, df = F.col("n"), F.col("df")
     known = F.filter(term_counts(F.col("like")), lambda t: F.element_at(df, t["term"]).isNotNull())
@@ -196,7 +200,7 @@ def _selected(stats: DataFrame, like: Column) -> DataFrame:
         (-_pick_weight(t["tf"], n, F.element_at(df, t["term"]))).alias("r"),
         t["term"].alias("term"),
         _idf(n, F.element_at(df, t["term"])).alias("w"))))
-    picked = F.slice(ranked, 1, MAX_TERMS)
+    picked = _first(ranked, max_terms)
     return (stats.withColumn("like", like).select("avg", picked.alias("terms"))
             .withColumn("need", _required(F.size("terms"))))
 
@@ -207,10 +211,11 @@ def _present(words: Column, terms: Column) -> Column:
 
 def find_similar(docs: DataFrame, type: str | None, filter_key: str | None,
                  fields: Sequence[str] | None, like: str | Column | None,
-                 mapping: FieldMapping = DEFAULT_MAPPING) -> DataFrame:
-    """Documents that have at least 70 % of the telling words of `like`, scored by them.
+                 mapping: FieldMapping = DEFAULT_MAPPING, max_terms: int | None = None) -> DataFrame:
+    """Documents that have at least 70 % of the known words of `like`, scored by them.
 
-    Without fields all text columns are searched. Each plain field selects its own words, and the share
+    All words that occur in the documents are selected; `max_terms` takes only that many of the most telling,
+    as servers do by default. Without fields all text columns are searched. Each plain field selects its own words, and the share
     is taken over all of them. For properties the words must meet in one pair whose key shares a word
     with the field name. `like` may be a one-value subquery.
     """
@@ -225,7 +230,7 @@ def find_similar(docs: DataFrame, type: str | None, filter_key: str | None,
     if filter_key is not None and filter_key.strip():
         hits = hits.filter(F.col("id") != filter_key)
     if any(schema.is_pair(n) for n in names):
-        return _similar_pairs(docs, hits, [n for n in names if schema.is_pair(n)], given)
+        return _similar_pairs(docs, hits, [n for n in names if schema.is_pair(n)], given, max_terms)
     if not names:
         return nothing(docs).withColumn("score", F.lit(0.0))
     total, present, count = F.lit(0.0), F.lit(0), F.lit(0)
@@ -233,7 +238,7 @@ def find_similar(docs: DataFrame, type: str | None, filter_key: str | None,
         words = _words(docs, name, mapping)
         stats = _term_stats(docs.select(words.alias("words")), given)
         hits = (with_once(hits, f"_w{i}", F.coalesce(words, F.array().cast("array<string>")))
-                .withColumn(f"_q{i}", _subquery(_selected(stats, given))))
+                .withColumn(f"_q{i}", _subquery(_selected(stats, given, max_terms))))
         own, chosen = F.col(f"_w{i}"), F.col(f"_q{i}")
         present, count = present + _present(own, chosen["terms"]), count + F.size(chosen["terms"])
         total = total + F.when(F.size(own) > 0, _score(own, chosen)).otherwise(0.0)
@@ -243,14 +248,15 @@ def find_similar(docs: DataFrame, type: str | None, filter_key: str | None,
 
 
 def _similar_pairs(docs: DataFrame, hits: DataFrame, names: Sequence[str],
-                   given: Column) -> DataFrame:
+                   given: Column, max_terms: int | None) -> DataFrame:
+    docs, hits = (with_once(d, PROPS, F.col(PROPS)).select(*d.columns) for d in (docs, hits))
     typed = "kt" in docs.schema[PROPS].dataType.elementType.fieldNames()
 
     def value_words(p: Column) -> Column:
         return p["vt"] if typed else tokens(p["v"])
 
     units = docs.select(F.explode(PROPS).alias("p")).select(value_words(F.col("p")).alias("words"))
-    stats = _subquery(_selected(_term_stats(units, given), given))
+    stats = _subquery(_selected(_term_stats(units, given), given, max_terms))
     chosen = F.col("_q")
 
     def score(p: Column) -> Column:
@@ -349,14 +355,22 @@ class _Batch:
 
 def _top(scored: DataFrame, k: int) -> DataFrame:
     """The best k per query. Each task keeps its own best k before the shuffle, so one query with a
-    third of all pairs stays small."""
+    third of all pairs stays small. Spark leaves that out for a large k: the pairs of a query are then cut into
+    parts of their own first, and the k best of each part meet."""
     scored = scored.withColumn("score", F.round("score", 6))
+    if k > GROUP_LIMIT:
+        parts = int(scored.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        within = Window.partitionBy("query_id", "_part").orderBy(F.col("score").desc(), F.col("doc_id").asc())
+        scored = (scored.withColumn("_part", F.pmod(F.xxhash64("doc_id"), F.lit(parts)))
+                  .withColumn("_rank", F.row_number().over(within)).filter(F.col("_rank") <= k)
+                  .drop("_part", "_rank"))
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("doc_id").asc())
     return scored.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
 
 
 def find_similar_batch(index: DataFrame, queries: DataFrame, id: str, text: str, k: int = 10,
-                       exclude_same_id: bool = False, hot_rows: int = 1_000_000) -> DataFrame:
+                       exclude_same_id: bool = False, hot_rows: int = 1_000_000,
+                       max_terms: int | None = None) -> DataFrame:
     """For each row of `queries` the k most similar documents: `query_id, doc_id, score, rank`.
 
     A document must have `need` of the n selected terms, so it has at least one of any n - need + 1
@@ -367,8 +381,8 @@ def find_similar_batch(index: DataFrame, queries: DataFrame, id: str, text: str,
     n, df = F.lit(batch.n), F.col("df")
     terms = batch.query_terms(queries, id, text).withColumn("r", -_pick_weight(F.col("tf"), n, df))
     # a query's own words, so the group is no larger than the text it came from
-    picked = F.slice(F.sort_array(F.collect_list(
-        F.struct("r", "term", "df", _idf(n, df).alias("w")))), 1, MAX_TERMS)
+    picked = _first(F.sort_array(F.collect_list(
+        F.struct("r", "term", "df", _idf(n, df).alias("w")))), max_terms)
     asked = materialize(terms.groupBy("query_id").agg(picked.alias("asked"))
                         .withColumn("need", _required(F.size("asked"))), "asked")
     rarest = F.slice(F.sort_array(F.transform("asked", lambda t: F.struct(

@@ -7,6 +7,7 @@ on dynamic properties become `exists(...)` over the pairs of the same row.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -151,10 +152,18 @@ def any_pair(fields: Fields, name: str, test: Callable[[Column, bool], Column] |
 def pair_equals(value: str) -> Callable[[Column, bool], Column]:
     """Digits look at the number slot, anything else at the words of the text slot."""
     if keys.is_digits(value):
-        return lambda p, typed: p["vn"] == F.lit(float(value))
+        return lambda p, typed: pair_number(p, typed, value)
     return lambda p, typed: text.contains_all(_value_words(p, typed), text.tokens(F.lit(value)))
 
 
+def pair_number(pair: Column, typed: bool, digits: str) -> Column:
+    """The number slot equals an integer; exactly so where the pair was an integer itself."""
+    near = pair["vn"] == F.lit(float(digits))
+    if not typed or int(digits) >= 1 << 63:
+        return near
+    return F.when(pair["vl"].isNotNull(), pair["vl"] == F.lit(int(digits))).otherwise(near)
+
+
 def pair_word(value: str, test: Test) -> Callable[[Column, bool], Column]:
     """A test on single words of the text slot; digits would look at numbers, which have no words."""
     if keys.is_digits(value):
@@ -288,6 +297,11 @@ class Range(Query):
             bounds = [b if b is None else str(b) for b in (low, high)]
             if any(b is not None and keys.is_digits(b) for b in bounds):
                 ends = [None if b is None else F.lit(float(b)) for b in bounds]
+                if all(b is None or keys.is_digits(b) and int(b) < 1 << 63 for b in bounds):
+                    exact = [None if b is None else F.lit(int(b)) for b in bounds]
+                    return any_pair(fields, self.field, lambda p, typed: F.when(
+                        p["vl"].isNotNull(), self._test(*exact)(p["vl"])).otherwise(self._test(*ends)(p["vn"]))
+                        if typed else self._test(*ends)(p["vn"]))
                 return any_pair(fields, self.field, lambda p, typed: self._test(*ends)(p["vn"]))
             ends = [None if b is None else F.lit(b) for b in bounds]
             return any_pair(fields, self.field,
@@ -334,7 +348,12 @@ class Prefix(_Pattern):
 @dataclass(frozen=True)
 class Wildcard(_Pattern):
     def test(self, unit: Column) -> Column:
-        return unit.rlike(text.wildcard_regex(self.value))
+        # the literal head and plain patterns can be told to the scan; a regular expression can't
+        head = re.match(r"[^*?\\]*", self.value)[0]
+        whole = unit.rlike(text.wildcard_regex(self.value))
+        if not re.search(r"[\\%_]", self.value):
+            whole = unit.like(self.value.replace("*", "%").replace("?", "_"))
+        return unit.startswith(head) & whole if head else whole
 
 
 @dataclass(frozen=True)
@@ -370,14 +389,15 @@ class Text(Query):
                 else:
                     parts.append(F.array_contains(col, F.lit(self.value)))
             elif isinstance(item, T.NumericType) and item is kind and number is not None:
-                parts.append(col == F.lit(number))
+                exact = isinstance(item, T.IntegralType) and int(self.value) < 1 << 63
+                parts.append(col == F.lit(int(self.value) if exact else number))
         if self.in_pairs and fields.has_pairs():
             typed = "kt" in fields.schema[PROPS].dataType.elementType.fieldNames()
 
             def pair(p: Column) -> Column:
                 hit = (F.arrays_overlap(_key_words(p, typed), words)
                        | F.coalesce(F.arrays_overlap(_value_words(p, typed), words), F.lit(False)))
-                return hit if number is None else hit | F.coalesce(p["vn"] == F.lit(number), F.lit(False))
+                return hit if number is None else hit | F.coalesce(pair_number(p, typed, self.value), F.lit(False))
 
             parts.append(F.exists(fields.pairs(), pair))
         return any_of([F.coalesce(p, F.lit(False)) for p in parts])

@@ -7,8 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A key is hot when it has more than 1/HOT_SHARE of all rows, so there are fewer hot keys than this.
-HOT_SHARE = 1000
+from docsift.session import materialize, stored_bytes
+
+# Hot keys are told to all tasks up to so many bytes of their table; beyond, they are joined by a shuffle.
+BROADCAST_BYTES = 64 * 1024 * 1024
 
 
 def key_counts(left: DataFrame, right: DataFrame | None, keys: Sequence[str]) -> DataFrame:
@@ -20,24 +22,19 @@ def key_counts(left: DataFrame, right: DataFrame | None, keys: Sequence[str]) ->
 
 
 def hot_keys(counts: DataFrame, keys: Sequence[str], hot_rows: int) -> DataFrame | None:
-    """The keys that are worth splitting, with the number of parts on either side; None if there
-    are none.
+    """The keys with more than `hot_rows` rows on a side, with the number of parts on either side: as many as
+    leave at most `hot_rows` in each, however large the key or its side. None if there are none.
 
-    A hot key has more than `hot_rows` rows and more than `total / HOT_SHARE` of its side, so the table
-    has fewer than 2 * HOT_SHARE rows however large the input is, and may be broadcast.
+    The table goes to the shared folder and not through the driver; it has at most one row per `hot_rows`
+    rows of the input.
     """
-    row = counts.agg(*[f(c).alias(f"{f.__name__}{c}") for c in ("_left", "_right")
-                       for f in (F.max, F.sum)]).first()
-    size = {c: max(hot_rows, (row[f"sum{c}"] or 0) / HOT_SHARE) for c in ("_left", "_right")}
-    if all((row[f"max{c}"] or 0) <= size[c] for c in size):
-        return None
-
     def parts(rows: str) -> Column:
-        return F.greatest(F.lit(1), F.ceil(F.col(rows) / size[rows]).cast("int"))
+        return F.greatest(F.lit(1), F.ceil(F.col(rows) / hot_rows).cast("int"))
 
     hot = counts.select(*keys, parts("_left").alias("_lp"), parts("_right").alias("_rp")).filter(
         (F.col("_lp") > 1) | (F.col("_rp") > 1))
-    return counts.sparkSession.createDataFrame(hot.collect(), hot.schema)
+    hot = materialize(hot, "hot")
+    return None if hot.isEmpty() else hot
 
 
 def salted_join(left: DataFrame, right: DataFrame, keys: Sequence[str], left_id: str,
@@ -56,7 +53,7 @@ def salted_join(left: DataFrame, right: DataFrame, keys: Sequence[str], left_id:
     hot = hot_keys(counts, keys, hot_rows)
     if hot is None:
         return left.join(right, keys)
-    cut = F.broadcast(hot)
+    cut = F.broadcast(hot) if stored_bytes(hot) <= BROADCAST_BYTES else hot
 
     def place(side: DataFrame, row_id: str, own: str, other: str) -> DataFrame:
         parts = {p: F.coalesce(F.col(p), F.lit(1)) for p in (own, other)}

@@ -50,6 +50,11 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+def stored_bytes(df: DataFrame) -> int:
+    """Spark's own estimate of a table's size; for one read from files, what they take on disk."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
 def materialize(df: DataFrame, label: str = "step") -> DataFrame:
     """Write a table to the shared folder and read it back: later steps start from files that outlive
     any executor, and Spark knows their true size when it chooses a join."""

@@ -68,14 +68,14 @@ def test_log_in_any_order(spark, mode, seed):
 
 
 @pytest.mark.parametrize("mode", ["merge", "replace"])
-@pytest.mark.parametrize("small", [True, False, None])
-def test_upsert_equals_log(spark, mode, small):
+@pytest.mark.parametrize("most", [maintain.BROADCAST_BYTES, 0])
+def test_upsert_equals_log(spark, mode, most):
     log = random_log(3)
     early = [r for r in log if r[2] < 200]
     late = [r for r in log if r[2] >= 200]
     snapshot = maintain.resolve_ops(spark.createDataFrame(early, OPS), mode)
     batch = spark.createDataFrame(late, OPS)
-    got = state(maintain.upsert(snapshot, batch, mode, op="op", small=small))
+    got = state(maintain.upsert(snapshot, batch, mode, op="op", broadcast_bytes=most))
     assert got == apply(log, mode)
 
 

@@ -5,110 +5,137 @@ from conftest import ids, in_order
 from pyspark.sql import functions as F
 
 from docsift.operators import find
+from docsift.operators.normalize import normalize
 from docsift.operators.relevance import find_similar
 from docsift.plans.paging import Page, take_page
 from docsift.plans.predicates import Q
 
-NAME, AGE = "properties.owner.name", "properties.owner.age"
-
-
-def hits(cats, query):
-    return ids(find.find_query(cats, "cat", query))
-
-
-def test_in_list(cats):
-    assert ids(find.find_term_in_list(cats, "cat", NAME, ["alice", "bob"])) == ["c1", "c2"]
-    assert ids(find.find_term_in_list(cats, "cat", NAME, ["Bo"])) == []
-    assert ids(find.find_term_in_list(cats, "cat", AGE, [33, "35"])) == ["c1", "c3"]
-    assert ids(find.find_term_in_list(cats, "cat", NAME, [])) == []
-
-
-def test_prefix_and_wildcard(cats):
-    assert ids(find.find_prefix(cats, "cat", NAME, "ali")) == ["c1"]
-    assert ids(find.find_prefix(cats, "cat", NAME, "Deb")) == []
-    assert ids(find.find_wildcard(cats, "cat", NAME, "ali*")) == ["c1"]
-    assert ids(find.find_wildcard(cats, "cat", NAME, "chr*")) == ["c3"]
-    assert ids(find.find_wildcard(cats, "cat", "properties.text", "test*")) == ["c1", "c2"]
-
-
-def test_trees(cats):
-    assert hits(cats, Q.text("Kitty 2") & Q.term(AGE, 34)) == ["c2"]
-    assert hits(cats, Q.range("timestamp", 12345678, "*", include_low=False)
-                & Q.range(AGE, "*", 34)) == ["c2"]
-    assert hits(cats, ~Q.range(AGE, "*", 33)) == ["c2", "c3"]
-    assert hits(cats, Q.term(NAME, "Chris")) == ["c3"]
-    assert hits(cats, Q.exists(AGE)) == ["c1", "c2", "c3"]
-    assert hits(cats, Q.term(AGE, "*")) == ["c1", "c2", "c3"]
-    assert hits(cats, Q.range(AGE)) == ["c1", "c2", "c3"]
-    assert hits(cats, Q.term("properties.owner.nestedArray[1].sk", "two2")) == ["c2"]
-    dog, pet = Q.text("dog"), Q.text("pet")
-    assert hits(cats, dog & Q.term(AGE, 34)) == []
-    assert hits(cats, pet & Q.term(AGE, 35)) == ["c3"]
-    assert hits(cats, pet) == ["c3"]
-    assert hits(cats, pet | Q.text("Bob")) == ["c2", "c3"]
-    assert hits(cats, dog | Q.term(AGE, 34)) == ["c2"]
-
-
-@pytest.mark.parametrize("low_in,high_in,want", [
-    (True, True, ["c1", "c2", "c3"]), (True, False, ["c1", "c2"]), (False, False, ["c2"])])
-def test_text_range(cats, low_in, high_in, want):
-    assert hits(cats, Q.range(NAME, "alice", "chris", low_in, high_in)) == want
-
-
-def test_free_text(cats):
-    assert hits(cats, "properties.owner.nestedTags") == []
-    assert hits(cats, "different") == ["c3"]
-    assert hits(cats, "totally") == ["c3"]
-    assert hits(cats, Q.text("totally") & Q.wildcard("properties.text", "testing*")) == []
-    assert hits(cats, Q.text("pet") | Q.text("sentence")) == ["c1", "c2", "c3"]
-    assert hits(cats, Q.prefix(None, "sent")) == ["c1", "c2"]
-    assert hits(cats, Q.wildcard(None, "tot?lly")) == ["c3"]
-    assert hits(cats, Q.prefix(None, "Kitty")) == []
-    assert hits(cats, Q.prefix(None, "Kitty 1")) == ["c1"]
-    assert hits(cats, Q.fuzzy(None, "sentenec")) == ["c1", "c2"]
-    assert hits(cats, Q.fuzzy("properties.text", "diferent")) == ["c3"]
-    assert hits(cats, Q.fuzzy("name", "Kitty1")) == ["c1", "c2", "c3"]
-
-
-def test_terms_with_ranges(cats):
-    terms = {"timestamp >": 12345678, AGE + " >=": 33}
-    assert ids(find.find_terms(cats, "cat", terms, True)) == ["c2", "c3"]
-    assert ids(find.find_terms(cats, "cat", terms, False)) == ["c1", "c2", "c3"]
-    assert ids(find.find_terms(cats, "cat", {"properties.owner.nestedArray[0].sk": "tri1"})) == ["c3"]
-    assert ids(find.find_terms(cats, "cat", {"properties.owner.nestedTags": "tri2"})) == ["c3"]
-
-
-def test_optional_should(cats):
-    age = Q.range(AGE, 34, "*")
-    assert hits(cats, Q.bool(must=[age], should=[Q.term(NAME, "alice")])) == ["c2", "c3"]
-    assert hits(cats, Q.bool(filter=[age], should=[Q.term(NAME, "alice")])) == ["c2", "c3"]
-    assert hits(cats, Q.bool(should=[Q.term(NAME, "alice")], must_not=[age])) == ["c1"]
-    assert hits(cats, Q.bool()) == ["c1", "c2", "c3"]
-    assert hits(cats, Q.match_all()) == ["c1", "c2", "c3"]
-    assert hits(cats, Q.boost(Q.term(NAME, "bob"), 3)) == ["c2"]
-
-
-def test_similar(cats):
-    text = {r["id"]: r["v"] for r in cats.select("id", F.explode("properties").alias("p"))
-            .filter("p.k = 'text'").select("id", "p.v").collect()}
-    field = ["properties.text"]
-    first = find_similar(cats, "cat", "c1", field, text["c2"]).orderBy(F.desc("score"))
-    assert in_order(first)[0] == "c2"
-    assert in_order(find_similar(cats, "cat", "c3", field, text["c3"])) == []
-    assert ids(find_similar(cats, "cat", None, field, text["c1"])) == ["c1", "c2"]
-
-
-def test_sort_by_property(cats):
-    for sort, want in [("properties.year:desc", ["c3", "c2", "c1"]),
-                       ("properties.year:asc", ["c1", "c2", "c3"]),
-                       ("properties.owner.age", ["c3", "c2", "c1"])]:
-        assert in_order(take_page(cats, Page(sort=sort))) == want
-
-
-def test_without_stored_words(cats):
+NAME, AGE, LOG = "properties.skipper.name", "properties.skipper.age", "properties.log"
+ALL = ["b1", "b2", "b3"]
+
+
+def hits(docs, query):
+    return ids(find.find_query(docs, "boat", query))
+
+
+@pytest.mark.parametrize("field,terms,want", [
+    (NAME, ["nadia", "PETRA"], ["b1", "b3"]), (NAME, ["Nad"], []), (AGE, [41, "52"], ["b1", "b3"]), (NAME, [], []),
+    ("properties.rig.crew", ["ivy", "sato"], ["b2", "b3"])])
+def test_in_list(boats, spark, field, terms, want):
+    assert ids(find.find_term_in_list(boats, "boat", field, terms)) == want
+    if terms:
+        table = spark.createDataFrame([(str(t),) for t in [*terms, None]], "t string")
+        assert ids(find.find_term_in_list(boats, "boat", field, table)) == want
+
+
+@pytest.mark.parametrize("query,want", [
+    (Q.prefix(NAME, "pet"), ["b3"]), (Q.prefix(NAME, "Pet"), []), (Q.wildcard(NAME, "*a"), ["b1", "b3"]),
+    (Q.wildcard(LOG, "paint*"), ["b1", "b2"]), (Q.fuzzy(LOG, "lihgthouse"), ["b3"]), (Q.fuzzy("name", "Heron7"), ALL)])
+def test_patterns_look_at_words(boats, query, want):
+    assert hits(boats, query) == want
+
+
+@pytest.mark.parametrize("query,want", [
+    (Q.text("Heron 8") & Q.term(AGE, 47), ["b2"]),
+    (Q.range("timestamp", 864000000, "*", include_low=False) & Q.range(AGE, "*", 47), ["b2"]),
+    (~Q.range(AGE, "*", 41), ["b2", "b3"]), (Q.term(NAME, "Petra"), ["b3"]), (Q.exists(AGE), ALL), (Q.term(AGE, "*"), ALL),
+    (Q.range(AGE), ALL), (Q.term("properties.rig.sails[1].code", "mb7"), ["b2"]),
+    (Q.term("properties.rig.sails[0].code", "mb7"), []), (Q.term("properties.rig.crew", "ivy"), ["b3"]),
+    (Q.text("canoe") & Q.term(AGE, 47), []), (Q.text("racing") & Q.term(AGE, 52), ["b3"]),
+    (Q.text("racing") | Q.text("Omar"), ["b2", "b3"]), (Q.text("canoe") | Q.term(AGE, 47), ["b2"]),
+    (Q.text("lighthouse") & Q.wildcard(LOG, "sail*"), []), (Q.text("wood") | Q.text("deck"), ALL)])
+def test_trees(boats, query, want):
+    assert hits(boats, query) == want
+
+
+@pytest.mark.parametrize("spelling", ["properties.built", "properties:built", "doc.properties.built"])
+def test_ways_to_name_a_property(boats, spelling):
+    assert hits(boats, Q.range(spelling, 1990, 2000)) == ["b2"]
+
+
+@pytest.mark.parametrize("low_in,high_in,want", [(True, True, ALL), (True, False, ["b1", "b2"]), (False, False, ["b2"])])
+def test_text_range(boats, low_in, high_in, want):
+    assert hits(boats, Q.range(NAME, "nadia", "petra", low_in, high_in)) == want
+
+
+@pytest.mark.parametrize("query,want", [
+    ("properties.rig.crew", []), ("lighthouse", ["b3"]), ("towed", ["b3"]), (Q.prefix(None, "pain"), ["b1", "b2"]),
+    (Q.wildcard(None, "eng?ne"), ["b3"]), (Q.prefix(None, "Heron"), []), (Q.prefix(None, "Heron 7"), ["b1"]),
+    (Q.fuzzy(None, "mendde"), ["b1", "b2"])])
+def test_without_a_field(boats, query, want):
+    assert hits(boats, query) == want
+
+
+def test_terms_with_ranges(boats):
+    terms = {"timestamp >": 864000000, AGE + " >=": 41}
+    assert ids(find.find_terms(boats, "boat", terms, True)) == ["b2", "b3"]
+    assert ids(find.find_terms(boats, "boat", terms, False)) == ALL
+    assert ids(find.find_terms(boats, "boat", {"properties.rig.sails[1].code": "tz6"})) == ["b3"]
+
+
+def test_optional_should(boats):
+    age, nadia = Q.range(AGE, 47, "*"), Q.term(NAME, "nadia")
+    assert hits(boats, Q.bool(must=[age], should=[nadia])) == ["b2", "b3"]
+    assert hits(boats, Q.bool(filter=[age], should=[nadia])) == ["b2", "b3"]
+    assert hits(boats, Q.bool(should=[nadia], must_not=[age])) == ["b1"]
+    assert hits(boats, Q.bool()) == hits(boats, Q.match_all()) == ALL
+    assert hits(boats, Q.boost(Q.term(NAME, "omar"), 3)) == ["b2"]
+
+
+def test_similar(boats):
+    log = {r["id"]: r["v"] for r in boats.select("id", F.explode("properties").alias("p"))
+           .filter("p.k = 'log'").select("id", "p.v").collect()}
+    assert ids(find_similar(boats, "boat", None, [LOG], log["b1"])) == ["b1", "b2"]
+    assert in_order(find_similar(boats, "boat", "b1", [LOG], log["b1"])) == ["b2"]
+    assert in_order(find_similar(boats, "boat", "b3", [LOG], log["b3"])) == []
+
+
+def test_similar_with_few_terms(boats):
+    """More words than a server would select by default: all of them count unless a number is given."""
+    like = "lighthouse " + " ".join(["calm water the crew painted deck and mended two sails"] * 2)
+    assert ids(find_similar(boats, "boat", None, [LOG], like)) == ["b1", "b2"]
+    assert ids(find_similar(boats, "boat", None, [LOG], "lighthouse the", max_terms=1)) == ["b3"]
+
+
+@pytest.mark.parametrize("sort,want", [("properties.built:desc", ALL[::-1]), ("properties.built:asc", ALL),
+                                       ("properties.skipper.age", ALL[::-1])])
+def test_sort_by_property(boats, sort, want):
+    assert in_order(take_page(boats, Page(sort=sort))) == want
+
+
+def test_without_stored_words(boats):
     """The same answers when the pairs hold no analysed words."""
-    plain = cats.withColumn("properties", F.transform("properties", lambda p: F.struct(
+    plain = boats.withColumn("properties", F.transform("properties", lambda p: F.struct(
         p["k"].alias("k"), p["v"].alias("v"), p["vn"].alias("vn"))))
-    for query in (Q.term(NAME, "Chris"), Q.text("sentence"), Q.exists(AGE),
-                  Q.range(NAME, "alice", "bob"), Q.fuzzy("properties.text", "diferent")):
-        assert hits(plain, query) == hits(cats, query)
+    for query in (Q.term(NAME, "Petra"), Q.text("deck"), Q.exists(AGE), Q.range(NAME, "nadia", "omar"),
+                  Q.fuzzy(LOG, "lihgthouse"), Q.range(AGE, 42, 60)):
+        assert hits(plain, query) == hits(boats, query)
+
+
+def test_properties_are_read_only_where_they_are_asked_for(spark):
+    rows = spark.createDataFrame([("x", "a", "boat", '{"k": 1}')], "id string, appid string, type string, properties string")
+    docs = normalize(rows)
+    plan = find.find_by_id(docs, "x").select("id")._jdf.queryExecution().optimizedPlan().toString()
+    assert "parse_json" not in plan and "variant" not in plan
+
+
+def test_integers_are_compared_exactly(spark):
+    big = 1 << 53
+    rows = spark.createDataFrame([(str(i), "a", big + i, f'{{"n": {big + i}}}') for i in range(3)],
+                                 "id string, appid string, size bigint, properties string")
+    docs = normalize(rows)
+    for query in (Q.text(str(big + 1)), Q.term("properties.n", str(big + 1)), Q.term("size", str(big + 1)),
+                  Q.range("properties.n", big + 1, big + 1)):
+        assert ids(find.find_query(docs, None, query)) == ["1"]
+
+
+@pytest.mark.parametrize("levels", [1, 7, 12, 30])
+def test_properties_of_any_depth(spark, levels):
+    inner = '{"n": 7, "s": "deep \\"{[ word"}'
+    for i in range(levels):
+        inner = f"[{inner}]" if i % 5 == 4 else f'{{"p{i}": {inner}}}'
+    rows = spark.createDataFrame([("x", "a", f'{{"top": {inner}}}')], "id string, appid string, properties string")
+    keys = [("0" if i % 5 == 4 else f"p{i}") for i in reversed(range(levels))]
+    name = "properties." + ".".join(["top", *keys])
+    docs = normalize(rows)
+    assert ids(find.find_query(docs, None, Q.range(name + ".n", 7, 7) & Q.term(name + ".s", "word"))) == ["x"]

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from docsift.functions.dates import parse_date
 from docsift.functions.keys import is_digits, nested_key, split_operator
-from docsift.functions.props import flatten_properties, properties_json
+from docsift.functions.props import properties_json, with_flattened
 from docsift.operators import find
 from docsift.operators.normalize import normalize, property_rows, restore
 from docsift.plans.predicates import Q
@@ -172,7 +172,7 @@ def test_flatten_in_one_stage(spark):
 
 def test_unanalysed_pairs(spark):
     df = spark.createDataFrame([('{"a":"X y"}',)], "p string")
-    short = df.select(flatten_properties(properties_json(F.col("p")), analysed=False).alias("x"))
+    short = with_flattened(df, "x", properties_json(F.col("p")), 1, analysed=False)
     assert short.schema["x"].dataType.elementType.fieldNames() == ["k", "v", "vn"]
-    full = df.select(flatten_properties(properties_json(F.col("p"))).alias("x")).first()["x"][0]
+    full = with_flattened(df, "x", properties_json(F.col("p")), 1).first()["x"][0]
     assert full["kt"] == ["a"] and full["vt"] == ["x", "y"]

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from docsift.operators.nearby import find_nearby, nearby_addresses, nearby_batch
+from docsift.plans.predicates import Q
 from workload.common import query, table
 
 LAT, LON, RADIUS = 50.0, 179.0, 2500
@@ -54,6 +55,28 @@ def nearby_parents(spark, sf):
     return find_nearby(_documents(spark, sf), "nation", "*", RADIUS, LAT, LON).select("id", "name")
 
 
+@query("nearby_parents_query", f"""SELECT CAST(n_nationkey AS BIGINT) AS id, n_name AS name FROM nation
+ WHERE n_nationkey IN (SELECT parentid FROM {SUPPLIERS} WHERE {NEAR}) AND n_name >= 'NATION_1'""")
+def nearby_parents_query(spark, sf):
+    tree = Q.range("name", "NATION_1", "*")
+    return find_nearby(_documents(spark, sf), "nation", tree, RADIUS, LAT, LON).select("id", "name")
+
+
+@query("nearby_batch_turned", f"""SELECT point_id, place_id, round(km, 6) AS km FROM (
+ SELECT c_custkey AS point_id, id AS place_id,
+  {_km(_lat('c_custkey * 53'), _lon('c_custkey * 17'), 'lat', 'lon')} AS km
+ FROM customer, {SUPPLIERS}) WHERE km <= {BATCH_RADIUS}""")
+def nearby_pairs_turned(spark, sf):
+    """The same pairs, with the places' longitudes written in 0..360."""
+    places = table(spark, sf, "supplier").select(
+        F.col("s_suppkey").alias("id"), F.expr(_lat("s_suppkey")).alias("lat"),
+        F.pmod(F.expr(_lon("s_suppkey")), F.lit(360.0)).alias("lon"))
+    points = table(spark, sf, "customer").select(
+        F.col("c_custkey").alias("point_id"), F.expr(_lat("c_custkey * 53")).alias("lat"),
+        F.expr(_lon("c_custkey * 17")).alias("lon"))
+    return nearby_batch(points, places, BATCH_RADIUS).select("point_id", "place_id", F.round("km", 6).alias("km"))
+
+
 @query("nearby_batch", f"""SELECT point_id, place_id, round(km, 6) AS km FROM (
  SELECT c_custkey AS point_id, id AS place_id,
   {_km(_lat('c_custkey * 53'), _lon('c_custkey * 17'), 'lat', 'lon')} AS km

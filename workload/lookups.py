@@ -18,8 +18,20 @@ def find_by_id(spark, sf):
 
 
 @query("find_by_ids", """SELECT o_orderkey AS id, o_totalprice AS total FROM orders
- WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE c_acctbal > 9000)""")
+ WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem WHERE l_quantity >= 49)""")
 def find_by_ids(spark, sf):
+    large = table(spark, sf, "lineitem").filter("l_quantity >= 49").select("l_orderkey")
+    return find.find_by_ids(orders(spark, sf), large).select("id", "total")
+
+
+@query("find_by_id_list", "SELECT o_orderkey AS id, o_totalprice AS total FROM orders WHERE o_orderkey IN (7, 33, 77)")
+def find_by_id_list(spark, sf):
+    return find.find_by_ids(orders(spark, sf), ["33", None, "77", "7"]).select("id", "total")
+
+
+@query("find_terms_in_table", """SELECT o_orderkey AS id, o_totalprice AS total FROM orders
+ WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE c_acctbal > 9000)""")
+def find_terms_in_table(spark, sf):
     rich = table(spark, sf, "customer").filter("c_acctbal > 9000").select("c_custkey")
     return find.find_term_in_list(orders(spark, sf), None, "creatorid", rich,
                                   MAPPING).select("id", "total")
@@ -125,6 +137,18 @@ def query_where(spark, sf):
     return find.find_query(parts(spark, sf), None, tree).select("id")
 
 
+BIG = "CAST(o_orderkey AS BIGINT) + 9007199254740992"
+
+
+@query("query_big_ids", f"""SELECT {BIG} AS id FROM orders
+ WHERE {BIG} IN (9007199254740993, 9007199254741069)""")
+def query_big_ids(spark, sf):
+    """Integers that doubles can't tell apart."""
+    docs = orders(spark, sf).withColumn("id", F.col("id") + 9007199254740992)
+    tree = Q.text("9007199254740993") | Q.term("id", "9007199254741069")
+    return find.find_query(docs, "order", tree, MAPPING).select("id")
+
+
 @query("query_free_text", """SELECT p_partkey AS id, p_name AS name FROM part
  WHERE list_contains(string_split(p_name, ' '), 'gear') OR p_name = 'red gear'
     OR list_contains(string_split(p_name, ' '), 'red')""")
@@ -147,6 +171,25 @@ def query_fuzzy(spark, sf):
         "id", "name")
 
 
+@query("query_prefix_any_field", """SELECT p_partkey AS id FROM part
+ WHERE p_name = 'red gear' OR list_has_any(string_split(p_name, ' '), ['red', 'gear'])
+  OR list_contains(string_split(p_name, ' '), 'red gear')""")
+def query_prefix_any_field(spark, sf):
+    """Without a field a prefix is compared with plain fields as it stands."""
+    return find.find_query(parts(spark, sf), None, Q.prefix(None, "red gear"), MAPPING).select("id")
+
+
+@query("query_wildcard_any_field", "SELECT p_partkey AS id FROM part WHERE false")
+def query_wildcard_any_field(spark, sf):
+    return find.find_query(parts(spark, sf), None, Q.wildcard(None, "r?d*"), MAPPING).select("id")
+
+
+@query("query_fuzzy_any_field", """SELECT p_partkey AS id FROM part
+ WHERE list_contains(string_split(p_name, ' '), 'gear')""")
+def query_fuzzy_any_field(spark, sf):
+    return find.find_query(parts(spark, sf), None, Q.fuzzy(None, "gear"), MAPPING).select("id")
+
+
 PAGE = 200
 
 

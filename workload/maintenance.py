@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from docsift.operators import find, hydrate, maintain
 from docsift.operators.rebuild import rebuild_index
+from docsift.plans.paging import Page, take_page
 from docsift.session import scratch_path
 from docsift.sources.versions import VersionedTable
 from workload.common import EVENTS_SQL, MAPPING, events, orders, query, table
@@ -55,7 +57,7 @@ def upsert_replace(spark, sf):
 def upsert_merge_large(spark, sf):
     """The way taken when a batch has too many keys to broadcast."""
     early, late = _halves(spark, sf, "merge")
-    return maintain.upsert(early, late, "merge", KEYS, small=False)
+    return maintain.upsert(early, late, "merge", KEYS, broadcast_bytes=0)
 
 
 OPS_SQL = """WITH ops AS (SELECT user_id AS id, event_id AS seq, event_type AS type,
@@ -98,6 +100,11 @@ def delete_by_any_term(spark, sf):
                                   match_all=False).select("id", "value")
 
 
+@query("delete_everything", "SELECT event_id AS id, value FROM events WHERE false")
+def delete_everything(spark, sf):
+    return maintain.unindex_terms(events(spark, sf), None, allow_all=True).select("id", "value")
+
+
 @query("drop_tenant", f"SELECT appid, type, count(*) AS n FROM ({EVENTS_SQL}) "
                       "WHERE appid <> 'u3' GROUP BY ALL")
 def drop_tenant(spark, sf):
@@ -111,6 +118,18 @@ def rebuild(spark, sf):
     return rebuild_index(events(spark, sf, spread=True), index)
 
 
+@query("rebuild_into_existing", f"""SELECT appid, count(*) AS n, sum(CASE WHEN value >= 40 THEN 1 ELSE 0 END) AS fresh
+ FROM ({EVENTS_SQL}) GROUP BY appid""")
+def rebuild_into_existing(spark, sf):
+    """A second build into a version that exists: its documents stay beside the new ones, which replace theirs."""
+    index = VersionedTable(spark, scratch_path(spark, "index"), ("appid",))
+    every = events(spark, sf, spread=True)
+    rebuild_index(every.withColumn("run", F.lit(1)), index, "all")
+    rebuild_index(every.filter("value >= 40").withColumn("run", F.lit(2)), index, "all")
+    return index.read().groupBy("appid").agg(F.count(F.lit(1)).alias("n"), F.sum(
+        F.when(F.col("run") == 2, 1).otherwise(0)).alias("fresh"))
+
+
 @query("rebuild_and_search", f"""SELECT id, type, value FROM ({EVENTS_SQL})
  WHERE appid = 'u5' AND CAST(json_extract(props, '$.k') AS BIGINT) >= 50""")
 def rebuild_and_search(spark, sf):
@@ -154,6 +173,27 @@ def hydrate_hits(spark, sf):
     return full.select("id", "status", F.round("total", 6).alias("total"))
 
 
+@query("hydrate_page", """SELECT CAST(row_number() OVER (ORDER BY o_totalprice DESC, o_orderkey) AS INT) AS rank,
+ o_orderkey AS id, o_orderstatus AS status,
+ round(CASE WHEN o_orderstatus <> 'P' THEN o_totalprice + 1 ELSE o_totalprice END, 6) AS total
+ FROM orders WHERE o_orderpriority = '1-URGENT' ORDER BY o_totalprice DESC, o_orderkey LIMIT 50""")
+def hydrate_page(spark, sf):
+    """A ranked page of hits, completed from the records and in the order of the hits."""
+    hits = find.find_terms(orders(spark, sf), "order", {"priority": "1-URGENT"}, True, MAPPING)
+    page = take_page(hits, Page(limit=50, sort="total"))
+    page = page.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("total"), "id")))
+    full = hydrate.hydrate(page, _records(spark, sf), KEYS)
+    return full.orderBy("rank").select("rank", "id", "status", F.round("total", 6).alias("total"))
+
+
+@query("hydrate_raw", """SELECT o_orderkey AS id, o_orderstatus AS status, o_totalprice AS total
+ FROM orders WHERE o_orderpriority = '1-URGENT'""")
+def hydrate_raw(spark, sf):
+    """The hits as the index has them; the system of record isn't read."""
+    hits = find.find_terms(orders(spark, sf), "order", {"priority": "1-URGENT"}, True, MAPPING)
+    return hydrate.hydrate(hits, _records(spark, sf), KEYS, read_from_index=True).select("id", "status", "total")
+
+
 @query("orphan_report", """SELECT o_orderkey AS id FROM orders
  WHERE o_orderpriority = '1-URGENT' AND o_orderstatus = 'P'""")
 def orphan_report(spark, sf):

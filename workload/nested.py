@@ -40,6 +40,55 @@ def flatten_deep(spark, sf):
     return property_rows(rows, "json", ["id"])
 
 
+LEVELS = 13
+
+
+def _deep(spark, sf):
+    """The order's key and status at the bottom of many nested objects and arrays."""
+    node = "named_struct('n', o_orderkey, 's', o_orderstatus)"
+    for level in range(LEVELS - 1):
+        node = f"array({node})" if level % 4 == 3 else f"named_struct('l{level}', {node})"
+    return table(spark, sf, "orders", spread=True).select(
+        F.col("o_orderkey").alias("id"), F.lit("a").alias("appid"), F.expr(f"to_json(named_struct('top', {node}))")
+        .alias("properties"))
+
+
+def _deep_key() -> str:
+    steps = ["0" if level % 4 == 3 else f"l{level}" for level in reversed(range(LEVELS - 1))]
+    return "-".join(["top", *steps])
+
+
+@query("flatten_deepest", f"""SELECT o_orderkey AS id, '{_deep_key()}-n' AS k, CAST(NULL AS VARCHAR) AS v,
+  CAST(o_orderkey AS DOUBLE) AS vn FROM orders
+ UNION ALL SELECT o_orderkey, '{_deep_key()}-s', o_orderstatus, NULL FROM orders""")
+def flatten_deepest(spark, sf):
+    return property_rows(_deep(spark, sf), "properties", ["id"])
+
+
+@query("nested_deepest", "SELECT o_orderkey AS id FROM orders WHERE o_orderkey >= 500 AND o_orderstatus = 'F'")
+def nested_deepest(spark, sf):
+    key = "properties." + _deep_key().replace("-", ".")
+    tree = Q.range(key + ".n", 500, "*") & Q.term(key + ".s", "f")
+    return find.find_query(normalize(_deep(spark, sf)), None, tree).select("id")
+
+
+@query("nested_terms_in_table", """SELECT o_orderkey AS id FROM orders
+ WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE c_acctbal > 9000)""")
+def nested_terms_in_table(spark, sf):
+    rich = table(spark, sf, "customer").filter("c_acctbal > 9000").select("c_custkey")
+    docs = normalize(order_documents(spark, sf))
+    return find.find_term_in_list(docs, "order", "properties.customer.id", rich).select("id")
+
+
+@query("nested_big_numbers", """SELECT o_orderkey AS id FROM orders WHERE o_orderkey IN (1, 77)""")
+def nested_big_numbers(spark, sf):
+    rows = table(spark, sf, "orders", spread=True).select(
+        F.col("o_orderkey").alias("id"), F.lit("a").alias("appid"),
+        F.to_json(F.struct((F.col("o_orderkey") + 9007199254740992).alias("n"))).alias("properties"))
+    tree = Q.term("properties.n", "9007199254740993") | Q.range("properties:n", 9007199254741069, 9007199254741069)
+    return find.find_query(normalize(rows), None, tree).select("id")
+
+
 @query("normalize_documents", f"""SELECT id, strftime(t, '{DAY}') AS at, k, vn FROM (
  SELECT event_id AS id, 'k' AS k, CAST(json_extract(props, '$.k') AS DOUBLE) AS vn,
   CASE event_id % 5 WHEN 0 THEN date_trunc('second', ts) WHEN 1 THEN date_trunc('second', ts)
@@ -166,13 +215,17 @@ def find_nested_query(spark, sf):
         F.col("l_quantity").alias("quantity"))
 
 
-@query("find_nested_text", """SELECT conv_id, turn FROM conversations
- WHERE list_has_any(regexp_extract_all(lower(text), '[\\p{L}\\p{N}_]+(?:[.''’][\\p{L}\\p{N}_]+)*'),
-  ['the', 'et'])""")
+@query("find_nested_text", """SELECT conv_id, turn FROM (
+ SELECT conv_id, turn, unnest(string_split(text, '.')) AS line FROM conversations)
+ WHERE list_contains(regexp_extract_all(lower(line), '[\\p{L}\\p{N}_]+(?:[.''’][\\p{L}\\p{N}_]+)*'), 'the')
+  AND list_contains(regexp_extract_all(lower(line), '[\\p{L}\\p{N}_]+(?:[.''’][\\p{L}\\p{N}_]+)*'), 'of')
+ GROUP BY ALL""")
 def find_nested_text(spark, sf):
-    docs = table(spark, sf, "conversations", spread=True).withColumn(
-        "nstd", F.array(F.struct(F.struct("role", "text").alias("properties"))))
-    return find.find_nested_query(docs, None, "properties.text", "the et").select("conv_id", "turn")
+    """Both words in one and the same sentence of a turn."""
+    docs = table(spark, sf, "conversations", spread=True).withColumn("nstd", F.transform(
+        F.split("text", "[.]"), lambda s: F.struct(F.struct(s.alias("text")).alias("properties"))))
+    tree = Q.match("properties.text", "the") & Q.match("properties.text", "of")
+    return find.find_nested_query(docs, None, None, tree).select("conv_id", "turn")
 
 
 @query("sort_nested_numeric", """SELECT o_orderkey AS id, o_totalprice AS total FROM orders

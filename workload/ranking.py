@@ -85,10 +85,11 @@ def nested_score_avg(spark, sf):
     return hits.select("id", F.round("score", 6).alias("score"))
 
 
-def _picked(text: str) -> str:
+def _picked(text: str, most: int | None = None) -> str:
     """SQL: the selected terms of one text."""
+    limit = "" if most is None else f" LIMIT {most}"
     return f"""picked AS (SELECT term, df FROM {_asked(text)} q JOIN df USING (term) CROSS JOIN st
-  ORDER BY round(qtf * (ln((n + 1.0) / (df + 1.0)) + 1.0), 9) DESC, term LIMIT 25),
+  ORDER BY round(qtf * (ln((n + 1.0) / (df + 1.0)) + 1.0), 9) DESC, term{limit}),
  need AS (SELECT greatest(1, CAST(floor(count(*) * 70 / 100) AS INT)) AS need FROM picked),
  alike AS (SELECT id, sum({IDF} * {TF}) AS score FROM tf JOIN picked USING (term)
   JOIN dl USING (id) CROSS JOIN st GROUP BY id
@@ -106,6 +107,58 @@ def find_similar(spark, sf):
     return hits.select("id", F.round("score", 6).alias("score"))
 
 
+@query("find_similar_some", f"""{_counted(DOCUMENTS)}, {_picked(LIKE, 25)}
+ SELECT id, round(score, 6) AS score FROM alike""")
+def find_similar_some(spark, sf):
+    """Only the 25 most telling words of the text are selected."""
+    like = table(spark, sf, "benchmark").filter("item_id = 1").select("text").scalar()
+    hits = relevance.find_similar(_documents(spark, sf), None, None, ["text"], like, TEXT_MAPPING, max_terms=25)
+    return hits.select("id", F.round("score", 6).alias("score"))
+
+
+def _two_fields(first: str, second: str, like: str) -> str:
+    """SQL: similarity over two text fields (id, a, b) of a table; each field selects its own words."""
+    def one(name: str, col: str) -> str:
+        part = (_counted(f"SELECT id, {col} AS text FROM pairs_of_text") + f""",
+ picked AS (SELECT term, df FROM {_asked(like)} q JOIN df USING (term)),
+ alike AS (SELECT id, count(*) AS m, sum({IDF} * {TF}) AS score FROM tf JOIN picked USING (term)
+  JOIN dl USING (id) CROSS JOIN st GROUP BY id)
+ SELECT id, m, score, (SELECT count(*) FROM picked) AS n FROM alike""")
+        return f"{name} AS ({part})"
+    return f"""WITH pairs_of_text AS (SELECT conv_id * 1000 + turn AS id, {first} AS a, {second} AS b
+  FROM conversations), {one('fa', 'a')}, {one('fb', 'b')}
+ SELECT id, round(coalesce(fa.score, 0) + coalesce(fb.score, 0), 6) AS score FROM fa FULL JOIN fb USING (id)
+ WHERE coalesce(fa.m, 0) + coalesce(fb.m, 0) >= greatest(1, CAST(floor(
+  ((SELECT coalesce(max(n), 0) FROM fa) + (SELECT coalesce(max(n), 0) FROM fb)) * 70 / 100) AS INT))"""
+
+
+REVERSED = "reverse(text)"
+ONE_TURN = "(SELECT text || ' ' || reverse(text) FROM conversations WHERE conv_id = 0 AND turn = 0)"
+
+
+def _talk(spark, sf):
+    talk = table(spark, sf, "conversations", spread=True)
+    docs = talk.select((F.col("conv_id") * 1000 + F.col("turn")).alias("id"), F.col("text").alias("said"),
+                       F.reverse("text").alias("mirrored"))
+    first = talk.filter("conv_id = 0 AND turn = 0")
+    return docs, first.select(F.concat_ws(" ", "text", F.reverse("text"))).scalar()
+
+
+@query("find_similar_two_fields", _two_fields("text", REVERSED, ONE_TURN))
+def find_similar_two_fields(spark, sf):
+    docs, like = _talk(spark, sf)
+    hits = relevance.find_similar(docs, None, None, ["said", "mirrored"], like, TEXT_MAPPING)
+    return hits.select("id", F.round("score", 6).alias("score"))
+
+
+@query("find_similar_any_field", _two_fields("text", REVERSED, ONE_TURN))
+def find_similar_any_field(spark, sf):
+    """No field is named, so all text fields are searched."""
+    docs, like = _talk(spark, sf)
+    hits = relevance.find_similar(docs, None, None, None, like, TEXT_MAPPING)
+    return hits.select("id", F.round("score", 6).alias("score"))
+
+
 TURNS = "SELECT conv_id * 1000 + turn AS id, text FROM conversations"
 ROLES = "SELECT conv_id * 1000 + turn AS id, role AS text FROM conversations"
 SAID = "(SELECT text FROM conversations WHERE conv_id = 0 AND turn = 0)"
@@ -147,9 +200,7 @@ def bm25_batch(spark, sf):
 
 
 @query("find_similar_batch", f"""{_counted(DOCUMENTS)}, {PROBES},
- picked AS (SELECT query_id, term, df FROM asked JOIN df USING (term) CROSS JOIN st
-  QUALIFY row_number() OVER (PARTITION BY query_id
-   ORDER BY round(qtf * (ln((n + 1.0) / (df + 1.0)) + 1.0), 9) DESC, term) <= 25),
+ picked AS (SELECT query_id, term, df FROM asked JOIN df USING (term)),
  need AS (SELECT query_id, greatest(1, CAST(floor(count(*) * 70 / 100) AS INT)) AS need
   FROM picked GROUP BY ALL),
  s AS (SELECT query_id, id, count(*) AS m, sum({IDF} * {TF}) AS score FROM tf
