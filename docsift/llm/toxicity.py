@@ -267,6 +267,9 @@ def _fit(scorer: Scorer, rows: DataFrame, prior: float) -> None:
     table = rows.mapInArrow(measure, "x array<double>, toxic int").toArrow()
     x = np.array(table.column("x").to_pylist(), float).reshape(-1, FEATURES)
     y = table.column("toxic").to_numpy().astype(float)
+    if not len(x):  # no labelled document is there
+        scorer.coefficients[0] = log(prior / (1 - prior))
+        return
     scorer.mean, scorer.scale = x.mean(0), np.maximum(x.std(0), 1e-6)
     x = np.column_stack([np.ones(len(x)), (x - scorer.mean) / scorer.scale])
     w, ridge = np.zeros(FEATURES + 1), np.diag([1e-3, *[0.3] * FEATURES])
@@ -276,7 +279,7 @@ def _fit(scorer: Scorer, rows: DataFrame, prior: float) -> None:
         w += step
         if np.abs(step).max() < 1e-8:
             break
-    share = y.mean()
+    share = min(max(y.mean(), 1e-6), 1 - 1e-6)
     w[0] += log(prior / (1 - prior)) - log(share / (1 - share))
     scorer.coefficients = w
 
