@@ -8,7 +8,7 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from docsift.llm.components import components
@@ -18,10 +18,9 @@ from docsift.llm.texts import WORDS, chunks, materialize, mix, pick, shingle_set
 SHARE = 75
 # Largest set for which subsets are considered at all.
 LARGEST_SMALL = 14
-# Shingles that a task counts together, and how often one must occur among them to be reported as common.
-COUNTED = 4_000_000
-COMMON, COMMON_PER_SET = 4, 1 / 200
-# Most common shingles that are told to the tasks (8 bytes each). They only set the order in which
+# Shingles that a task counts together, and in how many different sets one must be to be reported as common.
+COUNTED, COMMON = 8_000_000, 2
+# Most common shingles that are told to the tasks (12 bytes each). They only set the order in which
 # shingles are indexed; the result is the same with any number of them.
 TOLD = 2_000_000
 
@@ -50,6 +49,7 @@ def _survey(docs: DataFrame, words: int) -> DataFrame:
 
     def survey(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
+        seen: set[int] = set()
 
         def rows(kind, x, n, y, ids=None):
             size = len(n)
@@ -60,7 +60,8 @@ def _survey(docs: DataFrame, words: int) -> DataFrame:
 
         def summed():
             values, counts = np.unique(np.concatenate(held), return_counts=True)
-            common = counts >= max(COMMON, len(held) * COMMON_PER_SET)
+            seen.clear()
+            common = counts >= COMMON
             yield rows(1, values[common].view(np.int64), counts[common], counts[common])
             small = [s for s in held if len(s) <= LARGEST_SMALL]
             if small:
@@ -75,8 +76,11 @@ def _survey(docs: DataFrame, words: int) -> DataFrame:
             sets = shingle_sets(batch.column("text"), words)
             nodes = _nodes(sets)
             yield rows(0, nodes, [len(s) for s in sets], nodes, batch.column("id"))
-            held += [s for s in sets if len(s)]
-            total += sum(map(len, sets))
+            for node, s in zip(nodes.tolist(), sets):
+                if len(s) and node not in seen:
+                    seen.add(node)
+                    held.append(s)
+                    total += len(s)
             if total >= COUNTED:
                 yield from summed()
                 total = 0
@@ -102,10 +106,20 @@ def boundary(sizes: list[tuple[int, int, int, int]], share: int = SHARE) -> int:
     return best
 
 
-def _postings(docs: DataFrame, common: np.ndarray, x: int, words: int, share: int) -> DataFrame:
+def _shared(na: Column, nb: Column, share: int = SHARE) -> Column:
+    """Keys of the inverted lists that linked sets of na and nb shingles have in common, at least.
+
+    They have t shingles in common, and all but the last ceil(0.75 n) - 1 of a set are its keys. Sets are in
+    the same order, so the first of the common shingles are keys on both sides.
+    """
+    t = F.ceil((na + nb) * share / (100 + share))
+    return F.least(*[t - F.ceil(n * share / 100) + 1 for n in (na, nb)])
+
+
+def _postings(docs: DataFrame, common: tuple[np.ndarray, np.ndarray], x: int, words: int, share: int) -> DataFrame:
     """(h, node, n): keys under which linked sets meet. A set of up to x shingles gives the hash of each
-    subset; a set that may link with one above x gives its first shingles, rare ones before common ones: two
-    linked sets have one of these in common. Copies within a task are given once."""
+    subset; a set that may link with one above x gives its first shingles, the rare before the common: two
+    linked sets have one of these in common, and mostly many (see `_shared`). Copies within a task are given once."""
     shared = docs.sparkSession.sparkContext.broadcast(common)
 
     def keys(s: np.ndarray) -> Iterator[np.ndarray]:
@@ -115,11 +129,10 @@ def _postings(docs: DataFrame, common: np.ndarray, x: int, words: int, share: in
                 parts = np.array(list(combinations(mix(s, 3).tolist(), c)), np.uint64)
                 yield mix(parts.sum(axis=1), 4 + c)
         if n >= _needed(x + 1, share):
-            known, order = shared.value, s
+            (known, often), order = shared.value, s
             if len(known):
                 at = np.minimum(np.searchsorted(known, s), len(known) - 1)
-                usual = known[at] == s
-                order = np.concatenate((s[~usual], s[usual]))
+                order = s[np.argsort(np.where(known[at] == s, often[at], 0), kind="stable")]
             yield order[:n - _needed(n, share) + 1]
 
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -144,7 +157,7 @@ def _postings(docs: DataFrame, common: np.ndarray, x: int, words: int, share: in
 def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows (h, node, n) in order: those of keys with at least two nodes, and the first node of each as
     its hub. Goes through lists of any length without holding them."""
-    last = None  # the row before, its hub, and whether it was passed on
+    last = None  # the row before, with its hub
     for batch in batches:
         h, node, n = (batch.column(c).to_numpy() for c in ("h", "node", "n"))
         if not len(h):
@@ -154,17 +167,20 @@ def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         again = np.zeros(len(h), bool)
         again[1:] = (h[1:] == h[:-1]) & (node[1:] == node[:-1])
         start = np.append(True, h[1:] != h[:-1])
-        hub = node[np.maximum.accumulate(np.where(start, np.arange(len(h)), 0))]
-        if last and last[3] is not None:
-            hub[:int(np.argmax(start[1:])) + 1 if start[1:].any() else len(h)] = last[3]
+        begin = np.maximum.accumulate(np.where(start, np.arange(len(h)), 0))
+        hub, size = node[begin], n[begin]
+        if last:
+            first_run = int(np.argmax(start[1:])) + 1 if start[1:].any() else len(h)
+            hub[:first_run], size[:first_run] = last[3], last[4]
         out = (node != hub) & ~again
         first = np.zeros(len(h), bool)  # hubs whose list goes on with another node
         first[:-1] = (node[:-1] == hub[:-1]) & (h[1:] == h[:-1]) & (node[1:] != hub[1:])
         out |= first
         if last:
             out[0] = first[0]
-        yield pa.RecordBatch.from_arrays([pa.array(a[out]) for a in (h, node, n, hub)], ["h", "node", "n", "hub"])
-        last = (h[-1], node[-1], n[-1], hub[-1])
+        yield pa.RecordBatch.from_arrays([pa.array(a[out]) for a in (h, node, n, hub, size)],
+                                         ["h", "node", "n", "hub", "hub_n"])
+        last = (h[-1], node[-1], n[-1], hub[-1], size[-1])
 
 
 def _blobs(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
@@ -178,8 +194,7 @@ def _blobs(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
                 [batch.column("node").filter(pa.array(own)),
                  pa.array([s.tobytes() for s, o in zip(sets, own) if o], pa.binary())], ["node", "shingles"])
 
-    found = docs.join(wanted, "id").mapInArrow(build, "node long, shingles binary")
-    return found.dropDuplicates(["node"])
+    return docs.join(wanted, "id").mapInArrow(build, "node long, shingles binary")
 
 
 def _verify(pairs: DataFrame, blobs: DataFrame, share: int) -> DataFrame:
@@ -205,17 +220,50 @@ def _verify(pairs: DataFrame, blobs: DataFrame, share: int) -> DataFrame:
     return pairs.join(one, "a").join(two, "b").mapInArrow(compare, "a long, b long")
 
 
-def _cross(matched: DataFrame, comp: DataFrame, share: int) -> DataFrame:
-    """Pairs (a, b) that share a key, could be similar by their sizes, and aren't connected yet."""
+def _alike(na: Column, nb: Column, share: int) -> Column:
+    return (na * 100 >= nb * share) & (nb * 100 >= na * share)
+
+
+def _stars(matched: DataFrame, x: int, share: int) -> DataFrame:
+    """One pair (a, b) for each node that may link with the hub of some of its lists; the hub with which it
+    shares most keys. The hub of a list is the node whose keys are shared most: among the copies of a
+    document that is the one they were made from, rather than another copy."""
+    length = matched.groupBy("h").agg(F.count("*").alias("length"))
+    weight = matched.join(length, "h").groupBy("node").agg(F.sum("length").alias("weight"))
+    rows = matched.join(weight, "node")
+    hubs = rows.groupBy("h").agg(F.max(F.struct("weight", "node", "n")).alias("hub"))
+    near = rows.join(hubs, "h").select("node", "n", F.col("hub.node").alias("hub"), F.col("hub.n").alias("hub_n"))
+    least = F.when(F.greatest("n", "hub_n") <= x, 1).otherwise(_shared(F.col("n"), F.col("hub_n"), share))
+    return (near.filter((F.col("node") != F.col("hub")) & _alike(F.col("n"), F.col("hub_n"), share))
+            .groupBy("node", "n", "hub", "hub_n").agg(F.count("*").alias("c")).filter(F.col("c") >= least)
+            .groupBy("node").agg(F.max(F.struct("c", "hub")).alias("best"))
+            .select(F.col("node").alias("a"), F.col("best.hub").alias("b")))
+
+
+def _cross(matched: DataFrame, comp: DataFrame, x: int, share: int) -> DataFrame:
+    """Pairs (a, b) that share as many keys as linked sets of their sizes do, and aren't connected yet.
+
+    Only keys that several components have count. Two nodes that must share t of their k keys have one of the
+    first k - t + 1 in common, keys of short lists first; so a pair meets under few keys, and never when
+    either node has fewer than t. The keys of a pair that has met are then counted.
+    """
     rows = matched.join(comp, "node", "left").select("h", "node", "n", F.coalesce("comp", "node").alias("comp"))
-    mixed = (rows.groupBy("h").agg(F.min("comp").alias("low"), F.max("comp").alias("high"))
-             .filter("low <> high").select("h"))
-    rows = materialize(rows.join(mixed, "h"), "mixed")
-    a = rows.select("h", F.col("node").alias("a"), F.col("n").alias("na"), F.col("comp").alias("ca"))
-    b = rows.select("h", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("comp").alias("cb"))
-    near = (F.col("na") * 100 >= F.col("nb") * share) & (F.col("nb") * 100 >= F.col("na") * share)
-    return a.join(b, "h").filter((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & near).select(
-        "a", "b").distinct()
+    mixed = (rows.groupBy("h").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("size"))
+             .filter("low <> high").select("h", "size"))
+    whole = Window.partitionBy("node")
+    rows = materialize(rows.join(mixed, "h").select(
+        "h", "node", "n", "comp", F.count("*").over(whole).alias("k"),
+        F.row_number().over(whole.orderBy("size", "h")).alias("at")), "mixed")
+    a, b = (rows.select("h", F.col("node").alias(side), *[F.col(c).alias(c + side) for c in ("n", "comp", "k", "at")])
+            for side in "ab")
+    least = F.when(F.greatest("na", "nb") <= x, 1).otherwise(_shared(F.col("na"), F.col("nb"), share))
+    met = a.join(b, "h").filter(
+        (F.col("a") < F.col("b")) & (F.col("compa") != F.col("compb")) & _alike(F.col("na"), F.col("nb"), share)
+        & (F.col("ata") <= F.col("ka") - least + 1) & (F.col("atb") <= F.col("kb") - least + 1))
+    met = materialize(met.select("a", "b", "na", "nb").distinct(), "met")
+    keys = materialize(rows.groupBy("node").agg(F.collect_list("h").alias("keys")), "keys")
+    one, two = (keys.select(F.col("node").alias(side), F.col("keys").alias("k" + side)) for side in "ab")
+    return met.join(one, "a").join(two, "b").filter(F.size(F.array_intersect("ka", "kb")) >= least).select("a", "b")
 
 
 def join(docs: DataFrame, words: int = WORDS, share: int = SHARE, id_col: str = "doc_id",
@@ -236,8 +284,11 @@ def join(docs: DataFrame, words: int = WORDS, share: int = SHARE, id_col: str =
     survey = materialize(_survey(rows, words), "survey")
     sets = survey.filter("kind = 0").select("id", F.col("n").alias("n_shingles"), F.col("x").alias("node"))
     common = (survey.filter("kind = 1").groupBy("x").agg(F.sum("n").alias("n"))
-              .orderBy(F.desc("n"), "x").limit(TOLD).select("x").toArrow())
-    common = np.sort(common.column("x").to_numpy().astype(np.int64).view(np.uint64))
+              .orderBy(F.desc("n"), "x").limit(TOLD).toArrow())
+    known = common.column("x").to_numpy().astype(np.int64).view(np.uint64)
+    order = np.argsort(known)
+    often = np.minimum(common.column("n").to_numpy(), 1 << 30).astype(np.int32)
+    common = known[order], often[order]
     windows = max(1, survey.filter("kind = 2 and x = 0").count())
     sizes = [(r["x"], r["n"], r["y"], windows) for r in
              survey.filter("kind = 2").groupBy("x").agg(F.sum("n").alias("n"), F.sum("y").alias("y")).collect()]
@@ -246,22 +297,22 @@ def join(docs: DataFrame, words: int = WORDS, share: int = SHARE, id_col: str =
     own = rows.filter(F.col("id").isNotNull())
     postings = _postings(own.select("text"), common, x, words, share)
     matched = materialize(postings.repartition("h").sortWithinPartitions("h", "node").mapInArrow(
-        runs, "h long, node long, n int, hub long"), "matched")
+        runs, "h long, node long, n int, hub long, hub_n int").select("h", "node", "n"), "matched")
+
+    first = sets.filter("id is not null").groupBy("node").agg(F.min("id").alias("id"))
 
     def wanted(pairs):
-        nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-        return sets.filter("id is not null").groupBy("node").agg(F.min("id").alias("id")).join(nodes, "node")
+        return first.join(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "node")
 
-    stars = (matched.filter("node <> hub").groupBy("node", "hub").agg(F.count("*").alias("c"))
-             .groupBy("node").agg(F.max_by("hub", F.struct("c", "hub")).alias("hub"))
-             .select(F.col("node").alias("a"), F.col("hub").alias("b")))
+    stars = _stars(matched, x, share)
     stars = materialize(stars, "stars")
-    blobs = materialize(_blobs(own, wanted(matched.select(F.col("node").alias("a"), F.col("hub").alias("b"))), words),
-                        "sets")
+    blobs = materialize(_blobs(own, wanted(stars), words), "sets")
     links = materialize(_verify(stars, blobs, share), "links")
-    crossing = materialize(_cross(matched, components(links), share), "crossing")
-    more = materialize(_verify(crossing, blobs, share), "links")
-    comp = components(links.union(more))
+    crossing = materialize(_cross(matched, components(links), x, share), "crossing")
+    missing = materialize(wanted(crossing).join(blobs.select("node"), "node", "left_anti"), "wanted")
+    if not missing.isEmpty():
+        blobs = blobs.unionByName(materialize(_blobs(own, missing, words), "sets"))
+    comp = components(links.union(_verify(crossing, blobs, share)))
     found = sets.join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     least = found.filter("n_shingles > 0").groupBy("comp").agg(F.min("id").alias("least"))
     return found.join(least, "comp", "left").select(
