@@ -103,9 +103,10 @@ def _in_order(docs: DataFrame, parts: int) -> DataFrame:
                                               "part int, top long, above int"))
     led = rows.join(heads, "part")
     at_top = F.col("doc_id").eqNullSafe(F.col("top"))
-    first = F.broadcast(led.filter(at_top).groupBy("part").agg(F.min("text").alias("lead")))
+    first = F.broadcast(led.filter(at_top).groupBy("part").agg(
+        F.min(F.coalesce("text", F.lit(""))).alias("lead")))
     led = led.join(first, "part")
-    lead = at_top & F.coalesce("text", F.lit("")).eqNullSafe(F.coalesce("lead", F.lit("")))
+    lead = at_top & F.coalesce("text", F.lit("")).eqNullSafe(F.col("lead"))
     own, after = F.struct("part", F.lit(0).alias("tail")), F.struct(F.col("above").alias("part"), F.lit(1).alias("tail"))
     return led.select(F.explode(F.when(lead, F.array(own, after)).otherwise(F.array(own))).alias("at"),
                       "doc_id", "text").select("at.*", "doc_id", "text")
