@@ -152,6 +152,7 @@ def find_query(docs: DataFrame, type: str | None, query: Query | str | None,
     """A predicate tree, or a plain text that may occur in any field; `*` means everything.
 
     A text that holds operators of a query string raises: it would be searched for as words otherwise.
+    For ranked hits give the tree to `relevance.score_query`.
     """
     if query is None or (isinstance(query, str) and _blank(query)):
         return nothing(docs)

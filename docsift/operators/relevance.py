@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -18,7 +19,7 @@ from docsift.functions import keys
 from docsift.functions.text import count_of, let, term_counts, tokens
 from docsift.operators.find import nothing, scope
 from docsift.plans.once import with_once
-from docsift.plans.predicates import Fields, Query, condition
+from docsift.plans.predicates import Bool, Boost, Fields, Match, Nested, Query, Text, condition
 from docsift.plans.skew import salted_join
 from docsift.schema import DEFAULT_MAPPING, PROPS, FieldMapping
 from docsift.session import materialize
@@ -186,6 +187,81 @@ def search_nested(docs: DataFrame, path: str, field: str, query: str | Column,
             .drop("_words", "_scores", "_q"))
 
 
+# ---------------------------------------------------------------- scored trees
+
+class _Tree:
+    """Collects what the scored leaves of a predicate tree need: words per field, statistics per leaf."""
+
+    def __init__(self, docs: DataFrame, mapping: FieldMapping):
+        self.docs, self.mapping = docs, mapping
+        self.fields = Fields(docs.schema, mapping)
+        self.words: dict[str, str] = {}
+        self.stats: dict[str, Column] = {}
+
+    def _matched(self, field: str, value: str) -> Column:
+        """BM25 of a text field; statistics are those of all documents."""
+        words = self.words.setdefault(field, f"_w{len(self.words)}")
+        name, asked = f"_q{len(self.stats)}", tokens(F.lit(value))
+        units = self.docs.select(_words(self.docs, field, self.mapping).alias("words"))
+        self.stats[name] = _subquery(_weighted(_term_stats(units, asked), asked))
+        return F.when(F.size(words) > 0, _score(F.col(words), F.col(name))).otherwise(0.0)
+
+    def _objects(self, query: Nested) -> Column:
+        """Mean score of the objects that match: BM25 for a text in one field, else 1 each."""
+        kind = self.fields.type_of(query.path).elementType
+        inner = query.query
+        objects = F.filter(F.col(query.path), lambda o: F.coalesce(
+            inner.compile(Fields(kind, self.mapping, o)), F.lit(False)))
+        if not isinstance(inner, Match) or not Fields(kind, self.mapping).is_text(inner.field):
+            return F.when(F.size(objects) > 0, 1.0).otherwise(0.0)
+
+        def words_of(o: Column) -> Column:
+            return tokens(Fields(kind, self.mapping, o).column(inner.field))
+
+        name, asked = f"_q{len(self.stats)}", tokens(F.lit(inner.value))
+        units = self.docs.select(F.explode(F.transform(query.path, words_of)).alias("words"))
+        self.stats[name] = _subquery(_weighted(_term_stats(units, asked), asked))
+        scores = F.transform(objects, lambda o: _score(words_of(o), F.col(name)))
+        return let(scores, lambda s: F.when(F.size(s) > 0, _sum(s) / F.size(s)).otherwise(0.0))
+
+    def score(self, query: Query) -> Column:
+        """The score that a document gets from `query`; 0 where it does not match."""
+        if isinstance(query, Boost):
+            return self.score(query.query) * query.factor
+        if isinstance(query, Bool):
+            parts = [self.score(q) for q in (*query.must, *query.should)]
+            total = reduce(lambda a, b: a + b, parts, F.lit(0.0))
+            return F.when(F.coalesce(query.compile(self.fields), F.lit(False)), total).otherwise(0.0)
+        if isinstance(query, Nested):
+            return self._objects(query)
+        if isinstance(query, Match) and not self.fields.is_pair(query.field) and self.fields.is_text(query.field):
+            return self._matched(query.field, query.value)
+        if isinstance(query, Text):
+            names = [f.name for f in self.fields.schema.fields if isinstance(f.dataType, T.StringType)
+                     and self.fields.is_text(f.name) and not f.name.startswith("_")]
+            plain = F.when(F.coalesce(query.compile(self.fields), F.lit(False)), 1.0).otherwise(0.0)
+            best = [self._matched(name, query.value) for name in names]
+            return F.when(plain > 0, F.greatest(F.lit(0.0), *best)).otherwise(0.0) if best else plain
+        return F.when(F.coalesce(query.compile(self.fields), F.lit(False)), 1.0).otherwise(0.0)
+
+
+def score_query(docs: DataFrame, query: Query, type: str | None = None,
+                mapping: FieldMapping = DEFAULT_MAPPING) -> DataFrame:
+    """The documents that match a predicate tree, with `score`.
+
+    `must` and `should` clauses add up, `filter` and `must_not` count nothing, so a `should` beside a `must`
+    changes the order only. A text field gives BM25 with the statistics of all documents, a text without a
+    field its best field; nested objects give the mean of the matching ones; every other leaf gives 1 where
+    it matches. Boosts multiply.
+    """
+    tree = _Tree(docs, mapping)
+    total = tree.score(query)
+    hits = scope(docs, type=type).filter(condition(docs, query, mapping))
+    for field, name in tree.words.items():
+        hits = with_once(hits, name, _words(docs, field, mapping))
+    return with_once(hits.withColumns(tree.stats), "score", total).drop(*tree.words.values(), *tree.stats)
+
+
 # ---------------------------------------------------------------- similarity to one text
 
 def _first(ranked: Column, max_terms: int | None) -> Column:

@@ -71,6 +71,30 @@ def boosted_search(spark, sf):
     return hits.select("id", F.round("score", 6).alias("score"))
 
 
+@query("query_scored_bool", f"""{_counted(DOCUMENTS)}, s AS ({_scores("'thnt erble'")})
+ SELECT id, round(s.score + CASE WHEN lang = 'en' THEN 1 ELSE 0 END, 6) AS score
+ FROM s JOIN documents ON doc_id = id WHERE n_chars >= 500 AND source <> 'src0'""")
+def query_scored_bool(spark, sf):
+    """`must` scores, `should` adds to it, `filter` and `must_not` only choose."""
+    tree = Q.bool(must=[Q.match("text", "thnt erble")], should=[Q.term("lang", "en")],
+                  filter=[Q.range("n_chars", 500, "*")], must_not=[Q.term("source", "src0")])
+    hits = relevance.score_query(_documents(spark, sf), tree, mapping=TEXT_MAPPING)
+    return hits.select("id", F.round("score", 6).alias("score"))
+
+
+@query("query_scored_boost", f"""{_counted(DOCUMENTS)}, a AS ({_scores("'thnt'")}), b AS ({_scores("'vertrag und'")})
+ SELECT id, round(score, 6) AS score FROM (SELECT doc_id AS id,
+  coalesce(3 * a.score, 0) + coalesce(0.5 * b.score, 0) + CASE WHEN starts_with(lang, 'e') THEN 2 ELSE 0 END AS score
+  FROM documents LEFT JOIN a ON a.id = doc_id LEFT JOIN b ON b.id = doc_id)
+ WHERE score > 0 ORDER BY round(score, 6) DESC, id LIMIT 300""")
+def query_scored_boost(spark, sf):
+    """Boosts multiply, and a page without a sort follows the score."""
+    tree = Q.bool(should=[Q.boost(Q.match("text", "thnt"), 3.0), Q.boost(Q.match("text", "vertrag und"), 0.5),
+                          Q.boost(Q.prefix("lang", "e"), 2.0)])
+    hits = relevance.score_query(_documents(spark, sf), tree, mapping=TEXT_MAPPING)
+    return take_page(hits.select("id", F.round("score", 6).alias("score")), Page(limit=300))
+
+
 LINES = """SELECT doc_id * 100000 + i AS id, line AS text FROM (
  SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
   generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents)"""
@@ -85,6 +109,17 @@ def nested_score_avg(spark, sf):
     return hits.select("id", F.round("score", 6).alias("score"))
 
 
+@query("query_scored_nested", f"""{_counted(LINES)}, s AS ({_scores("'the thnt erble'")})
+ SELECT id // 100000 AS id, round(2 * avg(score) + CASE WHEN any_value(lang) = 'en' THEN 1 ELSE 0 END, 6) AS score
+ FROM s JOIN documents ON doc_id = id // 100000 GROUP BY ALL""")
+def query_scored_nested(spark, sf):
+    docs = _documents(spark, sf).select("id", "lang", F.transform(
+        F.split("text", "\n"), lambda line: F.struct(line.alias("text"))).alias("nstd"))
+    tree = Q.bool(must=[Q.boost(Q.nested(Q.match("text", "the thnt erble")), 2.0)], should=[Q.term("lang", "en")])
+    hits = relevance.score_query(docs, tree, mapping=TEXT_MAPPING)
+    return hits.select("id", F.round("score", 6).alias("score"))
+
+
 def _picked(text: str, most: int | None = None) -> str:
     """SQL: the selected terms of one text."""
     limit = "" if most is None else f" LIMIT {most}"
