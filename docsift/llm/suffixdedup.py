@@ -11,16 +11,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docsift.llm.jaccard import runs
-from docsift.llm.texts import chunks, materialize, mix, pick, rolling, text_bytes
+from docsift.llm.texts import chunks, materialize, mix, pick, rolling, spans, text_bytes
 
 # Length of a string that counts as repeated.
 LENGTH = 50
 # Each string is filed under the smallest hash of its grams of so many bytes.
-GRAM = 16
+GRAM = 24
 # Bytes of text whose repeats within a task are settled before the shuffle.
-BLOCK = 8 << 20
+BLOCK = 2 << 20
 # Bytes of segments in one suffix array; segments under one hash beyond that are settled string by string.
-ARRAY = 4 << 20
+ARRAY = 2 << 20
 
 _LAST = (1 << 63) - 1
 
@@ -57,14 +57,14 @@ def _filed(data: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.ndarr
 
 
 def _postings(length: int):
-    """(h, node, n, direct): the hashes of each document. Of the documents that have one within a block, the
+    """(h, node, n, direct): the hashes of each text (`node`). Of the texts that have one within a block, the
     first and the last go on to meet those of other blocks; all others are known to share it (`direct`)."""
 
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches, size=BLOCK):
             data, offsets = text_bytes(batch.column("text"))
             h, text, _, _ = _filed(data, offsets, length)
-            node = batch.column("doc").to_numpy()[text]
+            node = batch.column("node").to_numpy()[text]
             order = np.lexsort((node, h))
             h, node = h[order], node[order]
             fresh = np.ones(len(h), bool)
@@ -81,7 +81,7 @@ def _postings(length: int):
 
 
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(h, node) of hashes that at least two documents have."""
+    """(h, node) of hashes that at least two different texts have."""
     known: list[pa.RecordBatch] = []
 
     def open_rows():
@@ -98,49 +98,55 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from known
 
 
+def _bytes_of(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> pa.Array:
+    """The byte strings that begin at `starts`."""
+    ends = np.cumsum(sizes)
+    inside = np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - sizes, sizes)
+    return pa.Array.from_buffers(
+        pa.binary(), len(starts), [None, pa.py_buffer(np.append(0, ends).astype(np.int32)),
+                                   pa.py_buffer(data[np.repeat(starts, sizes) + inside])])
+
+
 def _segments(length: int):
-    """(direct, h, s, doc, th, start, n, segment): the runs of strings under hashes that documents share. Of
-    equal segments in a block only the one of the smallest id goes on; the others are removed as a whole (`direct`)."""
+    """(direct, h, s, doc, th, start, n, segment): the runs of strings under hashes that documents share; `s` is
+    a hash of the segment, with which it and `h` tell its content. Of equal segments in a block only
+    those of the smallest id go on; the others are removed as a whole (`direct`)."""
     names = ["direct", "h", "s", "doc", "th", "start", "n", "segment"]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches, size=BLOCK):
             data, offsets = text_bytes(batch.column("text"))
             h, text, start, n = _filed(data, offsets, length)
-            wanted = np.zeros(len(h), bool)
-            bounds = np.searchsorted(text, np.arange(len(offsets)))
-            for i, own in enumerate(batch.column("hs")):
-                a, b = bounds[i], bounds[i + 1]
-                wanted[a:b] = np.isin(h[a:b], own.values.to_numpy(zero_copy_only=False).view(np.uint64))
+            lists = batch.column("hs")
+            known = lists.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
+            owner = np.repeat(np.arange(len(lists)), pc.list_value_length(lists).to_numpy(zero_copy_only=False))
+            wanted = np.isin(mix(h + mix(text.astype(np.uint64), 22)), mix(known + mix(owner.astype(np.uint64), 22)))
             h, text, start, n = h[wanted], text[wanted], start[wanted], n[wanted]
             if not len(h):
                 continue
-            raw = data.tobytes()
-            pieces = [raw[a:b] for a, b in zip(start.tolist(), (start + n + length - 1).tolist())]
+            sizes = n + length - 1
+            s = mix(spans(data, start, start + sizes) + sizes.astype(np.uint64), 23)
             doc, th = batch.column("doc").to_numpy()[text], batch.column("th").to_numpy()[text]
-            least: dict[bytes, tuple[int, int]] = {}
-            for i, (piece, d) in enumerate(zip(pieces, doc.tolist())):
-                if piece not in least or d < least[piece][0]:
-                    least[piece] = (d, i)
-            direct = np.array([d > least[p][0] for p, d in zip(pieces, doc.tolist())])
-            numbers = {p: k for k, p in enumerate(least)}
-            hashes = np.array([hash_bytes(p) for p in numbers], np.int64)
-            s = hashes[[numbers[p] for p in pieces]]
+            order = np.lexsort((doc, s, h))
+            first = np.append(True, (h[order][1:] != h[order][:-1]) | (s[order][1:] != s[order][:-1]))
+            least = doc[order][np.maximum.accumulate(np.where(first, np.arange(len(order)), 0))]
+            direct = np.empty(len(order), bool)
+            direct[order] = doc[order] > least
+            # neighbouring runs that go as a whole are one
+            joined = np.zeros(len(h), bool)
+            joined[1:] = direct[1:] & direct[:-1] & (text[1:] == text[:-1]) & (start[1:] == (start + n)[:-1])
+            n = np.add.reduceat(n, np.flatnonzero(~joined))
+            h, s, doc, th, start, text, direct, sizes = (
+                v[~joined] for v in (h, s, doc, th, start, text, direct, sizes))
+            h, s = np.where(direct, 0, h).astype(np.uint64), np.where(direct, 0, s).astype(np.uint64)
+            segment = _bytes_of(data, start, np.where(direct, 0, sizes))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(direct), pa.array(h.view(np.int64)), pa.array(s), pa.array(doc), pa.array(th),
-                 pa.array(start - offsets[text]), pa.array(n),
-                 pa.array([None if x else p for x, p in zip(direct.tolist(), pieces)], pa.binary())], names)
+                [pa.array(direct), pa.array(h.view(np.int64)), pa.array(s.view(np.int64)), pa.array(doc), pa.array(th),
+                 pa.array(start - offsets[text]), pa.array(n), segment], names)
 
     return cut
 
 
-def hash_bytes(piece: bytes) -> int:
-    """A 64-bit hash of a byte string, the same on all machines."""
-    import xxhash
-    value = xxhash.xxh3_64_intdigest(piece)
-    return value - (1 << 64) if value >> 63 else value
-
-
 def words8(text: np.ndarray) -> np.ndarray:
     """The eight bytes at each place as one big-endian number; zeros behind the end."""
     padded = np.concatenate((text, np.zeros(8, np.uint8)))
@@ -226,77 +232,94 @@ def common_prefixes(text: np.ndarray, order: np.ndarray, most: int) -> np.ndarra
     return np.minimum(out, most)
 
 
-def _sources(segments: list[bytes], docs: np.ndarray, length: int) -> list[np.ndarray]:
-    """Per segment, which of its strings also occur in a segment of a smaller id."""
-    text = np.frombuffer(b"".join(segments), np.uint8)
-    sizes = np.array([len(s) for s in segments])
-    ends = np.cumsum(sizes)
-    owner = np.repeat(np.arange(len(segments)), sizes)
-    starts_string = np.arange(len(text)) + length <= ends[owner]
+def _sources(text: np.ndarray, offsets: np.ndarray, docs: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
+    """(segment, place in it, n): runs of strings of the segments that also occur in one of a smaller id."""
+    sizes = np.diff(offsets)
+    owner = np.repeat(np.arange(len(docs)), sizes)
+    string = np.arange(len(text)) + length <= offsets[1:][owner]
     order = suffix_array(text, length + 6)
-    source = np.where(starts_string, docs[owner], _LAST)[order]
+    source = np.where(string, docs[owner], _LAST)[order]
     group = np.flatnonzero(common_prefixes(text, order, length) < length)
     least = np.minimum.reduceat(source, group)
     smallest = np.empty(len(text), np.int64)
     smallest[order] = np.repeat(least, np.diff(np.append(group, len(order))))
-    found = (smallest < docs[owner]) & starts_string
-    return [found[e - n:e - length + 1] for e, n in zip(ends.tolist(), sizes.tolist())]
+    # strings of different segments never touch, since the last places of a segment are none
+    edge = np.diff(np.concatenate(([False], (smallest < docs[owner]) & string, [False])).astype(np.int8))
+    begin, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+    return owner[begin], begin - offsets[owner[begin]], end - begin
+
+
+_SETTLED = ["doc", "th", "start", "n", "segment"]
 
 
 def _settle(length: int, array: int):
-    """(doc, th, start, covered, segment): bit per string of a segment, packed, whether it occurs under a smaller
-    id. Rows come ordered by hash and segment, the smallest id first. Segments under one hash that
-    do not fit into an array are passed on with their bytes instead."""
-    names = ["doc", "th", "start", "n", "covered", "segment"]
+    """(doc, th, start, n): runs of strings that occur under a smaller id. Rows come ordered by hash and
+    segment, the smallest id first. Segments under one hash that do not fit into an array are
+    passed on with their bytes (`segment`) instead."""
+
+    def removed(rows: pa.Table, mask: np.ndarray | None = None, keep: bool = False) -> pa.RecordBatch:
+        rows = rows if mask is None else rows.filter(pa.array(mask))
+        columns = [rows.column(c).combine_chunks() for c in _SETTLED[:4]]
+        segment = rows.column("segment").combine_chunks() if keep else pa.nulls(len(rows), pa.binary())
+        return pa.RecordBatch.from_arrays([*columns, segment], _SETTLED)
+
+    def solve(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+        """Whole hashes."""
+        h, s, doc = (rows.column(c).to_numpy() for c in ("h", "s", "doc"))
+        first = np.append(True, (h[1:] != h[:-1]) | (s[1:] != s[:-1]))
+        later = doc > doc[np.maximum.accumulate(np.where(first, np.arange(len(h)), 0))]
+        yield removed(rows, later)
+        rows = rows.filter(pa.array(~later))
+        h = rows.column("h").to_numpy()
+        begin = np.flatnonzero(np.append(True, h[1:] != h[:-1]))
+        sizes = pc.binary_length(rows.column("segment")).to_numpy(zero_copy_only=False).astype(np.int64)
+        large = np.repeat(np.add.reduceat(sizes, begin) > array, np.diff(np.append(begin, len(h))))
+        if large.any():
+            yield removed(rows, large, keep=True)
+            rows = rows.filter(pa.array(~large))
+        if not len(rows):
+            return
+        text, offsets = text_bytes(rows.column("segment"))
+        at, place, n = _sources(text, offsets, rows.column("doc").to_numpy(), length)
+        yield pa.RecordBatch.from_arrays(
+            [rows.column("doc").combine_chunks().take(pa.array(at)), rows.column("th").combine_chunks().take(pa.array(at)),
+             pa.array(rows.column("start").to_numpy()[at] + place), pa.array(n), pa.nulls(len(at), pa.binary())],
+            _SETTLED)
 
     def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block: list[tuple] = []  # whole hashes, then the hash that is being read: its distinct segments
-        size, begun, current, large, last = 0, 0, None, False, None
-        out: list[tuple] = []
-
-        def solve(rows):
-            if rows:
-                found = _sources([r[5] for r in rows], np.array([r[1] for r in rows], np.int64), length)
-                out.extend((r[1], r[2], r[3], r[4], np.packbits(f).tobytes(), None) for r, f in zip(rows, found)
-                           if f.any())
-
-        def batch_out():
-            rows = list(out)
-            out.clear()
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary()]
-            return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names)
-
+        held: list[pa.RecordBatch] = []
+        size = 0
         for batch in batches:
-            for direct, h, s, doc, th, start, n, segment in zip(*(c.to_pylist() for c in batch.columns)):
-                if direct:
-                    out.append((doc, th, start, n, None, None))
-                    continue
-                if h != current:
-                    current, large, last = h, False, None
-                    if size > array:
-                        solve(block)
-                        block, size = [], 0
-                    begun = len(block)
-                if last and last[0] == s and last[1] == segment:
-                    if doc > last[2]:
-                        out.append((doc, th, start, n, None, None))
-                        continue
-                    # the same segment in the same document once more
-                else:
-                    last = (s, segment, doc)
-                if large:
-                    out.append((doc, th, start, n, None, segment))
-                    continue
-                block.append((h, doc, th, start, n, segment))
-                size += len(segment)
-                if size > array and sum(len(r[5]) for r in block[begun:]) > array:
-                    out.extend((r[1], r[2], r[3], r[4], None, r[5]) for r in block[begun:])
-                    block, large = block[:begun], True
-                    size = sum(len(r[5]) for r in block)
-            yield batch_out()
-        solve(block)
-        yield batch_out()
-
+            direct = batch.column("direct")
+            if direct.true_count:
+                yield removed(pa.Table.from_batches([batch.filter(direct)]))
+            batch = batch.filter(pc.invert(direct))
+            if batch.num_rows and held and size > array:
+                # the hash that may go on stays; one that is too large by itself is never held as a whole
+                rows = pa.Table.from_batches(held)
+                h = rows.column("h").to_numpy()
+                border = int(np.searchsorted(h, h[-1])) if h[0] != h[-1] else 0
+                if border:
+                    yield from solve(rows.slice(0, border))
+                    held = rows.slice(border).combine_chunks().to_batches()
+                    size = sum(b.nbytes for b in held)
+                if size > array:
+                    rows = pa.Table.from_batches(held)
+                    yield removed(rows, keep=True)
+                    spilled.add(int(h[-1]))
+                    held, size = [], 0
+            if batch.num_rows and spilled:
+                over = pc.is_in(batch.column("h"), pa.array(spilled, pa.int64()))
+                if pc.any(over).as_py():
+                    yield removed(pa.Table.from_batches([batch.filter(over)]), keep=True)
+                    batch = batch.filter(pc.invert(over))
+            if batch.num_rows:
+                held.append(batch)
+                size += batch.nbytes
+        if held:
+            yield from solve(pa.Table.from_batches(held))
+
+    spilled: set[int] = set()
     return settle
 
 
@@ -316,7 +339,7 @@ def _one_by_one(rows: DataFrame, length: int) -> DataFrame:
     every = materialize(rows.mapInArrow(strings, "string binary, doc long, th long, start long"), "strings")
     least = every.groupBy("string").agg(F.min("doc").alias("least"))
     return every.join(least, "string").filter("doc > least").select(
-        "doc", "th", "start", F.lit(1).cast("long").alias("n"), F.lit(None).cast("binary").alias("covered"))
+        "doc", "th", "start", F.lit(1).cast("long").alias("n"))
 
 
 def _remove(length: int):
@@ -325,14 +348,14 @@ def _remove(length: int):
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             kept, spans = [], []
-            for text, cuts in zip(batch.column("text").to_pylist(), batch.column("cuts").to_pylist()):
+            cuts = batch.column("cuts")
+            start, n = (cuts.flatten().field(i).to_numpy() for i in range(2))
+            ends = np.cumsum(pc.list_value_length(cuts).to_numpy(zero_copy_only=False))
+            for text, a, b in zip(batch.column("text").to_pylist(), np.append(0, ends[:-1]), ends):
                 raw = np.frombuffer(text.encode("utf-8"), np.uint8)
                 change = np.zeros(len(raw) + 1, np.int32)
-                for cut in cuts:
-                    hit = np.arange(cut["n"]) if cut["covered"] is None else np.flatnonzero(
-                        np.unpackbits(np.frombuffer(cut["covered"], np.uint8), count=cut["n"]))
-                    np.add.at(change, cut["start"] + hit, 1)
-                    np.add.at(change, cut["start"] + hit + length, -1)
+                np.add.at(change, start[a:b], 1)
+                np.add.at(change, start[a:b] + n[a:b] - 1 + length, -1)
                 covered = np.cumsum(change[:-1]) > 0
                 edge = np.flatnonzero(np.diff(np.concatenate(([False], covered, [False])).astype(np.int8)))
                 spans.append([{"start": a, "length": b - a} for a, b in zip(edge[::2].tolist(), edge[1::2].tolist())])
@@ -352,8 +375,9 @@ def find_repeats(docs: DataFrame, length: int = LENGTH, array: int = ARRAY, id_c
     with a smaller id. Strings are judged on the whole input and never cross documents. `th` is
     xxhash64 of the text, which tells rows with the same id apart.
 
-    Every string is filed under the smallest hash of its 16-byte grams, so equal strings come together
-    whatever stands around them. Only hashes that two documents share go on: with the bytes around them they are put
+    Of equal texts only the one with the smallest id is looked at; the others go as a whole. Every string is filed
+    under the smallest hash of its 24-byte grams, so equal strings come together whatever stands around them. Only
+    hashes that two texts share go on: with the bytes around them they are put
     into suffix arrays, where equal strings are neighbours and the smallest id among them decides. Copies are
     settled within a task's block first, so a text or line that a third of all documents share is
     no hot key, and a hash under which too many different segments lie is settled string by string.
@@ -362,26 +386,36 @@ def find_repeats(docs: DataFrame, length: int = LENGTH, array: int = ARRAY, id_c
     from each other. Other columns are not used.
     """
     rows = pick(docs, doc_id=id_col, text=text_col).filter(F.col("text").isNotNull()).select(
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("doc"), F.xxhash64("text").alias("th"), "text")
-    posted = rows.select("doc", "text").mapInArrow(_postings(length), "h long, node long, n int, direct boolean")
+        F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("doc"), F.xxhash64("text").alias("th"),
+        F.xxhash64(F.lit(1), "text").alias("tx"), "text")
+    classes = materialize(rows.groupBy("th", "tx").agg(F.min("doc").alias("first")), "classes")
+    posted = rows.select(F.col("th").alias("node"), "text").mapInArrow(
+        _postings(length), "h long, node long, n int, direct boolean")
     shared = (posted.repartition(F.when(F.col("direct"), F.col("node")).otherwise(F.col("h")))
               .sortWithinPartitions("direct", "h", "node").mapInArrow(_shared, "h long, node long"))
-    hashes = materialize(shared.groupBy("node").agg(F.collect_set("h").alias("hs")), "hashes")
-    held = materialize(rows.join(hashes, rows.doc == hashes.node).select("doc", "th", "text", "hs"), "held")
+    hashes = shared.groupBy(F.col("node").alias("th")).agg(F.collect_set("h").alias("hs"))
+    wanted = materialize(hashes.join(classes, "th").withColumnRenamed("first", "doc"), "hashes")
+    held = materialize(rows.join(wanted, ["doc", "th", "tx"]).select("doc", "th", "text", "hs"), "held")
     cut = held.mapInArrow(_segments(length), "direct boolean, h long, s long, doc long, th long, start long, n long, "
                                              "segment binary")
     settled = (cut.repartition(F.when(F.col("direct"), F.col("doc")).otherwise(F.col("h")))
-               .sortWithinPartitions("direct", "h", "s", "segment", "doc")
-               .mapInArrow(_settle(length, array), "doc long, th long, start long, n long, covered binary, segment binary"))
+               .sortWithinPartitions("direct", "h", "s", "doc")
+               .mapInArrow(_settle(length, array), "doc long, th long, start long, n long, segment binary"))
     settled = materialize(settled, "settled")
     done = settled.filter("segment is null").drop("segment")
     large = settled.filter("segment is not null")
     if not large.isEmpty():
         done = done.unionByName(_one_by_one(large, length))
-    cuts = done.groupBy("doc", "th").agg(F.collect_list(F.struct("start", "n", "covered")).alias("cuts"))
+    cuts = done.groupBy("doc", "th").agg(F.collect_list(F.struct("start", "n")).alias("cuts"))
     out = held.select("doc", "th", "text").join(cuts, ["doc", "th"]).mapInArrow(
         _remove(length), "doc long, th long, kept binary, spans array<struct<start: long, length: long>>")
-    return out.select(F.when(F.col("doc") != _LAST, F.col("doc")).alias("doc_id"), "th", "kept", "spans")
+    size = F.octet_length("text").cast("long")
+    copies = rows.filter(size >= length).select("doc", "th", "tx", size.alias("size")).join(
+        classes, ["th", "tx"]).filter("doc > first").select(
+            "doc", "th", F.lit(b"").alias("kept"), F.array(F.struct(F.lit(0).cast("long").alias("start"),
+                                                                    F.col("size").alias("length"))).alias("spans"))
+    return out.unionByName(copies).select(
+        F.when(F.col("doc") != _LAST, F.col("doc")).alias("doc_id"), "th", "kept", "spans")
 
 
 def digests(docs: DataFrame, repeats: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

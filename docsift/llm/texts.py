@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from docsift.session import materialize
 
 __all__ = ["CHUNK", "WORDS", "chunks", "hash_words", "materialize", "mix", "pick", "rolling",
-           "shingle_hashes", "shingle_sets", "text_bytes"]
+           "shingle_hashes", "shingle_sets", "spans", "text_bytes"]
 
 # Bytes of text that a task works on at a time. A longer text is one chunk of its own.
 CHUNK = 1 << 20
@@ -45,7 +45,7 @@ def mix(x: np.ndarray, seed: int = 0) -> np.ndarray:
 
 def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     if len(_powers[0]) < n:
-        size = max(n, CHUNK + (CHUNK >> 2))
+        size = max(n, 2 * CHUNK)
         for i, base in enumerate((_BASE, _BASE_INVERSE)):
             table = np.full(size, base, np.uint64)
             table[0] = 1
@@ -105,14 +105,25 @@ def hash_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     return hashes, starts, ends, np.searchsorted(starts, offsets)
 
 
-def rolling(data: np.ndarray, size: int) -> np.ndarray:
-    """A 64-bit number for the `size` bytes at each place."""
+def _sums(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     powers, inverse = _power_tables(len(data) + 1)
     sums = np.zeros(len(data) + 1, np.uint64)
     np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers[:-1], out=sums[1:])
+    return sums, inverse
+
+
+def rolling(data: np.ndarray, size: int) -> np.ndarray:
+    """A 64-bit number for the `size` bytes at each place."""
+    sums, inverse = _sums(data)
     return (sums[size:] - sums[:-size]) * inverse[:len(data) - size + 1]
 
 
+def spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit number for the bytes of each span."""
+    sums, inverse = _sums(data)
+    return (sums[ends] - sums[starts]) * inverse[starts]
+
+
 def _combine(hashes: np.ndarray, n: int) -> np.ndarray:
     """Hash of each run of n words."""
     size = len(hashes) - n + 1
