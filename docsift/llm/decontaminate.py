@@ -1,9 +1,10 @@
-"""Benchmark decontamination: windows of the size of an item that are within an edit distance of it."""
+"""Benchmark decontamination: parts of texts that are within an edit distance of an item."""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache, reduce
+from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -14,44 +15,39 @@ from docsift.llm.texts import chunks, pick
 
 # Largest edit distance, in hundredths of the item's length.
 DISTANCE = 25
-# Windows are laid at pairs of neighbouring words that an item has: those of so many letters together, and
-# at all of its words if there are fewer than a few such pairs.
-ANCHOR_LETTERS, ANCHORS = 10, 4
-# Bit sampling: symbols per sample and samples. Two strings that agree on half of their embedding share a
-# sample with probability 1 - (1 - 2^-3)^40 = 0.995.
-SYMBOLS, SAMPLES = 3, 40
+# Grams of an item that lead to it, by its length: the letters at the places marked 1. A passage is looked at
+# where `share` of the item's length in grams (one at least) stands at about the same distance from its begin.
+# The gap lets grams meet across a changed letter, so also where every fifth letter is changed.
+# Below 32 letters the grams are short enough that one is unchanged in every passage within 25 %.
+GRAMS = [(32, "111", 0.0), (64, "1111", 0.0), (96, "1110111", 0.05), (1 << 62, "11110111", 0.05)]
+# Grams that are held at a time, and texts that are compared with their items at a time.
+HITS, LANES = 1 << 21, 2048
+# Neighbouring bands that are compared as one part.
+RUN = 4
+# Words of 64 bits up to which items are compared side by side; longer ones are compared one by one.
+SIDE_BY_SIDE = 16
 # Bytes of benchmark text that are told to the tasks at once; a larger benchmark is searched in blocks.
 BLOCK = 2 << 20
-SEED = 3
-
-_TRAIL = '.,;:!?")'
 
 
 def normal(text: str) -> str:
     return " ".join(text.lower().split())
 
 
-def _flat(text: str) -> np.ndarray:
-    """Code points, folded to 1..255; 0 is what stands behind the end of a string."""
-    return (np.frombuffer(text.encode("utf-32-le", "replace"), np.uint32) % 255 + 1).astype(np.uint8)
-
+def _points(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "replace"), np.uint32)
 
-@lru_cache(4)
-def _bits(steps: int, seed: int) -> np.ndarray:
-    return np.random.default_rng(seed).integers(0, 2, (steps, 256)).astype(np.int32)
 
-
-def embed(rows: np.ndarray, steps: int, seed: int = SEED) -> np.ndarray:
-    """Random-walk embedding of strings (rows padded with 0, the last column 0): step j writes the symbol
-    at the walker's place and moves it on if a random bit of (j, symbol) is set. All strings share the bits,
-    so strings within k edits differ in O(k^2) of the symbols with constant probability."""
-    bits = _bits(steps, seed)
-    out = np.zeros((steps, len(rows)), np.uint8)
-    at, line, end = np.zeros(len(rows), np.int32), np.arange(len(rows)), rows.shape[1] - 1
-    for j in range(steps):
-        out[j] = rows[line, at]
-        at = np.minimum(at + bits[j][out[j]], end)
-    return out.T
+def _grams(codes: np.ndarray, shape: str, bits: int) -> np.ndarray:
+    """A slot of 2^bits for the letters at each place that `shape` marks."""
+    n = max(0, len(codes) - len(shape) + 1)
+    out = np.zeros(n, np.uint64)
+    for i in (i for i, mark in enumerate(shape) if mark == "1"):
+        out *= np.uint64(0x9E3779B97F4A7C15)
+        out += codes[i:i + n]
+    out ^= out >> np.uint64(32)
+    out *= np.uint64(0xD6E8FEB86659FD93)
+    return (out >> np.uint64(64 - bits)).astype(np.int64)
 
 
 def distance_within(item: str, text: str, most: int) -> tuple[int, int]:
@@ -79,92 +75,196 @@ def distance_within(item: str, text: str, most: int) -> tuple[int, int]:
     return best, end
 
 
+@dataclass
+class Seeds:
+    """Grams of items in the order of their slots; grams that share one by chance only lead to more parts."""
+
+    shape: str
+    bits: int
+    first: np.ndarray
+    item: np.ndarray
+    place: np.ndarray
+
+
 class Searcher:
-    """The items with their anchors and samples."""
+    """The items with their grams."""
 
     def __init__(self, items: list[tuple[int, str]], distance: int = DISTANCE):
         self.items = [(i, normal(t)) for i, t in items if i is not None and t and normal(t)]
-        self.most = [len(t) * distance // 100 for _, t in self.items]
-        self.pairs: dict[str, dict[str, list[tuple[int, int]]]] = {}
-        self.words: dict[str, list[tuple[int, int]]] = {}
-        for k, (_, text) in enumerate(self.items):
-            places, at = [], 0
-            for word in text.split(" "):
-                places.append((word, at))
-                at += len(word) + 1
-            pairs = [(a, b, p) for (a, p), (b, _) in zip(places, places[1:]) if len(a) + len(b) >= ANCHOR_LETTERS]
-            for a, b, p in pairs:
-                self.pairs.setdefault(a, {}).setdefault(b.rstrip(_TRAIL), []).append((k, p))
-            if len(pairs) < ANCHORS:
-                for word, p in places:
-                    self.words.setdefault(word, []).append((k, p))
-        self.known = self.pairs.keys() | self.words.keys()
-        self.longest = max((len(t) for _, t in self.items), default=0)
-        self.steps = 2 * self.longest
-        laid = sorted({p for pairs in self.pairs.values() for ps in pairs.values() for p in ps}
-                      | {p for ps in self.words.values() for p in ps})
-        self.row = {p: i for i, p in enumerate(laid)}
-        self.places = np.zeros((len(laid), SYMBOLS * SAMPLES), np.int32)
-        self.own = np.zeros((len(laid), SYMBOLS * SAMPLES), np.uint8)
-        for first in range(0, len(laid), 1024):
-            part = laid[first:first + 1024]
-            texts = [self.items[k][1] for k, _ in part]
-            walks = self._walks([(t, at, at, len(t) - at) for t, (_, at) in zip(texts, part)])
-            for i, (t, (k, at), walk) in enumerate(zip(texts, part, walks), first):
-                # samples lie within the part of either walk that the item fills, twice its length
-                random = np.random.default_rng((SEED, k, at)).integers(0, 2 * len(t), SYMBOLS * SAMPLES)
-                ahead = 2 * (len(t) - at)
-                self.places[i] = np.where(random < ahead, random, self.steps + random - ahead)
-                self.own[i] = walk[self.places[i]]
-
-    def _walks(self, windows: list[tuple[str, int, int, int]]) -> np.ndarray:
-        """Of each (text, place, size before, size after): the walk from the place to the end of the window,
-        and behind it the walk from there back to its begin."""
-        rows = np.zeros((2 * len(windows), self.longest + 1), np.uint8)
-        for i, (text, at, before, after) in enumerate(windows):
-            ahead, back = text[at:at + after], text[max(0, at - before):at][::-1]
-            rows[2 * i, :len(ahead)], rows[2 * i + 1, :len(back)] = _flat(ahead), _flat(back)
-        return embed(rows, self.steps).reshape(len(windows), 2 * self.steps)
-
-    def candidates(self, text: str) -> Iterator[tuple[int, int, int]]:
-        """(item, place in it, place): windows of an item's size whose first words stand where the item has them."""
-        words, known = text.split(" "), self.known
-        hits = [i for i, w in enumerate(words) if w in known]
-        found = []
-        for i in hits:
-            word = words[i]
-            after = self.pairs.get(word)
-            if after and i + 1 < len(words):
-                found += [(i, *p) for p in after.get(words[i + 1].rstrip(_TRAIL), ())]
-            found += [(i, *p) for p in self.words.get(word, ())]
-        if found:
-            starts = np.append(0, np.cumsum([len(w) + 1 for w in words]))
-            yield from ((k, at, int(starts[i])) for i, k, at in found)
+        self.points = [_points(t) for _, t in self.items]
+        self.chars = np.array([len(p) for p in self.points], np.int64)
+        self.most = self.chars * distance // 100
+        # a passage drifts from its item by at most as many letters as it has edits
+        self.band = self.most + 1
+        self.need = np.ones(len(self.items), np.int64)
+        self.seeds: list[Seeds] = []
+        shapes: dict[str, list[int]] = {}
+        for k, n in enumerate(self.chars.tolist()):
+            shape, share = next(g[1:] for g in GRAMS if n < g[0])
+            self.need[k] = max(1, int(share * n))
+            if n < GRAMS[0][0]:
+                # of one part more than there may be edits, one is unchanged
+                shape = shape[:max(1, n // (int(self.most[k]) + 1))]
+            shapes.setdefault(shape, []).append(k)
+        for shape, members in shapes.items():
+            bits = max(10, int(8 * self.chars[members].sum()).bit_length())
+            parts = [_grams(self.points[k], shape, bits) for k in members]
+            counts = [len(p) for p in parts]
+            slots = np.concatenate(parts)
+            order = np.argsort(slots, kind="stable")
+            self.seeds.append(Seeds(
+                shape, bits, np.searchsorted(slots[order], np.arange((1 << bits) + 1)).astype(np.uint32),
+                np.repeat(members, counts)[order], np.concatenate([np.arange(c) for c in counts])[order]))
+
+    def candidates(self, points: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, ...]:
+        """(text, item, start, end) of the parts of texts that have enough grams of an item in a band of two
+        drifts. Texts lie at `starts` to `ends` of `points`."""
+        # texts are set so far apart that bands of two texts never touch
+        gap = int(self.chars.max() + 3 * self.band.max())
+        shift = (np.arange(len(starts)) + 1) * gap
+        width = len(points) + (len(starts) + 2) * gap
+        counted: list[tuple[np.ndarray, np.ndarray]] = []
+        for seeds in self.seeds:
+            slots = _grams(points, seeds.shape, seeds.bits)
+            number = seeds.first[1:][slots] - seeds.first[slots]
+            at = np.flatnonzero(number)
+            text = np.searchsorted(starts, at, "right") - 1
+            inside = at + len(seeds.shape) <= ends[text]
+            at, text = at[inside], text[inside]
+            head = seeds.first[slots[at]].astype(np.int64)
+            sums = np.append(0, np.cumsum(number[at], dtype=np.int64))
+            begin = 0
+            while begin < len(at):
+                stop = max(begin + 1, int(np.searchsorted(sums, sums[begin] + HITS, "right")) - 1)
+                number = np.diff(sums[begin:stop + 1])
+                which = np.repeat(np.arange(begin, stop), number)
+                hit = np.arange(len(which)) + np.repeat(head[begin:stop] - (sums[begin:stop] - sums[begin]), number)
+                item = seeds.item[hit]
+                drift = (at + shift[text])[which] - seeds.place[hit]
+                counted.append(np.unique(item * width + drift // self.band[item], return_counts=True))
+                begin = stop
+        if not counted:
+            return (np.zeros(0, np.int64),) * 4
+        keys = np.concatenate([c[0] for c in counted])
+        order = np.argsort(keys, kind="stable")
+        keys, numbers = keys[order], np.concatenate([c[1] for c in counted])[order]
+        first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+        keys, numbers = keys[first], np.add.reduceat(numbers, first)
+        item = keys // width
+        # what drifts by no more than one band lies in two neighbouring ones
+        both = numbers.copy()
+        both[:-1] += np.where(keys[1:] == keys[:-1] + 1, numbers[1:], 0)
+        both[1:] = np.maximum(both[1:], np.where(keys[1:] == keys[:-1] + 1, both[:-1], 0))
+        kept = both >= self.need[item]
+        keys, item = keys[kept], item[kept]
+        fresh = np.append(True, keys[1:] != keys[:-1] + 1)[:len(keys)]
+        run = np.arange(len(keys)) - np.maximum.accumulate(np.where(fresh, np.arange(len(keys)), 0))
+        head = np.flatnonzero(run % RUN == 0)
+        last = np.append(head[1:], len(keys))[:len(head)] - 1
+        item, low, high = item[head], keys[head] % width, keys[last] % width + 1
+        low, high = low * self.band[item], high * self.band[item]
+        # the text whose stretch, from its own gap on, holds the begin of the band
+        reach = starts + shift
+        text = np.searchsorted(reach + (ends - starts), low, "left")
+        text = np.minimum(text, len(starts) - 1)
+        start = np.maximum(low - shift[text] - self.most[item], starts[text])
+        end = np.minimum(high - shift[text] + self.chars[item] + self.most[item], ends[text])
+        return text, item, start, end
+
+    def _side_by_side(self, points: np.ndarray, item: np.ndarray, start: np.ndarray, end: np.ndarray):
+        """`distance_within` for many parts of texts at a time."""
+        own, local = np.unique(item, return_inverse=True)
+        letters = np.unique(np.concatenate([self.points[k] for k in own]))
+        words = int(self.chars[own].max() + 63) // 64
+        # row 0 of the masks is for letters that an item doesn't have
+        known = [np.unique(self.points[k], return_inverse=True) for k in own]
+        index = np.zeros((len(own), len(letters) + 1), np.int32)
+        masks = np.zeros((words, 1 + sum(len(u) for u, _ in known)), np.uint64)
+        used = 1
+        for i, (k, (mine, at)) in enumerate(zip(own, known)):
+            place = np.arange(self.chars[k])
+            index[i, np.searchsorted(letters, mine)] = np.arange(used, used + len(mine))
+            np.bitwise_or.at(masks, (place // 64, used + at), np.uint64(1) << (place % 64).astype(np.uint64))
+            used += len(mine)
+        steps = int((end - start).max())
+        place = start[:, None] + np.arange(steps)
+        seen = points[np.minimum(place, len(points) - 1)]
+        row = np.minimum(np.searchsorted(letters, seen), len(letters) - 1)
+        row[(letters[row] != seen) | (place >= end[:, None])] = len(letters)
+        row = index[local[:, None], row].T.copy()
+        one, low = np.uint64(1), np.uint64(63)
+        bit = ((self.chars[item] - 1) % 64).astype(np.uint64)
+        top = (self.chars[item] - 1) // 64 * len(item) + np.arange(len(item))
+        up, down = np.full((words, len(item)), ~np.uint64(0)), np.zeros((words, len(item)), np.uint64)
+        plus, minus = np.zeros_like(up), np.zeros_like(up)
+        score = self.chars[item].copy()
+        best, where = self.most[item] + 1, np.zeros(len(item), np.int64)
+        for j in range(steps):
+            same = masks[:, row[j]]
+            total = same & up
+            total += up
+            carries = total < (same & up)
+            for w in range(words - 1):
+                total[w + 1] += carries[w]
+                carries[w + 1] |= carries[w] & (total[w + 1] == 0)
+            total ^= up
+            total |= same
+            total |= down
+            np.bitwise_or(total, up, out=plus)
+            np.invert(plus, out=plus)
+            plus |= down
+            np.bitwise_and(up, total, out=minus)
+            score += ((plus.ravel()[top] >> bit) & one).view(np.int64)
+            score -= ((minus.ravel()[top] >> bit) & one).view(np.int64)
+            for bits in (plus, minus):
+                out = bits[:-1] >> low
+                bits <<= one
+                bits[1:] |= out
+            np.bitwise_or(same, down, out=total)
+            np.bitwise_and(plus, total, out=down)
+            np.bitwise_or(total, plus, out=up)
+            np.invert(up, out=up)
+            up |= minus
+            less = score < best
+            if less.any():
+                best[less], where[less] = score[less], j + 1
+        return best, where
 
     def search(self, texts: list[str]) -> list[tuple[int, int, int, int]]:
         """(text, item, distance, end) for each text and item that lies within the distance somewhere."""
-        windows = [(n, *c) for n, text in enumerate(texts) if text for c in self.candidates(text)]
+        if not self.items or not any(texts):
+            return []
+        points = _points("".join(texts))
+        ends = np.cumsum([len(t) for t in texts])
+        starts = np.append(0, ends[:-1])
+        text, item, start, end = self.candidates(points, starts, ends)
+        words = (self.chars[item] + 63) // 64
         found: dict[tuple[int, int], tuple[int, int]] = {}
-        for first in range(0, len(windows), 1024):
-            part = windows[first:first + 1024]
-            walks = self._walks([(texts[n], place, at, len(self.items[k][1]) - at) for n, k, at, place in part])
-            rows = np.array([self.row[k, at] for _, k, at, _ in part])
-            same = np.take_along_axis(walks, self.places[rows], axis=1) == self.own[rows]
-            alike = same.reshape(len(part), SAMPLES, SYMBOLS).all(2).any(1)
-            for n, k, at, place in (p for p, a in zip(part, alike.tolist()) if a):
-                most, item = self.most[k], self.items[k][1]
-                start = max(0, place - at - most)
-                old = found.get((n, k))
-                if old and old[0] == 0:
-                    continue  # nothing can be closer
-                best, end = distance_within(item, texts[n][start:place - at + len(item) + most], most)
-                if best <= most and (not old or (best, start + end) < old):
-                    found[n, k] = (best, start + end)
+
+        def note(n, k, best, at):
+            if best <= self.most[k] and ((n, k) not in found or (best, at) < found[n, k]):
+                found[n, k] = (best, at)
+
+        order = np.lexsort((end - start, words))
+        begin, side = 0, int(np.searchsorted(words[order], SIDE_BY_SIDE, "right"))
+        while begin < side:
+            part = order[begin:min(side, begin + LANES)]
+            # of a few very long parts only so many as fit into memory
+            part = part[:max(1, int(np.searchsorted(np.maximum.accumulate((end - start)[part]) * np.arange(1, len(part) + 1), HITS, "right")))]
+            best, where = self._side_by_side(points, item[part], start[part], end[part])
+            hit = best <= self.most[item[part]]
+            for i, d, at in zip(part[hit].tolist(), best[hit].tolist(), where[hit].tolist()):
+                note(int(text[i]), int(item[i]), d, int(start[i] - starts[text[i]]) + at)
+            begin += len(part)
+        for i in order[side:].tolist():
+            n, k, at = int(text[i]), int(item[i]), int(start[i] - starts[text[i]])
+            best, where = distance_within(self.items[k][1], texts[n][at:int(end[i] - starts[n])], int(self.most[k]))
+            note(n, k, best, at + where)
         return [(n, k, *v) for (n, k), v in sorted(found.items())]
 
 
 def _blocks(items: DataFrame, id_col: str, text_col: str, distance: int) -> list[Searcher]:
-    """The benchmark in blocks of bounded size, each with its anchors and samples."""
+    """The benchmark in blocks of bounded size, each with its grams."""
     rows = pick(items, item_id=id_col, text=text_col).distinct()
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     count = -(-total // BLOCK) or 1
@@ -179,14 +279,14 @@ def leaks(docs: DataFrame, items: DataFrame, distance: int = DISTANCE, id_col: s
     """(doc_id, item_id, distance, item_chars, end): each document with each item that some part of it is
     within `distance` hundredths of the item's length of, in edits; its closest place, the first of equal ones.
 
-    Texts are lower-cased and their white space made single spaces. Windows of the item's size are laid where
-    two neighbouring words of the item occur, walked by the random-walk embedding and compared with the item by
-    sampled symbols; what shares a sample is verified exactly. A passage is missed only when no such pair
-    of words is left unchanged, or with the probability stated at `SAMPLES`.
+    Texts are lower-cased and their white space made single spaces. A part of a text where enough grams of an
+    item's letters stand in the item's order (see `GRAMS`) is compared with the item exactly. Words play no part, so
+    an item is also found inside a longer word or in text without spaces. Unchanged passages are always found;
+    one with so many edits that hardly a gram is left may be missed.
 
     Null or empty texts and items, and items with a null id, match nothing. Repeated documents are reported
     each, with null ids too; repeated items once. No items, or no documents: no rows. Other columns
-    are not used. Text without spaces counts as one word.
+    are not used.
     """
     found = [_search(pick(docs, doc_id=id_col, text=text_col), searcher)
              for searcher in _blocks(items, item_id, item_text, distance)]

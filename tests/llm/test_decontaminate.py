@@ -79,3 +79,38 @@ def test_blocks_give_the_same(spark, monkeypatch):
     want = sorted(map(tuple, D.leaks(docs, items(spark, BENCH)).collect()))
     monkeypatch.setattr(D, "BLOCK", 900)
     assert sorted(map(tuple, D.leaks(docs, items(spark, BENCH)).collect())) == want
+
+
+def spread(text, step):
+    """One letter in each `step`-th word is another one."""
+    words = text.split(" ")
+    for i in range(0, len(words), step):
+        at = len(words[i]) // 2
+        words[i] = words[i][:at] + "x" + words[i][at + 1:]
+    return " ".join(words)
+
+
+@pytest.mark.parametrize("change", [
+    lambda t, i: spread(t, 2), lambda t, i: spread(t, 1), lambda t, i: edit(t, 0.05, i), lambda t, i: edit(t, 0.15, i),
+    lambda t, i: edit(t, 0.25, i), lambda t, i: "".join("x" if n % 5 == 2 else c for n, c in enumerate(t))])
+def test_edited_passages(change):
+    searcher = D.Searcher(BENCH)
+    texts = [prose(3000 + i, 40, 5000) + " " + change(t, i) + " " + prose(4000 + i, 40, 5000) for i, t in BENCH]
+    found = {(n, k) for n, k, *_ in searcher.search(texts)}
+    want = {(n, n) for n, t in enumerate(texts)
+            if slow_distance(BENCH[n][1], t) * 100 <= D.DISTANCE * len(BENCH[n][1])}
+    assert want and len(want - found) * 50 <= len(want)
+
+
+@pytest.mark.parametrize("words", [1, 2, 5, 9, 14, 30, 60, 200])
+def test_distances_of_items_of_any_length(words):
+    items_ = [(i, prose(i, words)) for i in range(6)]
+    texts = [prose(50 + i, 20) + edit(t, i / 25, i) + prose(70 + i, 20) for i, t in items_] + ["", "a", items_[0][1]]
+    searcher = D.Searcher(items_)
+    got = {(n, k): (d, end) for n, k, d, end in searcher.search(texts)}
+    for n, text in enumerate(texts):
+        for k, (_, item) in enumerate(searcher.items):
+            want = D.distance_within(item, text, searcher.most[k])
+            if (n, k) in got or n == k:
+                assert got.get((n, k)) == (want if want[0] <= searcher.most[k] else None)
+    assert (8, 0) in got and got[8, 0] == (0, len(items_[0][1]))
