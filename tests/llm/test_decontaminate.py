@@ -114,3 +114,15 @@ def test_distances_of_items_of_any_length(words):
             if (n, k) in got or n == k:
                 assert got.get((n, k)) == (want if want[0] <= searcher.most[k] else None)
     assert (8, 0) in got and got[8, 0] == (0, len(items_[0][1]))
+
+
+def test_items_without_spaces_and_inside_words(spark):
+    unspaced = "".join(chr(0x4E00 + random.Random(i).randrange(3000)) for i in range(40))
+    around = "".join(chr(0x4E00 + random.Random(100 + i).randrange(3000)) for i in range(300))
+    code = "for(i=0;i<n;i++){sum+=table[i]*weight[n-i];}"
+    bench = items(spark, [(1, unspaced), (2, code), (3, "photosynthesis")])
+    docs = documents(spark, [(1, around[:150] + unspaced + around[150:]), (2, f"x;{code}return(sum)"),
+                             (3, "What is it? Photosynthesis, of course."), (4, around)])
+    got = {(r["doc_id"], r["item_id"], r["distance"], r["end"]) for r in D.leaks(docs, bench).collect()}
+    assert got == {(1, 1, 0, 190), (2, 2, 0, 2 + len(code)), (3, 3, 0, 26)}
+    assert [r["doc_id"] for r in D.drop_leaks(docs, bench).collect()] == [4]
