@@ -2,20 +2,22 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from docsift.llm.texts import chunks, materialize, mix, pick
 
 ORDER = 4
 UNKNOWN = "und"
-# Most log-probabilities in a model (types of n-grams times languages); beyond, rare n-grams of the highest
-# order are left out, the rarest first, as in any pruned model of this kind.
+# Most log-probabilities in a model (types of n-grams times languages); beyond, the languages are dealt out to
+# several models, and texts are scored with one after the other. No n-gram is left out.
 MODEL_SIZE = 64_000_000
 # Characters over which the margin between languages is counted as evidence.
 EVIDENCE = 40
@@ -169,10 +171,10 @@ class Model:
             out[lost] = lower
         return out
 
-    def judge(self, texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
-        """Of each text: language, score, nats per character, whether it is rejected."""
+    def entropies(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, list[bool]]:
+        """Of each text: nats per character in each language, number of characters, whether it can't be judged."""
         codes, starts, ends = _symbols(texts)
-        entropy = np.zeros((len(texts), max(1, len(self.langs))))
+        entropy = np.zeros((len(texts), len(self.langs)))
         empty = [not self.langs or not t or not any(map(str.isalpha, t)) for t in texts]
         full = np.flatnonzero(ends > starts)
         if self.langs and len(full):
@@ -181,29 +183,61 @@ class Model:
             sums = np.add.reduceat(self.log_probabilities(codes[inside]),
                                    (np.cumsum(inside) - 1)[starts[full]], axis=0, dtype=np.float64)
             entropy[full] = -sums / (ends - starts)[full, None]
+        return entropy, np.maximum(ends - starts, 1), empty
+
+
+@dataclass
+class Verdict:
+    """The languages of all models, and what their training texts cost."""
+
+    langs: list[str]
+    mean: np.ndarray
+    deviation: np.ndarray
+
+    def judge(self, entropy: np.ndarray, length: np.ndarray, empty: list[bool]
+              ) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
+        """Of each text: language, score, nats per character, whether it is rejected."""
+        if not self.langs:
+            entropy = np.zeros((len(length), 1))
         best = entropy.argmin(1)
-        low = entropy[np.arange(len(texts)), best]
-        length = np.maximum(ends - starts, 1)
+        low = entropy[np.arange(len(length)), best]
         odds = np.exp(np.maximum(-(entropy - low[:, None]) * np.minimum(length, EVIDENCE)[:, None], -60)).sum(1)
         if self.langs:
             hard = low > self.mean[best] + self.deviation[best] * (SLACK + LIMIT / np.sqrt(length))
         else:
-            hard = np.ones(len(texts), bool)
+            hard = np.ones(len(length), bool)
         return ([UNKNOWN if e else self.langs[b] for e, b in zip(empty, best.tolist())],
                 np.where(empty, 0.0, 1 / odds), np.where(empty, np.nan, low), hard | np.array(empty, bool))
 
 
-def fit(grams: DataFrame, model_size: int = MODEL_SIZE) -> Model:
-    """Kneser-Ney from the counts of the highest order; lower orders count distinct left neighbours.
+def models(grams: DataFrame, model_size: int | None = None) -> Iterator[Model]:
+    """Models of at most `model_size` entries, of one language at least; their languages in order. Each is made
+    when it is asked for, so that the driver holds one at a time. No training text: one model without languages.
 
-    The types of n-grams are few beside the texts; their number is checked before they are fetched.
+    A language's probabilities come from its own counts alone, so they are the same in any of the models.
     """
     grams = materialize(grams.filter(F.col("lang").isNotNull()), "grams")
-    langs = sorted(r[0] for r in grams.select("lang").distinct().collect())
-    cutoff = 1
-    while grams.filter(F.col("n") >= cutoff).count() * max(1, len(langs)) > model_size:
-        cutoff *= 2
-    table = grams.filter(F.col("n") >= cutoff).select("lang", "gram", "n").toArrow()
+    blocks: list[list[str]] = [[]]
+    rows = 0
+    for lang, n in sorted(map(tuple, grams.groupBy("lang").count().collect())):
+        if blocks[-1] and (rows + n) * (len(blocks[-1]) + 1) > (model_size or MODEL_SIZE):
+            blocks.append([])
+            rows = 0
+        blocks[-1].append(lang)
+        rows += n
+    letters = grams.select(F.col("gram").bitwiseAND(0xFFFF)).distinct().count()
+    for langs in blocks:
+        yield _fit(grams.filter(F.col("lang").isin(langs)) if len(blocks) > 1 else grams, langs, letters)
+
+
+def fit(grams: DataFrame) -> Model:
+    """One model of all languages."""
+    return next(models(grams, 1 << 62))
+
+
+def _fit(grams: DataFrame, langs: list[str], letters: int) -> Model:
+    """Kneser-Ney from the counts of the highest order; lower orders count distinct left neighbours."""
+    table = grams.select("lang", "gram", "n").toArrow()
     lang_of = np.array([langs.index(x) for x in table.column("lang").unique().to_pylist()], np.int64)
     own = lang_of[table.column("lang").combine_chunks().dictionary_encode().indices.to_numpy()] if len(table) else (
         np.zeros(0, np.int64))
@@ -219,7 +253,7 @@ def fit(grams: DataFrame, model_size: int = MODEL_SIZE) -> Model:
         levels[order] = (keys[0][kept].astype(np.int64), keys[1][kept], numbers[kept].astype(np.float64))
 
     size = len(langs)
-    floor = -float(np.log(max(1, len(np.unique(levels[1][1]))) + 1))
+    floor = -float(np.log(max(1, letters) + 1))
     model = Model(langs, [None] * (ORDER + 1), [None] * (ORDER + 1), floor, np.zeros(size), np.ones(size))
     for order in range(1, ORDER + 1):
         lang, keys, numbers = levels[order]
@@ -249,30 +283,60 @@ def fit(grams: DataFrame, model_size: int = MODEL_SIZE) -> Model:
     return model
 
 
-def predict(docs: DataFrame, model: Model, carried: str = "doc_id long") -> DataFrame:
-    """`carried` columns of `docs` with lang_pred, score, entropy (nats per character) and rejected."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-    names = [c.split()[0] for c in carried.split(", ")]
-
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = shared.value
-        for batch in chunks(batches):
-            best, score, entropy, rejected = own.judge(batch.column("text").to_pylist())
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in names), pa.array(best, pa.string()), pa.array(score), pa.array(entropy),
-                 pa.array(rejected)], [*names, "lang_pred", "score", "entropy", "rejected"])
+def _judged(docs: DataFrame, parts: Iterable[Model], text_col: str, out, schema) -> DataFrame:
+    """`out(batch, judged)` of the batches of `docs`. Where there are several models, each but the last one is
+    a pass of its own, which adds its entropies to the rows; so a task holds one model."""
+    carry = "entropies"
+    while carry in docs.columns:
+        carry += "_"
+
+    def entropies(batch: pa.RecordBatch, model: Model):
+        own = model.entropies(batch.column(text_col).to_pylist())
+        if carry not in batch.schema.names:
+            return own
+        before = batch.column(carry).flatten().to_numpy().reshape(batch.num_rows, -1)
+        return np.hstack((before, own[0])), *own[1:]
+
+    def adds(shared):
+        def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in chunks(batches, text_col):
+                held = pa.array(list(entropies(batch, shared.value)[0]), pa.list_(pa.float64()))
+                rest = [c for c in batch.schema.names if c != carry]
+                yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in rest), held], [*rest, carry])
+        return add
+
+    sent: list = []
+    langs, mean, deviation = [], [], []
+    for model in parts:
+        if sent:
+            fields = T.StructType([f for f in docs.schema if f.name != carry]).add(carry, T.ArrayType(T.DoubleType()))
+            docs = materialize(docs.mapInArrow(adds(sent[-1]), fields), "entropies")
+            sent.pop().unpersist()
+        sent.append(docs.sparkSession.sparkContext.broadcast(model))
+        langs += model.langs
+        mean, deviation = np.append(mean, model.mean), np.append(deviation, model.deviation)
+    shared, verdict = sent[-1], Verdict(langs, mean, deviation)
+
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in chunks(batches, text_col):
+            judged = verdict.judge(*entropies(batch, shared.value))
+            yield out(batch.drop_columns([carry]) if carry in batch.schema.names else batch, judged)
 
-    return docs.mapInArrow(score, f"{carried}, lang_pred string, score double, entropy double, rejected boolean")
+    return docs.mapInArrow(judge, schema)
 
 
-def _kept(docs: DataFrame, model: Model, text_col: str) -> DataFrame:
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+def predict(docs: DataFrame, parts: Iterable[Model], carried: str = "doc_id long") -> DataFrame:
+    """`carried` columns of `docs` with lang_pred, score, entropy (nats per character) and rejected."""
+    names = [c.split()[0] for c in carried.split(", ")]
 
-    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in chunks(batches, text_col):
-            yield batch.filter(pa.array(~shared.value.judge(batch.column(text_col).to_pylist())[3]))
+    def score(batch: pa.RecordBatch, judged) -> pa.RecordBatch:
+        best, score, entropy, rejected = judged
+        return pa.RecordBatch.from_arrays(
+            [*(batch.column(c) for c in names), pa.array(best, pa.string()), pa.array(score), pa.array(entropy),
+             pa.array(rejected)], [*names, "lang_pred", "score", "entropy", "rejected"])
 
-    return docs.mapInArrow(keep, docs.schema)
+    return _judged(docs, parts, "text", score,
+                   f"{carried}, lang_pred string, score double, entropy double, rejected boolean")
 
 
 def held_out(doc_id: str) -> F.Column:
@@ -293,8 +357,8 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
     """
     rows = pick(docs, doc_id=id_col, text=text_col, lang=lang_col).withColumn("held_out", held_out("doc_id"))
     training = rows.filter(~F.col("held_out") & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    model = fit(count_grams(training.select("text", "lang")))
-    return predict(rows.select("doc_id", "held_out", "text"), model, "doc_id long, held_out boolean")
+    return predict(rows.select("doc_id", "held_out", "text"), models(count_grams(training.select("text", "lang"))),
+                   "doc_id long, held_out boolean")
 
 
 def drop_rejected(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -303,7 +367,10 @@ def drop_rejected(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     no training text nothing can be judged, and only texts without letters go."""
     rows = pick(docs, doc_id=id_col, text=text_col, lang=lang_col)
     training = rows.filter(~held_out("doc_id") & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    model = fit(count_grams(training.select("text", "lang")))
-    if not model.langs:
+    parts = models(count_grams(training.select("text", "lang")))
+    first = next(parts)
+    if not first.langs:
         return docs.filter(F.col(f"`{text_col}`").rlike(r"\p{L}"))
-    return _kept(docs, model, text_col)
+    parts = chain([first], parts)
+    del first
+    return _judged(docs, parts, text_col, lambda batch, judged: batch.filter(pa.array(~judged[3])), docs.schema)

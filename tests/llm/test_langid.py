@@ -77,3 +77,21 @@ def test_edges(spark):
     assert {r["lang_pred"] for r in I.identify(none).collect()} == {"und"}
     assert I.drop_rejected(none).count() < len(edge_texts())
     assert I.drop_rejected(empty(spark)).collect() == []
+
+
+def test_large_models_leave_nothing_out(spark, monkeypatch):
+    rows, docs = table(spark)
+    docs = docs.withColumn("entropies", F.lit("clash"))
+    want = {r["doc_id"]: r for r in I.identify(docs).collect()}
+    kept = sorted(map(str, I.drop_rejected(docs).collect()))
+    # so small that rare n-grams had to go
+    monkeypatch.setattr(I, "MODEL_SIZE", 300)
+    got = {r["doc_id"]: r for r in I.identify(docs).collect()}
+    for i, r in want.items():
+        assert (got[i]["lang_pred"], got[i]["rejected"]) == (r["lang_pred"], r["rejected"])
+        assert got[i]["score"] == pytest.approx(r["score"])
+        assert got[i]["entropy"] == pytest.approx(r["entropy"], nan_ok=True)
+    assert sorted(map(str, I.drop_rejected(docs).collect())) == kept
+    assert [m.langs for m in I.models(I.count_grams(docs.filter("lang IS NOT NULL")))] == [["aa"], ["bb"], ["cc"]]
+    none = docs.withColumn("lang", F.lit(None).cast("string"))
+    assert I.drop_rejected(none).count() == sum(any(map(str.isalpha, t or "")) for _, t, _ in rows)
