@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from docsift.llm import chat, decontaminate, fingerprint, jaccard, langid, linetemplates, packing, suffixdedup, toxicity, windows
+from docsift.llm import (chat, decontaminate, fingerprint, jaccard, langid, linetemplates, packing, sharding, suffixdedup,
+                         toxicity, windows)
 from docsift.llm.packing import default_vocabulary
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -85,3 +86,8 @@ def op1(spark: SparkSession, sf: str) -> DataFrame:
 @query("op8_substring_dedup")
 def op8(spark: SparkSession, sf: str) -> DataFrame:
     return windows.near_passages(documents(spark, sf))
+
+
+@query("op12_sharding")
+def op12(spark: SparkSession, sf: str) -> DataFrame:
+    return sharding.digests(documents(spark, sf))
