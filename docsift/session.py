@@ -62,3 +62,20 @@ def materialize(df: DataFrame, label: str = "step") -> DataFrame:
     path = scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+class Scratch:
+    """A folder of tables below the shared folder that one job owns: it drops what it no longer reads."""
+
+    def __init__(self, spark: SparkSession, label: str):
+        self.spark, self.path = spark, scratch_path(spark, label)
+
+    def write(self, df: DataFrame, name: str) -> DataFrame:
+        """Write a table and read it back, as `materialize` does."""
+        df.write.parquet(f"{self.path}/{name}")
+        return self.spark.read.schema(df.schema).parquet(f"{self.path}/{name}")
+
+    def drop(self, name: str = "") -> None:
+        """Remove a table of this folder, or all of it."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}" if name else self.path)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
