@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from docsift.llm import (chat, decontaminate, fingerprint, jaccard, langid, linetemplates, packing, sharding, suffixdedup,
-                         toxicity, windows)
+from docsift.llm import (chat, chatrepair, decontaminate, fingerprint, jaccard, langid, linetemplates, packing, sharding,
+                         suffixdedup, toxicity, vectorcodes, windows)
 from docsift.llm.packing import default_vocabulary
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -91,3 +91,13 @@ def op8(spark: SparkSession, sf: str) -> DataFrame:
 @query("op12_sharding")
 def op12(spark: SparkSession, sf: str) -> DataFrame:
     return sharding.digests(documents(spark, sf))
+
+
+@query("op11_vector_codes", vectorcodes.rounds_sql())
+def op11(spark: SparkSession, sf: str) -> DataFrame:
+    return vectorcodes.digests(spark.read.parquet(f"{sf}/embeddings.parquet"))
+
+
+@query("op13_chat_repair", chatrepair.repair_sql())
+def op13(spark: SparkSession, sf: str) -> DataFrame:
+    return chatrepair.damaged_digests(spark.read.parquet(f"{sf}/conversations.parquet"))
