@@ -9,6 +9,7 @@ from docsift.operators import find, hydrate, maintain
 from docsift.operators.rebuild import rebuild_index
 from docsift.plans.paging import Page, take_page
 from docsift.session import scratch_path
+from docsift.sources.buckets import BucketedIndex
 from docsift.sources.versions import VersionedTable
 from workload.common import EVENTS_SQL, MAPPING, events, orders, query, table
 
@@ -141,6 +142,59 @@ def rebuild_and_search(spark, sf):
     return find.find_terms(docs, None, {"properties.k >=": 50}).select("id", "type", "value")
 
 
+def _bucketed(spark, docs):
+    """A published index with a few buckets for each tenant."""
+    index = BucketedIndex(spark, scratch_path(spark, "buckets"), bucket_rows=max(1, docs.count() // 16))
+    index.rebuild(docs)
+    return index
+
+
+USERS_SQL = "SELECT 'u' || CAST(id % 8 AS VARCHAR) AS appid, CAST(id AS VARCHAR) AS id, type, value FROM "
+
+
+def _by_tenant(users):
+    return users.withColumns({"appid": F.concat(F.lit("u"), (F.col("id") % 8).cast("string")),
+                              "id": F.col("id").cast("string")})
+
+
+@query("index_upsert", f"""{USERS_SQL} (SELECT id, arg_max(type, seq) AS type,
+ arg_max(value, seq) FILTER (WHERE value IS NOT NULL) AS value FROM ({WRITES_SQL}) GROUP BY id)""")
+def index_upsert(spark, sf):
+    """Upsert, publish, read: two batches on top of a published index."""
+    early, late = _halves(spark, sf, "merge")
+    index = _bucketed(spark, _by_tenant(early))
+    late = _by_tenant(late)
+    middle = late.agg(F.percentile_approx("seq", 0.5)).first()[0]
+    index.upsert(late.filter(F.col("seq") <= middle))
+    index.upsert(late.filter(F.col("seq") > middle))
+    return index.read().select("appid", "id", "type", "value")
+
+
+@query("index_delete", f"""SELECT appid, CAST(id AS VARCHAR) AS id, value FROM ({EVENTS_SQL})
+ WHERE NOT (type = 'error' AND value < 50) AND appid <> 'u3'
+ AND id NOT IN (SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'R')""")
+def index_delete(spark, sf):
+    """Deletion by terms, by ids and of a tenant, each published, then read."""
+    docs = events(spark, sf, spread=True).select("appid", F.col("id").cast("string").alias("id"), "type", "value")
+    index = _bucketed(spark, docs)
+    index.delete_terms({"type": "error", "value <": 50})
+    index.drop_tenant("u3")
+    ids = table(spark, sf, "lineitem").filter("l_returnflag = 'R'").select(F.col("l_orderkey").cast("string").alias("id"))
+    index.delete_ids(ids.select("id", F.explode(F.array(*[F.lit(f"u{n}") for n in range(8)])).alias("appid")))
+    return index.read().select("appid", "id", "value")
+
+
+@query("index_count", f"SELECT appid, count(*) AS n FROM ({EVENTS_SQL}) WHERE type <> 'view' GROUP BY appid")
+def index_count(spark, sf):
+    """Documents by tenant after a deletion, from the manifest alone."""
+    docs = events(spark, sf, spread=True).select("appid", F.col("id").cast("string").alias("id"), "type")
+    index = _bucketed(spark, docs)
+    index.delete_terms({"type": "view"})
+    folders = index.folders(index.current())
+    rows = spark.createDataFrame([(a, f.rows) for (a, _), f in folders.items()], "appid string, rows bigint")
+    return rows.groupBy("appid").agg(F.sum("rows").alias("n"))
+
+
 @query("bulk_report", """SELECT coalesce(reason, 'accepted') AS outcome, count(*) AS n FROM (
  SELECT CASE WHEN value < 1 THEN 'missing id'
   WHEN event_type = 'error' AND value > 50 THEN 'bad date in timestamp'
