@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from docsift.functions.dates import FORMATS, parse_date
 from docsift.functions.geo import parse_latlng
 from docsift.functions.props import depth_of, properties_json, with_flattened
+from docsift.plans.once import with_once
 from docsift.schema import DATE_FIELDS, DOCID, IGNORED_FIELDS, PROPS, PROPS_JSON
 
 
@@ -60,8 +61,10 @@ def property_rows(rows: DataFrame, json: str, keys: Sequence[str],
                   depth: int | None = None) -> DataFrame:
     """One row per flattened property: the key columns with `k`, `v` and `vn`."""
     depth = depth_of(rows, F.col(json)) if depth is None else depth
-    pairs = with_flattened(rows, "_pairs", properties_json(F.col(json)), depth, analysed=False)
-    return pairs.select(*keys, F.inline("_pairs"))
+    pairs = with_flattened(rows.select(*keys, F.col(json).alias("_json")), "_found", properties_json(F.col("_json")), depth,
+                           analysed=False)
+    # a filter on the pairs must not flatten them a second time
+    return with_once(pairs, "_pairs", F.col("_found")).select(*keys, F.inline("_pairs"))
 
 
 def restore(docs: DataFrame, schema: T.StructType | str | None = None) -> DataFrame:

@@ -94,24 +94,36 @@ def _asked(docs: DataFrame, text: str | Column) -> Column:
     return docs.sparkSession.range(1).select(tokens(text)).scalar()
 
 
-def _weighted(stats: DataFrame, asked: Column) -> DataFrame:
-    """The one-row statistics with the query's terms and weights in place of the counts."""
-    terms = F.transform(term_counts(F.col("asked")), lambda q: F.struct(
-        q["term"].alias("term"),
-        (q["tf"] * _idf(F.col("n"), F.element_at(F.col("df"), q["term"]))).alias("w")))
-    return (stats.withColumn("asked", asked)
-            .select("avg", F.filter(terms, lambda q: q["w"].isNotNull()).alias("terms")))
+def _weighted(stats: DataFrame, *asked: Column) -> DataFrame:
+    """The one-row statistics with the terms and weights of each text in place of the counts: `avg`, `terms`,
+    `terms1`, ..."""
+    def terms(words: Column) -> Column:
+        weights = F.transform(term_counts(words), lambda q: F.struct(
+            q["term"].alias("term"),
+            (q["tf"] * _idf(F.col("n"), F.element_at(F.col("df"), q["term"]))).alias("w")))
+        return F.filter(weights, lambda q: q["w"].isNotNull())
 
+    given = {f"_asked{i}": words for i, words in enumerate(asked)}
+    return stats.withColumns(given).select(
+        "avg", *[terms(F.col(name)).alias(f"terms{i or ''}") for i, name in enumerate(given)])
 
-def _score(words: Column, stats: Column, boost: float = 1.0) -> Column:
-    """Score of one token array; 0 when no term occurs. `stats` is a one-row subquery."""
+
+def _field_stats(units: DataFrame, asked: Sequence[Column]) -> Column:
+    """What the texts asked of one field need, from one pass over its words."""
+    none = F.array().cast("array<string>")
+    wanted = reduce(F.array_union, [F.coalesce(words, none) for words in asked])
+    return _subquery(_weighted(_term_stats(units, wanted), *asked))
+
+
+def _score(words: Column, stats: Column, boost: float = 1.0, terms: str = "terms") -> Column:
+    """Score of one token array; 0 when no term occurs. `stats` is a one-row subquery, `terms` says which of its texts."""
     length = F.size(words).cast("double")
 
     def part(q: Column) -> Column:
         return let(count_of(words, q["term"]).cast("double"),
                    lambda tf: q["w"] * _tf_part(tf, length, stats["avg"]))
 
-    total = F.coalesce(_sum(F.transform(stats["terms"], part)), F.lit(0.0))
+    total = F.coalesce(_sum(F.transform(stats[terms], part)), F.lit(0.0))
     return total if boost == 1.0 else total * boost
 
 
@@ -137,14 +149,15 @@ def search(docs: DataFrame, clauses: Sequence[Clause], type: str | None = None,
     names = sorted({c.field for c in clauses})
     column_of = {name: f"_w{i}" for i, name in enumerate(names)}
     words = {col: _words(docs, name, mapping) for name, col in column_of.items()}
-    stats, parts = {}, []
-    for i, clause in enumerate(clauses):
+    asked: dict[str, list[Column]] = {col: [] for col in words}
+    parts = []
+    for clause in clauses:
         col = column_of[clause.field]
-        units = docs.select(words[col].alias("words"))
-        asked = _asked(docs, clause.text)
-        stats[f"_q{i}"] = _subquery(_weighted(_term_stats(units, asked), asked))
-        parts.append(F.when(F.size(col) > 0, _score(F.col(col), F.col(f"_q{i}"), clause.boost))
+        terms = f"terms{len(asked[col]) or ''}"
+        asked[col].append(_asked(docs, clause.text))
+        parts.append(F.when(F.size(col) > 0, _score(F.col(col), F.col(f"_q{col}"), clause.boost, terms))
                      .otherwise(0.0))
+    stats = {f"_q{col}": _field_stats(docs.select(words[col].alias("words")), texts) for col, texts in asked.items()}
     hits = scope(docs, type=type)
     if where is not None:
         hits = hits.filter(condition(hits, where, mapping))
@@ -177,7 +190,7 @@ def search_nested(docs: DataFrame, path: str, field: str, query: str | Column,
     asked = _asked(docs, query)
     elements = F.transform(F.col(path), words_of)
     units = docs.select(F.explode(elements).alias("words"))
-    stats = _subquery(_weighted(_term_stats(units, asked), asked))
+    stats = _field_stats(units, [asked])
     scores = F.filter(F.transform(F.col("_words"), lambda w: F.when(
         F.size(w) > 0, _score(w, F.col("_q"))).otherwise(0.0)), lambda s: s > 0)
     rows = with_once(scope(docs, type=type), "_words", elements).withColumn("_q", stats)
@@ -196,15 +209,22 @@ class _Tree:
         self.docs, self.mapping = docs, mapping
         self.fields = Fields(docs.schema, mapping)
         self.words: dict[str, str] = {}
-        self.stats: dict[str, Column] = {}
+        self.asked: dict[str, list[Column]] = {}
+        self.objects: dict[str, Column] = {}
 
     def _matched(self, field: str, value: str) -> Column:
         """BM25 of a text field; statistics are those of all documents."""
         words = self.words.setdefault(field, f"_w{len(self.words)}")
-        name, asked = f"_q{len(self.stats)}", tokens(F.lit(value))
-        units = self.docs.select(_words(self.docs, field, self.mapping).alias("words"))
-        self.stats[name] = _subquery(_weighted(_term_stats(units, asked), asked))
-        return F.when(F.size(words) > 0, _score(F.col(words), F.col(name))).otherwise(0.0)
+        asked = self.asked.setdefault(field, [])
+        terms = f"terms{len(asked) or ''}"
+        asked.append(tokens(F.lit(value)))
+        return F.when(F.size(words) > 0, _score(F.col(words), F.col(f"_q{words}"), terms=terms)).otherwise(0.0)
+
+    def stats(self) -> dict[str, Column]:
+        """The statistics that the leaves collected so far need: one pass over the words of each field."""
+        return self.objects | {f"_q{self.words[field]}": _field_stats(
+            self.docs.select(_words(self.docs, field, self.mapping).alias("words")), asked)
+            for field, asked in self.asked.items()}
 
     def _objects(self, query: Nested) -> Column:
         """Mean score of the objects that match: BM25 for a text in one field, else 1 each."""
@@ -218,9 +238,9 @@ class _Tree:
         def words_of(o: Column) -> Column:
             return tokens(Fields(kind, self.mapping, o).column(inner.field))
 
-        name, asked = f"_q{len(self.stats)}", tokens(F.lit(inner.value))
+        name, asked = f"_q{len(self.objects)}", tokens(F.lit(inner.value))
         units = self.docs.select(F.explode(F.transform(query.path, words_of)).alias("words"))
-        self.stats[name] = _subquery(_weighted(_term_stats(units, asked), asked))
+        self.objects[name] = _field_stats(units, [asked])
         scores = F.transform(objects, lambda o: _score(words_of(o), F.col(name)))
         return let(scores, lambda s: F.when(F.size(s) > 0, _sum(s) / F.size(s)).otherwise(0.0))
 
@@ -259,7 +279,8 @@ def score_query(docs: DataFrame, query: Query, type: str | None = None,
     hits = scope(docs, type=type).filter(condition(docs, query, mapping))
     for field, name in tree.words.items():
         hits = with_once(hits, name, _words(docs, field, mapping))
-    return with_once(hits.withColumns(tree.stats), "score", total).drop(*tree.words.values(), *tree.stats)
+    stats = tree.stats()
+    return with_once(hits.withColumns(stats), "score", total).drop(*tree.words.values(), *stats)
 
 
 # ---------------------------------------------------------------- similarity to one text

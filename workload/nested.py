@@ -235,3 +235,18 @@ def sort_nested_numeric(spark, sf):
     page = take_page(docs, Page(limit=200, sort="properties.steps.year:desc, properties.total:asc"))
     return page.select("id", F.get(F.filter("properties", lambda p: p["k"] == "total"), 0)["vn"]
                        .alias("total"))
+
+
+@query("nested_wildcard_any_field", "SELECT o_orderkey AS id FROM orders WHERE o_orderpriority = '1-URGENT'")
+def nested_wildcard_any_field(spark, sf):
+    """Without a field a pattern reaches the words of all properties."""
+    return find.find_query(normalize(order_documents(spark, sf)), "order", Q.wildcard(None, "ur?en*")).select("id")
+
+
+@query("nested_spellings", """SELECT o_orderkey AS id FROM orders
+ WHERE o_orderstatus = 'F' AND o_orderpriority = '1-URGENT' AND year(o_orderdate) >= 1995""")
+def nested_spellings(spark, sf):
+    """The three ways to name a property."""
+    tree = (Q.term("properties:status", "f") & Q.term("order.properties.marks[1]", "urgent")
+            & Q.range("properties.steps[0].year", 1995, "*"))
+    return find.find_query(normalize(order_documents(spark, sf)), "order", tree).select("id")

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from docsift.operators import relevance
+from docsift.operators import postings, relevance
 from docsift.operators.normalize import normalize
 from docsift.plans.paging import Page, take_page
 from docsift.plans.predicates import Q
-from docsift.session import materialize
+from docsift.session import materialize, scratch_path
 from workload.common import MAPPING, query, table, words
 
 TEXT_MAPPING = MAPPING.plus("lang", "source")
@@ -224,24 +224,62 @@ PROBES = f"""asked AS (SELECT query_id, term, count(*) AS qtf FROM (
 RANK = "row_number() OVER (PARTITION BY query_id ORDER BY round(score, 6) DESC, id)"
 
 
-@query("bm25_batch", f"""{_counted(DOCUMENTS)}, {PROBES},
+BM25_BATCH = f"""{_counted(DOCUMENTS)}, {PROBES},
  s AS (SELECT query_id, id, sum(qtf * {IDF} * {TF}) AS score FROM tf JOIN asked USING (term)
   JOIN df USING (term) JOIN dl USING (id) CROSS JOIN st GROUP BY ALL)
  SELECT query_id, id AS doc_id, round(score, 6) AS score, CAST({RANK} AS INT) AS rank FROM s
- QUALIFY rank <= 10""")
+ QUALIFY rank <= 10"""
+
+
+@query("bm25_batch", BM25_BATCH)
 def bm25_batch(spark, sf):
     return relevance.bm25_batch(stored_index(spark, sf), table(spark, sf, "benchmark"),
                                 "item_id", "text", k=10)
 
 
-@query("find_similar_batch", f"""{_counted(DOCUMENTS)}, {PROBES},
+SIMILAR_BATCH = f"""{_counted(DOCUMENTS)}, {PROBES},
  picked AS (SELECT query_id, term, df FROM asked JOIN df USING (term)),
  need AS (SELECT query_id, greatest(1, CAST(floor(count(*) * 70 / 100) AS INT)) AS need
   FROM picked GROUP BY ALL),
  s AS (SELECT query_id, id, count(*) AS m, sum({IDF} * {TF}) AS score FROM tf
   JOIN picked USING (term) JOIN dl USING (id) CROSS JOIN st GROUP BY ALL)
  SELECT query_id, id AS doc_id, round(score, 6) AS score, CAST({RANK} AS INT) AS rank
- FROM s JOIN need USING (query_id) WHERE m >= need QUALIFY rank <= 10""")
+ FROM s JOIN need USING (query_id) WHERE m >= need QUALIFY rank <= 10"""
+
+
+@query("find_similar_batch", SIMILAR_BATCH)
 def find_similar_batch(spark, sf):
     return relevance.find_similar_batch(stored_index(spark, sf), table(spark, sf, "benchmark"),
                                         "item_id", "text", k=10)
+
+
+def stored_postings(spark, sf):
+    docs = table(spark, sf, "documents", spread=True)
+    return postings.store_postings(docs, "doc_id", "text", scratch_path(spark, "postings"))
+
+
+@query("bm25_stored", BM25_BATCH)
+def bm25_stored(spark, sf):
+    """The same answer from an index that is stored by term, without the blocks that can't matter."""
+    return postings.bm25_batch(stored_postings(spark, sf), table(spark, sf, "benchmark"), "item_id", "text", k=10)
+
+
+@query("find_similar_stored", SIMILAR_BATCH)
+def find_similar_stored(spark, sf):
+    return postings.find_similar_batch(stored_postings(spark, sf), table(spark, sf, "benchmark"), "item_id", "text", k=10)
+
+
+def _holding(test: str) -> str:
+    """SQL: documents with a word `t` that passes a test."""
+    return f"SELECT doc_id AS id FROM documents WHERE len(list_filter({words('text')}, lambda t: {test})) > 0"
+
+
+@query("query_wildcard_leading", _holding("t LIKE '%ungen'"))
+def query_wildcard_leading(spark, sf):
+    """A pattern without a head, matched against the distinct words of the stored index."""
+    return stored_postings(spark, sf).with_wildcard("*ungen").select(F.col("doc_id").alias("id"))
+
+
+@query("query_fuzzy_stored", _holding("damerau_levenshtein(t, 'vertrga') <= 2"))
+def query_fuzzy_stored(spark, sf):
+    return stored_postings(spark, sf).with_typos("vertrga").select(F.col("doc_id").alias("id"))
