@@ -9,6 +9,10 @@ from pyspark.sql import functions as F
 
 from docsift.plans.predicates import Fields, pair_key
 from docsift.schema import DEFAULT_MAPPING, DOCID, PROPS, FieldMapping
+from docsift.session import materialize
+
+# Rows before a page up to which they may meet in one task.
+DEEP_ROWS = 100_000
 
 
 @dataclass(frozen=True)
@@ -62,7 +66,8 @@ def sort_columns(df: DataFrame, page: Page, mapping: FieldMapping = DEFAULT_MAPP
 
 def take_page(df: DataFrame, page: Page, mapping: FieldMapping = DEFAULT_MAPPING,
               tie: str = "id") -> DataFrame:
-    """The rows of one page, in order: a top-k per partition, never a full sort."""
+    """The rows of one page, in order: a top-k per partition, never a full sort. A page behind more than `DEEP_ROWS` rows
+    is found by ranks, see `deep_page`."""
     if page.number <= 1 and page.last_key is not None:
         docid, last = page.last_key
         if page.desc:
@@ -72,12 +77,37 @@ def take_page(df: DataFrame, page: Page, mapping: FieldMapping = DEFAULT_MAPPING
             past = (F.col(DOCID) >= docid) & ((F.col(DOCID) > docid) | (F.col(tie) > last))
             order = [F.col(DOCID).asc(), F.col(tie).asc()]
         return df.filter(past).orderBy(*order).limit(page.limit)
+    if page.offset() >= DEEP_ROWS:
+        return deep_page(df, page, mapping, tie)
     ordered = df.orderBy(*sort_columns(df, page, mapping, tie=tie))
     if page.offset():
         ordered = ordered.offset(page.offset())
     return ordered.limit(page.limit)
 
 
+def deep_page(df: DataFrame, page: Page, mapping: FieldMapping = DEFAULT_MAPPING, tie: str = "id",
+              parts: int | None = None) -> DataFrame:
+    """The rows of a page far behind, in order, without bringing all rows before it to one task.
+
+    The rows are dealt to ranges of the sort order and written to the shared folder; the counts per range say in which
+    the page lies, and only those are sorted. Select the columns that are needed first: they are what is
+    written. By default there are four ranges for each shuffle partition.
+    """
+    spark = df.sparkSession
+    order = sort_columns(df, page, mapping, tie=tie)
+    parts = parts or 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = materialize(df.repartitionByRange(parts, *order).withColumn("_range", F.spark_partition_id()), "ranges")
+    begin, end, before, chosen = page.offset(), page.offset() + page.limit, 0, []
+    # a row per range
+    for r in sorted(rows.groupBy("_range").agg(F.count(F.lit(1)).alias("n")).collect()):
+        if before + r["n"] <= begin:
+            before += r["n"]
+        elif not chosen or chosen[-1][1] < end:
+            chosen.append((r["_range"], (chosen[-1][1] if chosen else before) + r["n"]))
+    near = rows.filter(F.col("_range").isin([c for c, _ in chosen])).drop("_range")
+    return near.orderBy(*sort_columns(near, page, mapping, tie=tie)).offset(begin - before).limit(page.limit)
+
+
 def last_key(page_rows: DataFrame, desc: bool = True, tie: str = "id") -> tuple[int, str] | None:
     """Where the next keyset page starts; the input is one page, so this brings back one row."""
     pair = F.struct(F.col(DOCID).alias("d"), F.col(tie).alias("i"))

@@ -16,6 +16,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 
 from docsift.operators.maintain import BROADCAST_BYTES, DELETE, KEYS, PUT
 from docsift.plans.predicates import condition, terms_query
@@ -212,3 +213,22 @@ class LoggedIndex:
         if state is None:
             raise ValueError(f"nothing is published in {self.index.root}, and nothing logged in {self.log}")
         return state.filter(F.col(OP) == PUT).drop(SEQ, OP)
+
+
+def follow(stream: DataFrame, logged: LoggedIndex, checkpoint: str, every: int = 10,
+           interval: str | None = None) -> StreamingQuery:
+    """Take a stream of operations into the log and compact it after every so many micro-batches: the last state of each
+    key, with no more than `every` batches and two versions of the index at a time. The state is the published index itself and
+    not the memory of the job; a batch costs what it holds, a compaction the buckets that it touches.
+
+    One such query may write to a log. A micro-batch that runs again after a failure replaces its own folder, or, if it was
+    compacted before, is known by its number and left out.
+    """
+    def take(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{logged.log}/batch={number}")
+        if number % every == every - 1:
+            logged.compact()
+            logged.index.clean(keep=2)
+
+    trigger = {"processingTime": interval} if interval else {"availableNow": True}
+    return (stream.writeStream.foreachBatch(take).option("checkpointLocation", checkpoint).trigger(**trigger).start())

@@ -7,7 +7,7 @@ import pytest
 
 from docsift.session import scratch_path
 from docsift.sources.buckets import BucketedIndex
-from docsift.streaming.compact import LoggedIndex
+from docsift.streaming.compact import LoggedIndex, follow
 from docsift.streaming.ingest import bulk_ingest
 
 OPS = "appid string, id string, seq long, op string, terms string, x string, n long"
@@ -199,3 +199,19 @@ def test_from_a_stream(spark):
     assert state(logged.read()) == apply(ops)
     logged.compact()
     assert state(logged.read()) == apply(ops)
+
+
+def test_following_a_stream_keeps_few_files(spark):
+    ops, home = random_ops(9, 140), scratch_path(spark, "s")
+    for n in range(7):
+        spark.createDataFrame(ops[n::7], OPS).coalesce(1).write.mode("append").parquet(f"{home}/feed")
+    schema = spark.createDataFrame([], OPS).schema
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{home}/feed")
+    index = BucketedIndex(spark, f"{home}/index", 20)
+    logged = LoggedIndex(index, f"{home}/log")
+    follow(stream, logged, f"{home}/cp", every=2).awaitTermination()
+    assert len(logged.batches()) == 1 and len(index.versions()) == 2 and index.current().notes["consumed"] == 5
+    assert state(logged.read()) == apply(ops)
+    # started again with nothing new
+    follow(stream, logged, f"{home}/cp", every=2).awaitTermination()
+    assert state(logged.read()) == apply(ops)

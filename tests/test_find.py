@@ -1,5 +1,7 @@
 """The rules of the lookups on a handful of users, addresses and notes."""
 
+import re
+
 import pytest
 from conftest import NOTE_1, ids, in_order
 from pyspark.sql import functions as F
@@ -7,7 +9,8 @@ from pyspark.sql import functions as F
 from docsift.operators import counts, find
 from docsift.operators.nearby import find_nearby
 from docsift.operators.relevance import find_similar
-from docsift.plans.paging import Page, last_key, take_page
+from docsift.plans import paging
+from docsift.plans.paging import Page, deep_page, last_key, take_page
 from docsift.plans.predicates import Q
 
 
@@ -181,3 +184,28 @@ def test_tenant_scope(spark):
     assert ids(find.scope(docs, "north")) == ["d1", "d3"]
     assert ids(find.scope(docs, " south")) == ["d2"]  # the id is not trimmed
     assert ids(find.scope(docs, "south")) == []
+
+
+def test_deep_pages(spark, monkeypatch):
+    """Every page through the ranges is the page of a full sort; ties, nulls and the end included."""
+    rows = [(i, None if i % 17 == 0 else i % 7, f"v{i}") for i in range(500)]
+    df = spark.createDataFrame(rows, "id int, rank int, note string").repartition(5)
+    for sort in ("rank:desc", "rank:asc", "note:asc", ""):
+        whole = in_order(take_page(df, Page(limit=500, sort=sort)))
+        for number, limit in ((1, 10), (2, 10), (33, 10), (50, 10), (51, 10), (7, 70), (8, 70), (9, 70), (2, 499)):
+            page = Page(number=number, limit=limit, sort=sort)
+            got = in_order(deep_page(df, page, parts=9))
+            assert got == whole[(number - 1) * limit:number * limit], (sort, number, limit)
+    monkeypatch.setattr(paging, "DEEP_ROWS", 50)
+    assert in_order(take_page(df, Page(number=40, limit=10, sort="rank:asc"))) == in_order(
+        take_page(df, Page(limit=500, sort="rank:asc")))[390:400]
+    assert in_order(take_page(df.limit(0), Page(number=40, limit=10))) == []
+
+
+def test_a_deep_page_sorts_few_rows(spark):
+    df = spark.range(20_000).selectExpr("id", "(id * 7919) % 20011 AS v")
+    page = deep_page(df, Page(number=150, limit=100, sort="v:asc"), parts=40)
+    assert in_order(page) == [r[0] for r in df.orderBy("v", "id").select("id").collect()][14_900:15_000]
+    plan = page._jdf.queryExecution().executedPlan().toString()
+    chosen = re.search(r"PushedFilters: \[[^\n]*?(?:In|EqualTo)\(_range,\s?\[?([\d,]+)", plan)[1].split(",")
+    assert 1 <= len(chosen) <= 2

@@ -215,3 +215,23 @@ def test_partition_is_pruned(spark):
     plan = hits._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(appid" in plan and "EqualTo(type,x)" in plan
     assert hits.count() == 5
+
+
+def test_equal_buckets_are_not_joined(spark):
+    columns = "appid string, id string, name string, stored boolean"
+    rows = [("a", f"{i}", "x", True) for i in range(300)] + [(None, "n", "x", True), (None, "m", "x", False)]
+    docs = spark.createDataFrame(rows, columns)
+    db = docs.filter("appid IS NOT NULL").select("appid", "id")
+    assert hydrate.differing_buckets(docs.filter("appid IS NOT NULL"), db) == []
+    assert hydrate.clean_orphans(docs.filter("appid IS NOT NULL"), db).count() == 300
+    assert "Join" not in hydrate.clean_orphans(docs.filter("appid IS NOT NULL"), db)._jdf.queryExecution().executedPlan().toString()
+    some = db.filter("id NOT IN ('7', '70')")
+    odd = hydrate.differing_buckets(docs, some)
+    assert len(odd) == 3 and odd[0] == -1
+    left = hydrate.clean_orphans(docs, some)
+    assert left.count() == 299 and left.filter("id IN ('7', '70', 'n')").count() == 0 and left.filter("id = 'm'").count() == 1
+    # a record that stands twice makes its bucket differ, and costs nothing else
+    twice = db.unionByName(db.filter("id = '5'"))
+    assert len(hydrate.differing_buckets(docs.filter("appid = 'a'"), twice)) == 1
+    assert hydrate.clean_orphans(docs.filter("appid = 'a'"), twice).count() == 300
+    assert hydrate.clean_orphans(docs, db.limit(0)).filter("stored").count() == 0

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from docsift.operators import counts, find
-from docsift.plans.paging import Page, last_key, take_page
+from docsift.plans.paging import Page, deep_page, last_key, take_page
 from docsift.plans.predicates import Q
 from workload.common import (EVENTS_SQL, MAPPING, customers, events, orders, parts, query, table,
                              words)
@@ -246,3 +246,14 @@ def total_hits(spark, sf):
 @query("total_hits_capped", """SELECT least(count(*), 1000) AS total FROM events WHERE value > 10""")
 def total_hits_capped(spark, sf):
     return counts.total_hits(find.find_terms(events(spark, sf), None, {"value >": 10}), cap=1000)
+
+
+@query("page_deep", """SELECT id, total, CAST(row_number() OVER (ORDER BY total DESC, id) AS INT) AS rank FROM (
+ SELECT l_orderkey * 10 + l_linenumber AS id, l_extendedprice AS total FROM lineitem
+ ORDER BY total DESC, id LIMIT 5 OFFSET 49995)""")
+def page_deep(spark, sf):
+    """Page 10,000, found by the ranks of the ranges before it."""
+    lines = table(spark, sf, "lineitem").select(
+        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"), F.col("l_extendedprice").alias("total"))
+    page = deep_page(lines, Page(number=10_000, limit=5, sort="total:desc"))
+    return ranked(page, F.desc("total"), F.asc("id"))

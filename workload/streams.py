@@ -8,7 +8,7 @@ from docsift.operators import maintain
 from docsift.session import scratch_path
 from docsift.sources.buckets import BucketedIndex
 from docsift.streaming import ingest
-from docsift.streaming.compact import DELETE_TERMS, LoggedIndex
+from docsift.streaming.compact import DELETE_TERMS, LoggedIndex, follow
 from workload.common import query, table
 from workload.maintenance import OPS_SQL
 
@@ -17,7 +17,10 @@ KEYS = ["id"]
 
 def _stream(spark, sf):
     schema = table(spark, sf, "events").schema
-    rows = (spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf))
+    return _user_ops(spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf))
+
+
+def _user_ops(rows):
     return rows.select(
         F.col("user_id").alias("id"), F.col("event_id").alias("seq"),
         F.col("event_type").alias("type"),
@@ -120,3 +123,15 @@ def stream_delete_terms(spark, sf):
         if part < 2:
             feed.logged.compact()
     return feed.logged.read().select("appid", "id", "type", "value")
+
+
+@query("stream_follow", STATE_SQL)
+def stream_follow(spark, sf):
+    """The stream is followed in many micro-batches and compacted on the way; what is left in the log is read on top."""
+    home = scratch_path(spark, "follow")
+    events = table(spark, sf, "events")
+    events.repartition(6, F.col("event_id") % 6).write.parquet(f"{home}/events")
+    rows = (spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{home}/events"))
+    logged = LoggedIndex(BucketedIndex(spark, f"{home}/index", bucket_rows=1000), f"{home}/log")
+    follow(_tenant_ops(_user_ops(rows)), logged, f"{home}/checkpoint", every=2).awaitTermination()
+    return logged.read().select("appid", "id", "type", "value")
