@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -64,6 +65,14 @@ def materialize(df: DataFrame, label: str = "step") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark remove the shuffle files of finished steps that nothing refers to any more. It does so when the driver
+    collects its garbage, which may be long in coming while executors fill their disks. Call it between large steps
+    whose results are stored."""
+    gc.collect()
+    spark._jvm.java.lang.System.gc()
+
+
 class Scratch:
     """A folder of tables below the shared folder that one job owns: it drops what it no longer reads."""
 
