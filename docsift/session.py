@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -68,9 +69,14 @@ def materialize(df: DataFrame, label: str = "step") -> DataFrame:
 def release(spark: SparkSession) -> None:
     """Let Spark remove the shuffle files of finished steps that nothing refers to any more. It does so when the driver
     collects its garbage, which may be long in coming while executors fill their disks. Call it between large steps
-    whose results are stored."""
-    gc.collect()
-    spark._jvm.java.lang.System.gc()
+    whose results are stored.
+
+    Python gives its references up behind the first collection, so the second one finds what they held.
+    """
+    for _ in range(2):
+        gc.collect()
+        spark._jvm.java.lang.System.gc()
+        time.sleep(1)
 
 
 class Scratch:
