@@ -7,9 +7,9 @@ document with its term counts) and joins on the terms that can still decide the
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -58,7 +58,7 @@ def _sum(values: Column) -> Column:
 
 # ---------------------------------------------------------------- one query
 
-def _words(docs: DataFrame, field: str, mapping: FieldMapping) -> Column:
+def term_words(docs: DataFrame, field: str, mapping: FieldMapping) -> Column:
     """Analysed words of a field; an array column counts as already analysed."""
     fields = Fields(docs.schema, mapping)
     col = fields.column(field)
@@ -108,11 +108,11 @@ def _weighted(stats: DataFrame, *asked: Column) -> DataFrame:
         "avg", *[terms(F.col(name)).alias(f"terms{i or ''}") for i, name in enumerate(given)])
 
 
-def _field_stats(units: DataFrame, asked: Sequence[Column]) -> Column:
-    """What the texts asked of one field need, from one pass over its words."""
+def _field_stats(count: Callable[[Column], DataFrame], asked: Sequence[Column]) -> Column:
+    """What the texts asked of one field need, from one count of all their words."""
     none = F.array().cast("array<string>")
     wanted = reduce(F.array_union, [F.coalesce(words, none) for words in asked])
-    return _subquery(_weighted(_term_stats(units, wanted), *asked))
+    return _subquery(_weighted(count(wanted), *asked))
 
 
 def _score(words: Column, stats: Column, boost: float = 1.0, terms: str = "terms") -> Column:
@@ -141,14 +141,16 @@ class Clause:
 
 
 def search(docs: DataFrame, clauses: Sequence[Clause], type: str | None = None,
-           where: Query | None = None, mapping: FieldMapping = DEFAULT_MAPPING) -> DataFrame:
+           where: Query | None = None, mapping: FieldMapping = DEFAULT_MAPPING,
+           statistics: Callable[[str, Column], DataFrame] | None = None) -> DataFrame:
     """Documents that match any clause, with `score`: the boosted sum of the clause scores.
 
-    Term statistics are those of all of `docs`; `type` and `where` only choose among the hits.
+    Term statistics are those of all of `docs`; `type` and `where` only choose among the hits. An index that keeps
+    them (`BucketedIndex.term_statistics`) saves the pass that counts them.
     """
     names = sorted({c.field for c in clauses})
     column_of = {name: f"_w{i}" for i, name in enumerate(names)}
-    words = {col: _words(docs, name, mapping) for name, col in column_of.items()}
+    words = {col: term_words(docs, name, mapping) for name, col in column_of.items()}
     asked: dict[str, list[Column]] = {col: [] for col in words}
     parts = []
     for clause in clauses:
@@ -157,7 +159,14 @@ def search(docs: DataFrame, clauses: Sequence[Clause], type: str | None = None,
         asked[col].append(_asked(docs, clause.text))
         parts.append(F.when(F.size(col) > 0, _score(F.col(col), F.col(f"_q{col}"), clause.boost, terms))
                      .otherwise(0.0))
-    stats = {f"_q{col}": _field_stats(docs.select(words[col].alias("words")), texts) for col, texts in asked.items()}
+    field_of = {col: name for name, col in column_of.items()}
+
+    def counted(col: str) -> Callable[[Column], DataFrame]:
+        if statistics is not None:
+            return partial(statistics, field_of[col])
+        return partial(_term_stats, docs.select(words[col].alias("words")))
+
+    stats = {f"_q{col}": _field_stats(counted(col), texts) for col, texts in asked.items()}
     hits = scope(docs, type=type)
     if where is not None:
         hits = hits.filter(condition(hits, where, mapping))
@@ -190,7 +199,7 @@ def search_nested(docs: DataFrame, path: str, field: str, query: str | Column,
     asked = _asked(docs, query)
     elements = F.transform(F.col(path), words_of)
     units = docs.select(F.explode(elements).alias("words"))
-    stats = _field_stats(units, [asked])
+    stats = _field_stats(partial(_term_stats, units), [asked])
     scores = F.filter(F.transform(F.col("_words"), lambda w: F.when(
         F.size(w) > 0, _score(w, F.col("_q"))).otherwise(0.0)), lambda s: s > 0)
     rows = with_once(scope(docs, type=type), "_words", elements).withColumn("_q", stats)
@@ -223,7 +232,7 @@ class _Tree:
     def stats(self) -> dict[str, Column]:
         """The statistics that the leaves collected so far need: one pass over the words of each field."""
         return self.objects | {f"_q{self.words[field]}": _field_stats(
-            self.docs.select(_words(self.docs, field, self.mapping).alias("words")), asked)
+            partial(_term_stats, self.docs.select(term_words(self.docs, field, self.mapping).alias("words"))), asked)
             for field, asked in self.asked.items()}
 
     def _objects(self, query: Nested) -> Column:
@@ -240,7 +249,7 @@ class _Tree:
 
         name, asked = f"_q{len(self.objects)}", tokens(F.lit(inner.value))
         units = self.docs.select(F.explode(F.transform(query.path, words_of)).alias("words"))
-        self.objects[name] = _field_stats(units, [asked])
+        self.objects[name] = _field_stats(partial(_term_stats, units), [asked])
         scores = F.transform(objects, lambda o: _score(words_of(o), F.col(name)))
         return let(scores, lambda s: F.when(F.size(s) > 0, _sum(s) / F.size(s)).otherwise(0.0))
 
@@ -278,7 +287,7 @@ def score_query(docs: DataFrame, query: Query, type: str | None = None,
     total = tree.score(query)
     hits = scope(docs, type=type).filter(condition(docs, query, mapping))
     for field, name in tree.words.items():
-        hits = with_once(hits, name, _words(docs, field, mapping))
+        hits = with_once(hits, name, term_words(docs, field, mapping))
     stats = tree.stats()
     return with_once(hits.withColumns(stats), "score", total).drop(*tree.words.values(), *stats)
 
@@ -332,7 +341,7 @@ def find_similar(docs: DataFrame, type: str | None, filter_key: str | None,
         return nothing(docs).withColumn("score", F.lit(0.0))
     total, present, count = F.lit(0.0), F.lit(0), F.lit(0)
     for i, name in enumerate(names):
-        words = _words(docs, name, mapping)
+        words = term_words(docs, name, mapping)
         stats = _term_stats(docs.select(words.alias("words")), given)
         hits = (with_once(hits, f"_w{i}", F.coalesce(words, F.array().cast("array<string>")))
                 .withColumn(f"_q{i}", _subquery(_selected(stats, given, max_terms))))
@@ -381,7 +390,7 @@ def term_index(docs: DataFrame, id: str, text: str,
     A narrow map of the documents; store it once and use it for any number of batches.
     """
     words = with_once(docs.select(F.col(id).alias("doc_id"), F.col(text)), "words",
-                      _words(docs, text, mapping))
+                      term_words(docs, text, mapping))
     return (words.filter(F.size("words") > 0)
             .select("doc_id", F.size("words").alias("length"),
                     term_counts(F.col("words")).alias("terms")))

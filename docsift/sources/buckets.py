@@ -18,7 +18,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from docsift.functions.text import let
 from docsift.operators.maintain import BROADCAST_BYTES, KEYS, unindex, upsert
+from docsift.operators.relevance import term_words
 from docsift.plans.predicates import condition, terms_query
 from docsift.schema import DEFAULT_MAPPING, FieldMapping
 from docsift.session import materialize, stored_bytes
@@ -27,6 +29,8 @@ BUCKET_ROWS = 1_000_000
 RETRIES = 10
 MANIFEST = "appid string, buckets int, bucket int, path string, rows bigint"
 
+COUNTS = "array<struct<kind:string,key:string,n:bigint>>"
+
 Place = tuple[str, int]
 
 
@@ -63,9 +67,12 @@ class BucketedIndex:
     """
 
     def __init__(self, spark: SparkSession, root: str, bucket_rows: int = BUCKET_ROWS,
-                 sort_by: tuple[str, ...] = ("type", "id")):
+                 sort_by: tuple[str, ...] = ("type", "id"), counted: tuple[str, ...] = (),
+                 mapping: FieldMapping = DEFAULT_MAPPING):
+        """`counted` names text fields whose term statistics are kept up with every change; all publishers must name the same."""
         self.spark, self.root = spark, root.rstrip("/")
         self.bucket_rows, self.sort_by = bucket_rows, sort_by
+        self.counted, self.mapping = counted, mapping
 
     # ------------------------------------------------------------ files
 
@@ -183,10 +190,59 @@ class BucketedIndex:
         kept = "_buckets int, appid string, bucket int"
         rows = (self.spark.read.schema(kept).parquet(path).groupBy("appid", "bucket", "_buckets")
                 .agg(F.count(F.lit(1)).alias("rows"), F.min("_metadata.file_path").alias("file")).collect())
+        if self.counted:
+            self._count(self.spark.read.schema(docs.drop("_buckets").schema).parquet(path), unit)
         # the names of the folders as Spark has written them
         return {(r["appid"], r["bucket"]): Folder(
             r["_buckets"], "/".join(unquote(r["file"]).split("/")[-4:-1]), r["rows"]) for r in rows}
 
+    def _count(self, docs: DataFrame, unit: str) -> None:
+        """Write the statistics of the folders of a write next to them: documents by type, and for each counted field the
+        documents with words, their words, and the documents with each term."""
+        none = F.array().cast(COUNTS)
+
+        def item(kind: str, key: Column, n: Column) -> Column:
+            return F.struct(F.lit(kind).alias("kind"), key.cast("string").alias("key"), n.cast("bigint").alias("n"))
+
+        one = F.lit(1)
+        items = [F.array(item("type", F.col("type") if "type" in docs.columns else F.lit(None), one))]
+        for name in (c for c in self.counted if c in docs.columns):
+            words = term_words(docs, name, self.mapping)
+            items.append(let(words, lambda w: F.when(F.size(w) > 0, F.concat(
+                F.array(item(f"docs {name}", F.lit(""), one), item(f"words {name}", F.lit(""), F.size(w))),
+                F.transform(F.array_distinct(w), lambda t: item(f"term {name}", t, one)))).otherwise(none)))
+        rows = docs.select("appid", "bucket", F.inline(F.concat(*[i.cast(COUNTS) for i in items])))
+        (rows.groupBy("appid", "bucket", "kind", "key").agg(F.sum("n").alias("n"))
+         .hint("rebalance", "appid", "bucket").sortWithinPartitions("appid", "bucket", "kind", "key")
+         .write.partitionBy("appid", "bucket").parquet(f"{self.root}/stats/unit={unit}"))
+
+    def statistics(self, version: Version | None = None, appid: str | None = None) -> DataFrame:
+        """`(kind, key, n)` of a version: the counts of its folders, which each change has written anew for what it touched.
+        They are added up with partial sums; no document is read."""
+        if not self.counted:
+            raise ValueError("this index was opened without counted fields")
+        folders = self.folders(self._require(version), appid).values()
+        kinds = "kind string, key string, n bigint"
+        if not folders:
+            return self.spark.createDataFrame([], kinds)
+        rows = self.spark.read.schema(kinds).parquet(*[f"{self.root}/stats/{f.path}" for f in folders])
+        return rows.groupBy("kind", "key").agg(F.sum("n").alias("n"))
+
+    def counts_by_type(self, version: Version | None = None, appid: str | None = None) -> DataFrame:
+        return self.statistics(version, appid).filter("kind = 'type'").select(F.col("key").alias("type"), "n")
+
+    def term_statistics(self, version: Version | None = None, appid: str | None = None) -> Callable[[str, Column], DataFrame]:
+        """For `relevance.search`: what a pass over the texts would count about a field, taken from the kept statistics."""
+        def of(field: str, wanted: Column) -> DataFrame:
+            rows = self.statistics(version, appid)
+            kept = rows.filter(F.col("kind").isin(f"docs {field}", f"words {field}") | (
+                (F.col("kind") == f"term {field}") & F.array_contains(wanted, F.col("key"))))
+            docs, words = (F.sum(F.when(F.col("kind") == f"{k} {field}", F.col("n"))) for k in ("docs", "words"))
+            return kept.agg(F.coalesce(docs, F.lit(0)).alias("n"), (words / docs).alias("avg"), F.map_from_entries(
+                F.collect_list(F.when(F.col("kind") == f"term {field}", F.struct("key", "n")))).alias("df"))
+
+        return of
+
     def _tenants(self, keys: DataFrame, folders: Mapping[Place, Folder]) -> DataFrame:
         """(appid, _buckets) of the tenants in `keys`: as many buckets as they have, or as the keys of a new one need,
         rounded up to a power of two."""
@@ -319,6 +375,7 @@ class BucketedIndex:
         unused = [n for n in self._names("data") if n not in used]
         for name in unused:
             fs.delete(self._path("data", name), True)
+            fs.delete(self._path("stats", name), True)
         for seq in self.versions():
             if seq < kept[0]:
                 fs.delete(self._path("_manifests", self.version(seq).manifest), True)

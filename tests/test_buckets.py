@@ -7,6 +7,7 @@ from conftest import ids
 from pyspark.sql import functions as F
 from test_maintain import OPS, apply, random_log, state
 
+from docsift.operators import relevance
 from docsift.session import scratch_path
 from docsift.sources.buckets import BucketedIndex, Conflict
 
@@ -166,3 +167,43 @@ def test_hot_tenant_is_spread(spark, index):
     assert sum(sizes) == 300 and max(sizes) < 40 and len(sizes) == 32
     plan = index.read(appid="big").filter(F.col("type") == "a")._jdf.queryExecution().executedPlan().toString()
     assert "EqualTo(type,a)" in plan
+
+
+def test_statistics_follow_each_change(spark):
+    """After every change counts and scores are those of a fresh index, without a look at the texts."""
+    rng = random.Random(6)
+    words = ["red", "green", "blue", "Red", "old", "new"]
+    columns = "appid string, id string, type string, text string"
+
+    def docs(n, seed):
+        rng.seed(seed)
+        return [(rng.choice(["t1", "t2"]), f"{rng.randint(0, 60)}-{i}", rng.choice(["a", "b", None]),
+                 rng.choice([None, "", "!!", " ".join(rng.choices(words, k=rng.randint(1, 9)))])) for i in range(n)]
+
+    index = BucketedIndex(spark, scratch_path(spark, "buckets"), 10, counted=("text",))
+    index.rebuild(spark.createDataFrame(docs(80, 1), columns))
+
+    def check():
+        now = index.read()
+        fresh = now.groupBy("type").count()
+        assert sorted(map(tuple, index.counts_by_type().collect()), key=str) == sorted(map(tuple, fresh.collect()), key=str)
+        clauses = [relevance.Clause("text", "red old"), relevance.Clause("text", "blue nowhere", 2.0)]
+        want = {(r["appid"], r["id"]): r["score"] for r in relevance.search(now, clauses).collect()}
+        kept = relevance.search(now, clauses, statistics=index.term_statistics())
+        assert {(r["appid"], r["id"]): r["score"] for r in kept.collect()} == pytest.approx(want) and want
+
+    check()
+    index.upsert(spark.createDataFrame([(*r, n) for n, r in enumerate(docs(80, 1)[:20] + docs(15, 2))],
+                                       columns + ", seq long"), "replace")
+    check()
+    index.delete_terms({"type": "a", "text": "green"})
+    index.delete_ids(index.read().limit(5))
+    check()
+    index.drop_tenant("t2")
+    check()
+    index.clean(keep=1)
+    check()
+    index.drop_tenant("t1")
+    assert index.counts_by_type().collect() == []
+    with pytest.raises(ValueError):
+        BucketedIndex(spark, index.root).statistics()

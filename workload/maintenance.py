@@ -195,6 +195,18 @@ def index_count(spark, sf):
     return rows.groupBy("appid").agg(F.sum("rows").alias("n"))
 
 
+@query("index_count_types", f"""SELECT appid, type, count(*) AS n FROM ({EVENTS_SQL})
+ WHERE NOT (type = 'error' AND value < 50) AND appid IN ('u1', 'u2') GROUP BY ALL""")
+def index_count_types(spark, sf):
+    """Documents by type after a deletion, from the statistics that the index keeps up with each change."""
+    docs = events(spark, sf, spread=True).select("appid", F.col("id").cast("string").alias("id"), "type", "value")
+    index = BucketedIndex(spark, scratch_path(spark, "buckets"), bucket_rows=max(1, docs.count() // 16), counted=("type",))
+    index.rebuild(docs)
+    index.delete_terms({"type": "error", "value <": 50})
+    by_tenant = [index.counts_by_type(appid=a).select(F.lit(a).alias("appid"), "type", "n") for a in ("u1", "u2")]
+    return by_tenant[0].unionByName(by_tenant[1])
+
+
 @query("bulk_report", """SELECT coalesce(reason, 'accepted') AS outcome, count(*) AS n FROM (
  SELECT CASE WHEN value < 1 THEN 'missing id'
   WHEN event_type = 'error' AND value > 50 THEN 'bad date in timestamp'
