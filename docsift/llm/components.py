@@ -14,7 +14,7 @@ def components(links: DataFrame) -> DataFrame:
     Each round a node takes the smallest label of its neighbours, then the label of that label, so the rounds
     grow with the logarithm of the longest path. A round is written to the shared folder, which
     cuts the lineage; the loop ends with the first round that changes nothing. Labels are minima, summed up
-    before the shuffle, so a node with many links is no hot key.
+    before they are shuffled; the links of a node with very many meet its label in one task, unless Spark splits it.
     """
     both = links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     edges = materialize(both.filter("a <> b").distinct(), "edges")
