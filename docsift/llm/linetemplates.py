@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docsift.llm.texts import materialize
+from docsift.plans.skew import BROADCAST_BYTES, salted_join
+from docsift.session import stored_bytes
 
 # Leading tokens that lead from the root to a leaf, after the number of tokens.
 DEPTH = 3
@@ -14,7 +16,10 @@ MIN_TEXTS = 10
 # Lines of fewer tokens are never dropped.
 MIN_TOKENS = 3
 # At most one in so many tokens below the leading ones may be a variable field.
-VARIABLE = 4
+VARIABLE = 3
+# A place varies where so many values or more stand between the same two neighbours; those that less than half of
+# such lines hold are variable fields.
+VALUES = 3
 FIELD = "<*>"
 
 
@@ -34,22 +39,39 @@ def _lines(docs: DataFrame) -> DataFrame:
         "id", "th", "pos", F.xxhash64(F.size("tokens"), F.slice("tokens", 1, DEPTH)).alias("leaf"), "tokens")
 
 
+def _told(table: DataFrame) -> DataFrame:
+    """A stored table, told to all tasks if its files are small: then no task gets a whole hot key."""
+    return F.broadcast(table) if stored_bytes(table) <= BROADCAST_BYTES else table
+
+
 def line_templates(docs: DataFrame, min_texts: int = MIN_TEXTS) -> DataFrame:
     """(id, th, pos, template) of each line in a leaf that holds lines of at least `min_texts` texts.
 
-    Below the leading tokens, a token that stands at its place in fewer than `min_texts` lines of the leaf
-    is a variable field, as long as that holds for at most a quarter of them; else the line is its own template.
+    Below the leading tokens, fields are told by diversity: a token is a variable field if at its place, between the
+    same two neighbours, the lines of the leaf hold at least `VALUES` different tokens and this one less than half of
+    them; or if it stands at its place in fewer than `min_texts` lines of the leaf. This holds however often a value occurs.
+    A line with more fields than a third of its places is its own template.
     """
     lines = _lines(docs)
     leaves = (lines.select("leaf", "th").distinct().groupBy("leaf").agg(F.count("*").alias("texts"))
               .filter(F.col("texts") >= min_texts).select("leaf"))
-    held = materialize(lines.join(materialize(leaves, "leaves"), "leaf"), "lines")
-    words = held.select("id", "th", "pos", "leaf", F.posexplode("tokens").alias("i", "token")).filter(
-        F.col("i") >= DEPTH)
-    usual = (words.groupBy("leaf", "i", "token").agg(F.count("*").alias("n"))
-             .filter(F.col("n") >= min_texts).select("leaf", "i", "token", F.lit(True).alias("fixed")))
-    fields = (words.join(usual, ["leaf", "i", "token"], "left").filter(F.col("fixed").isNull())
-              .groupBy("id", "th", "pos").agg(F.collect_set("i").alias("fields")))
+    held = materialize(lines.join(_told(materialize(leaves, "leaves")), "leaf"), "lines")
+    after = F.coalesce(F.get("tokens", F.col("i") + 1), F.lit(""))
+    words = (held.select("id", "th", "pos", "leaf", "tokens", F.posexplode("tokens").alias("i", "token"))
+             .filter(F.col("i") >= DEPTH)
+             .select("id", "th", "pos", "i", F.xxhash64("leaf", "i", "token").alias("value"),
+                     F.xxhash64("leaf", "i", F.get("tokens", F.col("i") - 1), after).alias("between")))
+    counts = materialize(words.groupBy("value", "between").agg(F.count("*").alias("n")), "counts")
+    rare = counts.groupBy("value").agg(F.sum("n").alias("of_value")).filter(F.col("of_value") < min_texts)
+    varied = (counts.groupBy("between").agg(F.sum("n").alias("lines"), F.count("*").alias("values"))
+              .filter(F.col("values") >= VALUES))
+    told = (counts.join(rare, "value", "left").join(varied, "between", "left")
+            .filter(F.col("of_value").isNotNull() | (F.col("n") * 2 < F.col("lines"))))
+    told = materialize(told.select("value", "between", "n"), "fields")
+    keys = ["value", "between"]
+    met = salted_join(words, told.select(*keys), keys, "th", "value", right_unique=True,
+                      counts=told.select(*keys, F.col("n").alias("_left"), F.lit(1).alias("_right")))
+    fields = met.groupBy("id", "th", "pos").agg(F.collect_set("i").alias("fields"))
     # null ids meet null ids
     one, two = held.alias("one"), fields.alias("two")
     found = one.join(two, F.col("one.id").eqNullSafe(F.col("two.id")) & (F.col("one.th") == F.col("two.th"))
@@ -79,7 +101,7 @@ def drop_recurring(docs: DataFrame, min_texts: int = MIN_TEXTS, id_col: str = "d
     recurring = (templates.groupBy("template", "th").agg(F.min("id").alias("first"))
                  .groupBy("template").agg(F.count("*").alias("texts"), F.min("first").alias("first"))
                  .filter(F.col("texts") >= min_texts).select("template", "first"))
-    drops = (templates.join(recurring, "template").filter(~F.col("id").eqNullSafe(F.col("first")))
+    drops = (templates.join(_told(materialize(recurring, "recurring")), "template").filter(~F.col("id").eqNullSafe(F.col("first")))
              .groupBy("id", "th").agg(F.collect_set("pos").alias("drops")))
     one, two = row.alias("one"), materialize(drops, "drops").alias("two")
     found = one.join(two, (F.col("one.th") == F.col("two.th")) & F.col("one.id").eqNullSafe(F.col("two.id")), "left")
@@ -105,10 +127,15 @@ lines_ AS (SELECT r, doc_id, text, pos, list_transform(
 leafed AS (SELECT *, len(tokens) AS n, tokens[1:{DEPTH}] AS head FROM lines_ WHERE len(tokens) >= {MIN_TOKENS}),
 leaves AS (SELECT n, head FROM leafed GROUP BY ALL HAVING count(DISTINCT text) >= {min_texts}),
 held AS (SELECT l.* FROM leafed l JOIN leaves USING (n, head)),
-words_ AS (SELECT r, pos, n, head, unnest(tokens) AS token, generate_subscripts(tokens, 1) AS i FROM held),
-usual AS (SELECT n, head, i, token FROM words_ WHERE i > {DEPTH} GROUP BY ALL HAVING count(*) >= {min_texts}),
-marked AS (SELECT w.*, w.i > {DEPTH} AND u.token IS NULL AS field
-  FROM words_ w LEFT JOIN usual u USING (n, head, i, token)),
+words_ AS (SELECT r, pos, n, head, unnest(tokens) AS token, unnest(list_concat([''], tokens[:-2])) AS before_,
+  unnest(list_concat(tokens[2:], [''])) AS after_, generate_subscripts(tokens, 1) AS i FROM held),
+counts_ AS (SELECT n, head, i, before_, after_, token, count(*) AS c FROM words_ WHERE i > {DEPTH} GROUP BY ALL),
+told AS (SELECT *, sum(c) OVER (PARTITION BY n, head, i, token) AS of_value,
+  sum(c) OVER (PARTITION BY n, head, i, before_, after_) AS lines_held,
+  count(*) OVER (PARTITION BY n, head, i, before_, after_) AS values_ FROM counts_),
+fields_ AS (SELECT * FROM told WHERE of_value < {min_texts} OR (values_ >= {VALUES} AND c * 2 < lines_held)),
+marked AS (SELECT w.*, f.c IS NOT NULL AS field
+  FROM words_ w LEFT JOIN fields_ f USING (n, head, i, before_, after_, token)),
 templates AS (SELECT r, pos, CASE WHEN count(*) FILTER (WHERE field) * {VARIABLE} <= any_value(n) - {DEPTH}
    THEN string_agg(CASE WHEN field THEN '{FIELD}' ELSE token END, ' ' ORDER BY i)
    ELSE string_agg(token, ' ' ORDER BY i) END AS template FROM marked GROUP BY r, pos),

@@ -50,6 +50,22 @@ def test_templates_stay_once_and_clean_lines_stay(spark):
                 assert line in texts[i].split("\n")
 
 
+def shared(size):
+    """A line with three fields of common values in every document, next to prose."""
+    return [(i, prose(i, 14) + f"\nShared by the name{'abcdefghijklmnopqrst'[i % 20]} desk in city{'abcdefghijklm'[i * 7 % 13]} on our "
+             f"section{'abcdefg'[i * 5 % 7]} page today for you\n" + prose(i + size, 14)) for i in range(size)]
+
+
+@pytest.mark.parametrize("size", [200, 1000, 4000])
+def test_fields_of_common_values(spark, size):
+    rows = shared(size)
+    out = run(documents(spark, rows).repartition(4), 10)
+    assert out == by_sql(rows, 10)
+    assert sum("Shared by the" in r[1] for r in out) == 1
+    clean = {i: t.split("\n") for i, t in rows}
+    assert all(r[1].split("\n")[0] == clean[r[0]][0] and r[1].split("\n")[-1] == clean[r[0]][2] for r in out)
+
+
 def test_edges(spark):
     docs = edges(spark)
     out = L.drop_recurring(docs, 2)
