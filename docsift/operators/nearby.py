@@ -12,14 +12,17 @@ from docsift.operators.find import find_query, nothing, scope
 from docsift.plans.predicates import Query
 from docsift.plans.skew import salted_join
 from docsift.schema import DEFAULT_MAPPING, FieldMapping
+from docsift.sources.places import PLACE, on_stretches
 
 ADDRESS = "address"
 
 
 def nearby_addresses(docs: DataFrame, radius_km: float, lat: float, lon: float) -> DataFrame:
-    """Address documents within the radius. The box is tested first, on the bare columns."""
+    """Address documents within the radius. The box is tested first, on the bare columns. A table stored by
+    `places.write_by_place` is read only along the stretches of its curve that the circle touches."""
     here = F.col("latlng")
-    return (scope(docs, type=ADDRESS)
+    stored = docs.filter(on_stretches(lat, lon, radius_km)) if PLACE in docs.columns else docs
+    return (scope(stored, type=ADDRESS)
             .filter(in_box(here["lat"], here["lon"], lat, lon, radius_km))
             .filter(haversine_km(here["lat"], here["lon"], F.lit(lat), F.lit(lon)) <= radius_km))
 

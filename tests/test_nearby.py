@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from docsift.functions.geo import EARTH_KM, parse_latlng
 from docsift.operators.nearby import nearby_addresses, nearby_batch
 from docsift.plans.skew import hot_keys, key_counts, salted_join
+from docsift.session import scratch_path
+from docsift.sources.places import BITS, covering, write_by_place
 
 
 def km(a, b):
@@ -46,6 +48,41 @@ def test_one_point(spark, at):
     assert got == sorted(str(i) for i, s in enumerate(spots) if km(at, s) <= 1500)
 
 
+@pytest.mark.parametrize("at", [(0.0, 179.95), (89.5, 20.0), (-45.0, -179.0), (40.6, -73.9), (-90.0, 0.0)])
+@pytest.mark.parametrize("radius", [20, 1500, 12000])
+def test_stored_by_place(spark, at, radius):
+    spots = [*places(3, 400), None, (12.0, 300.0)]
+    docs = spark.createDataFrame([(str(i), "address", s) for i, s in enumerate(spots)],
+                                 "id string, type string, latlng struct<lat: double, lon: double>")
+    stored = write_by_place(docs, scratch_path(spark, "places"), file_rows=50)
+    assert stored.count() == len(spots)
+    assert ids(nearby_addresses(stored, radius, *at)) == sorted(
+        str(i) for i, s in enumerate(spots) if s is not None and km(at, s) <= radius)
+
+
+def test_covering_is_small_and_apart():
+    for radius in (1, 100, 3000):
+        found = covering(48.1, 11.5, radius)
+        assert len(found) <= 32 and all(a <= b for a, b in found)
+        assert all(b + 1 < c for (_, b), (c, _) in zip(found, found[1:]))
+    assert covering(0.0, 0.0, 21000) == [(0, (1 << 2 * BITS) - 1)]
+
+
+def test_search_reads_few_row_groups(spark):
+    """A hot point holds a third of all documents and is spread over files; a search elsewhere does not read them."""
+    docs = spark.range(60_000).selectExpr(
+        "cast(id as string) id", "'address' type", "named_struct('lat', if(id % 3 = 0, 10.0D, id * 37 % 1700 / 10 - 85), "
+        "'lon', if(id % 3 = 0, 20.0D, id * 91 % 3600 / 10 - 180)) latlng")
+    stored = write_by_place(docs, scratch_path(spark, "places"), file_rows=1000)
+    found = nearby_addresses(stored, 300, 50.0, -100.0)
+    rows = len(found.collect())
+    assert rows == nearby_addresses(docs, 300, 50.0, -100.0).count() > 0
+    plan = found._jdf.queryExecution().executedPlan()
+    assert "PushedFilters: [Or" in plan.verboseStringWithOperatorId() or "_place" in plan.toString()
+    read = plan.collectLeaves().apply(0).metrics().apply("numOutputRows").value()
+    assert rows <= read < 60_000 / 10
+
+
 def test_latlng(spark):
     df = spark.createDataFrame([("40.67,-73.94",), ("x,1",), ("5",), (None,)], "s string")
     got = [r[0] for r in df.select(parse_latlng(F.col("s"))).collect()]

@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from docsift.operators.nearby import find_nearby, nearby_addresses, nearby_batch
 from docsift.plans.predicates import Q
+from docsift.session import scratch_path
+from docsift.sources.places import write_by_place
 from workload.common import query, table
 
 LAT, LON, RADIUS = 50.0, 179.0, 2500
@@ -90,3 +92,30 @@ def nearby_pairs(spark, sf):
         F.expr(_lon("c_custkey * 17")).alias("lon"))
     pairs = nearby_batch(points, places, BATCH_RADIUS)
     return pairs.select("point_id", "place_id", F.round("km", 6).alias("km"))
+
+
+CUSTOMERS = f"""(SELECT c_custkey AS id, c_nationkey AS parentid, {_lat('c_custkey * 53')} AS lat,
+ {_lon('c_custkey * 17')} AS lon FROM customer)"""
+
+
+def _stored_customers(spark, sf):
+    """Customers as addresses, nations as their parents, laid out along the curve."""
+    address = table(spark, sf, "customer").select(
+        F.col("c_custkey").cast("bigint").alias("id"), F.lit("address").alias("type"), F.col("c_name").alias("name"),
+        F.col("c_nationkey").cast("bigint").alias("parentid"),
+        F.struct(F.expr(_lat("c_custkey * 53")).alias("lat"), F.expr(_lon("c_custkey * 17")).alias("lon")).alias("latlng"))
+    nation = table(spark, sf, "nation").select(
+        F.col("n_nationkey").cast("bigint").alias("id"), F.lit("nation").alias("type"), F.col("n_name").alias("name"))
+    return write_by_place(address.unionByName(nation, allowMissingColumns=True), scratch_path(spark, "places"),
+                          file_rows=2000)
+
+
+@query("nearby_stored", f"SELECT CAST(id AS BIGINT) AS id FROM {CUSTOMERS} WHERE {NEAR}")
+def nearby_stored(spark, sf):
+    return nearby_addresses(_stored_customers(spark, sf), RADIUS, LAT, LON).select("id")
+
+
+@query("nearby_parents_stored", f"""SELECT CAST(n_nationkey AS BIGINT) AS id, n_name AS name FROM nation
+ WHERE n_nationkey IN (SELECT parentid FROM {CUSTOMERS} WHERE {NEAR})""")
+def nearby_parents_stored(spark, sf):
+    return find_nearby(_stored_customers(spark, sf), "nation", "*", RADIUS, LAT, LON).select("id", "name")
