@@ -6,8 +6,10 @@ from pyspark.sql import functions as F
 
 from docsift.operators import find
 from docsift.operators.normalize import normalize, property_rows, restore
+from docsift.operators.propindex import write_index
 from docsift.plans.paging import Page, take_page
 from docsift.plans.predicates import Q
+from docsift.session import scratch_path
 from workload.common import ORDER_PROPERTIES, order_documents, query, table
 
 DAY = "%Y-%m-%d %H:%M:%S"
@@ -250,3 +252,70 @@ def nested_spellings(spark, sf):
     tree = (Q.term("properties:status", "f") & Q.term("order.properties.marks[1]", "urgent")
             & Q.range("properties.steps[0].year", 1995, "*"))
     return find.find_query(normalize(order_documents(spark, sf)), "order", tree).select("id")
+
+
+# ---------------------------------------------------------------- the stored index of properties
+
+_indexes: dict = {}
+
+
+def _index(spark, sf):
+    """The orders, normalised and indexed once per session."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _indexes:
+        _indexes[key] = write_index(normalize(order_documents(spark, sf)), scratch_path(spark, "properties"),
+                                    file_rows=500_000, group_bytes=1 << 20)
+    return _indexes[key]
+
+
+def _indexed(spark, sf, tree):
+    return _index(spark, sf).find(Q.term("type", "order") & tree).select("id")
+
+
+@query("indexed_range", _orders_where("o_totalprice >= 400000 AND year(o_orderdate) < 1997"))
+def indexed_range(spark, sf):
+    return _indexed(spark, sf, Q.range("properties.total", 400000, "*")
+                    & Q.range("properties.steps[0].year", "*", 1997, include_high=False))
+
+
+@query("indexed_term", _orders_where(
+    "o_orderpriority = '1-URGENT' AND o_custkey % 7 = 3 AND o_custkey = 10"))
+def indexed_term(spark, sf):
+    return _indexed(spark, sf, Q.bool(must=[Q.term("properties.marks", "urgent"), Q.term("properties.customer.band", "Band 3"),
+                                            Q.term("properties.customer.id", "10")]))
+
+
+@query("indexed_wildcard", _orders_where("o_orderpriority IN ('3-MEDIUM', '4-NOT SPECIFIED')"))
+def indexed_wildcard(spark, sf):
+    return _indexed(spark, sf, Q.wildcard("properties.marks", "?edium") | Q.wildcard("properties.marks", "spec*ed"))
+
+
+@query("indexed_fuzzy_prefix", _orders_where("o_orderpriority IN ('1-URGENT', '2-HIGH') AND o_orderstatus <> 'F'"))
+def indexed_fuzzy_prefix(spark, sf):
+    return _indexed(spark, sf, Q.bool(
+        must=[Q.fuzzy("properties.marks", "ugrentt") | Q.prefix("properties.steps.code", "hi")],
+        must_not=[Q.term("properties:status", "f")]))
+
+
+@query("indexed_text_range", _orders_where("o_orderpriority IN ('1-URGENT', '4-NOT SPECIFIED')"))
+def indexed_text_range(spark, sf):
+    return _indexed(spark, sf, Q.range("properties.marks[1]", "not", "urgent"))
+
+
+@query("indexed_must_not", _orders_where("NOT (o_totalprice <= 100000) AND NOT (o_orderstatus = 'O')"))
+def indexed_must_not(spark, sf):
+    return _indexed(spark, sf, Q.bool(must_not=[Q.range("properties.total", "*", 100000), Q.term("properties.status", "o")]))
+
+
+@query("indexed_exists", _orders_where("o_orderdate IS NOT NULL AND o_orderkey > 100"))
+def indexed_exists(spark, sf):
+    return _indexed(spark, sf, Q.exists("properties.steps[1].year") & Q.range("id", 100, "*", include_low=False))
+
+
+@query("indexed_sort", """SELECT o_orderkey AS id, o_totalprice AS total FROM orders
+ ORDER BY year(o_orderdate) + 1 DESC, o_totalprice ASC, o_orderkey ASC LIMIT 200""")
+def indexed_sort(spark, sf):
+    index = _index(spark, sf)
+    page = index.page(index.docs.select("id", "appid"), Page(
+        limit=200, sort="properties.steps.year:desc, properties.total:asc"))
+    return page.select("id", F.col("_by1").alias("total"))
