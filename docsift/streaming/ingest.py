@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from docsift.operators.maintain import KEYS, resolve_ops, upsert
+from docsift.streaming.runs import EVERY, Runs
 
 
 def _start(stream: DataFrame, path: str, checkpoint: str, mode: str,
@@ -53,23 +54,32 @@ def live_index(base: DataFrame | None, ops: DataFrame, mode: str = "replace",
 
 
 def latest_state(stream: DataFrame, path: str, checkpoint: str, keys: Sequence[str] = KEYS,
-                 seq: str = "seq", interval: str | None = None) -> StreamingQuery:
+                 seq: str = "seq", interval: str | None = None, every: int = EVERY) -> StreamingQuery:
     """Keep the last write per key as streaming state and emit the rows that changed.
 
-    The state grows with the number of keys: set the state store to RocksDB for a large index.
+    The emitted rows are merged as they grow old (see `Runs`): of a key that changed often the last row is left, and the
+    number of folders grows with the logarithm of the batches. The state grows with the number of keys: set the state
+    store to RocksDB for a large index.
     """
     rest = [c for c in stream.columns if c not in (*keys, seq)]
     state = stream.groupBy(*keys).agg(
-        F.max(seq).alias(seq), F.max_by(F.struct(*rest), F.col(seq)).alias("_doc"))
-    return _start(state.select(*keys, seq, "_doc.*"), path, checkpoint, "update", interval)
+        F.max(seq).alias(seq), F.max_by(F.struct(*rest), F.col(seq)).alias("_doc")).select(*keys, seq, "_doc.*")
 
+    def write(batch: DataFrame, number: int) -> None:
+        Runs(batch.sparkSession, path, every).add(batch, number, lambda rows: _latest(rows, keys, seq))
 
-def changed_state(spark: SparkSession, path: str, keys: Sequence[str] = KEYS,
-                  seq: str = "seq") -> DataFrame:
-    """The last emitted row of each key."""
-    rows = spark.read.parquet(path).drop("batch")
+    writer = (state.writeStream.foreachBatch(write).outputMode("update").option("checkpointLocation", checkpoint))
+    return writer.trigger(**({"processingTime": interval} if interval else {"availableNow": True})).start()
+
+
+def _latest(rows: DataFrame, keys: Sequence[str], seq: str) -> DataFrame:
     rest = [c for c in rows.columns if c not in (*keys, seq)]
     latest = rows.groupBy(*keys).agg(F.max(seq).alias(seq),
                                      F.max_by(F.struct(*rest), F.col(seq)).alias("_doc"))
     return latest.select(*keys, seq, "_doc.*")
 
+
+def changed_state(spark: SparkSession, path: str, keys: Sequence[str] = KEYS,
+                  seq: str = "seq") -> DataFrame:
+    """The last emitted row of each key."""
+    return _latest(Runs(spark, path).read(), keys, seq)
