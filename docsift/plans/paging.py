@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -64,6 +64,20 @@ def sort_columns(df: DataFrame, page: Page, mapping: FieldMapping = DEFAULT_MAPP
     return out
 
 
+def _with_values(df: DataFrame, page: Page, mapping: FieldMapping) -> tuple[DataFrame, Page]:
+    """The rows with the values of the properties that they are sorted by, and the page that names these columns. An
+    expression in a sort order would be evaluated at each comparison."""
+    fields, values, order = Fields(df.schema, mapping), {}, []
+    for part in filter(None, (p.strip() for p in page.sort.split(","))):
+        name, _, word = part.partition(":")
+        desc = {"asc": False, "desc": True}.get(word.strip(), page.desc)
+        if fields.is_pair(name.strip()):
+            values[f"_value{len(values)}"] = _sort_value(fields, name.strip(), desc)
+            name = list(values)[-1]
+        order.append(f"{name.strip()}:{'desc' if desc else 'asc'}")
+    return (df.withColumns(values), replace(page, sort=", ".join(order))) if values else (df, page)
+
+
 def take_page(df: DataFrame, page: Page, mapping: FieldMapping = DEFAULT_MAPPING,
               tie: str = "id") -> DataFrame:
     """The rows of one page, in order: a top-k per partition, never a full sort. A page behind more than `DEEP_ROWS` rows
@@ -79,10 +93,11 @@ def take_page(df: DataFrame, page: Page, mapping: FieldMapping = DEFAULT_MAPPING
         return df.filter(past).orderBy(*order).limit(page.limit)
     if page.offset() >= DEEP_ROWS:
         return deep_page(df, page, mapping, tie)
-    ordered = df.orderBy(*sort_columns(df, page, mapping, tie=tie))
+    valued, by_value = _with_values(df, page, mapping)
+    ordered = valued.orderBy(*sort_columns(valued, by_value, mapping, tie=tie))
     if page.offset():
         ordered = ordered.offset(page.offset())
-    return ordered.limit(page.limit)
+    return ordered.limit(page.limit).select(*[F.col(f"`{c}`") for c in df.columns])
 
 
 def deep_page(df: DataFrame, page: Page, mapping: FieldMapping = DEFAULT_MAPPING, tie: str = "id",

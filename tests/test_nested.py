@@ -139,3 +139,36 @@ def test_properties_of_any_depth(spark, levels):
     name = "properties." + ".".join(["top", *keys])
     docs = normalize(rows)
     assert ids(find.find_query(docs, None, Q.range(name + ".n", 7, 7) & Q.term(name + ".s", "word"))) == ["x"]
+
+
+def test_flattened_once(spark):
+    """Several conditions on the pairs share one flattening, and a sort does not evaluate them at each comparison."""
+    rows = spark.createDataFrame([(str(i), "a", f'{{"n": {i % 3}, "m": {{"k": "x {i}"}}}}') for i in range(9)],
+                                 "id string, appid string, properties string")
+    docs = normalize(rows)
+    found = find.find_query(docs, None, Q.term("properties.n", 1) & Q.term("properties.m.k", "x"))
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("try_parse_json") == docs._jdf.queryExecution(
+        ).optimizedPlan().toString().count("try_parse_json")
+    assert ids(found) == ["1", "4", "7"]
+    page = take_page(docs, Page(limit=4, sort="properties.n:desc, id:desc"))
+    plan = page._jdf.queryExecution().optimizedPlan().toString()
+    sorts = [line for line in plan.splitlines() if "Sort [" in line]
+    assert sorts and not any("array_max" in line for line in sorts)
+    assert page.columns == docs.columns and in_order(page) == ["8", "5", "2", "7"]
+
+
+def test_names_on_pairs_that_are_not_analysed(spark):
+    rows = spark.createDataFrame([("1", "a", '{"Steps": [{"Year": 5}], "steps": {"yearly": 6}}'), ("2", "a", '{"year": 5, "x": "b.c"}')],
+                                 "id string, appid string, properties string")
+    for tree in (Q.term("properties.steps.year", 5), Q.term("properties.steps[0].year", 5), Q.term("properties.year", 5),
+                 Q.term("properties.!!", 5), Q.exists("properties.steps"), Q.term("properties.x", "b.c"), Q.range("properties.year", 5, 6)):
+        plain, typed = (ids(find.find_query(normalize(rows, analysed=a), None, tree)) for a in (False, True))
+        assert plain == typed, tree
+
+
+def test_depth_by_the_number_of_brackets(spark):
+    from docsift.functions.props import depth_of
+    rows = spark.createDataFrame([('{"a": {"b": [1]}}',), ('{"a": [[], [], [], [], [], [], [], [], []]}',)], "j string")
+    assert depth_of(rows, F.col("j")) == 3  # few brackets: their number; many: how deep they lie
+    plan_rows = rows.limit(1)
+    assert depth_of(plan_rows, F.col("j")) >= 3
