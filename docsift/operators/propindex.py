@@ -79,7 +79,7 @@ class PropertyIndex:
         words = text.tokens(F.lit(names.nested_key(name)))
         found = self.keys.filter(text.contains_all(F.col("kt"), words)).select("k").limit(NAMED_KEYS + 1).collect()
         if len(found) > NAMED_KEYS:
-            return text.contains_all(F.col("kt"), words)
+            return text.contains_all(text.tokens(F.col("k")), words)
         return F.col("k").isin([r["k"] for r in found]) if found else F.lit(False)
 
     def _leaf(self, leaf: Query) -> tuple[Column, Column]:
@@ -96,7 +96,8 @@ class PropertyIndex:
                 return near, near & F.coalesce(F.col("vl") == F.lit(int(value)), F.lit(True))
             words = text.tokens(F.lit(value))
             some = key & (F.col("word") == F.get(words, 0))
-            return some, some & text.contains_all(F.col("vt"), words)
+            one = F.size(F.array_distinct(words)) == 1
+            return some, some & (one | F.coalesce(text.contains_all(F.col("vt"), words), F.lit(False)))
         if isinstance(leaf, Exists):
             return key, key
         if isinstance(leaf, Range):
@@ -167,8 +168,10 @@ def write_index(docs: DataFrame, root: str, on: Sequence[str] = KEYS, file_rows:
     root, on = root.rstrip("/"), tuple(on)
     docs.write.parquet(f"{root}/docs")
     stored = docs.sparkSession.read.schema(docs.schema).parquet(f"{root}/docs")
+    # the words of a value go along where they are several; one word stands in the row
     pairs = stored.select(*on, F.explode(PROPS).alias("p")).select(
-        *on, "p.k", "p.kt", "p.vn", "p.vl", "p.vt", F.explode_outer(F.array_distinct("p.vt")).alias("word"))
+        *on, "p.k", "p.vn", "p.vl", F.array_distinct("p.vt").alias("w")).select(
+        *on, "k", "vn", "vl", F.when(F.size("w") > 1, F.col("w")).alias("vt"), F.explode_outer("w").alias("word"))
     size = stored.agg(F.sum(F.aggregate(PROPS, F.lit(0).cast("bigint"), lambda a, p: a + F.greatest(
         F.lit(1), F.size(F.coalesce(p["vt"], F.array().cast("array<string>"))))))).first()[0] or 0
     order = [F.col("k"), F.col("vn"), F.col("word"), F.xxhash64(*on)]
@@ -177,7 +180,7 @@ def write_index(docs: DataFrame, root: str, on: Sequence[str] = KEYS, file_rows:
         writer = writer.option("parquet.block.size", group_bytes)
     writer.parquet(f"{root}/pairs")
     pairs = docs.sparkSession.read.schema(pairs.schema).parquet(f"{root}/pairs")
-    pairs.groupBy("k").agg(F.first("kt").alias("kt")).sort("k").write.parquet(f"{root}/keys")
+    pairs.select("k").distinct().sort("k").withColumn("kt", text.tokens(F.col("k"))).write.parquet(f"{root}/keys")
     return open_index(docs.sparkSession, root, on)
 
 

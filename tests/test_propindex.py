@@ -93,3 +93,17 @@ def test_empty(spark):
     index = write_index(docs, scratch_path(spark, "properties"))
     assert index.find(Q.term("properties.a", "b")).collect() == []
     assert index.find(~Q.term("properties.a", "b")).collect() == []
+
+
+def test_pairs_hold_words_once(spark, monkeypatch):
+    """A row of the pairs has no words of its key, and those of its value only if there are several."""
+    values = {"1": "tea", "2": "tea tea", "3": "green tea", "4": "green"}
+    rows = spark.createDataFrame([(i, "a", json.dumps({"drink": {"name": v}})) for i, v in values.items()],
+                                 "id string, appid string, properties string")
+    index = write_index(normalize(rows), scratch_path(spark, "properties"))
+    assert "kt" not in index.pairs.columns
+    assert {r["id"] for r in index.pairs.filter("vt IS NOT NULL").collect()} == {"3"}
+    for named in (500, 0):  # keys by name, and by their words
+        monkeypatch.setattr("docsift.operators.propindex.NAMED_KEYS", named)
+        for value, want in (("tea", "123"), ("tea tea", "123"), ("tea green", "3"), ("Green", "34")):
+            assert ids(index.find(Q.term("properties.drink.name", value))) == list(want), (named, value)
