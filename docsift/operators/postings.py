@@ -1,13 +1,14 @@
 """A stored term index: postings by term, in blocks with their highest score.
 
-Documents of like lengths are dealt to ranges of a few hundred. A block is what one term has in one range: the documents, what
-each adds to a score, and the most that any of them adds. A table of queries is answered from the heads of the
+Documents of like lengths are dealt to ranges of a few hundred. A block is what one term has in one range: the documents, their
+lengths and how often each has the term, in arrays of plain numbers, and the most that any of them adds to a score. A table of queries is answered from the heads of the
 blocks first: they bound what a range can give to a query, and only blocks of ranges that can still reach the best k are
 opened. The answer is exact.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -24,6 +25,8 @@ from docsift.session import Scratch, materialize, stored_bytes
 RANGE_DOCS = 256
 # Postings in a bucket of terms, on average.
 BUCKET_POSTINGS = 250_000
+# Postings in a task that makes the blocks of its ranges, on average.
+TASK_POSTINGS = 1_000_000
 # Ranges per query that are scored first to find out what an answer must reach.
 SEED_RANGES = 2
 STATS = "n bigint, avg double, buckets int, id_type string"
@@ -31,7 +34,7 @@ STATS = "n bigint, avg double, buckets int, id_type string"
 
 @dataclass(frozen=True)
 class Postings:
-    """`<path>/blocks/bucket=<b>/` (term, rng, top, m, docs), `<path>/terms/bucket=<b>/` (term, df, blocks), `<path>/stats`.
+    """`<path>/blocks/bucket=<b>/` (term, rng, top, m, ids, tfs, lengths), `<path>/terms/bucket=<b>/` (term, df, blocks), `<path>/stats`.
 
     The bucket of a term is its hash; within a bucket blocks are sorted by term, so that a few terms are found
     by the statistics of the files.
@@ -54,7 +57,7 @@ class Postings:
 
     def _table(self, name: str, wanted: list[int] | None = None) -> DataFrame:
         """A table, or some buckets of it: the others are not opened."""
-        kinds = {"blocks": f"term string, rng bigint, top double, m int, docs array<struct<doc_id: {self.id_type}, adds: double>>",
+        kinds = {"blocks": f"term string, rng bigint, top double, m int, ids array<{self.id_type}>, tfs array<int>, lengths array<int>",
                  "terms": "term string, df bigint, blocks bigint"}
         rows = self.spark.read.schema(f"{kinds[name]}, bucket int").parquet(f"{self.path}/{name}")
         return (rows if wanted is None else rows.filter(F.col("bucket").isin(wanted))).drop("bucket")
@@ -67,7 +70,7 @@ class Postings:
         """`(doc_id)` of the documents with a term that passes a test, each once. Only the blocks of these terms are opened."""
         terms = materialize(self.dictionary(pattern), "matches")
         near = sorted(r[0] for r in terms.select(self._bucket(F.col("term"))).distinct().collect())
-        return self.blocks(terms, near, "docs").select(F.explode("docs.doc_id").alias("doc_id")).distinct()
+        return self.blocks(terms, near, "ids").select(F.explode("ids").alias("doc_id")).distinct()
 
     def with_prefix(self, prefix: str) -> DataFrame:
         """Documents with a word that begins so; a bucket is sorted by term, so its statistics leave most of it out."""
@@ -113,16 +116,19 @@ class Postings:
         wanted = materialize(salted_join(
             pairs.select("query_id", "rng"), asked.groupBy("query_id").agg(F.collect_list(F.struct("term", "w")).alias("asked")),
             ["query_id"], "rng", "query_id", hot_rows, right_unique=True).select("query_id", "rng", F.inline("asked")), "wanted")
-        met = self.blocks(wanted, near, "docs").join(wanted, ["term", "rng"]).select("query_id", "rng", "w", "docs")
-        return (met.repartition("query_id", "rng").select("query_id", "rng", "w", F.inline("docs"))
-                .groupBy("query_id", "rng", "doc_id").agg(
-                    F.count(F.lit(1)).alias("matched"), F.sum(F.col("w") * F.col("adds")).alias("score")).drop("rng"))
+        arrays = ["ids", "tfs", "lengths"]
+        met = self.blocks(wanted, near, *arrays).join(wanted, ["term", "rng"]).select("query_id", "rng", "w", *arrays)
+        adds = _tf_part(F.col("tfs").cast("double"), F.col("lengths").cast("double"), F.lit(self.avg))
+        return (met.repartition("query_id", "rng").select("query_id", "rng", "w", F.inline(F.arrays_zip(*arrays)))
+                .withColumnRenamed("ids", "doc_id").groupBy("query_id", "rng", "doc_id").agg(
+                    F.count(F.lit(1)).alias("matched"), F.sum(F.col("w") * adds).alias("score")).drop("rng"))
 
 
 def store_postings(docs: DataFrame, id: str, text: str, path: str, mapping: FieldMapping = DEFAULT_MAPPING,
                    range_docs: int = RANGE_DOCS) -> Postings:
-    """Write the term index of a text field. Postings are shuffled once, by term and range, so a word of every document
-    is spread; a document without words is in no range."""
+    """Write the term index of a text field. Documents are shuffled to their ranges with their words counted, and taken apart
+    there, so that only whole blocks travel on; a word of every document has a block in each range. A document without words
+    is in no range."""
     spark = docs.sparkSession
     scratch = Scratch(spark, "postings")
     length_class = F.floor(F.log2("length") * 2).cast("int")
@@ -135,12 +141,14 @@ def store_postings(docs: DataFrame, id: str, text: str, path: str, mapping: Fiel
     # two classes for each doubling of the length: a few dozen rows
     parts = index.groupBy("class").agg(F.ceil(F.count(F.lit(1)) / range_docs).alias("parts"))
     rng = F.shiftleft(F.col("class").cast("long"), 48) + F.pmod(F.xxhash64("doc_id"), F.col("parts"))
-    adds = _tf_part(F.col("t.tf").cast("double"), F.col("length").cast("double"), F.lit(avg))
-    postings = (index.join(F.broadcast(parts), "class").select("doc_id", "length", rng.alias("rng"), F.explode("terms").alias("t"))
-                .select("t.term", "rng", "doc_id", adds.alias("adds")))
-    blocks = (postings.groupBy("term", "rng").agg(F.max("adds").alias("top"), F.count(F.lit(1)).cast("int").alias("m"),
-                                                  F.collect_list(F.struct("doc_id", "adds")).alias("docs"))
-              .withColumn("bucket", F.pmod(F.xxhash64("term"), F.lit(buckets)).cast("int")))
+    adds = _tf_part(F.col("tf").cast("double"), F.col("length").cast("double"), F.lit(avg))
+    dealt = (index.join(F.broadcast(parts), "class").select("doc_id", "length", rng.alias("rng"), "terms")
+             .repartition(max(1, math.ceil((size["m"] or 0) / TASK_POSTINGS)), "rng"))
+    postings = dealt.select("doc_id", "length", "rng", F.inline("terms")).withColumn("tf", F.col("tf").cast("int"))
+    blocks = (postings.groupBy("term", "rng").agg(F.max(adds).alias("top"), F.count(F.lit(1)).cast("int").alias("m"),
+                                                  F.collect_list(F.struct("doc_id", "tf", "length")).alias("docs"))
+              .select("term", "rng", "top", "m", F.col("docs.doc_id").alias("ids"), F.col("docs.tf").alias("tfs"),
+                      F.col("docs.length").alias("lengths"), F.pmod(F.xxhash64("term"), F.lit(buckets)).cast("int").alias("bucket")))
     (blocks.hint("rebalance", "bucket").sortWithinPartitions("bucket", "term", "rng")
      .write.partitionBy("bucket").parquet(f"{path}/blocks"))
     stored = spark.read.schema("term string, m int, bucket int").parquet(f"{path}/blocks")

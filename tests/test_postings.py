@@ -81,3 +81,20 @@ def test_empty(spark, queries):
     index = P.store_postings(none, "id", "text", scratch_path(spark, "postings"))
     assert rows(P.bm25_batch(index, queries, "q", "asked")) == []
     assert rows(P.find_similar_batch(index, queries, "q", "asked")) == []
+
+
+def test_blocks_are_made_where_their_documents_lie(spark, docs, monkeypatch):
+    """Documents go to their ranges with their words counted: no shuffle has a row per posting."""
+    plans = []
+    hint = type(docs).hint
+    monkeypatch.setattr(type(docs), "hint", lambda self, *a: plans.append(
+        self._jdf.queryExecution().executedPlan().toString()) or hint(self, *a))
+    path = scratch_path(spark, "postings")
+    P.store_postings(docs, "id", "text", path, range_docs=8)
+    assert plans[0].count("Exchange hashpartitioning") == plans[0].count("Exchange hashpartitioning(rng") == 1  # by range, before the words are taken apart
+    blocks = spark.read.parquet(f"{path}/blocks")
+    assert blocks.filter("size(ids) <> m OR size(tfs) <> m OR size(lengths) <> m").isEmpty()
+    found = blocks.select("term", F.inline(F.arrays_zip("ids", "tfs", "lengths")))
+    wanted = R.term_index(docs, "id", "text").select(F.col("doc_id").alias("ids"), F.inline("terms"), F.col("length").alias("lengths"))
+    assert sorted(map(tuple, found.select("ids", "term", "tfs", "lengths").collect())) == sorted(
+        map(tuple, wanted.select("ids", "term", "tf", "lengths").collect()))
