@@ -250,17 +250,19 @@ class _Tree:
         name, asked = f"_q{len(self.objects)}", tokens(F.lit(inner.value))
         units = self.docs.select(F.explode(F.transform(query.path, words_of)).alias("words"))
         self.objects[name] = _field_stats(partial(_term_stats, units), [asked])
-        scores = F.transform(objects, lambda o: _score(words_of(o), F.col(name)))
+        # words are used once per term of the query
+        scores = F.transform(objects, lambda o: let(words_of(o), lambda w: _score(w, F.col(name))))
         return let(scores, lambda s: F.when(F.size(s) > 0, _sum(s) / F.size(s)).otherwise(0.0))
 
-    def score(self, query: Query) -> Column:
-        """The score that a document gets from `query`; 0 where it does not match."""
+    def score(self, query: Query, matches: bool = False) -> Column:
+        """The score that a document gets from `query`; 0 where it does not match. `matches` says that only documents that
+        match are asked for, so that the tree is not tested again."""
         if isinstance(query, Boost):
-            return self.score(query.query) * query.factor
+            return self.score(query.query, matches) * query.factor
         if isinstance(query, Bool):
-            parts = [self.score(q) for q in (*query.must, *query.should)]
+            parts = [*[self.score(q, matches) for q in query.must], *[self.score(q) for q in query.should]]
             total = reduce(lambda a, b: a + b, parts, F.lit(0.0))
-            return F.when(F.coalesce(query.compile(self.fields), F.lit(False)), total).otherwise(0.0)
+            return total if matches else F.when(F.coalesce(query.compile(self.fields), F.lit(False)), total).otherwise(0.0)
         if isinstance(query, Nested):
             return self._objects(query)
         if isinstance(query, Match) and not self.fields.is_pair(query.field) and self.fields.is_text(query.field):
@@ -284,7 +286,7 @@ def score_query(docs: DataFrame, query: Query, type: str | None = None,
     it matches. Boosts multiply.
     """
     tree = _Tree(docs, mapping)
-    total = tree.score(query)
+    total = tree.score(query, matches=True)
     hits = scope(docs, type=type).filter(condition(docs, query, mapping))
     for field, name in tree.words.items():
         hits = with_once(hits, name, term_words(docs, field, mapping))

@@ -175,3 +175,16 @@ def test_stored_words(spark, docs):
     a = relevance.bm25_search(docs, "text", "hot w2").orderBy(F.desc("score"), "id")
     b = relevance.bm25_search(words, "words", "hot w2").orderBy(F.desc("score"), "id")
     assert in_order(a) == in_order(b)
+
+
+def test_a_scored_tree_is_tested_once(spark):
+    """Objects are analysed where they are scored, once for all terms, and the tree is not tested again."""
+    docs = spark.createDataFrame([(1, "en", "red fox\nred hen"), (2, "en", "blue"), (3, "de", "fox fox red")], "id long, lang string, text string")
+    docs = docs.select("id", "lang", F.transform(F.split("text", "\n"), lambda t: F.struct(t.alias("text"))).alias("nstd"))
+    inner = Q.nested(Q.match("text", "red fox hen cow"))
+    hits = relevance.score_query(docs, Q.bool(must=[inner], should=[Q.term("id", 1)]))
+    one = relevance.score_query(docs, inner)
+    scores, plain = ({r["id"]: r["score"] for r in df.collect()} for df in (hits, one))
+    assert set(scores) == set(plain) and all(abs(scores[i] - plain[i] - (i == 1)) < 1e-12 for i in plain)
+    texts = [df._jdf.queryExecution().analyzed().toString().count("regexp_extract_all") for df in (hits, one)]
+    assert texts[0] == texts[1]
