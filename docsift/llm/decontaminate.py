@@ -24,6 +24,8 @@ GRAMS = [(32, "111", 0.0), (64, "1111", 0.0), (96, "1110111", 0.05), (1 << 62, "
 HITS, LANES = 1 << 21, 2048
 # Neighbouring bands that are compared as one part.
 RUN = 4
+# Work of a step over no parts at all, in words of parts: what short and long items cost apart is weighed with it.
+STEP = 3000
 # Words of 64 bits up to which items are compared side by side; longer ones are compared one by one.
 SIDE_BY_SIDE = 16
 # Bytes of benchmark text that are told to the tasks at once; a larger benchmark is searched in blocks.
@@ -171,8 +173,30 @@ class Searcher:
         end = np.minimum(high - shift[text] + self.chars[item] + self.most[item], ends[text])
         return text, item, start, end
 
+    def _groups(self, words: np.ndarray, sizes: np.ndarray) -> list[tuple[int, int]]:
+        """Stretches of parts, ordered by the words of their items, that are best compared in one go: a part costs
+        as many steps and words as the largest of its stretch, a stretch some work per step."""
+        out: list[tuple[int, int, int]] = []  # begin, end, longest
+        cuts = np.flatnonzero(np.append(True, words[1:] != words[:-1])[:len(words)])
+        for a, b in zip(cuts.tolist(), [*cuts[1:].tolist(), len(words)]):
+            out.append((a, b, int(sizes[a:b].max())))
+            while len(out) > 1:
+                (i, j, m), (_, k, n) = out[-2:]
+                apart = m * (STEP + int(words[j - 1]) * (j - i)) + n * (STEP + int(words[k - 1]) * (k - j))
+                if apart < max(m, n) * (STEP + int(words[k - 1]) * (k - i)):
+                    break
+                out[-2:] = [(i, k, max(m, n))]
+        return [g[:2] for g in out]
+
     def _side_by_side(self, points: np.ndarray, item: np.ndarray, start: np.ndarray, end: np.ndarray):
-        """`distance_within` for many parts of texts at a time."""
+        """`distance_within` for many parts of texts at a time. The longest come first, and parts that are through
+        are left out of further steps."""
+        longest = np.argsort(start - end, kind="stable")
+        best, where = np.empty_like(item), np.empty_like(item)
+        best[longest], where[longest] = self._descending(points, item[longest], start[longest], end[longest])
+        return best, where
+
+    def _descending(self, points: np.ndarray, item: np.ndarray, start: np.ndarray, end: np.ndarray):
         own, local = np.unique(item, return_inverse=True)
         letters = np.unique(np.concatenate([self.points[k] for k in own]))
         words = int(self.chars[own].max() + 63) // 64
@@ -199,8 +223,15 @@ class Searcher:
         plus, minus = np.zeros_like(up), np.zeros_like(up)
         score = self.chars[item].copy()
         best, where = self.most[item] + 1, np.zeros(len(item), np.int64)
+        lanes = len(item)
+        open_lanes = lanes - np.searchsorted((end - start)[::-1], np.arange(steps), "right")
         for j in range(steps):
-            same = masks[:, row[j]]
+            if open_lanes[j] < lanes * 7 // 8:
+                lanes = int(open_lanes[j])
+                up, down, plus, minus = (bits[:, :lanes].copy() for bits in (up, down, plus, minus))
+                bit, score = bit[:lanes], score[:lanes]
+                top = (self.chars[item[:lanes]] - 1) // 64 * lanes + np.arange(lanes)
+            same = masks[:, row[j, :lanes]]
             total = same & up
             total += up
             carries = total < (same & up)
@@ -225,8 +256,8 @@ class Searcher:
             np.bitwise_or(total, plus, out=up)
             np.invert(up, out=up)
             up |= minus
-            less = score < best
-            if less.any():
+            less = np.flatnonzero(score < best[:lanes])
+            if len(less):
                 best[less], where[less] = score[less], j + 1
         return best, where
 
@@ -246,16 +277,17 @@ class Searcher:
                 found[n, k] = (best, at)
 
         order = np.lexsort((end - start, words))
-        begin, side = 0, int(np.searchsorted(words[order], SIDE_BY_SIDE, "right"))
-        while begin < side:
-            part = order[begin:min(side, begin + LANES)]
-            # of a few very long parts only so many as fit into memory
-            part = part[:max(1, int(np.searchsorted(np.maximum.accumulate((end - start)[part]) * np.arange(1, len(part) + 1), HITS, "right")))]
-            best, where = self._side_by_side(points, item[part], start[part], end[part])
-            hit = best <= self.most[item[part]]
-            for i, d, at in zip(part[hit].tolist(), best[hit].tolist(), where[hit].tolist()):
-                note(int(text[i]), int(item[i]), d, int(start[i] - starts[text[i]]) + at)
-            begin += len(part)
+        side = int(np.searchsorted(words[order], SIDE_BY_SIDE, "right"))
+        for begin, stop in self._groups(words[order[:side]], (end - start)[order[:side]]):
+            while begin < stop:
+                part = order[begin:min(stop, begin + LANES)]
+                # of a few very long parts only so many as fit into memory
+                part = part[:max(1, int(np.searchsorted(np.maximum.accumulate((end - start)[part]) * np.arange(1, len(part) + 1), HITS, "right")))]
+                best, where = self._side_by_side(points, item[part], start[part], end[part])
+                hit = best <= self.most[item[part]]
+                for i, d, at in zip(part[hit].tolist(), best[hit].tolist(), where[hit].tolist()):
+                    note(int(text[i]), int(item[i]), d, int(start[i] - starts[text[i]]) + at)
+                begin += len(part)
         for i in order[side:].tolist():
             n, k, at = int(text[i]), int(item[i]), int(start[i] - starts[text[i]])
             best, where = distance_within(self.items[k][1], texts[n][at:int(end[i] - starts[n])], int(self.most[k]))

@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 from helpers import documents, edge_texts, edges, empty, prose
 
@@ -126,3 +127,36 @@ def test_items_without_spaces_and_inside_words(spark):
     got = {(r["doc_id"], r["item_id"], r["distance"], r["end"]) for r in D.leaks(docs, bench).collect()}
     assert got == {(1, 1, 0, 190), (2, 2, 0, 2 + len(code)), (3, 3, 0, 26)}
     assert [r["doc_id"] for r in D.drop_leaks(docs, bench).collect()] == [4]
+
+
+def test_short_and_long_items_are_compared_apart(monkeypatch):
+    items = [(0, prose(1, 12, 300)), (1, prose(2, 120, 300))]
+    searcher, asked = D.Searcher(items), []
+    inner = D.Searcher._side_by_side
+
+    def spy(self, points, item, start, end):
+        words = int(self.chars[item].max() + 63) // 64
+        asked.append((words * int((end - start).max()) * len(item), int((words * (end - start)).sum())))
+        return inner(self, points, item, start, end)
+
+    monkeypatch.setattr(D.Searcher, "_side_by_side", spy)
+    texts = [D.normal(prose(10 + i, 30, 300) + " " + items[i % 50 == 0][1]) for i in range(300)]
+    found = searcher.search(texts)
+    assert {(i, int(i % 50 == 0)) for i in range(300)} <= {(n, k) for n, k, *_ in found}
+    assert len(asked) > 1 and sum(a for a, _ in asked) < 4 * sum(b for _, b in asked)
+
+
+def test_parts_that_end_early_keep_their_distance():
+    rng = np.random.default_rng(3)
+    items = [(k, prose(50 + k, 10 + 7 * k, 300)) for k in range(12)]
+    searcher = D.Searcher(items)
+    text = D.normal(" ".join(t[:len(t) * 9 // 10] + prose(90 + k, 4, 300) for k, (_, t) in enumerate(items)))
+    points = D._points(text)
+    item = rng.integers(0, 12, 300)
+    start = rng.integers(0, len(text) - 20, 300)
+    end = np.minimum(start + rng.integers(1, 700, 300), len(text))
+    best, where = searcher._side_by_side(points, item, start, end)
+    for k, a, b, d, at in zip(item.tolist(), start.tolist(), end.tolist(), best.tolist(), where.tolist()):
+        most = int(searcher.most[k])
+        want, place = D.distance_within(searcher.items[k][1], text[a:b], most)
+        assert (d, at) == (want, place) if want <= most else d > most
