@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from docsift.llm.jaccard import runs
 from docsift.llm.texts import chunks, materialize, mix, pick, rolling, spans, text_bytes
+from docsift.session import release
 
 # Length of a string that counts as repeated.
 LENGTH = 50
@@ -395,13 +396,16 @@ def find_repeats(docs: DataFrame, length: int = LENGTH, array: int = ARRAY, id_c
               .sortWithinPartitions("direct", "h", "node").mapInArrow(_shared, "h long, node long"))
     hashes = shared.groupBy(F.col("node").alias("th")).agg(F.collect_set("h").alias("hs"))
     wanted = materialize(hashes.join(classes, "th").withColumnRenamed("first", "doc"), "hashes")
+    release(docs.sparkSession)  # the hashes of all texts, the largest part
     held = materialize(rows.join(wanted, ["doc", "th", "tx"]).select("doc", "th", "text", "hs"), "held")
     cut = held.mapInArrow(_segments(length), "direct boolean, h long, s long, doc long, th long, start long, n long, "
                                              "segment binary")
     settled = (cut.repartition(F.when(F.col("direct"), F.col("doc")).otherwise(F.col("h")))
                .sortWithinPartitions("direct", "h", "s", "doc")
                .mapInArrow(_settle(length, array), "doc long, th long, start long, n long, segment binary"))
+    release(docs.sparkSession)
     settled = materialize(settled, "settled")
+    release(docs.sparkSession)  # the segments
     done = settled.filter("segment is null").drop("segment")
     large = settled.filter("segment is not null")
     if not large.isEmpty():

@@ -89,3 +89,12 @@ def test_suffix_array(letters):
 def test_other_columns_do_not_matter(spark):
     docs = edges(spark).withColumn("doc", F.lit(9)).withColumn("th", F.lit(1)).withColumn("hs", F.lit("x"))
     assert run(docs) == brute(edge_texts())
+
+
+def test_finished_steps_give_their_shuffle_files_back(spark, monkeypatch):
+    calls = []
+    from docsift.llm import suffixdedup
+    monkeypatch.setattr(suffixdedup, "release", lambda session: calls.append(session), raising=False)
+    docs = spark.createDataFrame([(1, "a" * 30 + "b" * 40), (2, "c" + "a" * 30 + "b" * 40)], "doc_id long, text string")
+    assert [r["doc_id"] for r in suffixdedup.find_repeats(docs).collect()] == [2]
+    assert len(calls) == 3
