@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -18,10 +19,12 @@ from docsift.session import release
 LENGTH = 50
 # Each string is filed under the smallest hash of its grams of so many bytes.
 GRAM = 24
-# Bytes of text whose repeats within a task are settled before the shuffle.
-BLOCK = 2 << 20
+# Bytes of text whose repeats within a task are settled before the shuffle. A worker needs some 60 bytes for each.
+BLOCK = 1 << 20
 # Bytes of segments in one suffix array; segments under one hash beyond that are settled string by string.
 ARRAY = 2 << 20
+# Bytes of several hashes that are put into one array together. A worker needs some 60 bytes for each.
+TOGETHER = 512 << 10
 
 _LAST = (1 << 63) - 1
 
@@ -45,7 +48,7 @@ def _filed(data: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.ndarr
     valid = np.zeros(len(low) + 1, np.int8)
     np.add.at(valid, offsets[texts], 1)
     np.add.at(valid, offsets[texts + 1] - length + 1, -1)
-    valid = np.cumsum(valid[:-1]) > 0
+    valid = np.cumsum(valid[:-1], dtype=np.int8) > 0
     begin = valid.copy()
     begin[1:] &= (low[1:] != low[:-1]) | ~valid[:-1]
     begin[offsets[texts]] = True
@@ -83,20 +86,22 @@ def _postings(length: int):
 
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(h, node) of hashes that at least two different texts have."""
+    batches = iter(batches)
     known: list[pa.RecordBatch] = []
 
     def open_rows():
         for batch in batches:
             direct = batch.column("direct")
-            if direct.true_count:
-                known.append(batch.filter(direct).select(["h", "node"]))
             yield batch.filter(pc.invert(direct)).select(["h", "node", "n"])
+            if direct.true_count:
+                known.append(batch.filter(direct))
+                return
 
     for found in runs(open_rows()):
-        while known:
-            yield known.pop()
         yield found.select(["h", "node"])
-    yield from known
+    # direct rows stand behind all others
+    for batch in chain(known, batches):
+        yield batch.select(["h", "node"])
 
 
 def _bytes_of(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> pa.Array:
@@ -148,12 +153,15 @@ def _segments(length: int):
     return cut
 
 
-def words8(text: np.ndarray) -> np.ndarray:
-    """The eight bytes at each place as one big-endian number; zeros behind the end."""
-    padded = np.concatenate((text, np.zeros(8, np.uint8)))
-    out = np.zeros(len(text), np.uint64)
+def words8(text: np.ndarray, behind: int = 0) -> np.ndarray:
+    """The eight bytes at each place, and at `behind` places after the last, as one big-endian number; zeros behind
+    the end."""
+    size = len(text) + behind
+    padded = np.concatenate((text, np.zeros(behind + 8, np.uint8)))
+    out = np.zeros(size, np.uint64)
     for k in range(8):
-        out = out << np.uint64(8) | padded[k:k + len(text)]
+        out <<= np.uint64(8)
+        out |= padded[k:k + size]
     return out
 
 
@@ -167,14 +175,14 @@ def suffix_array(text: np.ndarray, depth: int) -> np.ndarray:
     size = len(text)
     if not size:
         return np.zeros(0, np.int64)
-    change = np.flatnonzero(np.append(text[1:] != text[:-1], True))
-    after = change[np.searchsorted(change, np.arange(size))] + 1
-    smaller = np.append(text, 0)[after] > text
-    smaller &= after < size
-    order = np.flatnonzero(smaller)
-    words = np.concatenate((words8(text), np.zeros(depth + 8, np.uint64)))
+    kind = np.int32 if size < 1 << 31 else np.int64
+    last = np.flatnonzero(np.append(text[1:] != text[:-1], True)).astype(kind)  # of each run of one letter
+    smaller = np.repeat(np.append(text[last[1:]], np.uint8(0)) > text[last], np.diff(last, prepend=-1))
+    order = np.flatnonzero(smaller).astype(kind)
+    del last, smaller
+    words = words8(text, depth + 8)
     order = order[np.argsort(words[order], kind="stable")]
-    group = np.cumsum(np.append(True, words[order][1:] != words[order][:-1])) if len(order) else order
+    group = np.cumsum(np.append(True, words[order][1:] != words[order][:-1]), dtype=kind) if len(order) else order
     for at in range(8, depth, 8):
         tied = np.zeros(len(order), bool)
         if len(order):
@@ -190,14 +198,15 @@ def suffix_array(text: np.ndarray, depth: int) -> np.ndarray:
         fresh = np.ones(len(order), bool)
         fresh[1:] = group[1:] != group[:-1]
         fresh[places[1:]] |= (keys[1:] != keys[:-1]) | (own[1:] != own[:-1])
-        group = np.cumsum(fresh)
+        group = np.cumsum(fresh, dtype=kind)
+    del words, group
     borders = np.searchsorted(text[order], np.arange(257))
     waiting: list[list[np.ndarray]] = [[] for _ in range(256)]
-    waiting[text[-1]].append(np.array([size - 1]))
+    waiting[text[-1]].append(np.array([size - 1], kind))
     out = []
     for c in range(256):
-        larger = list(waiting[c])
-        new = np.concatenate(larger) if larger else np.zeros(0, np.int64)
+        larger, waiting[c] = waiting[c], []
+        new = np.concatenate(larger) if larger else np.zeros(0, kind)
         while len(new):
             before = new[new > 0] - 1
             new = before[text[before] == c]
@@ -218,14 +227,14 @@ def suffix_array(text: np.ndarray, depth: int) -> np.ndarray:
 
 def common_prefixes(text: np.ndarray, order: np.ndarray, most: int) -> np.ndarray:
     """Bytes that each suffix has in common with the one before it, up to `most`; 0 for the first."""
-    words = np.concatenate((words8(text), np.zeros(most + 8, np.uint64)))
-    out = np.zeros(len(order), np.int64)
-    open_rows = np.arange(1, len(order))
+    words = words8(text, most + 8)
+    out = np.zeros(len(order), np.int32)
+    open_rows = np.arange(1, len(order), dtype=order.dtype)
     for at in range(0, most, 8):
         if not len(open_rows):
             break
         x = words[order[open_rows] + at] ^ words[order[open_rows - 1] + at]
-        same = np.zeros(len(x), np.int64)
+        same = np.zeros(len(x), np.int32)
         for k in range(1, 9):
             same += x >> np.uint64(64 - 8 * k) == 0
         out[open_rows] += same
@@ -236,14 +245,16 @@ def common_prefixes(text: np.ndarray, order: np.ndarray, most: int) -> np.ndarra
 def _sources(text: np.ndarray, offsets: np.ndarray, docs: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
     """(segment, place in it, n): runs of strings of the segments that also occur in one of a smaller id."""
     sizes = np.diff(offsets)
-    owner = np.repeat(np.arange(len(docs)), sizes)
-    string = np.arange(len(text)) + length <= offsets[1:][owner]
+    owner = np.repeat(np.arange(len(docs), dtype=np.int32), sizes)
+    string = np.ones(len(text), bool)
+    for k in range(1, length):  # the last places of a segment begin none
+        string[offsets[1:][sizes >= k] - k] = False
     order = suffix_array(text, length + 6)
-    source = np.where(string, docs[owner], _LAST)[order]
     group = np.flatnonzero(common_prefixes(text, order, length) < length)
-    least = np.minimum.reduceat(source, group)
+    least = np.minimum.reduceat(np.where(string, docs[owner], _LAST)[order], group)
     smallest = np.empty(len(text), np.int64)
     smallest[order] = np.repeat(least, np.diff(np.append(group, len(order))))
+    del order, group, least
     # strings of different segments never touch, since the last places of a segment are none
     edge = np.diff(np.concatenate(([False], (smallest < docs[owner]) & string, [False])).astype(np.int8))
     begin, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
@@ -278,11 +289,21 @@ def _settle(length: int, array: int):
         if large.any():
             yield removed(rows, large, keep=True)
             rows = rows.filter(pa.array(~large))
-        if not len(rows):
-            return
+        h = rows.column("h").to_numpy()
+        ends = np.append(np.flatnonzero(h[1:] != h[:-1]) + 1, len(h)) if len(h) else []
+        bytes_to = np.append(0, np.cumsum(sizes[~large]))
+        start = 0
+        while start < len(h):
+            stop = ends[max(np.searchsorted(ends, start, "right"),
+                            np.searchsorted(bytes_to[ends], bytes_to[start] + min(array, TOGETHER), "right") - 1)]
+            yield arrays(rows.slice(start, stop - start))
+            start = stop
+
+    def arrays(rows: pa.Table) -> pa.RecordBatch:
+        """Whole hashes that fit into an array."""
         text, offsets = text_bytes(rows.column("segment"))
         at, place, n = _sources(text, offsets, rows.column("doc").to_numpy(), length)
-        yield pa.RecordBatch.from_arrays(
+        return pa.RecordBatch.from_arrays(
             [rows.column("doc").combine_chunks().take(pa.array(at)), rows.column("th").combine_chunks().take(pa.array(at)),
              pa.array(rows.column("start").to_numpy()[at] + place), pa.array(n), pa.nulls(len(at), pa.binary())],
             _SETTLED)
@@ -347,7 +368,7 @@ def _remove(length: int):
     """Cut the covered bytes out of each text."""
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in chunks(batches, size=BLOCK):
             kept, spans = [], []
             cuts = batch.column("cuts")
             start, n = (cuts.flatten().field(i).to_numpy() for i in range(2))

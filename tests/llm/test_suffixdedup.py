@@ -2,6 +2,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from helpers import documents, edge_texts, edges, empty
 from pyspark.sql import functions as F
@@ -98,3 +99,36 @@ def test_finished_steps_give_their_shuffle_files_back(spark, monkeypatch):
     docs = spark.createDataFrame([(1, "a" * 30 + "b" * 40), (2, "c" + "a" * 30 + "b" * 40)], "doc_id long, text string")
     assert [r["doc_id"] for r in suffixdedup.find_repeats(docs).collect()] == [2]
     assert len(calls) == 3
+
+
+def test_many_small_hashes_do_not_share_one_large_array(monkeypatch):
+    rng = np.random.default_rng(3)
+    n = 15_000
+    segments = [row.tobytes() for row in rng.integers(97, 123, (n // 2, 100)).astype(np.uint8)]
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(np.zeros(n, bool)), pa.array(np.arange(n) // 2), pa.array(np.arange(n)), pa.array(np.arange(n)),
+         pa.array(np.arange(n)), pa.array(np.zeros(n, np.int64)), pa.array(np.full(n, 51)),
+         pa.array([b"-" * (i % 2) + segments[i // 2][i % 2:] for i in range(n)], pa.binary())],
+        ["direct", "h", "s", "doc", "th", "start", "n", "segment"])
+    sizes, sources = [], S._sources
+    monkeypatch.setattr(S, "_sources", lambda text, *rest: sizes.append(len(text)) or sources(text, *rest))
+    out = pa.Table.from_batches(list(S._settle(50, S.ARRAY)(iter([batch]))))
+    assert sum(sizes) == 100 * n and max(sizes) <= 600_000
+    # the second segment of each hash has all strings of the first but the one at its begin
+    assert sorted(zip(*(out.column(c).to_pylist() for c in ("doc", "start", "n")))) == [
+        (i, 1, 50) for i in range(1, n, 2)]
+
+
+def test_known_postings_are_not_collected():
+    def batches():
+        for i in range(9):
+            read.append(i)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([i, i]), pa.array([1, 2]), pa.array([0, 0], pa.int32()), pa.array([i > 2] * 2)],
+                ["h", "node", "n", "direct"])
+
+    read, held = [], []
+    for found in S._shared(batches()):
+        held.append(len(read))
+        assert found.schema.names == ["h", "node"]
+    assert held[-6:] == [4, 5, 6, 7, 8, 9]
