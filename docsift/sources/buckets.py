@@ -27,6 +27,8 @@ from docsift.session import materialize, stored_bytes
 
 BUCKET_ROWS = 1_000_000
 RETRIES = 10
+# Keys of a long list that a task compares with the documents.
+KEYS_PER_TASK = 500_000
 MANIFEST = "appid string, buckets int, bucket int, path string, rows bigint"
 
 COUNTS = "array<struct<kind:string,key:string,n:bigint>>"
@@ -187,15 +189,21 @@ class BucketedIndex:
         order = [c for c in ("appid", "bucket", *self.sort_by) if c in docs.columns]
         (docs.hint("rebalance", "appid", "bucket").sortWithinPartitions(*order)
          .write.partitionBy("appid", "bucket").parquet(path))
-        kept = "_buckets int, appid string, bucket int"
-        rows = (self.spark.read.schema(kept).parquet(path).groupBy("appid", "bucket", "_buckets")
-                .agg(F.count(F.lit(1)).alias("rows"), F.min("_metadata.file_path").alias("file")).collect())
+        rows = (self._by_file(path).groupBy("appid", "bucket", "_buckets")
+                .agg(F.sum("rows").alias("rows"), F.min("file").alias("file")).collect())
         if self.counted:
             self._count(self.spark.read.schema(docs.drop("_buckets").schema).parquet(path), unit)
         # the names of the folders as Spark has written them
         return {(r["appid"], r["bucket"]): Folder(
             r["_buckets"], "/".join(unquote(r["file"]).split("/")[-4:-1]), r["rows"]) for r in rows}
 
+    def _by_file(self, path: str) -> DataFrame:
+        """The documents in each file of a write. The file is a key and not an aggregate, for which Spark would sort all
+        documents."""
+        stored = self.spark.read.schema("_buckets int, appid string, bucket int").parquet(path)
+        return stored.groupBy("appid", "bucket", "_buckets", F.col("_metadata.file_path").alias("file")).agg(
+            F.count(F.lit(1)).alias("rows"))
+
     def _count(self, docs: DataFrame, unit: str) -> None:
         """Write the statistics of the folders of a write next to them: documents by type, and for each counted field the
         documents with words, their words, and the documents with each term."""
@@ -309,8 +317,9 @@ class BucketedIndex:
         raise Conflict(self.root)
 
     def places(self, keys: DataFrame, folders: Mapping[Place, Folder]) -> DataFrame:
-        """`keys` with the bucket that each belongs to, and `_buckets`, the number of its tenant's buckets."""
-        return self._routed(keys, self._tenants(keys, folders))
+        """`keys` with the bucket that each belongs to, and `_buckets`, the number of its tenant's buckets. The tenants'
+        numbers are stored, so that Spark knows them to be few: no tenant's keys go to one task."""
+        return self._routed(keys, materialize(self._tenants(keys, folders), "tenants"))
 
     def upsert(self, batch: DataFrame, mode: str = "merge", seq: str = "seq", op: str | None = None,
                notes: Callable[[Mapping[str, Any]], Mapping[str, Any]] = lambda n: n) -> Version:
@@ -323,17 +332,29 @@ class BucketedIndex:
                            lambda known: wider(known, more), notes)
 
     def delete_ids(self, gone: DataFrame) -> Version:
-        """Without the listed keys; only buckets that hold one of them are written."""
-        gone = materialize(gone.select(*KEYS).distinct(), "gone")
+        """Without the listed keys; only buckets that hold one of them are written. The list may be much longer than the
+        index: it meets the documents once, a bounded number of keys in a task, and the keys found there are all that the
+        buckets are rewritten with. Keys that are listed again are left out where they meet the documents."""
+        gone = materialize(gone.select(*KEYS), "gone")
+        listed = gone.count()
+        found: list[DataFrame] = []
 
         def touch(version: Version, folders: dict[Place, Folder]) -> DataFrame:
             routed = self.places(gone, folders)
             near = materialize(routed.select("appid", "bucket").distinct(), "near")
             near = {(r["appid"], r["bucket"]) for r in near.collect()}
-            held = self._read(version.schema, {p: f for p, f in folders.items() if p in near})
-            return held.select(*KEYS, "bucket").join(routed.select(*KEYS, "_buckets"), list(KEYS))
-
-        return self.change(touch, lambda old: unindex(old, gone), looked=True)
+            near = {p: f for p, f in folders.items() if p in near}
+            held, keys = self._read(version.schema, near).select(*KEYS, "bucket"), gone
+            parts = -(-max(listed, sum(f.rows for f in near.values())) // KEYS_PER_TASK)
+            if listed > KEYS_PER_TASK:
+                parts = max(parts, self.spark.sparkContext.defaultParallelism)
+                held, keys = held.repartition(parts, *KEYS), keys.repartition(parts, *KEYS).distinct()
+            found[:] = [materialize(held.join(keys, list(KEYS), "left_semi"), "found")]
+            sizes = self.spark.createDataFrame(list({a: f.buckets for (a, _), f in near.items()}.items()),
+                                               "appid string, _buckets int")
+            return found[0].select("appid", "bucket").distinct().join(sizes, "appid")
+
+        return self.change(touch, lambda old: unindex(old, found[0]), looked=True)
 
     def delete_terms(self, terms: Mapping[str, Any], match_all: bool = True,
                      mapping: FieldMapping = DEFAULT_MAPPING) -> Version:

@@ -9,6 +9,7 @@ from test_maintain import OPS, apply, random_log, state
 
 from docsift.operators import relevance
 from docsift.session import scratch_path
+from docsift.sources import buckets
 from docsift.sources.buckets import BucketedIndex, Conflict
 
 DOCS = "appid string, id string, type string, n long"
@@ -207,3 +208,34 @@ def test_statistics_follow_each_change(spark):
     assert index.counts_by_type().collect() == []
     with pytest.raises(ValueError):
         BucketedIndex(spark, index.root).statistics()
+
+
+def test_keys_of_one_tenant_are_not_shuffled_to_one_task(spark, index):
+    index.rebuild(some_docs(spark))
+    keys = spark.range(100).select(F.concat(F.lit("t"), (F.col("id") % 2).cast("string")).alias("appid"),
+                                   F.col("id").cast("string").alias("id"))
+    plan = index.places(keys, index.folders(index.current()))._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning(appid" not in plan
+
+
+def test_a_list_longer_than_a_task_may_hold_is_dealt_out(spark, index, monkeypatch):
+    monkeypatch.setattr(buckets, "KEYS_PER_TASK", 20)
+    seen, unindex = [], buckets.unindex
+    monkeypatch.setattr(buckets, "unindex", lambda old, gone: seen.append(gone.count()) or unindex(old, gone))
+    index.rebuild(some_docs(spark))
+    gone = spark.range(1000).select(F.explode(F.array(F.lit("t1"), F.lit("t2"), F.lit("t9"))).alias("appid"),
+                                    F.concat("appid", F.lit("-"), (F.col("id") * 3).cast("string")).alias("id"))
+    index.delete_ids(gone.unionByName(gone))
+    assert rows(index.read()) == [r for r in rows(some_docs(spark)) if r[3] % 3]
+    assert seen == [28]  # the keys found and not the whole list
+    index.delete_ids(gone)
+    assert index.count() == 52 and seen == [28]
+
+
+def test_documents_of_a_write_are_counted_without_a_sort(spark, index, monkeypatch):
+    written, by_file = [], BucketedIndex._by_file
+    monkeypatch.setattr(BucketedIndex, "_by_file", lambda self, path: written.append(by_file(self, path)) or written[-1])
+    index.rebuild(some_docs(spark))
+    plan = written[0]._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "Sort" not in plan
+    assert index.count() == 80

@@ -180,7 +180,7 @@ def index_delete(spark, sf):
     index.delete_terms({"type": "error", "value <": 50})
     index.drop_tenant("u3")
     ids = table(spark, sf, "lineitem").filter("l_returnflag = 'R'").select(F.col("l_orderkey").cast("string").alias("id"))
-    index.delete_ids(ids.select("id", F.explode(F.array(*[F.lit(f"u{n}") for n in range(8)])).alias("appid")))
+    index.delete_ids(ids.distinct().select("id", F.explode(F.array(*[F.lit(f"u{n}") for n in range(8)])).alias("appid")))
     return index.read().select("appid", "id", "value")
 
 
