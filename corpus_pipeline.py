@@ -6,11 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docsift.llm import decontaminate, jaccard, langid, linetemplates, packing
-from docsift.llm.texts import materialize
+from docsift.llm.texts import materialize, small_batches
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without the documents whose language can't be told: no letters, or unlike all training texts."""
+    small_batches(spark)
     return langid.drop_rejected(docs)
 
 
@@ -21,6 +22,7 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies: the one with the smallest id."""
+    small_batches(spark)
     return jaccard.drop_near_copies(docs)
 
 
@@ -31,6 +33,7 @@ def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents in sequences of 2048 ids."""
+    small_batches(spark)
     return packing.pack(docs, packing.default_vocabulary())
 
 

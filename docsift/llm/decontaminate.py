@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docsift.llm.texts import chunks, pick
+from docsift.llm.texts import chunks, pick, small_batches
 
 # Largest edit distance, in hundredths of the item's length.
 DISTANCE = 25
@@ -326,6 +326,7 @@ def leaks(docs: DataFrame, items: DataFrame, distance: int = DISTANCE, id_col: s
 
 
 def _search(docs: DataFrame, searcher: Searcher) -> DataFrame:
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(searcher)
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -351,6 +352,7 @@ def drop_leaks(docs: DataFrame, items: DataFrame, distance: int = DISTANCE, text
 
 
 def _clean(docs: DataFrame, searcher: Searcher, text_col: str) -> DataFrame:
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(searcher)
 
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -5,6 +5,7 @@ import pytest
 from helpers import documents, edge_texts, edges, empty, prose
 
 from docsift.llm import decontaminate as D
+from docsift.llm import texts as T
 
 
 def items(spark, rows):
@@ -160,3 +161,33 @@ def test_parts_that_end_early_keep_their_distance():
         most = int(searcher.most[k])
         want, place = D.distance_within(searcher.items[k][1], text[a:b], most)
         assert (d, at) == (want, place) if want <= most else d > most
+
+
+def test_batches_of_long_texts_are_small(spark, monkeypatch):
+    inner, bound = T.chunks, T.BATCH
+
+    def spy(batches, *names):
+        for batch in batches:
+            if batch.nbytes > 2 * bound:
+                raise ValueError(f"a batch of {batch.nbytes} bytes")
+            yield from inner(iter([batch]), *names)
+
+    monkeypatch.setattr(D, "chunks", spy)
+    docs = documents(spark, [(0, "z")]).repartition(1).selectExpr("doc_id", "repeat(text, 50000) AS text", "explode(sequence(1, 300)) AS row")
+    now = spark.conf.get(T.BATCH_SETTING, None)
+    try:
+        for step, want in ((D.leaks, 0), (D.drop_leaks, 300)):
+            spark.conf.unset(T.BATCH_SETTING)
+            assert step(docs, items(spark, BENCH)).count() == want
+        spark.conf.set(T.BATCH_SETTING, "1000")
+        T.small_batches(spark)
+        assert spark.conf.get(T.BATCH_SETTING) == "1000"
+    finally:
+        spark.conf.set(T.BATCH_SETTING, now) if now else spark.conf.unset(T.BATCH_SETTING)
+
+
+def test_memory_goes_back_after_the_last_batch(monkeypatch):
+    done = []
+    monkeypatch.setattr(T.pa, "default_memory_pool", lambda: type("Pool", (), {"release_unused": lambda self: done.append(1)})())
+    batch = T.pa.RecordBatch.from_pydict({"text": ["a" * 30, None, "b"]})
+    assert [c.num_rows for c in T.chunks(iter([batch, batch]), size=20)] == [1, 2, 1, 2] and done == [1]
