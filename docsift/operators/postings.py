@@ -19,7 +19,7 @@ from docsift.functions.text import term_counts, tokens, wildcard_regex, within_e
 from docsift.operators.relevance import _idf, _pick_weight, _required, _tf_part, _top, term_index
 from docsift.plans.skew import BROADCAST_BYTES, salted_join
 from docsift.schema import DEFAULT_MAPPING, FieldMapping
-from docsift.session import Scratch, materialize, stored_bytes
+from docsift.session import Scratch, materialize, release, stored_bytes
 
 # Documents in a range, on average.
 RANGE_DOCS = 256
@@ -27,6 +27,10 @@ RANGE_DOCS = 256
 BUCKET_POSTINGS = 250_000
 # Postings in a task that makes the blocks of its ranges, on average.
 TASK_POSTINGS = 1_000_000
+# Postings that are dealt out in one go, on average, while the shuffle files of the others don't exist, and the most such parts.
+PART_POSTINGS, PARTS = 1_000_000, 6
+# Queries, on average, for which a block travels once.
+TASK_QUERIES = 1_000
 # Ranges per query that are scored first to find out what an answer must reach.
 SEED_RANGES = 2
 STATS = "n bigint, avg double, buckets int, id_type string"
@@ -110,25 +114,33 @@ class Postings:
     def opened(self, pairs: DataFrame, asked: DataFrame, near: list[int], hot_rows: int) -> DataFrame:
         """`(query_id, doc_id, matched, score)` of all documents in the given pairs of a query and a range.
 
-        Blocks travel to their pair as a whole and are taken apart there, so a shuffled row stands for all
-        documents of a block, and what is added up per document is not shuffled again.
+        A block travels to its range as a whole and once for all queries that ask for it (`TASK_QUERIES` of them), and is
+        taken apart there, so a shuffled row stands for all documents of a block, and what is added up per document is
+        not shuffled again.
         """
         wanted = materialize(salted_join(
             pairs.select("query_id", "rng"), asked.groupBy("query_id").agg(F.collect_list(F.struct("term", "w")).alias("asked")),
             ["query_id"], "rng", "query_id", hot_rows, right_unique=True).select("query_id", "rng", F.inline("asked")), "wanted")
+        parts = max(1, math.ceil(asked.select("query_id").distinct().count() / TASK_QUERIES))
+        by = wanted.withColumn("part", F.pmod(F.xxhash64("query_id"), F.lit(parts))).repartition("term", "rng").groupBy(
+            "term", "rng", "part").agg(F.collect_list(F.struct("query_id", "w")).alias("by"))
         arrays = ["ids", "tfs", "lengths"]
-        met = self.blocks(wanted, near, *arrays).join(wanted, ["term", "rng"]).select("query_id", "rng", "w", *arrays)
+        met = self.blocks(wanted, near, *arrays).join(by, ["term", "rng"]).select("rng", "part", "by", *arrays)
         adds = _tf_part(F.col("tfs").cast("double"), F.col("lengths").cast("double"), F.lit(self.avg))
-        return (met.repartition("query_id", "rng").select("query_id", "rng", "w", F.inline(F.arrays_zip(*arrays)))
-                .withColumnRenamed("ids", "doc_id").groupBy("query_id", "rng", "doc_id").agg(
-                    F.count(F.lit(1)).alias("matched"), F.sum(F.col("w") * adds).alias("score")).drop("rng"))
+        return (met.repartition("rng", "part").select("rng", "part", F.inline("by"), *arrays)
+                .select("rng", "part", "query_id", "w", F.inline(F.arrays_zip(*arrays)))
+                .withColumnRenamed("ids", "doc_id").groupBy("rng", "part", "query_id", "doc_id").agg(
+                    F.count(F.lit(1)).alias("matched"), F.sum(F.col("w") * adds).alias("score")).drop("rng", "part"))
 
 
 def store_postings(docs: DataFrame, id: str, text: str, path: str, mapping: FieldMapping = DEFAULT_MAPPING,
                    range_docs: int = RANGE_DOCS) -> Postings:
     """Write the term index of a text field. Documents are shuffled to their ranges with their words counted, and taken apart
     there, so that only whole blocks travel on; a word of every document has a block in each range. A document without words
-    is in no range."""
+    is in no range.
+
+    A large index is written in parts, each with the terms of some buckets, and the shuffle files of a part are given back
+    before the next one begins."""
     spark = docs.sparkSession
     scratch = Scratch(spark, "postings")
     length_class = F.floor(F.log2("length") * 2).cast("int")
@@ -139,26 +151,41 @@ def store_postings(docs: DataFrame, id: str, text: str, path: str, mapping: Fiel
     while buckets * BUCKET_POSTINGS < (size["m"] or 0):
         buckets *= 2
     # two classes for each doubling of the length: a few dozen rows
-    parts = index.groupBy("class").agg(F.ceil(F.count(F.lit(1)) / range_docs).alias("parts"))
+    classes = index.groupBy("class").agg(F.ceil(F.count(F.lit(1)) / range_docs).alias("parts"))
     rng = F.shiftleft(F.col("class").cast("long"), 48) + F.pmod(F.xxhash64("doc_id"), F.col("parts"))
     adds = _tf_part(F.col("tf").cast("double"), F.col("length").cast("double"), F.lit(avg))
-    dealt = (index.join(F.broadcast(parts), "class").select("doc_id", "length", rng.alias("rng"), "terms")
-             .repartition(max(1, math.ceil((size["m"] or 0) / TASK_POSTINGS)), "rng"))
-    postings = dealt.select("doc_id", "length", "rng", F.inline("terms")).withColumn("tf", F.col("tf").cast("int"))
-    blocks = (postings.groupBy("term", "rng").agg(F.max(adds).alias("top"), F.count(F.lit(1)).cast("int").alias("m"),
-                                                  F.collect_list(F.struct("doc_id", "tf", "length")).alias("docs"))
-              .select("term", "rng", "top", "m", F.col("docs.doc_id").alias("ids"), F.col("docs.tf").alias("tfs"),
-                      F.col("docs.length").alias("lengths"), F.pmod(F.xxhash64("term"), F.lit(buckets)).cast("int").alias("bucket")))
-    (blocks.hint("rebalance", "bucket").sortWithinPartitions("bucket", "term", "rng")
-     .write.partitionBy("bucket").parquet(f"{path}/blocks"))
+    tasks = max(1, math.ceil((size["m"] or 0) / TASK_POSTINGS))
+
+    def bucket(term: Column) -> Column:
+        return F.pmod(F.xxhash64(term), F.lit(buckets)).cast("int")
+
+    parts = max(1, min(PARTS, buckets, math.ceil((size["m"] or 0) / PART_POSTINGS)))
+    for part in range(parts):
+        rows = index if parts == 1 else index.withColumn("terms", F.filter(
+            "terms", lambda t: bucket(t["term"]) % parts == part))  # noqa: B023
+        # words and counts in arrays of their own: an array of structs takes twice the room in a shuffle
+        dealt = (rows.join(F.broadcast(classes), "class")
+                 .select("doc_id", "length", rng.alias("rng"), F.col("terms.term").alias("term"),
+                         F.col("terms.tf").cast("array<int>").alias("tf")).repartition(tasks, "rng"))
+        postings = dealt.select("doc_id", "length", "rng", F.inline(F.arrays_zip("term", "tf")))
+        blocks = (postings.groupBy("term", "rng").agg(F.max(adds).alias("top"), F.count(F.lit(1)).cast("int").alias("m"),
+                                                      F.collect_list(F.struct("doc_id", "tf", "length")).alias("docs"))
+                  .select("term", "rng", "top", "m", F.col("docs.doc_id").alias("ids"), F.col("docs.tf").alias("tfs"),
+                          F.col("docs.length").alias("lengths"), bucket(F.col("term")).alias("bucket")))
+        (blocks.hint("rebalance", "bucket").sortWithinPartitions("bucket", "term", "rng")
+         .write.mode("append").partitionBy("bucket").parquet(f"{path}/blocks"))
+        if parts > 1:
+            release(spark)
+    scratch.drop()
     stored = spark.read.schema("term string, m int, bucket int").parquet(f"{path}/blocks")
     terms = stored.groupBy("bucket", "term").agg(
         F.sum("m").alias("df"), F.count(F.lit(1)).alias("blocks"))
     (terms.hint("rebalance", "bucket").sortWithinPartitions("bucket", "term")
      .write.partitionBy("bucket").parquet(f"{path}/terms"))
+    if parts > 1:
+        release(spark)
     id_type = index.schema["doc_id"].dataType.simpleString()
     spark.createDataFrame([(n, avg, buckets, id_type)], STATS).coalesce(1).write.parquet(f"{path}/stats")
-    scratch.drop()
     return Postings(spark, path, n, avg, buckets, id_type)
 
 

@@ -98,3 +98,31 @@ def test_blocks_are_made_where_their_documents_lie(spark, docs, monkeypatch):
     wanted = R.term_index(docs, "id", "text").select(F.col("doc_id").alias("ids"), F.inline("terms"), F.col("length").alias("lengths"))
     assert sorted(map(tuple, found.select("ids", "term", "tfs", "lengths").collect())) == sorted(
         map(tuple, wanted.select("ids", "term", "tf", "lengths").collect()))
+
+
+def test_a_large_index_is_written_in_parts(spark, docs, queries, monkeypatch):
+    monkeypatch.setattr(P, "BUCKET_POSTINGS", 500)
+    whole = P.store_postings(docs, "id", "text", scratch_path(spark, "postings"), range_docs=8)
+    monkeypatch.setattr(P, "PART_POSTINGS", 1500)
+    given, hint = [], type(docs).hint
+    monkeypatch.setattr(type(docs), "hint", lambda self, *a: given.append(self) or hint(self, *a))
+    parted = P.store_postings(docs, "id", "text", scratch_path(spark, "postings"), range_docs=8)
+    assert len(given) > 3 and parted.buckets == whole.buckets  # the last one makes the dictionary
+    kept = [sorted((r["term"], r["rng"], r["top"], r["m"], sorted(zip(r["ids"], r["tfs"], r["lengths"])), r["bucket"])
+                   for r in spark.read.parquet(f"{index.path}/blocks").collect()) for index in (whole, parted)]
+    assert kept[0] == kept[1] and kept[0]
+    dictionary = [sorted(map(tuple, spark.read.parquet(f"{index.path}/terms").collect())) for index in (whole, parted)]
+    assert dictionary[0] == dictionary[1]
+    assert rows(P.bm25_batch(parted, queries, "q", "asked", 5)) == rows(P.bm25_batch(whole, queries, "q", "asked", 5))
+
+
+def test_a_block_travels_once_for_all_queries(spark, docs, queries, monkeypatch):
+    index = P.store_postings(docs, "id", "text", scratch_path(spark, "postings"), range_docs=8)
+    wanted = rows(P.bm25_batch(index, queries, "q", "asked", 5))
+    asked, near = index.asked(queries, "q", "asked")
+    asked = asked.select("query_id", "term", "blocks", F.lit(1.0).alias("w"))
+    pairs = index.heads(asked, near, 1000).select("query_id", "rng")
+    plan = index.opened(pairs, asked, near, 1000)._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(rng" in plan and "hashpartitioning(query_id" not in plan
+    monkeypatch.setattr(P, "TASK_QUERIES", 3)
+    assert rows(P.bm25_batch(index, queries, "q", "asked", 5)) == wanted
